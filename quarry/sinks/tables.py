@@ -24,6 +24,7 @@ import logging
 import time
 import uuid
 
+from pyspark import StorageLevel
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
@@ -222,15 +223,22 @@ class TableSink:
         else:
             target = self.spark.table(self.name)
             base = self.config.get("path") or current.split("/_versions/")[0]
-        merged = plan_merge(
-            target, df, keys, tracked, null_safe,
-            broadcast_bytes=int(self.config.get("broadcast_bytes", DEFAULT_BROADCAST_BYTES)),
-        )
-        version = f"{base.rstrip('/')}/_versions/{int(time.time() * 1000)}-{uuid.uuid4().hex[:8]}"
-        writer = merged.write.format(self.fmt).mode("errorifexists")
-        if self.partition_by:
-            writer = writer.partitionBy(*self.partition_by)
-        writer.save(version)
+        # The source is read three times (profile, updates, inserts): keep
+        # it for the duration of the write; a lost executor recomputes its
+        # part from lineage.
+        source = df.persist(StorageLevel.MEMORY_AND_DISK)
+        try:
+            merged = plan_merge(
+                target, source, keys, tracked, null_safe,
+                broadcast_bytes=int(self.config.get("broadcast_bytes", DEFAULT_BROADCAST_BYTES)),
+            )
+            version = f"{base.rstrip('/')}/_versions/{int(time.time() * 1000)}-{uuid.uuid4().hex[:8]}"
+            writer = merged.write.format(self.fmt).mode("errorifexists")
+            if self.partition_by:
+                writer = writer.partitionBy(*self.partition_by)
+            writer.save(version)
+        finally:
+            source.unpersist()
         register_table(self.spark, self.name, self.fmt, version, self.partition_by)
 
     def _merge_v2(self, df: DataFrame, keys, tracked, null_safe) -> None:

@@ -1,0 +1,91 @@
+import pytest
+
+from quarry.plans import reports  # noqa: F401  (registers transforms)
+from quarry.plans.job import run, run_dates, run_job, validate_job
+
+SF = "/root/testdata/sf0.001"
+
+
+def job(workdir, transform, load):
+    return {
+        "run_mode": {"name": "default"},
+        "extract": {"orders": {"reader": "ParquetReader", "path": f"{SF}/orders.parquet"}},
+        "transform": transform,
+        "load": load,
+    }
+
+
+def test_validation_collects_problems(workdir):
+    bad = {
+        "run_mode": {"name": "sometimes"},
+        "extract": {"a": {"reader": "NopeReader"}},
+        "transform": {"transformer": "ConfigTransformer", "transformation": {"a": [{"op": "explode"}]}},
+        "load": {"b": {"writer": "ParquetWriter", "mode": "merge"}},
+    }
+    with pytest.raises(ValueError) as err:
+        validate_job(bad)
+    text = str(err.value)
+    for part in ("sometimes", "NopeReader", "explode", "'merge'", "'b' is not an output"):
+        assert part in text
+
+
+def test_backfill_validation():
+    base = {"extract": {"a": {"reader": "TableReader", "table": "t"}},
+            "transform": {"transformer": "ConfigTransformer", "transformation": {}}, "load": {}}
+    with pytest.raises(ValueError):
+        validate_job({**base, "run_mode": {"name": "back_fill", "start": "2024-01-01", "end": "2024-01-03", "step": -1}})
+    with pytest.raises(ValueError):
+        validate_job({**base, "run_mode": {"name": "back_fill", "start": 1, "end": "2024-01-03"}})
+    assert run_dates({**base, "run_mode": {"name": "back_fill", "start": 1, "end": 3}}) == [1, 2, 3]
+    assert run_dates({**base, "run_mode": {"name": "back_fill", "start": "2024-01-01", "end": "2024-01-05",
+                                           "step": 2}}) == ["2024-01-01", "2024-01-03", "2024-01-05"]
+
+
+def test_sql_file_transform_with_placeholder(spark, workdir, tmp_path_factory):
+    sql = tmp_path_factory.mktemp("sql") / "late.sql"
+    sql.write_text("SELECT o_orderkey FROM orders WHERE o_orderdate >= {$run_date}")
+    conf = job(workdir, {"transformer": "SQLTransformer", "transformation": str(sql)},
+               {"result": {"writer": "ParquetWriter", "mode": "overwrite", "path": f"{workdir}/late"}})
+    out = run_job(spark, conf, "1998-06-01")
+    expected = spark.read.parquet(f"{SF}/orders.parquet").filter("o_orderdate >= '1998-06-01'").count()
+    assert out["result"].count() == expected == spark.read.parquet(f"{workdir}/late").count()
+
+
+def passthrough(spark, dfs, run_date):
+    return {"orders_out": dfs["orders"]}
+
+
+def test_missing_output_fails_before_writing(spark, workdir):
+    conf = job(workdir, {"transformer": "PyTransformer", "transformation": "test_job.passthrough"},
+               {"missing": {"writer": "ParquetWriter", "mode": "overwrite", "path": f"{workdir}/never"}})
+    with pytest.raises(ValueError):
+        run_job(spark, conf, "1998-06-01")
+
+
+def test_backfill_loop_runs_each_date(spark, workdir):
+    from quarry.plans.catalogue import table
+
+    reports.silver_orders(table(spark, SF, "orders"), table(spark, SF, "lineitem")).createOrReplaceTempView("silver_t")
+    conf = {
+        "run_mode": {"name": "back_fill", "start": "1998-06-01", "end": "1998-06-03"},
+        "extract": {"orders": {"reader": "TableReader", "table": "silver_t"}},
+        "transform": {"transformer": "PyTransformer", "transformation": "daily_order_counts"},
+        "load": {"daily_order_counts": {"writer": "ParquetWriter", "mode": "append", "path": f"{workdir}/daily"}},
+    }
+    assert run(spark, conf) == ["1998-06-01", "1998-06-02", "1998-06-03"]
+    dates = {r.run_date.isoformat() for r in spark.read.parquet(f"{workdir}/daily").select("run_date").distinct().collect()}
+    assert dates == {"1998-06-01", "1998-06-02", "1998-06-03"}
+
+
+def test_streaming_batches_reuse_sinks(spark, workdir):
+    from quarry.streaming import batch_writer
+
+    schema = spark.read.parquet(f"{SF}/region.parquet").schema
+    stream = spark.readStream.schema(schema).option("pathGlobFilter", "region.parquet").parquet(SF)
+    q = (stream.writeStream.foreachBatch(batch_writer({"writer": "ParquetWriter", "mode": "upsert",
+                                                       "table_name": "stream_db.region", "path": f"{workdir}/region",
+                                                       "primary_key": ["r_regionkey"],
+                                                       "change_tracking_column": ["r_name"]}))
+         .option("checkpointLocation", f"{workdir}/stream_ckpt").trigger(availableNow=True).start())
+    q.awaitTermination(120)
+    assert spark.table("stream_db.region").count() == 5

@@ -1,0 +1,92 @@
+import pytest
+
+from quarry.operators.steps import StepError, apply_steps
+
+
+@pytest.fixture()
+def dfs(spark):
+    return {
+        "t": spark.createDataFrame([(1, "a", None), (2, "b", 2.0), (2, "b", 2.0)], "k int, v string, x double"),
+        "u": spark.createDataFrame([(1, "one"), (3, "three")], "k int, name string"),
+    }
+
+
+def rows(df):
+    return sorted((tuple(r) for r in df.collect()), key=repr)
+
+
+def test_empty_steps_are_identity(spark, dfs):
+    out = apply_steps(spark, dfs, {"t": []})
+    assert out["t"] is dfs["t"]
+
+
+def test_config_is_not_mutated(spark, dfs):
+    steps = {"t": [{"op": "filter", "args": {"condition": "F.col('k') > 1"}}]}
+    apply_steps(spark, dfs, steps)
+    assert steps["t"][0]["args"]["condition"] == "F.col('k') > 1"
+
+
+def test_generic_methods(spark, dfs):
+    out = apply_steps(spark, dfs, {"t": [
+        {"op": "dropDuplicates", "args": {}},
+        {"op": "fillna", "args": {"value": 0.0}},
+        {"op": "withColumn", "args": {"colName": "y", "col": "F.col('k') * 10"}},
+        {"op": "withColumnRenamed", "args": {"existing": "v", "new": "w"}},
+        {"op": "drop", "args": {"cols": ["x"]}},
+    ]})["t"]
+    assert out.columns == ["k", "w", "y"]
+    assert rows(out) == [(1, "a", 10), (2, "b", 20)]
+
+
+def test_table_steps(spark, dfs):
+    out = apply_steps(spark, dfs, {"t": [
+        {"op": "join", "args": {"other": "u", "on": ["k"], "how": "left"}},
+        {"op": "aggregate", "args": {"group_by": ["k"], "aggs": {"n": "count(*)", "name": "max(name)"}}},
+        {"op": "sort", "args": {"cols": ["k"], "ascending": False}},
+    ]})["t"]
+    assert [tuple(r) for r in out.collect()] == [(2, 2, None), (1, 1, "one")]
+
+
+def test_union_and_select(spark, dfs):
+    # "other" names a table in its current state (after its own steps)
+    dfs = {**dfs, "w": spark.createDataFrame([(9, "nine")], "k int, name string")}
+    out = apply_steps(spark, dfs, {"u": [
+        {"op": "select", "args": {"cols": ["k", {"expr": "upper(name) AS name"}]}},
+        {"op": "union", "args": {"other": "w"}},
+    ]})["u"]
+    assert rows(out) == [(1, "ONE"), (3, "THREE"), (9, "nine")]
+
+
+def test_sql_step_sees_earlier_views_and_run_date(spark, dfs):
+    out = apply_steps(spark, dfs, {
+        "u": [{"op": "sql", "args": {"view_name": "u_v", "query": "SELECT * FROM u_v"}}],
+        "t": [{"op": "sql", "args": {"view_name": "t_v", "query":
+            "SELECT t.k, u.name, '{$run_date}' AS d FROM t_v t JOIN u_v u ON t.k = u.k"}}],
+    }, run_date="2024-01-02")["t"]
+    assert rows(out) == [(1, "one", "2024-01-02")]
+
+
+def test_checkpoint_steps_are_reliable(spark, dfs):
+    for op in ("checkpoint", "localCheckpoint"):
+        out = apply_steps(spark, dfs, {"t": [{"op": op, "args": {}}]})["t"]
+        assert out.count() == 3
+
+
+def test_to_schema_from_ddl(spark, dfs):
+    out = apply_steps(spark, dfs, {"u": [{"op": "to", "args": {"schema": "name string, k long"}}]})["u"]
+    assert out.columns == ["name", "k"] and out.schema["k"].dataType.typeName() == "long"
+
+
+def test_summary_and_unpivot(spark, dfs):
+    out = apply_steps(spark, dfs, {"t": [{"op": "summary", "args": {"statistics": ["count"]}}]})["t"]
+    assert out.first()["k"] == "3"
+    out = apply_steps(spark, dfs, {"u": [{"op": "unpivot", "args": {
+        "ids": ["k"], "values": ["name"], "variableColumnName": "c", "valueColumnName": "val"}}]})["u"]
+    assert rows(out) == [(1, "name", "one"), (3, "name", "three")]
+
+
+def test_unknown_step_and_table(spark, dfs):
+    with pytest.raises(StepError):
+        apply_steps(spark, dfs, {"t": [{"op": "collect", "args": {}}]})
+    with pytest.raises(StepError):
+        apply_steps(spark, dfs, {"nope": []})
