@@ -335,6 +335,39 @@ def q_upsert_null_safe(spark, sf_dir):
     return _upsert(spark, sf_dir, True, "upsert_null_safe")
 
 
+@query(
+    "upsert_partitioned",
+    f"""
+WITH {_RECOMPUTED},
+tgt AS (
+    SELECT o_orderkey, o_custkey, o_orderstatus, o_totalprice, o_orderdate, o_orderpriority,
+           CAST(year(o_orderdate) AS INTEGER) AS o_year
+    FROM orders WHERE o_orderdate < TIMESTAMP '1998-06-01'
+),
+s AS (SELECT *, CAST(year(o_orderdate) AS INTEGER) AS o_year FROM src WHERE year(o_orderdate) = 1998)
+SELECT t.o_orderkey, t.o_custkey,
+       CASE WHEN s.o_orderkey IS NOT NULL AND coalesce(t.o_orderstatus <> s.o_orderstatus, false)
+            THEN s.o_orderstatus ELSE t.o_orderstatus END AS o_orderstatus,
+       t.o_totalprice, t.o_orderdate, t.o_orderpriority, t.o_year
+FROM tgt t LEFT JOIN s ON t.o_orderkey = s.o_orderkey AND t.o_year = s.o_year
+UNION ALL
+SELECT s.* FROM s WHERE NOT EXISTS (SELECT 1 FROM tgt t WHERE t.o_orderkey = s.o_orderkey AND t.o_year = s.o_year)""",
+)
+def q_upsert_partitioned(spark, sf_dir):
+    """K8 on a year-partitioned table keyed by (order, year): the run
+    date's year arrives recomputed; only that partition is read and
+    rewritten (dynamic partition overwrite), the others are untouched."""
+    work = new_work_dir(spark, "upsert_partitioned")
+    year = F.year("o_orderdate").alias("o_year")
+    sink = _sink(work, "orders_keyed_by_year", "overwrite", partition_by=["o_year"], first=True)
+    write_output(spark, _before_run_date(table(spark, sf_dir, "orders")).select(*_ORDER_COLS, year), sink)
+    fresh = recomputed_orders(spark, sf_dir).select("*", year).filter(F.col("o_year") == int(RUN_DATE[:4]))
+    upsert = {**sink, "mode": "upsert", "first": False, "primary_key": ["o_orderkey", "o_year"],
+              "change_tracking_column": ["o_orderstatus"]}
+    write_output(spark, fresh, upsert)
+    return spark.table("bronze.orders_keyed_by_year")
+
+
 @query(
     "overwrite_partition",
     f"""

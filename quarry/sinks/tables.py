@@ -83,11 +83,21 @@ def table_location(spark: SparkSession, name: str) -> str | None:
     return row[0] if row else None
 
 
+def _plain_path(p: str) -> str:
+    if p.startswith("file:"):
+        p = "/" + p[len("file:"):].lstrip("/")
+    return p.rstrip("/")
+
+
 def _same_location(a: str | None, b: str) -> bool:
-    if a is None:
-        return False
-    strip = lambda p: p.replace("file:", "").rstrip("/")
-    return strip(a) == strip(b)
+    return a is not None and _plain_path(a) == _plain_path(b)
+
+
+def reads_path(df: DataFrame, path: str) -> bool:
+    """Whether ``df`` reads files under ``path`` (file names only, from the
+    scan's own listing)."""
+    prefix = _plain_path(path) + "/"
+    return any(_plain_path(f).startswith(prefix) for f in df.inputFiles())
 
 
 def register_table(
@@ -160,9 +170,19 @@ class TableSink:
         warehouse = self.spark.conf.get("spark.sql.warehouse.dir").rstrip("/")
         return f"{warehouse}/{self.db or 'default'}/{self.table}"
 
+    def _new_version(self, base: str) -> str:
+        return f"{base.rstrip('/')}/_versions/{int(time.time() * 1000)}-{uuid.uuid4().hex[:8]}"
+
     def _write_files(self, df: DataFrame, mode: str, overwrite_mode: str | None = None) -> str:
         self._ensure_database()
         path = self.path()
+        if overwrite_mode == "static" and reads_path(df, path):
+            # A static overwrite deletes the folder before the job reads
+            # it. Write a new version instead and re-point the table.
+            if not self.name:
+                raise ValueError(f"cannot overwrite {path}: the data is read from it (give a table_name)")
+            path = self._new_version(path.split("/_versions/")[0])
+            mode = "errorifexists"
         writer = df.write.format(self.fmt).mode(mode)
         if self.partition_by:
             writer = writer.partitionBy(*self.partition_by)
@@ -217,6 +237,10 @@ class TableSink:
             return
         self._ensure_database()
         current = table_location(self.spark, self.name)
+        scope = self.config.get("upsert_scope", "partitions")
+        if current is not None and self.partition_by and set(self.partition_by) <= set(keys) and scope == "partitions":
+            self._upsert_partitions(df, current, keys, tracked, null_safe)
+            return
         if current is None:
             target = self.spark.createDataFrame([], df.schema)
             base = self.config.get("path") or self.path()
@@ -232,7 +256,7 @@ class TableSink:
                 target, source, keys, tracked, null_safe,
                 broadcast_bytes=int(self.config.get("broadcast_bytes", DEFAULT_BROADCAST_BYTES)),
             )
-            version = f"{base.rstrip('/')}/_versions/{int(time.time() * 1000)}-{uuid.uuid4().hex[:8]}"
+            version = self._new_version(base)
             writer = merged.write.format(self.fmt).mode("errorifexists")
             if self.partition_by:
                 writer = writer.partitionBy(*self.partition_by)
@@ -241,6 +265,42 @@ class TableSink:
             source.unpersist()
         register_table(self.spark, self.name, self.fmt, version, self.partition_by)
 
+    def _upsert_partitions(self, df: DataFrame, location: str, keys, tracked, null_safe) -> None:
+        """Upsert that rewrites only the partitions the source touches.
+
+        Valid when the partition columns are part of the key: a source row
+        can then only match target rows of its own partition. The target
+        is read through a semi join on the touched partition values (so the
+        scan is pruned to them), merged, and written back with a dynamic
+        partition overwrite, which stages the files before replacing each
+        touched partition. Untouched partitions are neither read nor
+        written.
+        """
+        parts = self.partition_by
+        source = df.persist(StorageLevel.MEMORY_AND_DISK)
+        try:
+            touched = source.select(*parts).distinct()
+            n_touched = touched.count()
+            limit = int(self.config.get("broadcast_partitions", 100_000))
+            touched_side = F.broadcast(touched) if n_touched <= limit else touched
+            target = self.spark.table(self.name)
+            on = [target[p].eqNullSafe(touched_side[p]) for p in parts]
+            target_in = target.join(touched_side, on, "left_semi")
+            merged = plan_merge(
+                target_in, source, keys, tracked, null_safe,
+                broadcast_bytes=int(self.config.get("broadcast_bytes", DEFAULT_BROADCAST_BYTES)),
+            )
+            (
+                merged.write.format(self.fmt)
+                .mode("overwrite")
+                .option("partitionOverwriteMode", "dynamic")
+                .partitionBy(*parts)
+                .save(location)
+            )
+        finally:
+            source.unpersist()
+        register_table(self.spark, self.name, self.fmt, location, parts)
+
     def _merge_v2(self, df: DataFrame, keys, tracked, null_safe) -> None:
         self._v2_writer(df)  # create if missing
         t = self.name

@@ -95,3 +95,23 @@ def test_json_events_round_trip(spark, workdir):
     back = spark.read.schema("key string, value string").json(f"{workdir}/ev")
     r = back.select("key", F.get_json_object("value", "$.kind").alias("kind")).first()
     assert (r.key, r.kind) == ("7", "click")
+
+
+def test_overwrite_of_a_table_from_itself_keeps_data(spark, workdir):
+    from pyspark.sql import functions as F
+
+    cfg = sink(workdir, "self", "overwrite", first=True)
+    write_output(spark, spark.createDataFrame([(1, "a"), (2, "b")], "k int, v string"), cfg)
+    current = spark.table("db_self.t")
+    write_output(spark, current.withColumn("v", F.upper("v")), {**cfg, "first": False})
+    assert rows(spark.table("db_self.t")) == [(1, "A"), (2, "B")]
+
+
+def test_partition_scoped_upsert_touches_only_source_partitions(spark, workdir):
+    schema = "k int, y int, v string"
+    cfg = sink(workdir, "pu", "overwrite", partition_by=["y"], first=True)
+    write_output(spark, spark.createDataFrame([(1, 2020, "a"), (2, 2021, "b"), (3, None, "n")], schema), cfg)
+    up = {**cfg, "mode": "upsert", "first": False, "primary_key": ["k", "y"], "change_tracking_column": ["v"]}
+    write_output(spark, spark.createDataFrame([(2, 2021, "z"), (4, 2021, "d"), (5, None, "m")], schema), up)
+    assert sorted(rows(spark.table("db_pu.t")), key=repr) == sorted(
+        [(1, "a", 2020), (2, "z", 2021), (4, "d", 2021), (3, "n", None), (5, "m", None)], key=repr)
