@@ -42,6 +42,9 @@ DATAFRAME_METHODS = frozenset(
 )
 
 
+BROADCAST_ROW_LIMIT = 1_000_000
+
+
 class StepError(ValueError):
     pass
 
@@ -81,10 +84,14 @@ def _step_join(spark, dfs, name, args, run_date):
     if isinstance(on, dict) or (isinstance(on, str) and on.startswith("F.")):
         on = as_column(on)
     how = args.get("how", "inner")
-    if args.get("broadcast"):
-        # Only for a side whose size is bounded by construction (a top-k,
-        # a dimension checked by the caller); otherwise let AQE decide.
-        other = F.broadcast(other)
+    limit = args.get("broadcast")
+    if limit:
+        # Broadcast only after counting the other side: ``true`` means the
+        # default row limit, a number sets it. Over the limit the join is
+        # left to the planner / AQE.
+        limit = BROADCAST_ROW_LIMIT if limit is True else int(limit)
+        if other.limit(limit + 1).count() <= limit:
+            other = F.broadcast(other)
     return dfs[name].join(other, on=on, how=how)
 
 

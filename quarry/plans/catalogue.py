@@ -202,7 +202,7 @@ def q_backfill_date_spine(spark, sf_dir):
     + """,
 ranked AS (
     SELECT run_date, customer_id,
-           row_number() OVER (PARTITION BY run_date ORDER BY order_count DESC, customer_id) AS rank
+           CAST(row_number() OVER (PARTITION BY run_date ORDER BY order_count DESC, customer_id) AS INTEGER) AS rank
     FROM by_date
 )
 SELECT r.run_date, r.rank, c.* FROM ranked r JOIN customers c ON c.id = r.customer_id WHERE r.rank <= 10""",
@@ -750,6 +750,89 @@ def q_step_summary(spark, sf_dir):
     ])
 
 
+@query(
+    "step_join_anti",
+    """SELECT c.* FROM customer c
+       WHERE NOT EXISTS (SELECT 1 FROM orders o WHERE o.o_custkey = c.c_custkey AND o.o_orderpriority = '1-URGENT')""",
+)
+def q_step_join_anti(spark, sf_dir):
+    """Join table step (anti): customers without an urgent order. The
+    other side is broadcast only if a count shows it under the limit."""
+    dfs = {"customer": table(spark, sf_dir, "customer"), "orders": table(spark, sf_dir, "orders")}
+    steps = {
+        "orders": [{"op": "filter", "args": {"condition": "o_orderpriority = '1-URGENT'"}},
+                   {"op": "select", "args": {"cols": ["o_custkey"]}}],
+        "customer": [{"op": "join", "args": {"other": "orders", "on": {"expr": "c_custkey = o_custkey"},
+                                             "how": "left_anti", "broadcast": 100000}}],
+    }
+    return apply_steps(spark, dfs, steps, RUN_DATE)["customer"]
+
+
+@query(
+    "step_join_semi",
+    """SELECT p.* FROM part p WHERE EXISTS (SELECT 1 FROM lineitem l WHERE l.l_partkey = p.p_partkey
+       AND l.l_returnflag = 'R' AND l.l_quantity >= 49)""",
+)
+def q_step_join_semi(spark, sf_dir):
+    """Join table step (semi): parts with a large returned line."""
+    dfs = {"part": table(spark, sf_dir, "part"), "lineitem": table(spark, sf_dir, "lineitem")}
+    steps = {
+        "lineitem": [{"op": "where", "args": {"condition": "l_returnflag = 'R' AND l_quantity >= 49"}}],
+        "part": [{"op": "join", "args": {"other": "lineitem", "on": {"expr": "p_partkey = l_partkey"},
+                                         "how": "left_semi"}}],
+    }
+    return apply_steps(spark, dfs, steps, RUN_DATE)["part"]
+
+
+@query(
+    "step_sql_window",
+    """SELECT o_custkey, o_orderkey, o_orderdate, rn FROM (
+         SELECT o_custkey, o_orderkey, o_orderdate,
+                CAST(row_number() OVER (PARTITION BY o_custkey ORDER BY o_orderdate DESC, o_orderkey DESC)
+                     AS INTEGER) AS rn
+         FROM orders) WHERE rn <= 3""",
+)
+def q_step_sql_window(spark, sf_dir):
+    """T3 through a SQL step: latest three orders per customer (the rank
+    filter lets Catalyst cut each group to three rows before the shuffle)."""
+    return _steps(spark, sf_dir, "orders", [{"op": "sql", "args": {"view_name": "orders_w", "query":
+        "SELECT o_custkey, o_orderkey, o_orderdate, rn FROM ("
+        " SELECT o_custkey, o_orderkey, o_orderdate, row_number() OVER ("
+        "  PARTITION BY o_custkey ORDER BY o_orderdate DESC, o_orderkey DESC) AS rn FROM orders_w)"
+        " WHERE rn <= 3"}}])
+
+
+@query(
+    "step_sql_rollup",
+    """SELECT o_orderstatus, o_orderpriority, count(*) AS n_orders, max(o_totalprice) AS max_price
+       FROM orders GROUP BY ROLLUP (o_orderstatus, o_orderpriority) HAVING count(*) > 1000""",
+)
+def q_step_sql_rollup(spark, sf_dir):
+    """A3 through a SQL step: rollup with HAVING."""
+    return _steps(spark, sf_dir, "orders", [{"op": "sql", "args": {"view_name": "orders_r", "query":
+        "SELECT o_orderstatus, o_orderpriority, count(*) AS n_orders, max(o_totalprice) AS max_price "
+        "FROM orders_r GROUP BY ROLLUP (o_orderstatus, o_orderpriority) HAVING count(*) > 1000"}}])
+
+
+@query(
+    "step_sql_set_ops",
+    """(SELECT o_custkey AS custkey FROM orders WHERE o_orderstatus = 'F'
+        INTERSECT SELECT o_custkey FROM orders WHERE o_orderpriority = '1-URGENT')
+       EXCEPT SELECT c_custkey FROM customer WHERE c_mktsegment = 'BUILDING'""",
+)
+def q_step_sql_set_ops(spark, sf_dir):
+    """T4 through SQL steps over two tables: intersect and except."""
+    dfs = {"customer": table(spark, sf_dir, "customer"), "orders": table(spark, sf_dir, "orders")}
+    steps = {
+        "customer": [{"op": "sql", "args": {"view_name": "customer_s", "query": "SELECT * FROM customer_s"}}],
+        "orders": [{"op": "sql", "args": {"view_name": "orders_s", "query":
+            "(SELECT o_custkey AS custkey FROM orders_s WHERE o_orderstatus = 'F' "
+            " INTERSECT SELECT o_custkey FROM orders_s WHERE o_orderpriority = '1-URGENT') "
+            "EXCEPT SELECT c_custkey FROM customer_s WHERE c_mktsegment = 'BUILDING'"}}],
+    }
+    return apply_steps(spark, dfs, steps, RUN_DATE)["orders"]
+
+
 @query("step_sample")
 def q_step_sample(spark, sf_dir):
     """C14: a seeded Bernoulli sample (the sampling is the feature; no
