@@ -73,11 +73,17 @@ def top_users(customers: DataFrame, orders: DataFrame, run_date, k: int = 10, as
     )
 
 
-@transform_function("top_user", "silver2golden_top_user.TransformSilver2GoldenToTopUser", outputs=("top_user",))
+@transform_function("top_user", outputs=("top_user",))
 def top_user_transform(spark: SparkSession, dfs: dict, run_date) -> dict:
     return {"top_user": top_users(dfs["customers"], dfs["orders"], run_date)}
 
 
+@transform_function("silver_orders", outputs=("orders",))
+def silver_orders_transform(spark: SparkSession, dfs: dict, run_date) -> dict:
+    """bronze orders + line items -> silver orders."""
+    return {"orders": silver_orders(dfs["orders"], dfs["lineitem"])}
+
+
 @transform_function("top_and_bottom_users", outputs=("top_user", "bottom_user"))
 def top_and_bottom_transform(spark: SparkSession, dfs: dict, run_date) -> dict:
     """Two outputs from one read of the inputs."""
