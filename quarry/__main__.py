@@ -37,12 +37,14 @@ def main(argv: list[str] | None = None) -> int:
     parser = argparse.ArgumentParser(prog="quarry", description=__doc__.splitlines()[0])
     parser.add_argument("config")
     parser.add_argument("--run-date", default=None)
+    parser.add_argument("--resume-from", default=None, help="skip backfill dates before this one")
     parser.add_argument("--set", action="append", default=[], metavar="NAME=VALUE")
     args = parser.parse_args(argv)
     variables = dict(item.split("=", 1) for item in args.set)
     spark = build_session()
     conf = load_config(spark, args.config, variables)
-    dates = run(spark, conf, args.run_date)
+    resume = int(args.resume_from) if args.resume_from and args.resume_from.isdigit() else args.resume_from
+    dates = run(spark, conf, args.run_date, resume_from=resume)
     print(json.dumps({"config": args.config, "run_dates": [str(d) for d in dates]}))
     return 0
 

@@ -131,9 +131,14 @@ def merge_changes(
     changed = reduce(lambda a, b: a | b, diffs) if diffs else F.lit(False)
     update = _q(_S, _HIT).isNotNull() & F.coalesce(changed, F.lit(False))
 
+    types = {f.name: f.dataType for f in target.schema.fields}
+    # Every output column keeps the target's type, so a narrower source
+    # type never changes the table's schema.
     kept = t.join(s, on, "left").select(
         *[
-            (F.when(update, _q(_S, c)).otherwise(_q(_T, c)) if c in tracked else _q(_T, c)).alias(c)
+            (F.when(update, _q(_S, c)).otherwise(_q(_T, c)) if c in tracked else _q(_T, c))
+            .cast(types[c])
+            .alias(c)
             for c in cols
         ]
     )
@@ -151,13 +156,12 @@ def merge_changes(
         # De-duplicated map-side, so a hot target key shrinks before the
         # shuffle.
         target_keys = target.select(*keys).distinct()
-    types = {f.name: f.dataType for f in target.schema.fields}
     inserts = (
         src.alias(_S)
         .join(target_keys.alias(_T), _key_condition(keys, _S, _T), "left_anti")
         .select(
             *[
-                (_q(_S, c) if c in source.columns else F.lit(None).cast(types[c])).alias(c)
+                (_q(_S, c) if c in source.columns else F.lit(None)).cast(types[c]).alias(c)
                 for c in cols
             ]
         )

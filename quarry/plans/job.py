@@ -173,12 +173,18 @@ def run_dates(conf: dict, today=None) -> list:
     raise ValueError(f"unknown run_mode {rm['name']!r}")
 
 
-def run(spark: SparkSession, conf: dict, run_date=None) -> list:
+def run(spark: SparkSession, conf: dict, run_date=None, resume_from=None) -> list:
     """Run a job for its run mode. Each backfill date is its own complete
-    job (written before the next starts), so a failed backfill resumes by
-    re-running from the failed date."""
+    job, written before the next starts, so a failed backfill is resumed
+    with ``resume_from`` = the failed date (earlier dates are skipped).
+    With ``overwrite_partition`` on the run date column, re-running a date
+    replaces its output instead of adding to it."""
     validate_job(conf)
     dates = [run_date] if run_date is not None else run_dates(conf)
+    if resume_from is not None:
+        if resume_from not in dates and str(resume_from) not in map(str, dates):
+            raise ValueError(f"resume_from {resume_from!r} is not one of the run dates")
+        dates = dates[list(map(str, dates)).index(str(resume_from)):]
     for d in dates:
         run_job(spark, conf, d)
     return dates

@@ -89,3 +89,29 @@ def test_streaming_batches_reuse_sinks(spark, workdir):
          .option("checkpointLocation", f"{workdir}/stream_ckpt").trigger(availableNow=True).start())
     q.awaitTermination(120)
     assert spark.table("stream_db.region").count() == 5
+
+
+def test_resume_from_skips_earlier_dates(spark, workdir):
+    conf = {
+        "run_mode": {"name": "back_fill", "start": 1, "end": 4},
+        "extract": {"r": {"reader": "ParquetReader", "path": f"{SF}/region.parquet"}},
+        "transform": {"transformer": "ConfigTransformer", "transformation": {"r": [
+            {"op": "sql", "args": {"view_name": "r_v", "query": "SELECT r_regionkey, :run_date AS run_key FROM r_v"}}]}},
+        "load": {"r": {"writer": "ParquetWriter", "mode": "overwrite_partition", "path": f"{workdir}/r",
+                       "partition_by": ["run_key"]}},
+    }
+    assert run(spark, conf, resume_from=3) == [3, 4]
+    keys = sorted(r.run_key for r in spark.read.parquet(f"{workdir}/r").select("run_key").distinct().collect())
+    assert keys == [3, 4]
+    with pytest.raises(ValueError):
+        run(spark, conf, resume_from=9)
+
+
+def test_merge_keeps_target_types(spark):
+    from quarry.operators.merge import merge_changes
+
+    t = spark.createDataFrame([(1, 10)], "k long, v long")
+    s = spark.createDataFrame([(1, 11), (2, 5)], "k int, v int")
+    out = merge_changes(t, s, ["k"], ["v"])
+    assert [f.dataType.simpleString() for f in out.schema.fields] == ["bigint", "bigint"]
+    assert sorted(map(tuple, out.collect())) == [(1, 11), (2, 5)]
