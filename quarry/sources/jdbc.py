@@ -14,7 +14,6 @@ fetched with one ``min``/``max`` query that the source database answers.
 from __future__ import annotations
 
 from pyspark.sql import DataFrame, SparkSession
-from pyspark.sql import functions as F
 
 from quarry.functions.expressions import substitute_run_date
 
@@ -42,26 +41,30 @@ def jdbc_options(config: dict, run_date=None) -> dict[str, str]:
     return opts
 
 
-def _bounds(spark: SparkSession, opts: dict[str, str]) -> tuple[str, str]:
-    """min/max of the partition column, computed by the source database
-    (Spark pushes the aggregate into the JDBC scan)."""
-    probe = {k: v for k, v in opts.items() if k not in ("partitionColumn", "numPartitions")}
+def bounds_query(opts: dict[str, str]) -> str:
+    """Source-side SQL for the min/max of the partition column, so the
+    database computes the bounds (the JDBC source does not push
+    aggregates down; reading the column through Spark would be one task
+    over the whole table)."""
     col = opts["partitionColumn"]
-    row = (
-        spark.read.format("jdbc")
-        .options(**probe)
-        .load()
-        .agg(F.min(col).alias("lo"), F.max(col).alias("hi"))
-        .first()
-    )
-    return str(row["lo"]), str(row["hi"])
+    source = opts["dbtable"] if "dbtable" in opts else f"({opts['query']}) q"
+    return f"SELECT MIN({col}) AS lo, MAX({col}) AS hi FROM {source}"
+
+
+def _bounds(spark: SparkSession, opts: dict[str, str]) -> tuple[str, str]:
+    probe = {k: v for k, v in opts.items()
+             if k not in ("partitionColumn", "numPartitions", "dbtable", "query")}
+    probe["query"] = bounds_query(opts)
+    row = spark.read.format("jdbc").options(**probe).load().first()
+    return str(row[0]), str(row[1])
 
 
 def read_jdbc(spark: SparkSession, config: dict, run_date=None) -> DataFrame:
     opts = jdbc_options(config, run_date)
-    if "partitionColumn" in opts and "lowerBound" not in opts:
+    if "partitionColumn" in opts:
         if "query" in opts:
             # Spark forbids partitionColumn together with 'query'; wrap it.
             opts["dbtable"] = f"({opts.pop('query')}) q"
-        opts["lowerBound"], opts["upperBound"] = _bounds(spark, opts)
+        if "lowerBound" not in opts:
+            opts["lowerBound"], opts["upperBound"] = _bounds(spark, opts)
     return spark.read.format("jdbc").options(**opts).load()

@@ -3,7 +3,7 @@ is not exercised (see README)."""
 
 import pytest
 
-from quarry.sources.jdbc import jdbc_options
+from quarry.sources.jdbc import bounds_query, jdbc_options
 
 
 def test_table_with_run_date_and_properties():
@@ -30,3 +30,12 @@ def test_partitioned_read_options():
 def test_table_xor_query(cfg):
     with pytest.raises(ValueError):
         jdbc_options(cfg)
+
+
+def test_bounds_are_computed_by_the_database():
+    opts = jdbc_options({"url": "jdbc:x", "table": "public.orders", "partition_column": "orderid"})
+    assert bounds_query(opts) == "SELECT MIN(orderid) AS lo, MAX(orderid) AS hi FROM public.orders"
+    opts = jdbc_options({"url": "jdbc:x", "query": "SELECT orderid AS order_id FROM t",
+                         "partition_column": "order_id"})
+    assert bounds_query(opts) == (
+        "SELECT MIN(order_id) AS lo, MAX(order_id) AS hi FROM (SELECT orderid AS order_id FROM t) q")
