@@ -32,7 +32,11 @@ from quarry.operators.merge import DEFAULT_BROADCAST_BYTES, plan_merge
 
 log = logging.getLogger(__name__)
 
+# Formats with their own transactions. Delta is written by path (then
+# registered, like any file table); Iceberg through its catalog (writeTo).
+# Both upsert with MERGE.
 V2_FORMATS = {"delta", "iceberg"}
+CATALOG_WRITE_FORMATS = {"iceberg"}
 FORMAT_BY_WRITER = {
     "DeltaWriter": "delta",
     "IcebergWriter": "iceberg",
@@ -176,7 +180,7 @@ class TableSink:
     def _write_files(self, df: DataFrame, mode: str, overwrite_mode: str | None = None) -> str:
         self._ensure_database()
         path = self.path()
-        if overwrite_mode == "static" and reads_path(df, path):
+        if overwrite_mode == "static" and self.fmt not in V2_FORMATS and reads_path(df, path):
             # A static overwrite deletes the folder before the job reads
             # it. Write a new version instead and re-point the table.
             if not self.name:
@@ -209,19 +213,19 @@ class TableSink:
 
     # -- modes -----------------------------------------------------------
     def append(self, df: DataFrame) -> None:
-        if self.fmt in V2_FORMATS:
+        if self.fmt in CATALOG_WRITE_FORMATS:
             self._v2_writer(df).append()
         else:
             self._write_files(df, "append")
 
     def overwrite(self, df: DataFrame) -> None:
-        if self.fmt in V2_FORMATS:
+        if self.fmt in CATALOG_WRITE_FORMATS:
             self._v2_writer(df).overwrite(F.lit(True))
         else:
             self._write_files(df, "overwrite", "static")
 
     def overwrite_partition(self, df: DataFrame) -> None:
-        if self.fmt in V2_FORMATS:
+        if self.fmt in CATALOG_WRITE_FORMATS:
             self._v2_writer(df).overwritePartitions()
         else:
             self._write_files(df, "overwrite", "dynamic")
@@ -302,7 +306,10 @@ class TableSink:
         register_table(self.spark, self.name, self.fmt, location, parts)
 
     def _merge_v2(self, df: DataFrame, keys, tracked, null_safe) -> None:
-        self._v2_writer(df)  # create if missing
+        if self.fmt in CATALOG_WRITE_FORMATS:
+            self._v2_writer(df)  # create if missing
+        elif not self.spark.catalog.tableExists(self.name):
+            self._write_files(df.limit(0), "append")  # empty table at the path, registered
         t = self.name
         cond = " AND ".join(f"{t}.`{k}` = s.`{k}`" for k in keys)
         if null_safe:

@@ -42,3 +42,9 @@ def test_backfill_spine_has_no_join(spark):
     text = plan(df)
     assert "NestedLoopJoin" not in text and "CartesianProduct" not in text
     assert "Generate explode" in text
+
+
+def test_sql_window_step_limits_groups_before_the_shuffle(spark):
+    text = plan(QUERIES["step_sql_window"](spark, SF))
+    head, _, tail = text.partition("Exchange hashpartitioning(o_custkey")
+    assert "WindowGroupLimit" in head and "Partial" in tail and "WindowGroupLimit" in tail
