@@ -250,6 +250,34 @@ def q_backfill_loop(spark, sf_dir):
     )
 
 
+@query("backfill_set_job")
+def q_backfill_set_job(spark, sf_dir):
+    """R2 through the job runner, set-based: the same back_fill config as
+    ``backfill_loop`` with ``set_based``; the runner uses the transform's
+    range form, so the four dates are one job and one write."""
+    work = new_work_dir(spark, "backfill_set")
+    reports.silver_orders(table(spark, sf_dir, "orders"), table(spark, sf_dir, "lineitem")).createOrReplaceTempView(
+        "silver_orders"
+    )
+    conf = {
+        "run_mode": {"name": "back_fill", "start": LOOP_START, "end": LOOP_END, "step": LOOP_STEP,
+                     "set_based": True},
+        "extract": {"orders": {"reader": "TableReader", "table": "silver_orders"}},
+        "transform": {"transformer": "PyTransformer", "transformation": "daily_order_counts"},
+        "load": {
+            "daily_order_counts": {"writer": "ParquetWriter", "mode": "overwrite_partition",
+                                   "path": f"{work}/daily_order_counts", "partition_by": ["run_date"]}
+        },
+    }
+    run(spark, conf)
+    return spark.read.parquet(f"{work}/daily_order_counts").select(
+        F.col("run_date").cast("date").alias("run_date"), "customer_id", "order_count"
+    )
+
+
+ORACLE["backfill_set_job"] = ORACLE["backfill_loop"]
+
+
 @query(
     "backfill_int_spine",
     """

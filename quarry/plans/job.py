@@ -37,13 +37,21 @@ TRANSFORMS: dict[str, Transform] = {}
 TRANSFORM_OUTPUTS: dict[str, tuple[str, ...]] = {}
 
 
-def transform_function(*names: str, outputs: tuple[str, ...] = ()):
-    """Register a Python transform under one or more names."""
+# Range forms: f(spark, dfs, start, end, step) -> dict of outputs carrying a
+# run_date column; lets a date backfill run as one job (see ``run``).
+RANGE_TRANSFORMS: dict[str, Callable] = {}
+
+
+def transform_function(*names: str, outputs: tuple[str, ...] = (), range_form: Callable | None = None):
+    """Register a Python transform under one or more names, optionally with
+    a set-based form over a whole date range."""
 
     def wrap(fn: Transform) -> Transform:
         for name in names or (fn.__name__,):
             TRANSFORMS[name] = fn
             TRANSFORM_OUTPUTS[name] = tuple(outputs)
+            if range_form is not None:
+                RANGE_TRANSFORMS[name] = range_form
         return fn
 
     return wrap
@@ -173,6 +181,35 @@ def run_dates(conf: dict, today=None) -> list:
     raise ValueError(f"unknown run_mode {rm['name']!r}")
 
 
+def _set_based(conf: dict) -> bool:
+    rm, t = conf.get("run_mode") or {}, conf.get("transform") or {}
+    return (
+        rm.get("name") == "back_fill"
+        and bool(rm.get("set_based"))
+        and not isinstance(rm.get("start"), int)
+        and t.get("transformer") == "PyTransformer"
+        and t.get("transformation") in RANGE_TRANSFORMS
+    )
+
+
+def run_range(spark: SparkSession, conf: dict) -> dict[str, DataFrame]:
+    """A date backfill as one job: sources read once (no run date), the
+    transform's range form computes every date in one plan, each output is
+    written once (use ``overwrite_partition`` on ``run_date`` so re-runs
+    replace their dates)."""
+    validate_job(conf)
+    rm = conf["run_mode"]
+    dfs = extract(spark, conf["extract"], None)
+    fn = RANGE_TRANSFORMS[conf["transform"]["transformation"]]
+    outputs = fn(spark, dict(dfs), rm["start"], rm["end"], rm.get("step"))
+    missing = [n for n in conf.get("load", {}) if n not in outputs]
+    if missing:
+        raise ValueError(f"transform produced no output named {missing}")
+    for name, sink in conf.get("load", {}).items():
+        write_output(spark, outputs[name], sink, None)
+    return outputs
+
+
 def run(spark: SparkSession, conf: dict, run_date=None, resume_from=None) -> list:
     """Run a job for its run mode. Each backfill date is its own complete
     job, written before the next starts, so a failed backfill is resumed
@@ -181,6 +218,9 @@ def run(spark: SparkSession, conf: dict, run_date=None, resume_from=None) -> lis
     replaces its output instead of adding to it."""
     validate_job(conf)
     dates = [run_date] if run_date is not None else run_dates(conf)
+    if run_date is None and resume_from is None and _set_based(conf):
+        run_range(spark, conf)
+        return dates
     if resume_from is not None:
         if resume_from not in dates and str(resume_from) not in map(str, dates):
             raise ValueError(f"resume_from {resume_from!r} is not one of the run dates")

@@ -91,7 +91,11 @@ def top_and_bottom_transform(spark: SparkSession, dfs: dict, run_date) -> dict:
     return {"top_user": top_users(dfs["customers"], dfs["orders"], run_date), "bottom_user": bottom["result"]}
 
 
-@transform_function("daily_order_counts", outputs=("daily_order_counts",))
+def _daily_counts_range(spark: SparkSession, dfs: dict, start, end, step) -> dict:
+    return {"daily_order_counts": order_counts_by_date(dfs["orders"], start, end, step)}
+
+
+@transform_function("daily_order_counts", outputs=("daily_order_counts",), range_form=_daily_counts_range)
 def daily_counts_transform(spark: SparkSession, dfs: dict, run_date) -> dict:
     """Per-customer counts for one run date, tagged with the date: the
     unit of work of a looped backfill."""
