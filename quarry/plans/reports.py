@@ -11,7 +11,7 @@ Stand-ins over the TPC-H-like tables (see FIXTURES.md):
 
 from __future__ import annotations
 
-from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
 
 from quarry.functions.rundate import _as_date, _check_step, run_date_literal
@@ -109,12 +109,17 @@ def order_counts_by_date(orders: DataFrame, start, end, step=None) -> DataFrame:
     """``order_counts`` for every date of a backfill range in one pass.
 
     An order straddles date d (midnight) exactly when
-    ``to_date(created_at) < d <= to_date(updated_at)``. So each order is
-    expanded to the indices of the range dates inside that interval,
-    computed arithmetically: no join against the date spine, nothing
-    compared pairwise. The expansion is generated inside the scan task and
-    partially aggregated there, so only (date, customer, count) partials
-    are shuffled.
+    ``to_date(created_at) < d <= to_date(updated_at)``, i.e. it covers a
+    contiguous run ``lo..hi`` of range indices, computed arithmetically.
+    The counts are built from change points rather than by listing every
+    date of every order: each order contributes +1 at ``lo`` and -1 at
+    ``hi + 1``; these are summed per (customer, index) with map-side
+    partial aggregation, then a running sum over a customer's change
+    points (at most ``dates + 1`` rows per customer, however many orders
+    it has, so a hot customer stays small) gives the count of each
+    segment between consecutive change points. Only the final segments
+    are expanded to dates, after the last shuffle. Nothing is compared
+    pairwise and no date spine is joined.
     """
     step = _check_step(step)
     first, last = _as_date(start), _as_date(end)
@@ -128,17 +133,39 @@ def order_counts_by_date(orders: DataFrame, start, end, step=None) -> DataFrame:
     completed = orders.filter(
         (F.col("status") == COMPLETED) & F.col("created_at").isNotNull() & F.col("updated_at").isNotNull()
     )
-    return (
+    changes = (
         completed.select("customer_id", lo.alias("lo"), hi.alias("hi"))
         .filter(F.col("lo") <= F.col("hi"))
-        .select("customer_id", F.explode(F.sequence("lo", "hi")).alias("i"))
-        .groupBy("i", "customer_id")
-        .agg(F.count(F.lit(1)).alias("order_count"))
         .select(
-            F.date_add(start_lit, (F.col("i") * step).cast("int")).alias("run_date"),
             "customer_id",
-            "order_count",
+            F.explode(
+                F.array(
+                    F.struct(F.col("lo").alias("i"), F.lit(1).alias("d")),
+                    F.struct((F.col("hi") + 1).alias("i"), F.lit(-1).alias("d")),
+                )
+            ).alias("c"),
         )
+        .groupBy("customer_id", F.col("c.i").alias("i"))
+        .agg(F.sum("c.d").alias("d"))
+        .filter(F.col("d") != 0)
+    )
+    w = Window.partitionBy("customer_id").orderBy("i")
+    segments = changes.select(
+        "customer_id",
+        "i",
+        F.sum("d").over(w.rowsBetween(Window.unboundedPreceding, Window.currentRow)).alias("order_count"),
+        F.lead("i").over(w).alias("next_i"),
+    ).filter(F.col("order_count") > 0)
+    # Every +1 has its -1 at most at index n_dates, so a positive segment
+    # always has a next change point.
+    return segments.select(
+        F.explode(F.sequence("i", F.col("next_i") - 1)).alias("i"),
+        "customer_id",
+        F.col("order_count").cast("long").alias("order_count"),
+    ).select(
+        F.date_add(start_lit, (F.col("i") * step).cast("int")).alias("run_date"),
+        "customer_id",
+        "order_count",
     )
 
 

@@ -37,13 +37,25 @@ def test_per_date_top_k_limits_before_the_shuffle(spark):
 
 
 def test_backfill_spine_has_no_join(spark):
-    _, orders = reports.customers_view(table(spark, SF, "customer")), None
     df = QUERIES["backfill_date_spine"](spark, SF)
     text = plan(df)
     assert "NestedLoopJoin" not in text and "CartesianProduct" not in text
     assert "Generate explode" in text
 
 
+def test_backfill_expands_dates_after_the_last_shuffle(spark, workdir):
+    # Over a stored silver table: change points are partially aggregated
+    # before the first shuffle; the per-date rows are only generated above
+    # the last one.
+    silver = reports.silver_orders(table(spark, SF, "orders"), table(spark, SF, "lineitem"))
+    silver.write.parquet(f"{workdir}/silver_bf")
+    df = reports.order_counts_by_date(spark.read.parquet(f"{workdir}/silver_bf"), "1995-01-01", "2001-12-31", 7)
+    text = plan(df)
+    above, _, below = text.partition("Exchange hashpartitioning")
+    assert "explode(sequence" in above and "explode(sequence" not in below
+    assert "partial_sum" in below
+
+
 def test_sql_window_step_limits_groups_before_the_shuffle(spark):
     text = plan(QUERIES["step_sql_window"](spark, SF))
     head, _, tail = text.partition("Exchange hashpartitioning(o_custkey")
