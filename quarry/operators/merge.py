@@ -29,15 +29,10 @@ from functools import reduce
 
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
-from pyspark.sql import types as T
 
-_T, _S, _HIT = "__t", "__s", "__s_hit"
-
-# Bytes assumed per value when sizing a side for broadcast. Strings are
-# taken wide on purpose; the check must err towards not broadcasting.
-_WIDTH = {T.StringType: 64, T.BinaryType: 64, T.DecimalType: 16}
-DEFAULT_BROADCAST_BYTES = 64 * 1024 * 1024
+from quarry.operators.sizing import DEFAULT_BROADCAST_BYTES, row_width
 
+_T, _S, _HIT = "__t", "__s", "__s_hit"
 
 class DuplicateSourceKeyError(ValueError):
     pass
@@ -54,19 +49,6 @@ def _q(alias: str, name: str) -> Column:
     return F.col(f"{alias}.`{name}`")
 
 
-def _row_width(schema: T.StructType) -> int:
-    width = 0
-    for field in schema.fields:
-        dtype = type(field.dataType)
-        if dtype in _WIDTH:
-            width += _WIDTH[dtype]
-        elif isinstance(field.dataType, (T.ArrayType, T.MapType, T.StructType)):
-            width += 256
-        else:
-            width += 8
-    return width
-
-
 def profile_source(source: DataFrame, keys: list[str]) -> SourceProfile:
     """Row count and largest key group of the source, in one aggregation
     (partial aggregation keeps a hot key cheap)."""
@@ -77,7 +59,7 @@ def profile_source(source: DataFrame, keys: list[str]) -> SourceProfile:
         .first()
     )
     rows = int(row["rows"] or 0)
-    return SourceProfile(rows, int(row["max_n"] or 0), rows * _row_width(source.schema))
+    return SourceProfile(rows, int(row["max_n"] or 0), rows * row_width(source.schema))
 
 
 def _key_condition(keys: list[str], left: str, right: str) -> Column:

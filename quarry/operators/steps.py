@@ -26,6 +26,7 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from quarry.functions.expressions import as_column, bind_run_date, config_value
+from quarry.operators.sizing import DEFAULT_BROADCAST_BYTES, fits_broadcast
 from quarry.session import scratch_root
 
 # DataFrame methods a step may call by name with keyword arguments.
@@ -42,9 +43,6 @@ DATAFRAME_METHODS = frozenset(
 )
 
 
-BROADCAST_ROW_LIMIT = 1_000_000
-
-
 class StepError(ValueError):
     pass
 
@@ -86,11 +84,11 @@ def _step_join(spark, dfs, name, args, run_date):
     how = args.get("how", "inner")
     limit = args.get("broadcast")
     if limit:
-        # Broadcast only after counting the other side: ``true`` means the
-        # default row limit, a number sets it. Over the limit the join is
-        # left to the planner / AQE.
-        limit = BROADCAST_ROW_LIMIT if limit is True else int(limit)
-        if other.limit(limit + 1).count() <= limit:
+        # Broadcast only after sizing the other side: ``true`` checks the
+        # estimated bytes against ``broadcast_bytes``, a number also caps
+        # its rows. Over the limit the join is left to the planner / AQE.
+        max_bytes = int(args.get("broadcast_bytes", DEFAULT_BROADCAST_BYTES))
+        if fits_broadcast(other, max_bytes, None if limit is True else int(limit)):
             other = F.broadcast(other)
     return dfs[name].join(other, on=on, how=how)
 

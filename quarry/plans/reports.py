@@ -14,7 +14,8 @@ from __future__ import annotations
 from pyspark.sql import DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
 
-from quarry.functions.rundate import _as_date, _check_step, run_date_literal
+from quarry.functions.rundate import _as_date, _check_step, date_range, run_date_literal
+from quarry.operators.sizing import DEFAULT_BROADCAST_BYTES, row_width
 from quarry.operators.topk import top_k, top_k_per_group
 from quarry.plans.job import sql_transform, transform_function
 
@@ -172,12 +173,16 @@ def order_counts_by_date(orders: DataFrame, start, end, step=None) -> DataFrame:
 def top_users_by_date(customers: DataFrame, orders: DataFrame, start, end, step=None, k: int = 10) -> DataFrame:
     """The top-user report for every date of a backfill range. Per-date
     top-k keeps at most k rows per date and map partition before the
-    shuffle; the result (k x dates rows, known up front) is broadcast to
-    the customer join."""
+    shuffle. The result has at most k x dates rows, known before anything
+    runs; it is broadcast to the customer join when that bound fits the
+    broadcast limit, else the join is left to the planner."""
     counts = order_counts_by_date(orders, start, end, step)
     top = top_k_per_group(counts, ["run_date"], "order_count", k, tie_break=["customer_id"], rank_col="rank")
+    n_dates = len(date_range(start, end, step))
+    if k * n_dates * row_width(top.schema) <= DEFAULT_BROADCAST_BYTES:
+        top = F.broadcast(top)
     return (
         customers.alias("a")
-        .join(F.broadcast(top).alias("b"), F.col("a.id") == F.col("b.customer_id"), "inner")
+        .join(top.alias("b"), F.col("a.id") == F.col("b.customer_id"), "inner")
         .select("b.run_date", "b.rank", "a.*")
     )

@@ -90,3 +90,24 @@ def test_unknown_step_and_table(spark, dfs):
         apply_steps(spark, dfs, {"t": [{"op": "collect", "args": {}}]})
     with pytest.raises(StepError):
         apply_steps(spark, dfs, {"nope": []})
+
+
+@pytest.mark.parametrize("args,expect", [
+    ({"broadcast": True}, True),                          # two rows: under the default byte limit
+    ({"broadcast": 1}, False),                            # row cap below the row count
+    ({"broadcast": True, "broadcast_bytes": 100}, False),  # two rows x 72 bytes > 100
+])
+def test_join_broadcasts_only_under_its_size_check(spark, dfs, args, expect):
+    out = apply_steps(spark, dfs, {"t": [{"op": "join", "args": {"other": "u", "on": "k", "how": "left", **args}}]})
+    hinted = "broadcast" in out["t"]._jdf.queryExecution().analyzed().toString().lower()
+    assert hinted == expect
+    assert rows(out["t"]) == [(1, "a", None, "one"), (2, "b", 2.0, None), (2, "b", 2.0, None)]
+
+
+def test_fits_broadcast_counts_past_the_bound_only(spark):
+    from quarry.operators.sizing import fits_broadcast, row_width
+
+    df = spark.range(1000)
+    assert row_width(df.schema) == 8
+    assert fits_broadcast(df, 8 * 1000) and not fits_broadcast(df, 8 * 999)
+    assert not fits_broadcast(df, 10**9, max_rows=10)
