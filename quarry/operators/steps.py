@@ -19,6 +19,7 @@ Arguments that are ``F.`` strings or ``{"expr": ...}`` become Columns.
 
 from __future__ import annotations
 
+import re
 from collections.abc import Callable
 
 from pyspark import StorageLevel
@@ -76,12 +77,31 @@ def _step_aggregate(spark, dfs, name, args, run_date):
     return dfs[name].groupBy(*keys).agg(*aggs)
 
 
+def _existence_side(other: DataFrame, on) -> DataFrame:
+    """The other side of a semi / anti join, where only existence matters:
+    reduced to distinct join values, de-duplicated map-side, so a hot key
+    there shrinks to one row per partition before the shuffle. With column
+    names it is projected to them; with a condition it is de-duplicated
+    only when the condition mentions all of its columns (project it with
+    a ``select`` step first), since a wide row rarely repeats."""
+    if isinstance(on, str) and not on.startswith("F."):
+        on = [on]
+    if isinstance(on, (list, tuple)) and all(isinstance(c, str) for c in on):
+        return other.select(*on).distinct()
+    words = {w.lower() for w in re.findall(r"[A-Za-z_][A-Za-z0-9_]*", str(on))}
+    if all(c.lower() in words for c in other.columns):
+        return other.distinct()
+    return other
+
+
 def _step_join(spark, dfs, name, args, run_date):
     other = dfs[args["other"]]
     on = args.get("on")  # column name(s), an F. expression or {"expr": ...}
     if isinstance(on, dict) or (isinstance(on, str) and on.startswith("F.")):
         on = as_column(on)
     how = args.get("how", "inner")
+    if how.replace("_", "").lower() in ("semi", "leftsemi", "anti", "leftanti"):
+        other = _existence_side(other, on)
     limit = args.get("broadcast")
     if limit:
         # Broadcast only after sizing the other side: ``true`` checks the

@@ -805,7 +805,8 @@ def q_step_join_semi(spark, sf_dir):
     """Join table step (semi): parts with a large returned line."""
     dfs = {"part": table(spark, sf_dir, "part"), "lineitem": table(spark, sf_dir, "lineitem")}
     steps = {
-        "lineitem": [{"op": "where", "args": {"condition": "l_returnflag = 'R' AND l_quantity >= 49"}}],
+        "lineitem": [{"op": "where", "args": {"condition": "l_returnflag = 'R' AND l_quantity >= 49"}},
+                     {"op": "select", "args": {"cols": ["l_partkey"]}}],
         "part": [{"op": "join", "args": {"other": "lineitem", "on": {"expr": "p_partkey = l_partkey"},
                                          "how": "left_semi"}}],
     }

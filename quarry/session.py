@@ -37,7 +37,40 @@ def build_session(
         builder = builder.master(master)
     for key, value in {**DEFAULT_CONF, **(conf or {})}.items():
         builder = builder.config(key, value)
-    return builder.getOrCreate()
+    spark = builder.getOrCreate()
+    _size_initial_shuffles(spark)
+    return spark
+
+
+INITIAL_PARTITIONS = "spark.sql.adaptive.coalescePartitions.initialPartitionNum"
+
+
+def cluster_cores(get) -> int:
+    """Cores the cluster can reach, from its settings (``get(key)`` returns
+    a string or None). With dynamic allocation this is the maximum, since
+    few executors may be up when the session starts."""
+    per_executor = int(get("spark.executor.cores") or 1)
+    if (get("spark.dynamicAllocation.enabled") or "").lower() == "true":
+        executors = get("spark.dynamicAllocation.maxExecutors")
+    else:
+        executors = get("spark.executor.instances")
+    return int(executors or 0) * per_executor
+
+
+def _size_initial_shuffles(spark: SparkSession) -> None:
+    """On a cluster, let AQE start every shuffle from about four
+    partitions per core and coalesce towards the advisory size, unless the
+    deployment chose a number. A fixed 200 would make 100 TB shuffles
+    spill in tasks of hundreds of GB; AQE can merge small partitions but
+    only splits skewed join partitions. Local sessions keep their own
+    setting."""
+    sc = spark.sparkContext
+    if sc.master.startswith("local") or spark.conf.get(INITIAL_PARTITIONS, None):
+        return
+    conf = sc.getConf()
+    cores = max(sc.defaultParallelism, cluster_cores(lambda k: conf.get(k, None)))
+    base = int(spark.conf.get("spark.sql.shuffle.partitions"))
+    spark.conf.set(INITIAL_PARTITIONS, str(max(base, 4 * cores)))
 
 
 def scratch_root(spark: SparkSession) -> str:

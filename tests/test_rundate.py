@@ -27,3 +27,4 @@ def test_spines_match_ranges(spark):
     dates = [r.run_date.isoformat() for r in date_spine(spark, "2024-01-01", "2024-02-01", 7).collect()]
     assert dates == date_range("2024-01-01", "2024-02-01", 7)
     assert [r.run_key for r in int_spine(spark, 1, 5).collect()] == [1, 2, 3, 4, 5]
+

@@ -111,3 +111,30 @@ def test_fits_broadcast_counts_past_the_bound_only(spark):
     assert row_width(df.schema) == 8
     assert fits_broadcast(df, 8 * 1000) and not fits_broadcast(df, 8 * 999)
     assert not fits_broadcast(df, 10**9, max_rows=10)
+
+
+@pytest.mark.parametrize("on,other_cols,deduped", [
+    ("k", ["k", "v2"], True),                              # names: projected to them, de-duplicated
+    ({"expr": "k = k2"}, ["k2"], True),                    # the condition names every column
+    ({"expr": "k = k2 AND v2 <> 'z'"}, ["k2", "v2"], True),
+    ({"expr": "k = k2"}, ["k2", "v2"], False),             # a column the condition does not use
+])
+def test_semi_and_anti_joins_reduce_a_hot_other_side(spark, on, other_cols, deduped):
+    left = spark.createDataFrame([(1,), (2,), (3,)], "k int")
+    hot = spark.createDataFrame([(1, "x")] * 200 + [(3, "y")], "k int, v2 string")
+    if isinstance(on, dict):
+        hot = hot.withColumnRenamed("k", "k2")
+    dfs = {"l": left, "h": hot.select(*other_cols)}
+    for how, want in (("left_semi", [(1,), (3,)]), ("left_anti", [(2,)])):
+        out = apply_steps(spark, dfs, {"l": [{"op": "join", "args": {"other": "h", "on": on, "how": how}}]})["l"]
+        assert rows(out) == want
+        assert ("Aggregate" in out._jdf.queryExecution().optimizedPlan().toString()) == deduped
+
+
+def test_wide_other_side_is_not_deduplicated_under_a_narrow_condition(spark):
+    left = spark.createDataFrame([(1,), (2,)], "k int")
+    wide = spark.createDataFrame([(1, "a", 1.0), (1, "b", 2.0)], "k2 int, v string, x double")
+    out = apply_steps(spark, {"l": left, "w": wide},
+                      {"l": [{"op": "join", "args": {"other": "w", "on": {"expr": "k = k2"}, "how": "left_semi"}}]})["l"]
+    assert rows(out) == [(1,)]
+    assert "Aggregate" not in out._jdf.queryExecution().optimizedPlan().toString()
