@@ -43,6 +43,7 @@ class SourceProfile:
     rows: int
     max_rows_per_key: int
     est_bytes: int
+    dup_keys: int = 0
 
 
 def _q(alias: str, name: str) -> Column:
@@ -50,27 +51,51 @@ def _q(alias: str, name: str) -> Column:
 
 
 def profile_source(source: DataFrame, keys: list[str]) -> SourceProfile:
-    """Row count and largest key group of the source, in one aggregation
-    (partial aggregation keeps a hot key cheap)."""
+    """Row count, largest key group and number of repeated keys of the
+    source, in one aggregation (partial aggregation keeps a hot key cheap)."""
     row = (
         source.groupBy(*keys)
         .agg(F.count(F.lit(1)).alias("n"))
-        .agg(F.sum("n").alias("rows"), F.max("n").alias("max_n"))
+        .agg(
+            F.sum("n").alias("rows"),
+            F.max("n").alias("max_n"),
+            F.count(F.when(F.col("n") > 1, True)).alias("dups"),
+        )
         .first()
     )
     rows = int(row["rows"] or 0)
-    return SourceProfile(rows, int(row["max_n"] or 0), rows * row_width(source.schema))
+    return SourceProfile(rows, int(row["max_n"] or 0), rows * row_width(source.schema), int(row["dups"] or 0))
 
 
 def _key_condition(keys: list[str], left: str, right: str) -> Column:
     return reduce(lambda a, b: a & b, [_q(left, k) == _q(right, k) for k in keys])
 
 
-def check_duplicate_matches(target: DataFrame, source: DataFrame, keys: list[str]) -> None:
+def check_duplicate_matches(
+    target: DataFrame,
+    source: DataFrame,
+    keys: list[str],
+    dup_keys: int | None = None,
+    broadcast_bytes: int = DEFAULT_BROADCAST_BYTES,
+) -> None:
     """Raise if a key that occurs more than once in the source matches a
-    target row. Runs only when the profile found repeated source keys."""
-    dups = source.groupBy(*keys).count().filter(F.col("count") > 1).select(*keys).alias(_S)
-    clash = dups.join(target.select(*keys).alias(_T), _key_condition(keys, _S, _T), "left_semi")
+    target row. Runs only when the profile found repeated source keys.
+
+    When the repeated keys are known to be few (``dup_keys`` from the
+    profile, sized against ``broadcast_bytes``) they are broadcast and the
+    target is only scanned. Otherwise the target keys are de-duplicated
+    map-side before the shuffle, so a hot target key cannot load one task.
+    """
+    dups = source.groupBy(*keys).count().filter(F.col("count") > 1).select(*keys)
+    key_bytes = row_width(dups.schema)
+    if dup_keys is not None and dup_keys * key_bytes <= broadcast_bytes:
+        clash = target.select(*keys).alias(_T).join(
+            F.broadcast(dups).alias(_S), _key_condition(keys, _T, _S), "left_semi"
+        )
+    else:
+        clash = dups.alias(_S).join(
+            target.select(*keys).distinct().alias(_T), _key_condition(keys, _S, _T), "left_semi"
+        )
     hit = clash.take(1)
     if hit:
         raise DuplicateSourceKeyError(
@@ -163,6 +188,6 @@ def plan_merge(
     strategy the measured source size allows."""
     prof = profile_source(source, keys)
     if prof.max_rows_per_key > 1:
-        check_duplicate_matches(target, source, keys)
+        check_duplicate_matches(target, source, keys, prof.dup_keys, broadcast_bytes)
     small = prof.est_bytes <= broadcast_bytes
     return merge_changes(target, source, keys, tracked, null_safe, broadcast_source=small)

@@ -83,3 +83,17 @@ def test_applying_the_same_source_twice_equals_once(spark, target, source):
     once = plan_merge(t, s, ["k"], ["v"])
     twice = plan_merge(once, s, ["k"], ["v"])
     assert sorted(map(tuple, once.collect())) == sorted(map(tuple, twice.collect()))
+
+
+@pytest.mark.parametrize("broadcast_bytes", [64 * 1024 * 1024, 1])  # broadcast dups / de-duplicated target keys
+def test_duplicate_check_both_strategies(spark, broadcast_bytes):
+    from quarry.operators.merge import check_duplicate_matches, profile_source
+
+    hot_target = spark.createDataFrame([(1, "a")] * 50 + [(2, "b")], SCHEMA)
+    clash = spark.createDataFrame([(1, "x"), (1, "y"), (3, "z")], SCHEMA)
+    apart = spark.createDataFrame([(3, "x"), (3, "y"), (1, "z")], SCHEMA)
+    prof = profile_source(clash, ["k"])
+    assert (prof.rows, prof.max_rows_per_key, prof.dup_keys) == (3, 2, 1)
+    with pytest.raises(DuplicateSourceKeyError):
+        check_duplicate_matches(hot_target, clash, ["k"], prof.dup_keys, broadcast_bytes)
+    check_duplicate_matches(hot_target, apart, ["k"], 1, broadcast_bytes)  # repeated key 3 matches nothing
