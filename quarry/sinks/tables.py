@@ -125,6 +125,10 @@ def register_table(
     if current is not None and not force and _same_location(current, path):
         known = set(spark.table(name).columns)
         if not columns or set(columns) <= known:
+            if partition_by:
+                # Appends and dynamic overwrites only add partitions; the
+                # catalog learns the new ones (existing ones are kept).
+                _recover_partitions(spark, name)
             spark.catalog.refreshTable(name)
             return
     if current is not None:
@@ -132,13 +136,19 @@ def register_table(
     options = " OPTIONS (mergeSchema 'true')" if merge_schema else ""
     spark.sql(f"CREATE TABLE {name} USING {fmt}{options} LOCATION '{path}'")
     if partition_by:
-        try:
-            spark.sql(f"ALTER TABLE {name} RECOVER PARTITIONS")
-        except Exception:  # catalogs that do not track partitions
-            pass
+        _recover_partitions(spark, name)
     spark.catalog.refreshTable(name)
 
 
+def _recover_partitions(spark: SparkSession, name: str) -> None:
+    """Bring the catalog's partition list up to date with the folder (a
+    listing Spark spreads over the cluster when there are many)."""
+    try:
+        spark.sql(f"ALTER TABLE {name} RECOVER PARTITIONS")
+    except Exception:  # catalogs that do not track partitions
+        pass
+
+
 class TableSink:
     """One table target; ``append`` / ``overwrite`` / ``overwrite_partition``
     / ``upsert`` are the modes a job's ``load`` section names."""
@@ -194,9 +204,12 @@ class TableSink:
             writer = writer.option("partitionOverwriteMode", overwrite_mode)
         writer.save(path)
         if self.name:
+            # A static overwrite of a partitioned table may have removed
+            # partitions: register it afresh so the catalog drops them.
+            replaced = overwrite_mode == "static" and bool(self.partition_by)
             register_table(
                 self.spark, self.name, self.fmt, path, self.partition_by,
-                force=bool(self.config.get("first")),
+                force=bool(self.config.get("first")) or replaced,
                 merge_schema=bool(self.config.get("merge_schema")),
                 columns=df.columns,
             )

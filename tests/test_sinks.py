@@ -115,3 +115,23 @@ def test_partition_scoped_upsert_touches_only_source_partitions(spark, workdir):
     write_output(spark, spark.createDataFrame([(2, 2021, "z"), (4, 2021, "d"), (5, None, "m")], schema), up)
     assert sorted(rows(spark.table("db_pu.t")), key=repr) == sorted(
         [(1, "a", 2020), (2, "z", 2021), (4, "d", 2021), (3, "n", None), (5, "m", None)], key=repr)
+
+
+def test_catalog_sees_partitions_each_write_adds_or_removes(spark, workdir):
+    # Partitions new to a registered table must be visible through the
+    # catalog after append, partition overwrite and upsert; a full
+    # overwrite must drop the partitions it deleted.
+    schema = "k int, v string, y int"
+    cfg = sink(workdir, "np", "append", partition_by=["y"], first=True)
+    write_output(spark, spark.createDataFrame([(1, "a", 2020)], schema), cfg)
+    cfg = {**cfg, "first": False}
+    write_output(spark, spark.createDataFrame([(2, "b", 2021)], schema), cfg)
+    assert rows(spark.table("db_np.t")) == [(1, "a", 2020), (2, "b", 2021)]
+    write_output(spark, spark.createDataFrame([(3, "c", 2022)], schema), {**cfg, "mode": "overwrite_partition"})
+    assert rows(spark.table("db_np.t")) == [(1, "a", 2020), (2, "b", 2021), (3, "c", 2022)]
+    up = {**cfg, "mode": "upsert", "primary_key": ["k", "y"], "change_tracking_column": ["v"]}
+    write_output(spark, spark.createDataFrame([(3, "d", 2022), (4, "e", 2023)], schema), up)
+    assert rows(spark.table("db_np.t")) == [(1, "a", 2020), (2, "b", 2021), (3, "d", 2022), (4, "e", 2023)]
+    write_output(spark, spark.createDataFrame([(5, "f", 2024)], schema), {**cfg, "mode": "overwrite"})
+    assert rows(spark.table("db_np.t")) == [(5, "f", 2024)]
+    assert [r[0] for r in spark.sql("SHOW PARTITIONS db_np.t").collect()] == ["y=2024"]
