@@ -2,6 +2,7 @@
 the registered queries."""
 
 from quarry.plans.job import (  # noqa: F401
+    PyTransform,
     TRANSFORMS,
     read_sql_text,
     run,

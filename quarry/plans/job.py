@@ -57,13 +57,34 @@ def transform_function(*names: str, outputs: tuple[str, ...] = (), range_form: C
     return wrap
 
 
+class PyTransform:
+    """Class form of a Python transform, for jobs written against the
+    ``(spark, config, dfs, run_data_date)`` constructor + ``transform()``
+    contract: subclass, implement ``transform`` returning a dict of
+    DataFrames, and name the class by dotted path in the job."""
+
+    def __init__(self, spark: SparkSession, config, dfs: dict, run_data_date):
+        self.spark = spark
+        self.config = config
+        self.dfs = dfs
+        self.run_data_date = run_data_date
+
+    def transform(self) -> dict:
+        raise NotImplementedError
+
+
 def _resolve_python_transform(name: str) -> Transform:
     if name in TRANSFORMS:
         return TRANSFORMS[name]
     module, _, attr = name.rpartition(".")
     if not module:
         raise ValueError(f"unknown Python transform {name!r}")
-    return getattr(importlib.import_module(module), attr)
+    target = getattr(importlib.import_module(module), attr)
+    if isinstance(target, type):
+        # A transform class: built per run with the job's transformation
+        # name as its config, then asked for its outputs.
+        return lambda spark, dfs, run_date: target(spark, name, dfs, run_date).transform()
+    return target
 
 
 def read_sql_text(ref: str) -> str:

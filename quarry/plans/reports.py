@@ -17,7 +17,7 @@ from pyspark.sql import functions as F
 from quarry.functions.rundate import _as_date, _check_step, date_range, run_date_literal
 from quarry.operators.sizing import DEFAULT_BROADCAST_BYTES, row_width
 from quarry.operators.topk import top_k, top_k_per_group
-from quarry.plans.job import sql_transform, transform_function
+from quarry.plans.job import PyTransform, sql_transform, transform_function
 
 # Order status codes and the words the silver table uses (fixed values).
 STATUS_WORDS = {"F": "Completed", "O": "Open", "P": "Pending"}
@@ -79,6 +79,14 @@ def top_user_transform(spark: SparkSession, dfs: dict, run_date) -> dict:
     return {"top_user": top_users(dfs["customers"], dfs["orders"], run_date)}
 
 
+class TopUserTransform(PyTransform):
+    """The top-user report in class form (``PyTransformer`` with
+    ``"transformation": "quarry.plans.reports.TopUserTransform"``)."""
+
+    def transform(self) -> dict:
+        return {"top_user": top_users(self.dfs["customers"], self.dfs["orders"], self.run_data_date)}
+
+
 @transform_function("silver_orders", outputs=("orders",))
 def silver_orders_transform(spark: SparkSession, dfs: dict, run_date) -> dict:
     """bronze orders + line items -> silver orders."""

@@ -115,3 +115,23 @@ def test_merge_keeps_target_types(spark):
     out = merge_changes(t, s, ["k"], ["v"])
     assert [f.dataType.simpleString() for f in out.schema.fields] == ["bigint", "bigint"]
     assert sorted(map(tuple, out.collect())) == [(1, 11), (2, 5)]
+
+
+def test_class_form_python_transform_matches_the_function_form(spark, workdir):
+    from quarry.plans.catalogue import table
+
+    reports.silver_orders(table(spark, SF, "orders"), table(spark, SF, "lineitem")).createOrReplaceTempView("silver_c")
+    reports.customers_view(table(spark, SF, "customer")).createOrReplaceTempView("customers_c")
+    outputs = {}
+    for form in ("top_user", "quarry.plans.reports.TopUserTransform"):
+        conf = {
+            "run_mode": {"name": "default"},
+            "extract": {"customers": {"reader": "TableReader", "table": "customers_c"},
+                        "orders": {"reader": "TableReader", "table": "silver_c"}},
+            "transform": {"transformer": "PyTransformer", "transformation": form},
+            "load": {"top_user": {"writer": "ParquetWriter", "mode": "overwrite",
+                                  "path": f"{workdir}/{form.replace('.', '_')}"}},
+        }
+        outputs[form] = sorted(tuple(r) for r in run_job(spark, conf, "1998-06-01")["top_user"].collect())
+    assert len(outputs["top_user"]) == 10
+    assert outputs["top_user"] == outputs["quarry.plans.reports.TopUserTransform"]
