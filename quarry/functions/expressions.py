@@ -105,6 +105,17 @@ def as_column(value) -> Column:
 _QUOTED = re.compile(r"'(\$\{run_date\}|\{\$run_date\})'")
 _BARE = re.compile(r"\$\{run_date\}|\{\$run_date\}")
 _EMBEDDED = re.compile(r"[A-Za-z0-9_]\$\{run_date\}|\$\{run_date\}[A-Za-z0-9_]")
+_LITERAL = re.compile(r"'(?:[^'\\]|\\.|'')*'")
+_TYPED = re.compile(r"\b(DATE|TIMESTAMP_NTZ|TIMESTAMP_LTZ|TIMESTAMP)\s*'(?:\$\{run_date\}|\{\$run_date\})'", re.IGNORECASE)
+_PLACEHOLDERS = ("${run_date}", "{$run_date}")
+
+
+def _fill_literal(literal: str, run_date) -> str:
+    if literal[1:-1] in _PLACEHOLDERS:  # the whole literal: bound as a parameter
+        return literal
+    for p in _PLACEHOLDERS:
+        literal = literal.replace(p, str(run_date))
+    return literal
 
 
 def bind_run_date(sql_text: str, run_date) -> tuple[str, dict]:
@@ -118,6 +129,11 @@ def bind_run_date(sql_text: str, run_date) -> tuple[str, dict]:
         return sql_text, {}
     if _EMBEDDED.search(sql_text):
         sql_text = sql_text.replace("${run_date}", str(run_date))
+    # Inside a longer string literal ('${run_date} 12:00', '%${run_date}%')
+    # the date is part of the text: substitute it there.
+    sql_text = _LITERAL.sub(lambda m: _fill_literal(m.group(0), run_date), sql_text)
+    # A typed literal (DATE '${run_date}') becomes a cast of the parameter.
+    sql_text = _TYPED.sub(lambda m: f"CAST(:run_date AS {m.group(1)})", sql_text)
     text = _QUOTED.sub(":run_date", sql_text)
     text = _BARE.sub(":run_date", text)
     if re.search(r":run_date\b", text):

@@ -49,3 +49,15 @@ def test_substitute_for_source_sql():
     assert substitute_run_date("(select * from t where d = '${run_date}') q", "2024-01-02") == (
         "(select * from t where d = '2024-01-02') q"
     )
+
+
+def test_placeholders_in_typed_and_longer_literals(spark):
+    text, args = bind_run_date("SELECT DATE '${run_date}' AS d, TIMESTAMP_NTZ '{$run_date}' AS t", "2024-01-02")
+    assert text == "SELECT CAST(:run_date AS DATE) AS d, CAST(:run_date AS TIMESTAMP_NTZ) AS t"
+    row = spark.sql(text, args=args).first()
+    assert str(row.d) == "2024-01-02" and str(row.t) == "2024-01-02 00:00:00"
+    # part of a longer literal: substituted as text, never turned into a parameter
+    text, args = bind_run_date("SELECT '${run_date} 12:00' AS s, 'x' LIKE '%{$run_date}%' AS m", "2024-01-02")
+    assert text == "SELECT '2024-01-02 12:00' AS s, 'x' LIKE '%2024-01-02%' AS m" and args == {}
+    text, args = bind_run_date("SELECT 'it''s ${run_date}' AS s, c >= '${run_date}'", "2024-01-02")
+    assert text == "SELECT 'it''s 2024-01-02' AS s, c >= :run_date" and args == {"run_date": "2024-01-02"}
