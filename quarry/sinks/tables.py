@@ -5,7 +5,10 @@ Config keys: ``table_name`` (``table``, ``db.table`` or
 ``path`` (default ``<warehouse>/<db>/<table>``), ``partition_by``,
 ``format`` (default per writer; ``parquet`` when the writer's table
 format is not installed), ``first`` (re-register the table),
-``merge_schema`` (read back with Parquet schema merging), and for upsert
+``merge_schema`` (read back with Parquet schema merging), ``rebalance``
+(default true: partitioned writes are laid out per partition value, see
+``rebalanced``; set false when every write holds one partition value,
+such as one run date per backfill run), and for upsert
 ``primary_key``, ``change_tracking_column``, ``null_safe``.
 
 File tables (Parquet, ORC, ...) are written with Spark's commit protocol,
@@ -149,6 +152,15 @@ def _recover_partitions(spark: SparkSession, name: str) -> None:
         pass
 
 
+def rebalanced(df: DataFrame, partition_by: list[str]) -> DataFrame:
+    """Lay out a partitioned write: rows of one partition value are
+    brought together, so each value gets a few files instead of one per
+    task. AQE then splits a hot value into several advisory-sized
+    partitions and merges small ones, so neither small files nor one
+    oversized task result."""
+    return df.hint("rebalance", *partition_by) if partition_by else df
+
+
 class TableSink:
     """One table target; ``append`` / ``overwrite`` / ``overwrite_partition``
     / ``upsert`` are the modes a job's ``load`` section names."""
@@ -184,6 +196,11 @@ class TableSink:
         warehouse = self.spark.conf.get("spark.sql.warehouse.dir").rstrip("/")
         return f"{warehouse}/{self.db or 'default'}/{self.table}"
 
+    def _layout(self, df: DataFrame) -> DataFrame:
+        if self.config.get("rebalance", True):
+            return rebalanced(df, self.partition_by)
+        return df
+
     def _new_version(self, base: str) -> str:
         return f"{base.rstrip('/')}/_versions/{int(time.time() * 1000)}-{uuid.uuid4().hex[:8]}"
 
@@ -197,7 +214,7 @@ class TableSink:
                 raise ValueError(f"cannot overwrite {path}: the data is read from it (give a table_name)")
             path = self._new_version(path.split("/_versions/")[0])
             mode = "errorifexists"
-        writer = df.write.format(self.fmt).mode(mode)
+        writer = self._layout(df).write.format(self.fmt).mode(mode)
         if self.partition_by:
             writer = writer.partitionBy(*self.partition_by)
         if overwrite_mode:
@@ -274,7 +291,7 @@ class TableSink:
                 broadcast_bytes=int(self.config.get("broadcast_bytes", DEFAULT_BROADCAST_BYTES)),
             )
             version = self._new_version(base)
-            writer = merged.write.format(self.fmt).mode("errorifexists")
+            writer = self._layout(merged).write.format(self.fmt).mode("errorifexists")
             if self.partition_by:
                 writer = writer.partitionBy(*self.partition_by)
             writer.save(version)
@@ -308,7 +325,7 @@ class TableSink:
                 broadcast_bytes=int(self.config.get("broadcast_bytes", DEFAULT_BROADCAST_BYTES)),
             )
             (
-                merged.write.format(self.fmt)
+                self._layout(merged).write.format(self.fmt)
                 .mode("overwrite")
                 .option("partitionOverwriteMode", "dynamic")
                 .partitionBy(*parts)

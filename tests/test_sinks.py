@@ -135,3 +135,15 @@ def test_catalog_sees_partitions_each_write_adds_or_removes(spark, workdir):
     write_output(spark, spark.createDataFrame([(5, "f", 2024)], schema), {**cfg, "mode": "overwrite"})
     assert rows(spark.table("db_np.t")) == [(5, "f", 2024)]
     assert [r[0] for r in spark.sql("SHOW PARTITIONS db_np.t").collect()] == ["y=2024"]
+
+
+def test_partitioned_writes_are_rebalanced_per_value(spark, workdir):
+    import os
+
+    df = spark.range(0, 4000, numPartitions=8).selectExpr("id AS k", "CAST(id % 4 AS INT) AS y")
+    for rebalance, most in ((True, 2), (False, 8)):
+        cfg = sink(workdir, f"rb{int(rebalance)}", "overwrite", partition_by=["y"], first=True, rebalance=rebalance)
+        write_output(spark, df, cfg)
+        per_value = [len([f for f in os.listdir(f"{cfg['path']}/y={v}") if f.endswith(".parquet")]) for v in range(4)]
+        assert max(per_value) <= most and (rebalance or max(per_value) == 8)
+        assert spark.table(f"db_rb{int(rebalance)}.t").count() == 4000
