@@ -43,6 +43,7 @@ def build_session(
 
 
 INITIAL_PARTITIONS = "spark.sql.adaptive.coalescePartitions.initialPartitionNum"
+PARALLELISM_FIRST = "spark.sql.adaptive.coalescePartitions.parallelismFirst"
 
 
 def cluster_cores(get) -> int:
@@ -60,14 +61,20 @@ def cluster_cores(get) -> int:
 def _size_initial_shuffles(spark: SparkSession) -> None:
     """On a cluster, let AQE start every shuffle from about four
     partitions per core and coalesce towards the advisory size, unless the
-    deployment chose a number. A fixed 200 would make 100 TB shuffles
+    deployment chose otherwise. A fixed 200 would make 100 TB shuffles
     spill in tasks of hundreds of GB; AQE can merge small partitions but
-    only splits skewed join partitions. Local sessions keep their own
+    splits only skewed join and rebalance partitions. Local sessions keep their own
     setting."""
     sc = spark.sparkContext
-    if sc.master.startswith("local") or spark.conf.get(INITIAL_PARTITIONS, None):
+    if sc.master.startswith("local"):
         return
     conf = sc.getConf()
+    if not conf.get(PARALLELISM_FIRST, None):
+        # Coalesce towards the advisory size rather than keeping as many
+        # (possibly tiny) partitions as there are cores.
+        spark.conf.set(PARALLELISM_FIRST, "false")
+    if spark.conf.get(INITIAL_PARTITIONS, None):
+        return
     cores = max(sc.defaultParallelism, cluster_cores(lambda k: conf.get(k, None)))
     base = int(spark.conf.get("spark.sql.shuffle.partitions"))
     spark.conf.set(INITIAL_PARTITIONS, str(max(base, 4 * cores)))
