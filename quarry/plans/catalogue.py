@@ -366,6 +366,21 @@ def q_upsert_null_safe(spark, sf_dir):
     return _upsert(spark, sf_dir, True, "upsert_null_safe")
 
 
+@query("upsert_bucketed", _upsert_oracle("t.o_orderstatus <> s.o_orderstatus"))
+def q_upsert_bucketed(spark, sf_dir):
+    """K8 on a table bucketed by its key: the target is read bucket by
+    bucket and never shuffled; only the source is. ``broadcast_bytes`` 0
+    takes the shuffle-join path that sources too large to broadcast take."""
+    work = new_work_dir(spark, "upsert_bucketed")
+    buckets = {"columns": ["o_orderkey"], "buckets": 8}
+    snapshot = _before_run_date(table(spark, sf_dir, "orders")).select(*_ORDER_COLS)
+    write_output(spark, snapshot, _sink(work, "orders_bucketed", "overwrite", bucket_by=buckets))
+    upsert = _sink(work, "orders_bucketed", "upsert", primary_key=["o_orderkey"],
+                   change_tracking_column=["o_orderstatus"], bucket_by=buckets, broadcast_bytes=0)
+    write_output(spark, recomputed_orders(spark, sf_dir), upsert)
+    return spark.table("bronze.orders_bucketed")
+
+
 @query(
     "upsert_partitioned",
     f"""

@@ -8,7 +8,8 @@ format is not installed), ``first`` (re-register the table),
 ``merge_schema`` (read back with Parquet schema merging), ``rebalance``
 (default true: partitioned writes are laid out per partition value, see
 ``rebalanced``; set false when every write holds one partition value,
-such as one run date per backfill run), and for upsert
+such as one run date per backfill run), ``bucket_by`` (``{"columns": [...],
+"buckets": n}``: a bucketed table, see ``TableSink`` below), and for upsert
 ``primary_key``, ``change_tracking_column``, ``null_safe``.
 
 File tables (Parquet, ORC, ...) are written with Spark's commit protocol,
@@ -163,7 +164,18 @@ def rebalanced(df: DataFrame, partition_by: list[str]) -> DataFrame:
 
 class TableSink:
     """One table target; ``append`` / ``overwrite`` / ``overwrite_partition``
-    / ``upsert`` are the modes a job's ``load`` section names."""
+    / ``upsert`` are the modes a job's ``load`` section names.
+
+    Bucketed tables (``bucket_by``) keep their rows hashed into a fixed
+    number of buckets by key. An upsert keyed on the bucket columns then
+    reads the target bucket by bucket and shuffles only the source, and
+    the merged rows come out already in bucket order for the write: the
+    target, the large side, is never shuffled. Spark writes bucketed files
+    only through the catalog, so every overwrite or upsert writes a new
+    version as an external table and renames it over the old entry;
+    appends insert into the table. Partition overwrite is not offered for
+    them (through the catalog its mode would follow the session setting).
+    """
 
     def __init__(self, spark: SparkSession, config: dict, run_date=None, writer: str | None = None):
         self.spark = spark
@@ -196,6 +208,62 @@ class TableSink:
         warehouse = self.spark.conf.get("spark.sql.warehouse.dir").rstrip("/")
         return f"{warehouse}/{self.db or 'default'}/{self.table}"
 
+    def _bucket_spec(self) -> tuple[int, list[str]] | None:
+        spec = self.config.get("bucket_by")
+        if not spec:
+            return None
+        return int(spec["buckets"]), list(spec["columns"])
+
+    def _base_path(self) -> str:
+        if self.config.get("path"):
+            return self.config["path"]
+        return self.path().split("/_versions/")[0]
+
+    def _save_bucketed_version(self, df: DataFrame) -> str:
+        """Write ``df`` as a new version of the bucketed table and point
+        the table's name at it (the old version's files stay in place)."""
+        n, cols = self._bucket_spec()
+        self._ensure_database()
+        version = self._new_version(self._base_path())
+        stage = qualified(self.db, f"{self.table}__{uuid.uuid4().hex[:12]}")
+        writer = (
+            df.write.format(self.fmt).mode("errorifexists")
+            .bucketBy(n, *cols).sortBy(*cols).option("path", version)
+        )
+        if self.partition_by:
+            writer = writer.partitionBy(*self.partition_by)
+        writer.saveAsTable(stage)
+        self.spark.sql(f"DROP TABLE IF EXISTS {self.name}")  # external: files are kept
+        self.spark.sql(f"ALTER TABLE {stage} RENAME TO {self.name}")
+        self.spark.catalog.refreshTable(self.name)
+        return version
+
+    def _bucketed(self, mode: str, df: DataFrame) -> None:
+        if not self.name:
+            raise ValueError("a bucketed table needs 'table_name'")
+        if mode == "overwrite_partition":
+            raise ValueError("bucketed tables take append, overwrite or upsert, not overwrite_partition")
+        exists = self.spark.catalog.tableExists(self.name)
+        if mode == "append" and exists:
+            cols = self.spark.table(self.name).columns
+            df.select(*cols).write.insertInto(self.name)
+            return
+        if mode == "upsert":
+            keys = list(self.config["primary_key"])
+            target = self.spark.table(self.name) if exists else self.spark.createDataFrame([], df.schema)
+            source = df.persist(StorageLevel.MEMORY_AND_DISK)
+            try:
+                merged = plan_merge(
+                    target, source, keys, list(self.config.get("change_tracking_column") or []),
+                    bool(self.config.get("null_safe", False)),
+                    broadcast_bytes=int(self.config.get("broadcast_bytes", DEFAULT_BROADCAST_BYTES)),
+                )
+                self._save_bucketed_version(merged)
+            finally:
+                source.unpersist()
+            return
+        self._save_bucketed_version(df)  # overwrite, or the first append
+
     def _layout(self, df: DataFrame) -> DataFrame:
         if self.config.get("rebalance", True):
             return rebalanced(df, self.partition_by)
@@ -243,19 +311,25 @@ class TableSink:
 
     # -- modes -----------------------------------------------------------
     def append(self, df: DataFrame) -> None:
-        if self.fmt in CATALOG_WRITE_FORMATS:
+        if self._bucket_spec() and self.fmt not in V2_FORMATS:
+            self._bucketed("append", df)
+        elif self.fmt in CATALOG_WRITE_FORMATS:
             self._v2_writer(df).append()
         else:
             self._write_files(df, "append")
 
     def overwrite(self, df: DataFrame) -> None:
-        if self.fmt in CATALOG_WRITE_FORMATS:
+        if self._bucket_spec() and self.fmt not in V2_FORMATS:
+            self._bucketed("overwrite", df)
+        elif self.fmt in CATALOG_WRITE_FORMATS:
             self._v2_writer(df).overwrite(F.lit(True))
         else:
             self._write_files(df, "overwrite", "static")
 
     def overwrite_partition(self, df: DataFrame) -> None:
-        if self.fmt in CATALOG_WRITE_FORMATS:
+        if self._bucket_spec() and self.fmt not in V2_FORMATS:
+            self._bucketed("overwrite_partition", df)
+        elif self.fmt in CATALOG_WRITE_FORMATS:
             self._v2_writer(df).overwritePartitions()
         else:
             self._write_files(df, "overwrite", "dynamic")
@@ -269,6 +343,9 @@ class TableSink:
         if self.fmt in V2_FORMATS:
             self._merge_v2(df, keys, tracked, null_safe)
             return
+        if self._bucket_spec():
+            self._bucketed("upsert", df)
+            return
         self._ensure_database()
         current = table_location(self.spark, self.name)
         scope = self.config.get("upsert_scope", "partitions")

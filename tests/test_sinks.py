@@ -147,3 +147,42 @@ def test_partitioned_writes_are_rebalanced_per_value(spark, workdir):
         per_value = [len([f for f in os.listdir(f"{cfg['path']}/y={v}") if f.endswith(".parquet")]) for v in range(4)]
         assert max(per_value) <= most and (rebalance or max(per_value) == 8)
         assert spark.table(f"db_rb{int(rebalance)}.t").count() == 4000
+
+
+def test_bucketed_table_append_overwrite_upsert(spark, workdir):
+    schema = "k int, v string"
+    cfg = sink(workdir, "bk", "overwrite", bucket_by={"columns": ["k"], "buckets": 4})
+    write_output(spark, spark.createDataFrame([(1, "a"), (2, "b")], schema), cfg)
+    write_output(spark, spark.createDataFrame([(3, "c")], schema), {**cfg, "mode": "append"})
+    assert rows(spark.table("db_bk.t")) == [(1, "a"), (2, "b"), (3, "c")]
+    up = {**cfg, "mode": "upsert", "primary_key": ["k"], "change_tracking_column": ["v"], "broadcast_bytes": 0}
+    write_output(spark, spark.createDataFrame([(2, "B"), (4, "d")], schema), up)
+    assert rows(spark.table("db_bk.t")) == [(1, "a"), (2, "B"), (3, "c"), (4, "d")]
+    meta = {r.col_name: r.data_type for r in spark.sql("DESCRIBE TABLE EXTENDED db_bk.t").collect()}
+    assert meta["Num Buckets"] == "4" and "/_versions/" in meta["Location"]
+    write_output(spark, spark.createDataFrame([(9, "z")], schema), cfg)  # overwrite reading nothing of the table
+    assert rows(spark.table("db_bk.t")) == [(9, "z")]
+    with pytest.raises(ValueError):
+        write_output(spark, spark.createDataFrame([(9, "z")], schema), {**cfg, "mode": "overwrite_partition"})
+
+
+def test_bucketed_upsert_never_shuffles_the_target(spark, workdir):
+    from quarry.operators.merge import merge_changes
+
+    o = spark.read.parquet("/root/testdata/sf0.01/orders.parquet").select("o_orderkey", "o_orderstatus")
+    cfg = sink(workdir, "bkp", "overwrite", bucket_by={"columns": ["o_orderkey"], "buckets": 8})
+    write_output(spark, o, cfg)
+    source = o.filter("o_orderstatus = 'O'").selectExpr("o_orderkey", "'X' AS o_orderstatus")
+    old = spark.conf.get("spark.sql.autoBroadcastJoinThreshold")
+    spark.conf.set("spark.sql.autoBroadcastJoinThreshold", "-1")
+    try:
+        merged = merge_changes(spark.table("db_bkp.t"), source, ["o_orderkey"], ["o_orderstatus"])
+        text = merged._jdf.queryExecution().executedPlan().toString()
+    finally:
+        spark.conf.set("spark.sql.autoBroadcastJoinThreshold", old)
+    assert text.count("Bucketed: true") == 2
+    # the only shuffles are of the source (once per branch)
+    assert text.count("Exchange hashpartitioning") == 2
+    for block in text.split("Exchange hashpartitioning")[1:]:
+        scan = block[block.index("FileScan"):].split("\n")[0]
+        assert "orders.parquet" in scan
