@@ -28,11 +28,11 @@ import logging
 import time
 import uuid
 
-from pyspark import StorageLevel
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from quarry.operators.merge import DEFAULT_BROADCAST_BYTES, plan_merge
+from quarry.session import scratch_root
 
 log = logging.getLogger(__name__)
 
@@ -251,19 +251,25 @@ class TableSink:
         if mode == "upsert":
             keys = list(self.config["primary_key"])
             target = self.spark.table(self.name) if exists else self.spark.createDataFrame([], df.schema)
-            source = df.persist(StorageLevel.MEMORY_AND_DISK)
-            try:
-                merged = plan_merge(
-                    target, source, keys, list(self.config.get("change_tracking_column") or []),
-                    bool(self.config.get("null_safe", False)),
-                    broadcast_bytes=int(self.config.get("broadcast_bytes", DEFAULT_BROADCAST_BYTES)),
-                )
-                self._save_bucketed_version(merged)
-            finally:
-                source.unpersist()
+            source = self._pinned(df)
+            merged = plan_merge(
+                target, source, keys, list(self.config.get("change_tracking_column") or []),
+                bool(self.config.get("null_safe", False)),
+                broadcast_bytes=int(self.config.get("broadcast_bytes", DEFAULT_BROADCAST_BYTES)),
+            )
+            self._save_bucketed_version(merged)
             return
         self._save_bucketed_version(df)  # overwrite, or the first append
 
+    def _pinned(self, df: DataFrame) -> DataFrame:
+        """The upsert source, materialised once by a reliable checkpoint in
+        the shared folder. The profile, the update join and the insert
+        join all read the same rows, and a lost executor's part is read
+        back from the files instead of being recomputed from a source that
+        may have changed since (a database, a growing folder)."""
+        scratch_root(self.spark)
+        return df.checkpoint(eager=True)
+
     def _layout(self, df: DataFrame) -> DataFrame:
         if self.config.get("rebalance", True):
             return rebalanced(df, self.partition_by)
@@ -358,22 +364,16 @@ class TableSink:
         else:
             target = self.spark.table(self.name)
             base = self.config.get("path") or current.split("/_versions/")[0]
-        # The source is read three times (profile, updates, inserts): keep
-        # it for the duration of the write; a lost executor recomputes its
-        # part from lineage.
-        source = df.persist(StorageLevel.MEMORY_AND_DISK)
-        try:
-            merged = plan_merge(
-                target, source, keys, tracked, null_safe,
-                broadcast_bytes=int(self.config.get("broadcast_bytes", DEFAULT_BROADCAST_BYTES)),
-            )
-            version = self._new_version(base)
-            writer = self._layout(merged).write.format(self.fmt).mode("errorifexists")
-            if self.partition_by:
-                writer = writer.partitionBy(*self.partition_by)
-            writer.save(version)
-        finally:
-            source.unpersist()
+        source = self._pinned(df)
+        merged = plan_merge(
+            target, source, keys, tracked, null_safe,
+            broadcast_bytes=int(self.config.get("broadcast_bytes", DEFAULT_BROADCAST_BYTES)),
+        )
+        version = self._new_version(base)
+        writer = self._layout(merged).write.format(self.fmt).mode("errorifexists")
+        if self.partition_by:
+            writer = writer.partitionBy(*self.partition_by)
+        writer.save(version)
         register_table(self.spark, self.name, self.fmt, version, self.partition_by)
 
     def _upsert_partitions(self, df: DataFrame, location: str, keys, tracked, null_safe) -> None:
@@ -388,28 +388,25 @@ class TableSink:
         written.
         """
         parts = self.partition_by
-        source = df.persist(StorageLevel.MEMORY_AND_DISK)
-        try:
-            touched = source.select(*parts).distinct()
-            n_touched = touched.count()
-            limit = int(self.config.get("broadcast_partitions", 100_000))
-            touched_side = F.broadcast(touched) if n_touched <= limit else touched
-            target = self.spark.table(self.name)
-            on = [target[p].eqNullSafe(touched_side[p]) for p in parts]
-            target_in = target.join(touched_side, on, "left_semi")
-            merged = plan_merge(
-                target_in, source, keys, tracked, null_safe,
-                broadcast_bytes=int(self.config.get("broadcast_bytes", DEFAULT_BROADCAST_BYTES)),
-            )
-            (
-                self._layout(merged).write.format(self.fmt)
-                .mode("overwrite")
-                .option("partitionOverwriteMode", "dynamic")
-                .partitionBy(*parts)
-                .save(location)
-            )
-        finally:
-            source.unpersist()
+        source = self._pinned(df)
+        touched = source.select(*parts).distinct()
+        n_touched = touched.count()
+        limit = int(self.config.get("broadcast_partitions", 100_000))
+        touched_side = F.broadcast(touched) if n_touched <= limit else touched
+        target = self.spark.table(self.name)
+        on = [target[p].eqNullSafe(touched_side[p]) for p in parts]
+        target_in = target.join(touched_side, on, "left_semi")
+        merged = plan_merge(
+            target_in, source, keys, tracked, null_safe,
+            broadcast_bytes=int(self.config.get("broadcast_bytes", DEFAULT_BROADCAST_BYTES)),
+        )
+        (
+            self._layout(merged).write.format(self.fmt)
+            .mode("overwrite")
+            .option("partitionOverwriteMode", "dynamic")
+            .partitionBy(*parts)
+            .save(location)
+        )
         register_table(self.spark, self.name, self.fmt, location, parts)
 
     def _merge_v2(self, df: DataFrame, keys, tracked, null_safe) -> None:
