@@ -9,12 +9,12 @@ WITH completed AS (
       AND status = 'Completed'
 ),
 per_customer AS (
-    SELECT customer_id, count(1) AS order_quant
+    SELECT customer_id, count(1) AS n_orders
     FROM completed
     GROUP BY customer_id
 ),
 lowest AS (
-    SELECT customer_id FROM per_customer ORDER BY order_quant, customer_id LIMIT 10
+    SELECT customer_id FROM per_customer ORDER BY n_orders, customer_id LIMIT 10
 )
 SELECT c.*
 FROM customers c
