@@ -29,7 +29,9 @@ import time
 import uuid
 
 from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import Observation
 from pyspark.sql import functions as F
+from pyspark.sql import types as T
 
 from quarry.operators.merge import DEFAULT_BROADCAST_BYTES, plan_merge
 from quarry.session import scratch_root
@@ -117,14 +119,28 @@ def register_table(
     force: bool = False,
     merge_schema: bool = False,
     columns: list[str] | None = None,
+    written: list[dict] | None = None,
+    schema: T.StructType | None = None,
 ) -> None:
     """Point the catalog entry ``name`` at ``path``.
 
+    ``schema``: the schema of the data written. The entry is declared with
+    it, so partition columns keep their types: inferred from folder names,
+    a bigint key could come back as int and a code "007" as the number 7.
+    With ``merge_schema`` the columns of the current entry are kept and
+    new ones added.
+
+    ``written``: the partition values the last write produced, when known;
+    for a table already registered there only those are added, instead of
+    listing the whole folder.
+
     Created when missing; re-created when ``force`` (a job's ``first``),
     when it points elsewhere, or when the data written brings ``columns``
     the entry does not have. External tables: dropping the entry never
     deletes data.
     """
+    if schema is not None and columns is None:
+        columns = schema.fieldNames()
     current = table_location(spark, name)
     if current is not None and not force and _same_location(current, path):
         known = set(spark.table(name).columns)
@@ -132,18 +148,75 @@ def register_table(
             if partition_by:
                 # Appends and dynamic overwrites only add partitions; the
                 # catalog learns the new ones (existing ones are kept).
-                _recover_partitions(spark, name)
+                if not add_partitions(spark, name, partition_by, written):
+                    _recover_partitions(spark, name)
             spark.catalog.refreshTable(name)
             return
+    declared, partitioned = "", ""
+    if schema is not None:
+        fields = list(schema.fields)
+        if merge_schema and current is not None:
+            old = spark.table(name).schema
+            fields = list(old.fields) + [f for f in fields if f.name not in set(old.fieldNames())]
+        declared, partitioned = _declared_columns(fields, partition_by)
     if current is not None:
         spark.sql(f"DROP TABLE IF EXISTS {name}")
     options = " OPTIONS (mergeSchema 'true')" if merge_schema else ""
-    spark.sql(f"CREATE TABLE {name} USING {fmt}{options} LOCATION '{path}'")
+    spark.sql(f"CREATE TABLE {name}{declared} USING {fmt}{options}{partitioned} LOCATION '{path}'")
     if partition_by:
         _recover_partitions(spark, name)
     spark.catalog.refreshTable(name)
 
 
+def _declared_columns(fields: list[T.StructField], partition_by: list[str]) -> str:
+    """Column list (partition columns last, as Spark stores them) and
+    ``PARTITIONED BY`` clause of a CREATE TABLE, as two clauses."""
+    by_name = {f.name: f for f in fields}
+    ordered = [f for f in fields if f.name not in partition_by] + [by_name[p] for p in partition_by]
+    cols = " (" + ", ".join(f"`{f.name}` {f.dataType.simpleString()}" for f in ordered) + ")"
+    parts = " PARTITIONED BY (" + ", ".join(f"`{p}`" for p in partition_by) + ")" if partition_by else ""
+    return cols, parts
+
+
+# Most partition values added by name; beyond it the folder is listed.
+MAX_ADDED_PARTITIONS = 10_000
+_PLAIN_PARTITION_TYPES = (T.StringType, T.IntegerType, T.LongType, T.ShortType, T.ByteType, T.DateType,
+                          T.BooleanType)
+
+
+def _nameable(spark: SparkSession, name: str, partition_by: list[str]):
+    """Whether the table's partition columns have types whose values can
+    be named in a partition spec exactly as the writer names their
+    folders (no NULLs or timestamps, which are listed instead)."""
+    types = {f.name: f.dataType for f in spark.table(name).schema.fields}
+    return all(isinstance(types.get(c), _PLAIN_PARTITION_TYPES) for c in partition_by)
+
+
+def _spec_literal(value) -> str:
+    if isinstance(value, bool):
+        return "true" if value else "false"
+    text = str(value).replace("\\", "\\\\").replace("'", "\\'")
+    return f"'{text}'"
+
+
+def add_partitions(spark: SparkSession, name: str, partition_by: list[str], written: list[dict] | None) -> bool:
+    """Add the given partitions to the catalog (``IF NOT EXISTS``); False
+    when they cannot be named exactly, so the caller lists the folder."""
+    if written is None or len(written) > MAX_ADDED_PARTITIONS:
+        return False
+    if any(v is None for row in written for v in row.values()):
+        return False
+    if not _nameable(spark, name, partition_by):
+        return False
+    specs = [
+        "PARTITION (" + ", ".join(f"`{c}` = {_spec_literal(row[c])}" for c in partition_by) + ")"
+        for row in written
+    ]
+    for i in range(0, len(specs), 500):
+        spark.sql(f"ALTER TABLE {name} ADD IF NOT EXISTS " + " ".join(specs[i:i + 500]))
+    return True
+
+
 def _recover_partitions(spark: SparkSession, name: str) -> None:
     """Bring the catalog's partition list up to date with the folder (a
     listing Spark spreads over the cluster when there are many)."""
@@ -288,12 +361,20 @@ class TableSink:
                 raise ValueError(f"cannot overwrite {path}: the data is read from it (give a table_name)")
             path = self._new_version(path.split("/_versions/")[0])
             mode = "errorifexists"
+        seen = None
+        if self.name and self.partition_by and overwrite_mode != "static":
+            # The partition values this write produces, gathered by the
+            # write job itself (one set per task, merged on the driver;
+            # as many entries as partitions written).
+            seen = Observation(f"partitions_{uuid.uuid4().hex[:8]}")
+            df = df.observe(seen, F.collect_set(F.struct(*self.partition_by)).alias("parts"))
         writer = self._layout(df).write.format(self.fmt).mode(mode)
         if self.partition_by:
             writer = writer.partitionBy(*self.partition_by)
         if overwrite_mode:
             writer = writer.option("partitionOverwriteMode", overwrite_mode)
         writer.save(path)
+        written = [r.asDict() for r in seen.get["parts"]] if seen is not None else None
         if self.name:
             # A static overwrite of a partitioned table may have removed
             # partitions: register it afresh so the catalog drops them.
@@ -302,7 +383,8 @@ class TableSink:
                 self.spark, self.name, self.fmt, path, self.partition_by,
                 force=bool(self.config.get("first")) or replaced,
                 merge_schema=bool(self.config.get("merge_schema")),
-                columns=df.columns,
+                written=written,
+                schema=df.schema,
             )
         return path
 
@@ -374,7 +456,7 @@ class TableSink:
         if self.partition_by:
             writer = writer.partitionBy(*self.partition_by)
         writer.save(version)
-        register_table(self.spark, self.name, self.fmt, version, self.partition_by)
+        register_table(self.spark, self.name, self.fmt, version, self.partition_by, schema=merged.schema)
 
     def _upsert_partitions(self, df: DataFrame, location: str, keys, tracked, null_safe) -> None:
         """Upsert that rewrites only the partitions the source touches.
@@ -407,7 +489,8 @@ class TableSink:
             .partitionBy(*parts)
             .save(location)
         )
-        register_table(self.spark, self.name, self.fmt, location, parts)
+        known = [r.asDict() for r in touched.collect()] if n_touched <= MAX_ADDED_PARTITIONS else None
+        register_table(self.spark, self.name, self.fmt, location, parts, written=known, schema=merged.schema)
 
     def _merge_v2(self, df: DataFrame, keys, tracked, null_safe) -> None:
         if self.fmt in CATALOG_WRITE_FORMATS:

@@ -186,3 +186,30 @@ def test_bucketed_upsert_never_shuffles_the_target(spark, workdir):
     for block in text.split("Exchange hashpartitioning")[1:]:
         scan = block[block.index("FileScan"):].split("\n")[0]
         assert "orders.parquet" in scan
+
+
+@pytest.mark.parametrize("schema,first,later", [
+    ("k int, p string", [(1, "plain")], [(2, "a b"), (3, "x/y"), (4, "it's"), (5, "k=v"), (6, "50%"), (7, "é")]),
+    ("k int, p string", [(1, "007")], [(2, "08"), (3, "1e3")]),  # codes that look like numbers stay text
+    ("k int, p date", [(1, "2024-01-01")], [(2, "2024-01-02"), (3, "2024-12-31")]),
+    ("k int, p bigint", [(1, 1)], [(2, -5), (3, 10**12)]),
+])
+def test_added_partitions_are_named_like_the_folders_written(spark, workdir, schema, first, later):
+    import datetime as dt
+
+    def frame(data):
+        if "date" in schema:
+            data = [(k, dt.date.fromisoformat(p)) for k, p in data]
+        return spark.createDataFrame(data, schema)
+
+    name = f"ap{abs(hash((schema, str(first)))) % 10**6}"
+    cfg = sink(workdir, name, "append", partition_by=["p"], first=True)
+    write_output(spark, frame(first), cfg)
+    write_output(spark, frame(later), {**cfg, "first": False})
+    write_output(spark, frame(later[:1]), {**cfg, "first": False, "mode": "overwrite_partition"})
+    back = spark.table(f"db_{name}.t")
+    assert back.schema["p"].dataType == frame(first).schema["p"].dataType
+    assert sorted(r.k for r in back.collect()) == sorted([k for k, _ in first] + [k for k, _ in later])
+    if "string" in schema:
+        assert sorted(r.p for r in back.collect()) == sorted(str(p) for _, p in first + later)
+    assert len(spark.sql(f"SHOW PARTITIONS db_{name}.t").collect()) == 1 + len(later)
