@@ -3,7 +3,7 @@
 Config keys: ``url``; ``table`` (a table name or a parenthesised subquery,
 ``${run_date}`` substituted as text) or ``query`` (source-side SQL, not
 substituted); ``properties`` passed through as reader options (``user``,
-``driver``, ``fetchsize``, ...).
+``driver``, ``fetchsize`` (default 10,000 rows), ...).
 
 Parallel reads: a JDBC scan without partition options is one task for the
 whole table. Give ``partition_column`` (numeric, date or timestamp) and
@@ -18,6 +18,9 @@ from pyspark.sql import DataFrame, SparkSession
 from quarry.functions.expressions import substitute_run_date
 
 
+DEFAULT_FETCH_SIZE = 10_000
+
+
 def jdbc_options(config: dict, run_date=None) -> dict[str, str]:
     """The reader options for one JDBC source config (no I/O)."""
     table, query = config.get("table"), config.get("query")
@@ -32,6 +35,11 @@ def jdbc_options(config: dict, run_date=None) -> dict[str, str]:
         opts["query"] = query
     for key, value in (config.get("properties") or {}).items():
         opts[key] = str(value)
+    if not any(k.lower() == "fetchsize" for k in opts):
+        # Rows per round trip. Without it the Postgres driver holds a
+        # partition's whole result in executor memory and Oracle's fetches
+        # ten rows at a time.
+        opts["fetchsize"] = str(DEFAULT_FETCH_SIZE)
     if config.get("partition_column"):
         opts["partitionColumn"] = config["partition_column"]
         opts["numPartitions"] = str(config.get("num_partitions", 8))

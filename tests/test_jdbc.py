@@ -39,3 +39,9 @@ def test_bounds_are_computed_by_the_database():
                          "partition_column": "order_id"})
     assert bounds_query(opts) == (
         "SELECT MIN(order_id) AS lo, MAX(order_id) AS hi FROM (SELECT orderid AS order_id FROM t) q")
+
+
+def test_fetch_size_defaults_unless_given():
+    assert jdbc_options({"url": "jdbc:x", "table": "t"})["fetchsize"] == "10000"
+    opts = jdbc_options({"url": "jdbc:x", "table": "t", "properties": {"fetchSize": 50}})
+    assert opts["fetchSize"] == "50" and "fetchsize" not in opts
