@@ -138,3 +138,18 @@ def test_wide_other_side_is_not_deduplicated_under_a_narrow_condition(spark):
                       {"l": [{"op": "join", "args": {"other": "w", "on": {"expr": "k = k2"}, "how": "left_semi"}}]})["l"]
     assert rows(out) == [(1,)]
     assert "Aggregate" not in out._jdf.queryExecution().optimizedPlan().toString()
+
+
+def test_layout_and_watermark_steps_keep_rows(spark, dfs):
+    # Repartition / coalesce / hint change layout only; C23: a
+    # watermark on a batch frame changes nothing.
+    events = spark.createDataFrame([(1, "2024-01-01 00:00:00"), (2, "2024-01-01 00:05:00")], "k int, ts string") \
+        .selectExpr("k", "CAST(ts AS TIMESTAMP) AS ts")
+    out = apply_steps(spark, {"t": dfs["t"], "e": events}, {
+        "t": [{"op": "repartition", "args": {"numPartitions": 5}}],
+        "e": [{"op": "withWatermark", "args": {"eventTime": "ts", "delayThreshold": "10 minutes"}},
+              {"op": "coalesce", "args": {"numPartitions": 1}},
+              {"op": "hint", "args": {"name": "rebalance"}}],
+    })
+    assert out["t"].rdd.getNumPartitions() == 5 and rows(out["t"]) == rows(dfs["t"])
+    assert rows(out["e"]) == rows(events)
