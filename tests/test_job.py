@@ -135,3 +135,13 @@ def test_class_form_python_transform_matches_the_function_form(spark, workdir):
         outputs[form] = sorted(tuple(r) for r in run_job(spark, conf, "1998-06-01")["top_user"].collect())
     assert len(outputs["top_user"]) == 10
     assert outputs["top_user"] == outputs["quarry.plans.reports.TopUserTransform"]
+
+
+def test_checkpointed_source_cuts_lineage(spark, workdir):
+    from quarry.sources import extract
+
+    dfs = extract(spark, {"o": {"reader": "ParquetReader", "path": f"{SF}/orders.parquet", "checkpoint": True},
+                          "p": {"reader": "ParquetReader", "path": f"{SF}/part.parquet"}})
+    assert not any("orders.parquet" in f for f in dfs["o"].inputFiles())  # reads the checkpoint, not the source
+    assert dfs["o"].count() == spark.read.parquet(f"{SF}/orders.parquet").count()
+    assert any("part.parquet" in f for f in dfs["p"].inputFiles())
