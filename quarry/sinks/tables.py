@@ -168,7 +168,7 @@ def register_table(
     spark.catalog.refreshTable(name)
 
 
-def _declared_columns(fields: list[T.StructField], partition_by: list[str]) -> str:
+def _declared_columns(fields: list[T.StructField], partition_by: list[str]) -> tuple[str, str]:
     """Column list (partition columns last, as Spark stores them) and
     ``PARTITIONED BY`` clause of a CREATE TABLE, as two clauses."""
     by_name = {f.name: f for f in fields}
@@ -374,7 +374,12 @@ class TableSink:
         if overwrite_mode:
             writer = writer.option("partitionOverwriteMode", overwrite_mode)
         writer.save(path)
-        written = [r.asDict() for r in seen.get["parts"]] if seen is not None else None
+        written = None
+        if seen is not None:
+            try:
+                written = [r.asDict() for r in seen.get["parts"]]
+            except Exception:  # no metrics (an empty write planned away): list the folder
+                written = None
         if self.name:
             # A static overwrite of a partitioned table may have removed
             # partitions: register it afresh so the catalog drops them.

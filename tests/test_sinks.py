@@ -213,3 +213,13 @@ def test_added_partitions_are_named_like_the_folders_written(spark, workdir, sch
     if "string" in schema:
         assert sorted(r.p for r in back.collect()) == sorted(str(p) for _, p in first + later)
     assert len(spark.sql(f"SHOW PARTITIONS db_{name}.t").collect()) == 1 + len(later)
+
+
+def test_empty_writes_to_a_partitioned_table(spark, workdir):
+    schema = "k int, p string"
+    cfg = sink(workdir, "ew", "append", partition_by=["p"], first=True)
+    write_output(spark, spark.createDataFrame([(1, "a")], schema), cfg)
+    cfg = {**cfg, "first": False}
+    write_output(spark, spark.createDataFrame([], schema), cfg)
+    write_output(spark, spark.range(0).selectExpr("CAST(id AS INT) AS k", "'q' AS p"), {**cfg, "mode": "overwrite_partition"})
+    assert rows(spark.table("db_ew.t")) == [(1, "a")]
