@@ -8,8 +8,8 @@ Job configs carry expressions as text. Two spellings are accepted:
 
 The second form is evaluated by walking its syntax tree and allowing only
 calls into ``pyspark.sql.functions`` / ``pyspark.sql.types``, methods of
-the resulting values, literals and operators, so a config cannot run
-arbitrary code.
+the resulting values, Column item access (``[0]``, ``['key']``), literals
+and operators, so a config cannot run arbitrary code.
 """
 
 from __future__ import annotations
@@ -65,6 +65,12 @@ def _eval(node):
         args = [_eval(a) for a in node.args]
         kwargs = {k.arg: _eval(k.value) for k in node.keywords}
         return func(*args, **kwargs)
+    if isinstance(node, ast.Subscript):
+        # Column item access: array element, map value or struct field.
+        value = _eval(node.value)
+        if not isinstance(value, Column):
+            raise ValueError("only Columns may be indexed")
+        return value[_eval(node.slice)]
     if isinstance(node, ast.BinOp) and type(node.op) in _BINOPS:
         return _BINOPS[type(node.op)](_eval(node.left), _eval(node.right))
     if isinstance(node, ast.UnaryOp) and type(node.op) in _UNARY:

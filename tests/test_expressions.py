@@ -61,3 +61,14 @@ def test_placeholders_in_typed_and_longer_literals(spark):
     assert text == "SELECT '2024-01-02 12:00' AS s, 'x' LIKE '%2024-01-02%' AS m" and args == {}
     text, args = bind_run_date("SELECT 'it''s ${run_date}' AS s, c >= '${run_date}'", "2024-01-02")
     assert text == "SELECT 'it''s 2024-01-02' AS s, c >= :run_date" and args == {"run_date": "2024-01-02"}
+
+
+def test_column_item_access(spark):
+    df = spark.createDataFrame([("a,b", {"k": 1})], "s string, m map<string,int>")
+    first = pyspark_expression("F.split(F.col('s'), ',')[0]")
+    value = pyspark_expression("F.col('m')['k']")
+    assert tuple(df.select(first, value).first()) == ("a", 1)
+    with pytest.raises(ValueError):
+        pyspark_expression("F.__dict__['col']")
+    with pytest.raises(ValueError):
+        pyspark_expression("[F.col][0]")
