@@ -477,8 +477,14 @@ class TableSink:
         parts = self.partition_by
         source = self._pinned(df)
         touched = source.select(*parts).distinct()
-        n_touched = touched.count()
         limit = int(self.config.get("broadcast_partitions", 100_000))
+        # One bounded job: the touched values themselves when few (kept to
+        # register them), else only whether they exceed the broadcast limit.
+        few = touched.limit(MAX_ADDED_PARTITIONS + 1).collect()
+        if len(few) <= MAX_ADDED_PARTITIONS:
+            known, n_touched = [r.asDict() for r in few], len(few)
+        else:
+            known, n_touched = None, touched.limit(limit + 1).count()
         touched_side = F.broadcast(touched) if n_touched <= limit else touched
         target = self.spark.table(self.name)
         on = [target[p].eqNullSafe(touched_side[p]) for p in parts]
@@ -494,7 +500,6 @@ class TableSink:
             .partitionBy(*parts)
             .save(location)
         )
-        known = [r.asDict() for r in touched.collect()] if n_touched <= MAX_ADDED_PARTITIONS else None
         register_table(self.spark, self.name, self.fmt, location, parts, written=known, schema=merged.schema)
 
     def _merge_v2(self, df: DataFrame, keys, tracked, null_safe) -> None:
