@@ -59,3 +59,22 @@ def test_hot_customer_and_edges(spark):
     got = spark_counts(spark, rows, "2024-01-01", "2024-01-15", 1)
     assert got == brute_force(rows, "2024-01-01", "2024-01-15", 1)
     assert got[("2024-01-04", 7)] == 51 and ("2024-01-04", 8) not in got and got[("2024-01-05", 8)] == 1
+
+
+@settings(max_examples=15, deadline=None)
+@given(rows=st.lists(order, max_size=40), k=st.sampled_from([1, 2, 3]))
+def test_per_date_top_k_matches_brute_force(spark, rows, k):
+    # Few customers and small counts: ties at the k-th count and dates with
+    # fewer than k customers are common, so the thresholds are exercised.
+    start, end, step = "2024-01-03", "2024-01-20", 2
+    customers = spark.createDataFrame([(c, f"name{c}") for c in (1, 2, 3)], "id long, name string")
+    got = reports.top_users_by_date(customers, spark.createDataFrame(rows, SCHEMA), start, end, step, k=k).collect()
+    got = sorted((r["run_date"].isoformat(), r["rank"], r["id"]) for r in got)
+    want = []
+    by_date = {}
+    for (d, cust), n in brute_force(rows, start, end, step).items():
+        by_date.setdefault(d, []).append((-n, cust))
+    for d, entries in by_date.items():
+        for rank, (_, cust) in enumerate(sorted(entries)[:k], start=1):
+            want.append((d, rank, cust))
+    assert got == sorted(want)
