@@ -223,3 +223,14 @@ def test_empty_writes_to_a_partitioned_table(spark, workdir):
     write_output(spark, spark.createDataFrame([], schema), cfg)
     write_output(spark, spark.range(0).selectExpr("CAST(id AS INT) AS k", "'q' AS p"), {**cfg, "mode": "overwrite_partition"})
     assert rows(spark.table("db_ew.t")) == [(1, "a")]
+
+
+def test_bucketed_and_partitioned_table(spark, workdir):
+    schema = "k int, v string, y int"
+    cfg = sink(workdir, "bkpart", "overwrite", partition_by=["y"], bucket_by={"columns": ["k"], "buckets": 2})
+    write_output(spark, spark.createDataFrame([(1, "a", 2020), (2, "b", 2021)], schema), cfg)
+    up = {**cfg, "mode": "upsert", "primary_key": ["k", "y"], "change_tracking_column": ["v"]}
+    write_output(spark, spark.createDataFrame([(2, "B", 2021), (3, "c", 2022)], schema), up)
+    write_output(spark, spark.createDataFrame([(4, "d", 2022)], schema), {**cfg, "mode": "append"})
+    assert rows(spark.table("db_bkpart.t")) == [(1, "a", 2020), (2, "B", 2021), (3, "c", 2022), (4, "d", 2022)]
+    assert spark.table("db_bkpart.t").filter("y = 2022").count() == 2
