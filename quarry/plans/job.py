@@ -171,8 +171,6 @@ def validate_job(conf: dict) -> None:
             errors.append(f"load {name!r}: unknown mode {sink.get('mode')!r}")
         if sink.get("mode") == "upsert" and not sink.get("primary_key"):
             errors.append(f"load {name!r}: upsert needs 'primary_key'")
-        if sink.get("bucket_by") and sink.get("mode") == "overwrite_partition":
-            errors.append(f"load {name!r}: a bucketed table takes append, overwrite or upsert")
         if outputs is not None and name not in outputs:
             errors.append(f"load {name!r} is not an output of the transform ({sorted(outputs)})")
     if errors:

@@ -246,8 +246,9 @@ class TableSink:
     target, the large side, is never shuffled. Spark writes bucketed files
     only through the catalog, so every overwrite or upsert writes a new
     version as an external table and renames it over the old entry;
-    appends insert into the table. Partition overwrite is not offered for
-    them (through the catalog its mode would follow the session setting).
+    appends insert into the table, and partition overwrites insert with
+    the table's own dynamic overwrite mode (stored with it, so the
+    session's setting does not matter).
     """
 
     def __init__(self, spark: SparkSession, config: dict, run_date=None, writer: str | None = None):
@@ -304,7 +305,10 @@ class TableSink:
             .bucketBy(n, *cols).sortBy(*cols).option("path", version)
         )
         if self.partition_by:
-            writer = writer.partitionBy(*self.partition_by)
+            # Stored with the table, so partition overwrites through the
+            # catalog replace only the partitions written, whatever the
+            # session's setting.
+            writer = writer.partitionBy(*self.partition_by).option("partitionOverwriteMode", "dynamic")
         writer.saveAsTable(stage)
         self.spark.sql(f"DROP TABLE IF EXISTS {self.name}")  # external: files are kept
         self.spark.sql(f"ALTER TABLE {stage} RENAME TO {self.name}")
@@ -314,13 +318,19 @@ class TableSink:
     def _bucketed(self, mode: str, df: DataFrame) -> None:
         if not self.name:
             raise ValueError("a bucketed table needs 'table_name'")
-        if mode == "overwrite_partition":
-            raise ValueError("bucketed tables take append, overwrite or upsert, not overwrite_partition")
         exists = self.spark.catalog.tableExists(self.name)
         if mode == "append" and exists:
             cols = self.spark.table(self.name).columns
             df.select(*cols).write.insertInto(self.name)
             return
+        if mode == "overwrite_partition" and exists and self.partition_by:
+            props = self.spark.sql(f"DESCRIBE TABLE EXTENDED {self.name}").filter(
+                F.col("col_name") == "Storage Properties").select("data_type").first()
+            if not props or "partitionOverwriteMode=dynamic" not in props[0]:
+                raise ValueError(f"{self.name} was not created for partition overwrites; overwrite it once first")
+            cols = self.spark.table(self.name).columns
+            df.select(*cols).write.insertInto(self.name, overwrite=True)
+            return
         if mode == "upsert":
             keys = list(self.config["primary_key"])
             target = self.spark.table(self.name) if exists else self.spark.createDataFrame([], df.schema)
@@ -332,7 +342,9 @@ class TableSink:
             )
             self._save_bucketed_version(merged)
             return
-        self._save_bucketed_version(df)  # overwrite, or the first append
+        # overwrite; the first append; a partition overwrite of a new or
+        # unpartitioned table (which replaces all of it)
+        self._save_bucketed_version(df)
 
     def _pinned(self, df: DataFrame) -> DataFrame:
         """The upsert source, materialised once by a reliable checkpoint in

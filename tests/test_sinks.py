@@ -162,8 +162,8 @@ def test_bucketed_table_append_overwrite_upsert(spark, workdir):
     assert meta["Num Buckets"] == "4" and "/_versions/" in meta["Location"]
     write_output(spark, spark.createDataFrame([(9, "z")], schema), cfg)  # overwrite reading nothing of the table
     assert rows(spark.table("db_bk.t")) == [(9, "z")]
-    with pytest.raises(ValueError):
-        write_output(spark, spark.createDataFrame([(9, "z")], schema), {**cfg, "mode": "overwrite_partition"})
+    write_output(spark, spark.createDataFrame([(8, "y")], schema), {**cfg, "mode": "overwrite_partition"})
+    assert rows(spark.table("db_bk.t")) == [(8, "y")]  # unpartitioned: the whole table
 
 
 def test_bucketed_upsert_never_shuffles_the_target(spark, workdir):
@@ -234,3 +234,8 @@ def test_bucketed_and_partitioned_table(spark, workdir):
     write_output(spark, spark.createDataFrame([(4, "d", 2022)], schema), {**cfg, "mode": "append"})
     assert rows(spark.table("db_bkpart.t")) == [(1, "a", 2020), (2, "B", 2021), (3, "c", 2022), (4, "d", 2022)]
     assert spark.table("db_bkpart.t").filter("y = 2022").count() == 2
+    spark.conf.set("spark.sql.sources.partitionOverwriteMode", "static")
+    write_output(spark, spark.createDataFrame([(5, "e", 2021)], schema), {**cfg, "mode": "overwrite_partition"})
+    assert rows(spark.table("db_bkpart.t")) == [(1, "a", 2020), (3, "c", 2022), (4, "d", 2022), (5, "e", 2021)]
+    meta = {r.col_name: r.data_type for r in spark.sql("DESCRIBE TABLE EXTENDED db_bkpart.t").collect()}
+    assert meta["Num Buckets"] == "2"
