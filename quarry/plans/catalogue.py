@@ -268,8 +268,10 @@ def q_backfill_set_job(spark, sf_dir):
         "extract": {"orders": {"reader": "TableReader", "table": "silver_orders"}},
         "transform": {"transformer": "PyTransformer", "transformation": "daily_order_counts"},
         "load": {
+            # the loop's sink config; the set-based run rebalances anyway
             "daily_order_counts": {"writer": "ParquetWriter", "mode": "overwrite_partition",
-                                   "path": f"{work}/daily_order_counts", "partition_by": ["run_date"]}
+                                   "path": f"{work}/daily_order_counts", "partition_by": ["run_date"],
+                                   "rebalance": False}
         },
     }
     run(spark, conf)

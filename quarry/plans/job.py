@@ -227,6 +227,10 @@ def run_range(spark: SparkSession, conf: dict) -> dict[str, DataFrame]:
     if missing:
         raise ValueError(f"transform produced no output named {missing}")
     for name, sink in conf.get("load", {}).items():
+        if sink.get("partition_by"):
+            # One write holds every date of the range: lay it out per
+            # partition value even if the per-date loop needs no rebalance.
+            sink = {**sink, "rebalance": True}
         write_output(spark, outputs[name], sink, None)
     return outputs
 
