@@ -1,6 +1,6 @@
 """Run a job config.
 
-    python -m quarry JOB.json [--run-date YYYY-MM-DD] [--set name=value ...]
+    python -m quarry JOB.json [--run-date YYYY-MM-DD] [--set name=value ...] [--explain]
 
 ``{{name}}`` in the config text is replaced by ``--set`` values (paths,
 database names), so one config serves several environments. A config on
@@ -15,7 +15,7 @@ import re
 import sys
 
 from quarry.plans import reports  # noqa: F401  (registers the Python transforms)
-from quarry.plans.job import run
+from quarry.plans.job import explain_job, run
 from quarry.session import build_session
 
 
@@ -39,10 +39,16 @@ def main(argv: list[str] | None = None) -> int:
     parser.add_argument("--run-date", default=None)
     parser.add_argument("--resume-from", default=None, help="skip backfill dates before this one")
     parser.add_argument("--set", action="append", default=[], metavar="NAME=VALUE")
+    parser.add_argument("--explain", action="store_true",
+                        help="print the physical plan of every output instead of writing")
     args = parser.parse_args(argv)
     variables = dict(item.split("=", 1) for item in args.set)
     spark = build_session()
     conf = load_config(spark, args.config, variables)
+    if args.explain:
+        for name, plan in explain_job(spark, conf, args.run_date).items():
+            print(f"== {name} ==\n{plan}")
+        return 0
     resume = int(args.resume_from) if args.resume_from and args.resume_from.isdigit() else args.resume_from
     dates = run(spark, conf, args.run_date, resume_from=resume)
     print(json.dumps({"config": args.config, "run_dates": [str(d) for d in dates]}))

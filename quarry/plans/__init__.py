@@ -4,6 +4,7 @@ the registered queries."""
 from quarry.plans.job import (  # noqa: F401
     PyTransform,
     TRANSFORMS,
+    explain_job,
     read_sql_text,
     run,
     run_dates,

@@ -17,8 +17,10 @@ a bad config never leaves half-written tables.
 
 from __future__ import annotations
 
+import contextlib
 import importlib
 import importlib.resources
+import io
 import os
 from collections.abc import Callable
 
@@ -190,6 +192,25 @@ def run_job(spark: SparkSession, conf: dict, run_date=None) -> dict[str, DataFra
     return outputs
 
 
+def explain_job(spark: SparkSession, conf: dict, run_date=None, mode: str = "formatted") -> dict[str, str]:
+    """The physical plan of every output a job would write, without
+    writing (pushed filters, read schemas, exchanges, broadcasts). Sources
+    are only planned, except a source marked ``checkpoint``, which is
+    materialised as in a run."""
+    validate_job(conf)
+    dfs = extract(spark, conf["extract"], run_date)
+    outputs = transform(spark, conf["transform"], dfs, run_date)
+    plans = {}
+    for name in conf.get("load", {}):
+        if name not in outputs:
+            raise ValueError(f"transform produced no output named {name!r}")
+        text = io.StringIO()
+        with contextlib.redirect_stdout(text):
+            outputs[name].explain(mode=mode)
+        plans[name] = text.getvalue()
+    return plans
+
+
 def run_dates(conf: dict, today=None) -> list:
     """The run dates (or integer keys) a job config asks for."""
     rm = conf.get("run_mode") or {"name": "default"}

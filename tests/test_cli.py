@@ -41,3 +41,10 @@ def test_missing_variables_are_reported(spark, workdir):
 
     with pytest.raises(ValueError, match="warehouse"):
         main([os.path.join(JOBS, "silver_orders.json"), "--set", f"data_dir={SF}"])
+
+
+def test_explain_prints_plans_and_writes_nothing(spark, workdir, capsys):
+    assert run_cli("silver_orders.json", f"{workdir}/explained", "--explain") == 0
+    out = capsys.readouterr().out
+    assert "== orders ==" in out and "Physical Plan" in out and "ReadSchema" in out
+    assert not os.path.exists(f"{workdir}/explained/silver/orders")
