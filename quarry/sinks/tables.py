@@ -173,7 +173,7 @@ def _declared_columns(fields: list[T.StructField], partition_by: list[str]) -> t
     ``PARTITIONED BY`` clause of a CREATE TABLE, as two clauses."""
     by_name = {f.name: f for f in fields}
     ordered = [f for f in fields if f.name not in partition_by] + [by_name[p] for p in partition_by]
-    cols = " (" + ", ".join(f"`{f.name}` {f.dataType.simpleString()}" for f in ordered) + ")"
+    cols = " (" + T.StructType(ordered).toDDL() + ")"
     parts = " PARTITIONED BY (" + ", ".join(f"`{p}`" for p in partition_by) + ")" if partition_by else ""
     return cols, parts
 
@@ -232,7 +232,7 @@ def rebalanced(df: DataFrame, partition_by: list[str]) -> DataFrame:
     task. AQE then splits a hot value into several advisory-sized
     partitions and merges small ones, so neither small files nor one
     oversized task result."""
-    return df.hint("rebalance", *partition_by) if partition_by else df
+    return df.hint("rebalance", *[f"`{c}`" for c in partition_by]) if partition_by else df
 
 
 class TableSink:

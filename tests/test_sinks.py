@@ -239,3 +239,12 @@ def test_bucketed_and_partitioned_table(spark, workdir):
     assert rows(spark.table("db_bkpart.t")) == [(1, "a", 2020), (3, "c", 2022), (4, "d", 2022), (5, "e", 2021)]
     meta = {r.col_name: r.data_type for r in spark.sql("DESCRIBE TABLE EXTENDED db_bkpart.t").collect()}
     assert meta["Num Buckets"] == "2"
+
+
+def test_registered_schema_with_awkward_names(spark, workdir):
+    df = spark.createDataFrame([(1, (2, "x"), "p q")], "`a b` int, s struct<`x y`: int, z: string>, `part col` string")
+    cfg = sink(workdir, "awk", "append", partition_by=["part col"], first=True)
+    write_output(spark, df, cfg)
+    write_output(spark, df, {**cfg, "first": False})
+    back = spark.table("db_awk.t")
+    assert back.schema["s"].dataType == df.schema["s"].dataType and back.count() == 2
