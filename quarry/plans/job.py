@@ -173,6 +173,13 @@ def validate_job(conf: dict) -> None:
             errors.append(f"load {name!r}: unknown mode {sink.get('mode')!r}")
         if sink.get("mode") == "upsert" and not sink.get("primary_key"):
             errors.append(f"load {name!r}: upsert needs 'primary_key'")
+        if sink.get("writer") in ("JsonWriter", "KafkaWriter"):
+            if sink.get("topic") and not sink.get("bootstrap_servers"):
+                errors.append(f"load {name!r}: a Kafka topic needs 'bootstrap_servers'")
+            if not sink.get("topic") and not sink.get("path"):
+                errors.append(f"load {name!r}: an event sink needs 'path' or 'topic'")
+        if sink.get("bucket_by") and not {"columns", "buckets"} <= set(sink["bucket_by"]):
+            errors.append(f"load {name!r}: 'bucket_by' needs 'columns' and 'buckets'")
         if outputs is not None and name not in outputs:
             errors.append(f"load {name!r} is not an output of the transform ({sorted(outputs)})")
     if errors:

@@ -145,3 +145,20 @@ def test_checkpointed_source_cuts_lineage(spark, workdir):
     assert not any("orders.parquet" in f for f in dfs["o"].inputFiles())  # reads the checkpoint, not the source
     assert dfs["o"].count() == spark.read.parquet(f"{SF}/orders.parquet").count()
     assert any("part.parquet" in f for f in dfs["p"].inputFiles())
+
+
+def test_sink_configs_are_checked_before_anything_runs():
+    conf = {
+        "run_mode": {"name": "default"},
+        "extract": {"a": {"reader": "ParquetReader", "path": "/nowhere"}},
+        "transform": {"transformer": "ConfigTransformer", "transformation": {}},
+        "load": {"a": {"writer": "KafkaWriter", "mode": "append", "topic": "t"}},
+    }
+    with pytest.raises(ValueError, match="bootstrap_servers"):
+        validate_job(conf)
+    conf["load"]["a"] = {"writer": "JsonWriter", "mode": "append"}
+    with pytest.raises(ValueError, match="'path' or 'topic'"):
+        validate_job(conf)
+    conf["load"]["a"] = {"writer": "ParquetWriter", "mode": "append", "path": "/x", "bucket_by": {"columns": ["k"]}}
+    with pytest.raises(ValueError, match="bucket_by"):
+        validate_job(conf)
