@@ -101,3 +101,14 @@ def scratch_root(spark: SparkSession) -> str:
 def new_work_dir(spark: SparkSession, tag: str) -> str:
     """A fresh folder under the scratch root; never reused between runs."""
     return f"{scratch_root(spark)}/quarry/{tag}-{uuid.uuid4().hex[:12]}"
+
+
+def materialize(spark: SparkSession, df, tag: str):
+    """Write ``df`` once as a Parquet table under the shared scratch folder
+    and read it back: lineage is cut (a lost executor's part is read from
+    files, never recomputed from a source that may have changed), and
+    readers get column pruning and filter push-down that an RDD
+    checkpoint would not offer."""
+    path = new_work_dir(spark, tag)
+    df.write.parquet(path)
+    return spark.read.parquet(path)

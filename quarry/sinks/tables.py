@@ -34,7 +34,7 @@ from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
 from quarry.operators.merge import DEFAULT_BROADCAST_BYTES, plan_merge
-from quarry.session import scratch_root
+from quarry.session import materialize
 
 log = logging.getLogger(__name__)
 
@@ -347,13 +347,13 @@ class TableSink:
         self._save_bucketed_version(df)
 
     def _pinned(self, df: DataFrame) -> DataFrame:
-        """The upsert source, materialised once by a reliable checkpoint in
-        the shared folder. The profile, the update join and the insert
-        join all read the same rows, and a lost executor's part is read
-        back from the files instead of being recomputed from a source that
-        may have changed since (a database, a growing folder)."""
-        scratch_root(self.spark)
-        return df.checkpoint(eager=True)
+        """The upsert source, written once as Parquet in the shared scratch
+        folder. The profile, the update join and the insert join all read
+        the same rows (the profile only the key columns), and a lost
+        executor's part is read back from the files instead of being
+        recomputed from a source that may have changed since (a database,
+        a growing folder)."""
+        return materialize(self.spark, df, "upsert_source")
 
     def _layout(self, df: DataFrame) -> DataFrame:
         if self.config.get("rebalance", True):
