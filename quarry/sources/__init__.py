@@ -10,7 +10,7 @@ from collections.abc import Callable
 
 from pyspark.sql import DataFrame, SparkSession
 
-from quarry.session import scratch_root
+from quarry.session import materialize
 
 from quarry.sources.files import object_store_path, read_files  # noqa: F401
 from quarry.sources.jdbc import jdbc_options, read_jdbc  # noqa: F401
@@ -44,19 +44,18 @@ def read_source(spark: SparkSession, config: dict, run_date=None) -> DataFrame:
 def extract(spark: SparkSession, sources: dict[str, dict], run_date=None) -> dict[str, DataFrame]:
     """All sources of a job, by logical name.
 
-    A source with ``"checkpoint": true`` is materialised once by a reliable
-    checkpoint in the shared folder: every output of the job then reads
+    A source with ``"checkpoint": true`` is written once as a Parquet table
+    in the shared folder and read back. Every output of the job then reads
     that copy instead of recomputing the source (a derived view, a
-    database), and a lost executor's part is read back from files. It
-    costs a full copy and forgoes filter push-down into the source, so it
-    pays only when the source is expensive to read and read more than
-    once.
+    database), with column pruning and filter push-down into the copy, and
+    a lost executor's part is read back from files. It costs a full copy
+    and forgoes push-down into the original source, so it pays only when
+    the source is expensive to read and read more than once.
     """
     out = {}
     for name, cfg in sources.items():
         df = read_source(spark, cfg, run_date)
         if cfg.get("checkpoint"):
-            scratch_root(spark)
-            df = df.checkpoint(eager=True)
+            df = materialize(spark, df, f"source_{name}")
         out[name] = df
     return out
