@@ -157,7 +157,9 @@ def q_multi_output_job(spark, sf_dir):
         "run_mode": {"name": "default"},
         "extract": {
             "customers": {"reader": "TableReader", "table": "gold_customers"},
-            "orders": {"reader": "TableReader", "table": "silver_orders"},
+            # Derived from orders and line items and read by both outputs:
+            # computed once, kept as Parquet in the shared folder.
+            "orders": {"reader": "TableReader", "table": "silver_orders", "checkpoint": True},
         },
         "transform": {"transformer": "PyTransformer", "transformation": "top_and_bottom_users"},
         "load": {
