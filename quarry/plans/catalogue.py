@@ -374,7 +374,9 @@ def q_upsert_null_safe(spark, sf_dir):
 def q_upsert_bucketed(spark, sf_dir):
     """K8 on a table bucketed by its key: the target is read bucket by
     bucket and never shuffled; only the source is. ``broadcast_bytes`` 0
-    takes the shuffle-join path that sources too large to broadcast take."""
+    withholds the sink's own broadcast of the source, as for a source too
+    large to broadcast; Spark's size statistics still decide the join
+    (test_sinks checks the plan with them off)."""
     work = new_work_dir(spark, "upsert_bucketed")
     buckets = {"columns": ["o_orderkey"], "buckets": 8}
     snapshot = _before_run_date(table(spark, sf_dir, "orders")).select(*_ORDER_COLS)
