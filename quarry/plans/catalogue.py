@@ -238,7 +238,9 @@ def q_backfill_loop(spark, sf_dir):
     )
     conf = {
         "run_mode": {"name": "back_fill", "start": LOOP_START, "end": LOOP_END, "step": LOOP_STEP},
-        "extract": {"orders": {"reader": "TableReader", "table": "silver_orders"}},
+        # derived from two tables and independent of the run date: computed
+        # once for the whole loop
+        "extract": {"orders": {"reader": "TableReader", "table": "silver_orders", "checkpoint": True}},
         "transform": {"transformer": "PyTransformer", "transformation": "daily_order_counts"},
         "load": {
             # Each run writes one date: one partition folder, so the

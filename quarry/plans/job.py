@@ -21,6 +21,7 @@ import contextlib
 import importlib
 import importlib.resources
 import io
+import json
 import os
 from collections.abc import Callable
 
@@ -186,10 +187,13 @@ def validate_job(conf: dict) -> None:
         raise ValueError("invalid job config:\n  " + "\n  ".join(errors))
 
 
-def run_job(spark: SparkSession, conf: dict, run_date=None) -> dict[str, DataFrame]:
-    """One extract -> transform -> load; returns the transform outputs."""
+def run_job(spark: SparkSession, conf: dict, run_date=None, prepared: dict | None = None) -> dict[str, DataFrame]:
+    """One extract -> transform -> load; returns the transform outputs.
+    ``prepared``: sources already extracted (shared by a backfill loop)."""
     validate_job(conf)
-    dfs = extract(spark, conf["extract"], run_date)
+    prepared = prepared or {}
+    fresh = extract(spark, {n: c for n, c in conf["extract"].items() if n not in prepared}, run_date)
+    dfs = {n: prepared[n] if n in prepared else fresh[n] for n in conf["extract"]}
     outputs = transform(spark, conf["transform"], dfs, run_date)
     missing = [n for n in conf.get("load", {}) if n not in outputs]
     if missing:
@@ -278,6 +282,15 @@ def run(spark: SparkSession, conf: dict, run_date=None, resume_from=None) -> lis
         if resume_from not in dates and str(resume_from) not in map(str, dates):
             raise ValueError(f"resume_from {resume_from!r} is not one of the run dates")
         dates = dates[list(map(str, dates)).index(str(resume_from)):]
+    # Sources marked "checkpoint" that do not depend on the run date are
+    # materialised once for the whole loop instead of once per date.
+    shared = {n: c for n, c in conf["extract"].items() if c.get("checkpoint") and not _uses_run_date(c)}
+    prepared = extract(spark, shared, None) if shared and len(dates) > 1 else None
     for d in dates:
-        run_job(spark, conf, d)
+        run_job(spark, conf, d, prepared)
     return dates
+
+
+def _uses_run_date(source: dict) -> bool:
+    text = json.dumps(source)
+    return any(p in text for p in ("${run_date}", "{$run_date}", ":run_date"))

@@ -162,3 +162,37 @@ def test_sink_configs_are_checked_before_anything_runs():
     conf["load"]["a"] = {"writer": "ParquetWriter", "mode": "append", "path": "/x", "bucket_by": {"columns": ["k"]}}
     with pytest.raises(ValueError, match="bucket_by"):
         validate_job(conf)
+
+
+def test_loop_materialises_a_date_independent_source_once(spark, workdir, monkeypatch):
+    import quarry.sources as sources
+
+    made = []
+    real = sources.materialize
+
+    def counting(spark_, df, tag):
+        made.append(tag)
+        return real(spark_, df, tag)
+
+    monkeypatch.setattr(sources, "materialize", counting)
+    from quarry.plans.catalogue import table
+
+    reports.silver_orders(table(spark, SF, "orders"), table(spark, SF, "lineitem")).createOrReplaceTempView("silver_m")
+    conf = {
+        "run_mode": {"name": "back_fill", "start": "1998-06-01", "end": "1998-06-03"},
+        "extract": {"orders": {"reader": "TableReader", "table": "silver_m", "checkpoint": True}},
+        "transform": {"transformer": "PyTransformer", "transformation": "daily_order_counts"},
+        "load": {"daily_order_counts": {"writer": "ParquetWriter", "mode": "overwrite_partition",
+                                        "path": f"{workdir}/m", "partition_by": ["run_date"], "rebalance": False}},
+    }
+    run(spark, conf)
+    assert made == ["source_orders"]
+    by_date = {str(r.run_date): r.n for r in spark.read.parquet(f"{workdir}/m").groupBy("run_date").count()
+               .withColumnRenamed("count", "n").collect()}
+    assert set(by_date) == {"1998-06-01", "1998-06-02", "1998-06-03"}
+    # a source whose query names the run date is read per date
+    made.clear()
+    conf["extract"]["orders"] = {"reader": "TableReader", "checkpoint": True,
+                                 "query": "SELECT * FROM silver_m WHERE created_at < to_timestamp_ntz('${run_date}')"}
+    run(spark, conf)
+    assert made == ["source_orders"] * 3
