@@ -45,3 +45,24 @@ def test_fetch_size_defaults_unless_given():
     assert jdbc_options({"url": "jdbc:x", "table": "t"})["fetchsize"] == "10000"
     opts = jdbc_options({"url": "jdbc:x", "table": "t", "properties": {"fetchSize": 50}})
     assert opts["fetchSize"] == "50" and "fetchsize" not in opts
+
+
+def test_predicates_give_one_partition_each():
+    from quarry.sources.jdbc import read_jdbc
+
+    seen = {}
+
+    class Reader:
+        def jdbc(self, url, table, predicates=None, properties=None):
+            seen.update(url=url, table=table, predicates=predicates, properties=properties)
+            return "df"
+
+    class Spark:
+        read = Reader()
+
+    cfg = {"url": "jdbc:x", "query": "select * from o", "properties": {"user": "u"},
+           "predicates": ["d < '${run_date}'", "d >= '${run_date}'"]}
+    assert read_jdbc(Spark(), cfg, "2024-01-02") == "df"
+    assert seen["table"] == "(select * from o) q" and seen["url"] == "jdbc:x"
+    assert seen["predicates"] == ["d < '2024-01-02'", "d >= '2024-01-02'"]
+    assert seen["properties"]["user"] == "u" and "url" not in seen["properties"]
