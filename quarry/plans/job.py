@@ -156,6 +156,8 @@ def validate_job(conf: dict) -> None:
     for name, src in sources.items():
         if src.get("reader") not in READERS:
             errors.append(f"source {name!r}: unknown reader {src.get('reader')!r}")
+        if src.get("predicates") and src.get("partition_column"):
+            errors.append(f"source {name!r}: give 'predicates' or 'partition_column', not both")
     t = conf.get("transform") or {}
     if t.get("transformer") not in ("ConfigTransformer", "SQLTransformer", "PyTransformer"):
         errors.append(f"unknown transformer {t.get('transformer')!r}")

@@ -196,3 +196,13 @@ def test_loop_materialises_a_date_independent_source_once(spark, workdir, monkey
                                  "query": "SELECT * FROM silver_m WHERE created_at < to_timestamp_ntz('${run_date}')"}
     run(spark, conf)
     assert made == ["source_orders"] * 3
+
+
+def test_jdbc_split_is_either_predicates_or_a_column():
+    conf = {"run_mode": {"name": "default"},
+            "extract": {"a": {"reader": "JDBCReader", "url": "jdbc:x", "table": "t",
+                              "predicates": ["id < 10", "id >= 10"], "partition_column": "id"}},
+            "transform": {"transformer": "ConfigTransformer", "transformation": {}},
+            "load": {}}
+    with pytest.raises(ValueError, match="not both"):
+        validate_job(conf)
