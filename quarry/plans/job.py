@@ -294,5 +294,5 @@ def run(spark: SparkSession, conf: dict, run_date=None, resume_from=None) -> lis
 
 
 def _uses_run_date(source: dict) -> bool:
-    text = json.dumps(source)
+    text = json.dumps(source, default=str)
     return any(p in text for p in ("${run_date}", "{$run_date}", ":run_date"))
