@@ -60,3 +60,13 @@ def test_sql_window_step_limits_groups_before_the_shuffle(spark):
     text = plan(QUERIES["step_sql_window"](spark, SF))
     head, _, tail = text.partition("Exchange hashpartitioning(o_custkey")
     assert "WindowGroupLimit" in head and "Partial" in tail and "WindowGroupLimit" in tail
+
+
+def test_per_date_top_k_ranks_only_rows_past_the_threshold(spark):
+    df = QUERIES["backfill_top_user"](spark, SF)
+    optimized = df._jdf.queryExecution().optimizedPlan().toString()
+    assert "threshold" in optimized and "WindowGroupLimit" in optimized
+    physical = plan(df)
+    # thresholds (one row per date) are broadcast; nothing is paired up
+    assert physical.count("BroadcastExchange") >= 2
+    assert "NestedLoopJoin" not in physical and "CartesianProduct" not in physical
