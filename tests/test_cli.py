@@ -48,3 +48,13 @@ def test_explain_prints_plans_and_writes_nothing(spark, workdir, capsys):
     out = capsys.readouterr().out
     assert "== orders ==" in out and "Physical Plan" in out and "ReadSchema" in out
     assert not os.path.exists(f"{workdir}/explained/silver/orders")
+
+
+def test_bucketed_upsert_job(spark, workdir):
+    assert run_cli("bronze_orders_upsert_bucketed.json", workdir) == 0
+    once = sorted(map(tuple, spark.table("bronze.superstore_orders_bucketed").collect()))
+    assert run_cli("bronze_orders_upsert_bucketed.json", workdir) == 0
+    twice = sorted(map(tuple, spark.table("bronze.superstore_orders_bucketed").collect()))
+    assert once == twice and len(once) == spark.read.parquet(f"{SF}/orders.parquet").count()
+    meta = {r.col_name: r.data_type for r in spark.sql("DESCRIBE TABLE EXTENDED bronze.superstore_orders_bucketed").collect()}
+    assert meta["Num Buckets"] == "8" and meta["Bucket Columns"] == "[`order_id`]"
