@@ -16,3 +16,14 @@ def test_local_sessions_keep_their_shuffle_setting(spark):
     from quarry.session import INITIAL_PARTITIONS
 
     assert spark.conf.get(INITIAL_PARTITIONS, None) is None
+
+
+def test_materialize_cuts_lineage_into_the_scratch_folder(spark):
+    from quarry.session import materialize, scratch_root
+
+    src = spark.read.parquet("/root/testdata/sf0.001/orders.parquet").filter("o_orderstatus = 'F'")
+    copy = materialize(spark, src, "t")
+    files = copy.inputFiles()
+    assert files and all(scratch_root(spark).removeprefix("file:") in f for f in files)
+    assert not any("testdata" in f for f in files)
+    assert copy.schema == src.schema and copy.count() == src.count()
