@@ -121,9 +121,15 @@ def register_table(
     columns: list[str] | None = None,
     written: list[dict] | None = None,
     schema: T.StructType | None = None,
+    first: bool = False,
 ) -> None:
     """Point the catalog entry ``name`` at ``path``.
 
+    ``first`` (a job's flag): re-create the entry unless it already points
+    at ``path`` with the same columns and partition columns, so a backfill
+    loop registers once instead of once per date. ``force`` always
+    re-creates it (a full overwrite that may have removed partitions).
+
     ``schema``: the schema of the data written. The entry is declared with
     it, so partition columns keep their types: inferred from folder names,
     a bigint key could come back as int and a code "007" as the number 7.
@@ -143,8 +149,10 @@ def register_table(
         columns = schema.fieldNames()
     current = table_location(spark, name)
     if current is not None and not force and _same_location(current, path):
-        known = set(spark.table(name).columns)
-        if not columns or set(columns) <= known:
+        listed = spark.catalog.listColumns(name)
+        known = {c.name for c in listed}
+        same = set(columns or known) == known and [c.name for c in listed if c.isPartition] == list(partition_by)
+        if (not columns or set(columns) <= known) and (same or not first):
             if partition_by:
                 # Appends and dynamic overwrites only add partitions; the
                 # catalog learns the new ones (existing ones are kept).
@@ -398,7 +406,8 @@ class TableSink:
             replaced = overwrite_mode == "static" and bool(self.partition_by)
             register_table(
                 self.spark, self.name, self.fmt, path, self.partition_by,
-                force=bool(self.config.get("first")) or replaced,
+                force=replaced,
+                first=bool(self.config.get("first")),
                 merge_schema=bool(self.config.get("merge_schema")),
                 written=written,
                 schema=df.schema,

@@ -248,3 +248,28 @@ def test_registered_schema_with_awkward_names(spark, workdir):
     write_output(spark, df, {**cfg, "first": False})
     back = spark.table("db_awk.t")
     assert back.schema["s"].dataType == df.schema["s"].dataType and back.count() == 2
+
+
+def test_first_registers_once_unless_the_shape_changes(spark, workdir, monkeypatch):
+    ddl = []
+    real_sql = spark.sql
+
+    def recording(text, *args, **kwargs):
+        if "CREATE TABLE" in text or "DROP TABLE" in text:
+            ddl.append(text.split("(")[0].strip())
+        return real_sql(text, *args, **kwargs)
+
+    monkeypatch.setattr(spark, "sql", recording)
+    schema = "k int, p string"
+    cfg = sink(workdir, "fo", "append", partition_by=["p"], first=True)
+    write_output(spark, spark.createDataFrame([(1, "a")], schema), cfg)
+    created = len(ddl)
+    for k, p in ((2, "b"), (3, "c")):  # same path, same shape: no re-registration
+        write_output(spark, spark.createDataFrame([(k, p)], schema), cfg)
+    assert len(ddl) == created
+    assert rows(spark.table("db_fo.t")) == [(1, "a"), (2, "b"), (3, "c")]
+    # a new column is a new shape: registered again
+    write_output(spark, spark.createDataFrame([(4, "x", "d")], "k int, extra string, p string"),
+                 {**cfg, "merge_schema": True})
+    assert len(ddl) > created
+    assert spark.table("db_fo.t").filter("extra = 'x'").count() == 1
