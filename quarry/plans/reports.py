@@ -50,6 +50,10 @@ def silver_orders(orders: DataFrame, lineitem: DataFrame) -> DataFrame:
 def straddling_completed(orders: DataFrame, run_date) -> DataFrame:
     """Completed orders created before the run date and touched on or
     after it (midnight of the run date, in the columns' own type)."""
+    try:
+        _as_date(run_date)
+    except (TypeError, ValueError):
+        raise ValueError(f"the report takes a date run date (YYYY-MM-DD), got {run_date!r}") from None
     d = run_date_literal(run_date, orders.schema["updated_at"].dataType)
     return orders.filter(
         (F.col("updated_at") >= d) & (F.col("created_at") < d) & (F.col("status") == COMPLETED)

@@ -206,3 +206,11 @@ def test_jdbc_split_is_either_predicates_or_a_column():
             "load": {}}
     with pytest.raises(ValueError, match="not both"):
         validate_job(conf)
+
+
+def test_report_rejects_an_integer_run_date_up_front(spark):
+    from quarry.plans.catalogue import _inputs
+
+    customers, orders = _inputs(spark, SF)
+    with pytest.raises(ValueError, match="date run date"):
+        reports.top_users(customers, orders, 7)
