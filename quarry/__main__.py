@@ -15,7 +15,7 @@ import re
 import sys
 
 from quarry.plans import reports  # noqa: F401  (registers the Python transforms)
-from quarry.plans.job import explain_job, run
+from quarry.plans.job import explain_job, run, run_dates
 from quarry.session import build_session
 
 
@@ -46,7 +46,9 @@ def main(argv: list[str] | None = None) -> int:
     spark = build_session()
     conf = load_config(spark, args.config, variables)
     if args.explain:
-        for name, plan in explain_job(spark, conf, args.run_date).items():
+        # the plan of one run: the date given, else the job's first run date
+        run_date = args.run_date or run_dates(conf)[0]
+        for name, plan in explain_job(spark, conf, run_date).items():
             print(f"== {name} ==\n{plan}")
         return 0
     resume = int(args.resume_from) if args.resume_from and args.resume_from.isdigit() else args.resume_from

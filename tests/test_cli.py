@@ -17,6 +17,13 @@ def test_job_chain(spark, workdir, capsys):
     assert run_cli("silver_customers.json", workdir) == 0
     assert spark.table("silver.orders").count() == spark.read.parquet(f"{SF}/orders.parquet").count()
 
+    # over the stored silver table the report's filters reach the scan
+    capsys.readouterr()
+    assert run_cli("gold_top_user.json", workdir, "--explain") == 0
+    plan = capsys.readouterr().out
+    assert "PushedFilters: [IsNotNull(updated_at), IsNotNull(created_at), IsNotNull(status)" in plan
+    assert "TakeOrderedAndProject" in plan and "BroadcastHashJoin" in plan
+
     assert run_cli("gold_top_user.json", workdir) == 0
     out = capsys.readouterr().out
     assert '"run_dates": ["1998-06-01", "1998-06-02", "1998-06-03"]' in out
