@@ -13,7 +13,7 @@ import numpy as np
 from .common import WHITE
 
 MAX_WORD = 256  # bytes; longer words are hashed one by one
-_KEYS = np.random.Generator(np.random.PCG64(20240229)).integers(1 << 62, 1 << 64, MAX_WORD + 8, np.uint64, endpoint=False) | np.uint64(1)
+_KEYS = np.random.Generator(np.random.PCG64(20240229)).integers(1 << 62, 1 << 64, MAX_WORD + 64, np.uint64, endpoint=False) | np.uint64(1)
 _IS_WORD = np.ones(256, bool)
 _IS_WORD[list(WHITE.encode())] = False
 

@@ -12,13 +12,20 @@ from collections.abc import Callable
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from . import line_dedup, quality, simhash, warc
+from . import byte_bpe, embedding_dedup, html_extract, langid, line_dedup, packing, quality, simhash, substring_dedup, warc
 from .common import read
 
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {}
 ORACLE: dict[str, str] = {}
 
 
+def vocabulary(name: str) -> str:
+    """The place of a public vocabulary file; workers have their own copy."""
+    import public_tokenizers
+
+    return public_tokenizers.path(name)
+
+
 def query(sql: str | None = None):
     def add(f):
         QUERIES[f.__name__] = f
@@ -83,3 +90,70 @@ def op9_simhash(spark: SparkSession, sf_dir: str) -> DataFrame:
 )
 def op10_warc(spark: SparkSession, sf_dir: str) -> DataFrame:
     return warc.archive(spark, read(spark, sf_dir, "pages"), min_bytes=100).select("page_id", "payload_bytes", "payload_digest", "record_type", "refers_to")
+
+
+@query()
+def op2_packing(spark: SparkSession, sf_dir: str) -> DataFrame:
+    out = packing.pack(spark, read(spark, sf_dir, "documents"), vocabulary("word_bpe_49k.json"), size=2048, end=1)
+    return out.select("doc_id", "start", "length", F.crc32("ids").alias("ids_crc32"), "doc_tokens", "sequence_id", "offset")
+
+
+@query()
+def op3_html_extract(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return html_extract.extract(spark, read(spark, sf_dir, "pages"))
+
+
+@query()
+def op4_embedding_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return embedding_dedup.link(spark, read(spark, sf_dir, "embeddings"), threshold=0.9)
+
+
+@query()
+def op6_byte_bpe(spark: SparkSession, sf_dir: str) -> DataFrame:
+    import public_tokenizers
+
+    out = byte_bpe.round_trip(spark, read(spark, sf_dir, "documents"), vocabulary("byte_bpe_50k.tiktoken"), public_tokenizers.PATTERN)
+    return out.select(
+        "doc_id",
+        F.size("ids").cast("long").alias("n_tokens"),
+        F.sha2(F.array_join(F.col("ids").cast("array<string>"), " "), 256).alias("ids_sha256"),
+        F.sha2("decoded", 256).alias("decoded_sha256"),
+    )
+
+
+@query()
+def op8_language_id(spark: SparkSession, sf_dir: str) -> DataFrame:
+    docs = read(spark, sf_dir, "documents")
+    return langid.predict(spark, docs, langid.train(spark, docs))
+
+
+@query(
+    r"""
+    WITH words AS (
+        SELECT doc_id, regexp_extract_all(coalesce(text, ''), '[^\x20\x09-\x0D]+') AS ws FROM documents
+    ), wins AS (
+        SELECT doc_id, p, array_to_string(ws[p:p + 49], ' ') AS win
+        FROM (SELECT doc_id, ws, unnest(range(1, len(ws) - 48)) AS p FROM words WHERE len(ws) >= 50)
+    ), firsts AS (
+        SELECT win, min(doc_id) AS low FROM wins GROUP BY win
+    ), marked AS (
+        SELECT DISTINCT doc_id, unnest(range(p, p + 50)) AS q
+        FROM wins JOIN firsts USING (win) WHERE low < doc_id
+    ), gone AS (
+        SELECT doc_id, list(q) AS qs FROM marked GROUP BY doc_id
+    ), every AS (
+        SELECT doc_id, unnest(ws) AS word, generate_subscripts(ws, 1) AS q FROM words
+    ), kept AS (
+        SELECT e.doc_id, string_agg(e.word, ' ' ORDER BY e.q) AS t
+        FROM every e LEFT JOIN marked m ON e.doc_id = m.doc_id AND e.q = m.q
+        WHERE m.q IS NULL GROUP BY e.doc_id
+    )
+    SELECT w.doc_id, CAST(len(ws) AS BIGINT) AS n_words, CAST(coalesce(len(qs), 0) AS BIGINT) AS n_removed, sha256(coalesce(t, '')) AS kept_sha256
+    FROM words w LEFT JOIN gone USING (doc_id) LEFT JOIN kept USING (doc_id)
+    """
+)
+def op7_substring_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
+    out = substring_dedup.dedup_substrings(spark, read(spark, sf_dir, "documents").select("doc_id", "text"), window=50)
+    # What is kept, its words joined by one space.
+    kept = F.btrim(F.regexp_replace(F.coalesce("text", F.lit("")), r"[\x20\x09-\x0D]+", " "), F.lit(" "))
+    return out.select("doc_id", "n_words", "n_removed", F.sha2(kept, 256).alias("kept_sha256"))
