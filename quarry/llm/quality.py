@@ -25,7 +25,7 @@ THRESHOLD = 0.25  # low, so that clean documents stay
 MIN_WORDS = 50
 MAX_REPEAT_PERCENT = 50
 L2 = 1e-4
-STEPS = 80
+STEPS = 40
 CHUNK = 1 << 20  # code points hashed at a time
 SYMBOLS = "#*$%&|<>"  # fixed by the rule
 _SYMBOL = np.zeros(256, bool)
