@@ -8,8 +8,8 @@ whole, so that a short paragraph between long ones stays.
 
 What the markup itself calls a menu, a notice or the like (by element, role,
 class or id) never counts as content. A class or id is believed only if the
-element holds neither an article element nor most of the page's text: a
-wrapper may well be called "with-sidebar".
+element lies in an article, or holds neither an article element nor nearly
+all of the page's text: a wrapper may well be called "with-sidebar".
 """
 
 from __future__ import annotations
@@ -24,6 +24,7 @@ from pyspark.sql import DataFrame, SparkSession
 from .common import only, small_batches
 
 SIGMA = 1.0  # of the Gaussian, in lines
+WRAPPER = 0.8  # share of the page's text beyond which a name is not believed
 # Elements by what they mean for the text.
 SKIP = frozenset("script style noscript template title head textarea select option button datalist svg math iframe object canvas audio video".split())
 BOILER = frozenset("nav footer aside form menu dialog".split())
@@ -57,6 +58,7 @@ class _Lines(HTMLParser):
         self.regions = 0
         self.doubts: list[int] = []
         self.mains: set[int] = set()  # doubted elements with an article inside
+        self.inside: set[int] = set()  # doubted elements inside an article
         self.articles: list[int] = []  # regions of open article elements
         self.article_regions: set[int] = set()
 
@@ -89,7 +91,7 @@ class _Lines(HTMLParser):
         if tag == "body" or tag in MAIN:
             while self.stack and self.stack[-1][0] in ("head", "title"):  # never closed
                 self._pop()
-        if tag in MAIN and not out and not doubt and not self.out:
+        if tag in MAIN and not (out or doubt or self.out or self.article_regions):  # comments may be articles too
             self.mains.update(self.doubts)
         if region or out or doubt:
             if doubt and not region and not out:
@@ -99,6 +101,8 @@ class _Lines(HTMLParser):
             self.out += out
             if doubt:
                 self.doubts.append(self.regions)
+                if self.articles:
+                    self.inside.add(self.regions)
             if tag in MAIN and not self.out and not doubt:
                 self.articles.append(self.regions)
                 self.article_regions.add(self.articles[0])
@@ -163,7 +167,7 @@ def main_text(html: str | None) -> str:
     for text, _, _, doubts in lines:
         for d in doubts:
             held[d] = held.get(d, 0) + len(text)
-    wrong = {d for d, n in held.items() if d not in parser.mains and 2 * n <= total}
+    wrong = {d for d, n in held.items() if d not in parser.mains and (d in parser.inside or n <= WRAPPER * total)}
     own = [x for x in lines if wrong.isdisjoint(x[3])]
     if any(x[2] in parser.article_regions for x in own):  # the page says where its article is
         own = [x for x in own if x[2] in parser.article_regions]
