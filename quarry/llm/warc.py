@@ -35,6 +35,7 @@ from .common import only, small_batches
 
 BLOCK = 1024  # captures in one compressed index block
 PART_BYTES = 256 << 20  # an archive file is closed beyond this size
+TASK_BYTES = 128 << 20  # archive bytes one task reads back
 CAPTURE = "key string, page string, file string, offset long, length long"
 DIRECTORY = "part int, first string, file string, offset long, length long, n long"
 RECORD = "page_id long, url string, payload_bytes long, payload_digest string, record_type string, refers_to long"
@@ -293,9 +294,9 @@ def lookup(spark: SparkSession, wanted: DataFrame, root: str) -> DataFrame:
     return dealt.mapInArrow(run, CAPTURE)
 
 
-def fetch(spark: SparkSession, captures: DataFrame, root: str) -> DataFrame:
+def fetch(spark: SparkSession, captures: DataFrame, root: str, tasks: int) -> DataFrame:
     """The records of ``captures``, each by a read of its own byte range, in
-    the order of the archives. A record that is no WARC record, of another
+    the order of the archives, by ``tasks`` tasks. A record that is no WARC record, of another
     page or with a payload unlike its digest raises."""
     files = f"{root}/archive"
 
@@ -316,7 +317,9 @@ def fetch(spark: SparkSession, captures: DataFrame, root: str) -> DataFrame:
         if handle is not None:
             handle.close()
 
-    near = captures.repartitionByRange("file", "offset").sortWithinPartitions("file", "offset")
+    # The captures are few bytes and the records many, so Spark cannot size
+    # the tasks by what it shuffles.
+    near = captures.repartitionByRange(tasks, "file", "offset").sortWithinPartitions("file", "offset")
     return near.select("page", "file", "offset", "length").mapInArrow(run, RECORD)
 
 
@@ -325,7 +328,10 @@ def archive(spark: SparkSession, pages: DataFrame, min_bytes: int = 100, page_id
     the index and read its record back: (page_id, url, payload_bytes,
     payload_digest, record_type, refers_to), one row per row of ``pages``."""
     root = new_work_dir(spark, "warc")
-    build_index(spark, write(spark, pages, root, min_bytes, page_id, url, html), root)
+    captures = write(spark, pages, root, min_bytes, page_id, url, html)
+    build_index(spark, captures, root)
+    size = captures.agg(F.sum("length")).first()[0] or 0
+    tasks = max(spark.sparkContext.defaultParallelism, size // TASK_BYTES)
 
     def keys(batches):
         for b in batches:
@@ -333,4 +339,4 @@ def archive(spark: SparkSession, pages: DataFrame, min_bytes: int = 100, page_id
             yield pa.RecordBatch.from_arrays([pa.array([capture_key(u, p) for u, p in zip(b.column(1).to_pylist(), page)], pa.string())], ["key"])
 
     named = only(pages, page_id=page_id, url=url).withColumn("page_id", F.col("page_id").cast("long"))
-    return fetch(spark, lookup(spark, named.mapInArrow(keys, "key string"), root), root)
+    return fetch(spark, lookup(spark, named.mapInArrow(keys, "key string"), root), root, tasks)
