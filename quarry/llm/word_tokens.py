@@ -66,7 +66,7 @@ def _shape(setup: dict) -> tuple[bool, regex.Pattern | None]:
     if they may go straight to the model: NFC, white space, lower case, then
     the matches of a pattern (none with white space) as byte letters."""
     norm, pre = setup.get("normalizer") or {}, setup.get("pre_tokenizer") or {}
-    steps = [n["type"] for n in norm.get("normalizers", [norm])]
+    steps = [n.get("type") for n in norm.get("normalizers", [norm])]
     cuts = pre.get("pretokenizers", [pre])
     if steps != ["NFC", "Replace", "Lowercase"] or norm["normalizers"][1]["pattern"] != {"Regex": "\\s+"} or norm["normalizers"][1]["content"] != " ":
         return False, None

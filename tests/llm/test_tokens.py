@@ -1,0 +1,165 @@
+"""Byte BPE against the tiktoken library, packing against its rules."""
+
+import random
+import zlib
+from collections import defaultdict
+
+import numpy as np
+import pytest
+
+import public_tokenizers as P
+from quarry.llm import byte_bpe, packing, queries
+from quarry.llm.common import read
+from quarry.llm.word_tokens import WordTokens
+
+DOC = "doc_id long, text string"
+RANKS, WORDS = P.path("byte_bpe_50k.tiktoken"), P.path("word_bpe_49k.json")
+BITS = ["a", "b", "an", "The", " ", "  ", "\n", " \n", "é", "ß", "1", "23", "'s", "'S", "!", "!!!", "#", "-", "=", "\t", "漢", "\x1c", "\x85", "\xa0", "​", "ing", "0" * 30, "=-" * 40, "\x00", "<|endoftext|>"]
+
+
+@pytest.fixture(scope="module")
+def both():
+    import tiktoken
+
+    own = byte_bpe.ByteBPE.load(RANKS, P.PATTERN)
+    return own, tiktoken.Encoding("own", pat_str=P.PATTERN, mergeable_ranks=own.ranks, special_tokens={})
+
+
+def test_encodes_as_the_library(both):
+    own, library = both
+    rng = random.Random(10)
+    texts = ["".join(rng.choice(BITS) for _ in range(rng.randint(0, 40))) for _ in range(4000)]
+    texts += ["".join(rng.choice("aehint") for _ in range(20_000)), "a" * 5000, "ab" * 3000, "=" * 1001, " " * 500, "\n" * 333, "é" * 3000]
+    for t in texts:
+        ids = own.encode(t).tolist()
+        assert ids == library.encode_ordinary(t)
+        assert own.decode(ids) == t.encode()
+
+
+def test_joins_are_associative_and_right(both):
+    own, _ = both
+    rng = random.Random(11)
+    for _ in range(400):
+        parts = [bytes(rng.choice(b"theinga -=01") for _ in range(rng.randint(0, 60))) for _ in range(3)]
+        a, b, c = (own.merge(p) for p in parts)
+        assert own.join(own.join(a, b), c) == own.join(a, own.join(b, c)) == own.merge(b"".join(parts)) == own.reduce(b"".join(parts))
+        assert own._merge_long(b"".join(parts)) == own.merge(b"".join(parts))
+
+
+def test_caches_stay_bounded():
+    memo = byte_bpe.Recent(lambda k: k * 2, 10)
+    for i in range(1000):
+        assert memo[i % 37] == i % 37 * 2
+        assert len(memo) <= 10 and len(memo.older) <= 10
+
+
+def test_round_trip_and_decode(spark):
+    rows = [(1, None), (2, ""), (None, "x  y"), (3, "wörd " * 9000), (3, "q"), (4, "\x00 \x00")]
+    df = spark.createDataFrame([(*r, 5) for r in rows], DOC + ", ids int")
+    got = byte_bpe.round_trip(spark, df, RANKS, P.PATTERN)
+    assert sorted((bytes(r.decoded) for r in got.collect())) == sorted((t or "").encode() for _, t in rows)
+    again = byte_bpe.decode(spark, got, RANKS, P.PATTERN).collect()
+    assert sorted(bytes(r.decoded) for r in again) == sorted((t or "").encode() for _, t in rows)
+    assert byte_bpe.round_trip(spark, df.limit(0), RANKS, P.PATTERN).collect() == []
+
+
+def test_query_op6_is_the_library_over_the_whole_table(spark, both):
+    import hashlib
+
+    _, library = both
+    docs = {r.doc_id: r.text or "" for r in read(spark, "/root/testdata/sf0.001", "documents").collect()}
+    for r in queries.op6_byte_bpe(spark, "/root/testdata/sf0.001").collect():
+        ids = library.encode_ordinary(docs[r.doc_id])
+        assert r.n_tokens == len(ids) and r.ids_sha256 == hashlib.sha256(" ".join(map(str, ids)).encode()).hexdigest()
+        assert r.decoded_sha256 == hashlib.sha256(docs[r.doc_id].encode()).hexdigest()
+
+
+def test_word_ids_are_the_library_s():
+    words = WordTokens(WORDS)
+    assert words.chunked
+    rng = random.Random(12)
+    more = BITS + ["İ", "ſ", "K", "ΑΣ", "é", "½", "ǅ", "µ", "­"]
+    for _ in range(4000):
+        t = "".join(rng.choice(more) for _ in range(rng.randint(0, 12)))
+        assert words.ids(t).tolist() == words.tokenizer.encode(t, add_special_tokens=False).ids, ascii(t)
+
+
+def test_other_vocabularies_are_encoded_whole():
+    words = WordTokens(P.path("byte_bpe_50k.json"))
+    assert not words.chunked
+    assert words.ids("a  b\n c").tolist() == words.tokenizer.encode("a  b\n c", add_special_tokens=False).ids
+
+
+def test_levels_minimise_the_sum_of_squares():
+    rng = random.Random(13)
+    size, packer, levels = 20, packing.SumOfSquares(20), defaultdict(int)
+    for i in range(2000):
+        n = rng.randint(1, size)
+        before = {h: c for h, c in levels.items() if c}
+        best = None
+        for h in [0, *sorted(h for h in before if h + n <= size)]:
+            after = dict(before)
+            if h:
+                after[h] -= 1
+            if h + n < size:
+                after[h + n] = after.get(h + n, 0) + 1
+            cost = sum(c * c for c in after.values())
+            if best is None or cost < best[0]:
+                best = (cost, h, after)
+        full = packer.place((i, 0, n), n)
+        levels = defaultdict(int, best[2])
+        got = packer.counts
+        assert int((got**2).sum()) == best[0]
+        levels = defaultdict(int, {h: int(c) for h, c in enumerate(got) if c})
+        assert full is None or sum(e - s for _, s, e in full) == size
+
+
+def check_pieces(rows, expected, size):
+    """Each id in exactly one piece, sequences gapless and without padding."""
+    sequences, pieces = defaultdict(list), defaultdict(list)
+    for r in rows:
+        sequences[r.sequence_id].append((r.offset, len(r.ids) // 4, r.length))
+        pieces[r.doc_id, r.doc_tokens].append((r.start, bytes(r.ids)))
+    for own in sequences.values():
+        at = 0
+        for offset, n, length in sorted(own):
+            assert offset == at and n == length > 0
+            at += n
+        assert at == size or at & (at - 1) == 0 and at < size
+    got = []
+    for (doc, n), own in pieces.items():
+        got.append((doc, n, sorted(own)))
+    for doc, ids in expected:
+        own = next(o for d, n, o in got if d == doc and n == len(ids))
+        data = np.array(ids, "<u4").tobytes()
+        for start, part in own:
+            assert data[4 * start : 4 * start + len(part)] == part
+        assert sum(len(p) for _, p in own) % len(data) == 0
+
+
+def test_packing(spark):
+    words = WordTokens(WORDS)
+    rng = random.Random(14)
+    rows = [(i, " ".join(rng.choice("the cat sat on a mat 12 !".split()) for _ in range(rng.choice([0, 1, 5, 60, 500])))) for i in range(120)]
+    rows += [(1000, None), (1001, "long " * 30_000), (None, "null id"), (1002, "twice"), (1002, "twice")]
+    expected = [(d, [*words.ids(t).tolist(), 1]) for d, t in rows]
+    out = packing.pack(spark, spark.createDataFrame(rows, DOC).selectExpr("*", "1 as start", "2 as ids"), WORDS, size=256).collect()
+    check_pieces(out, expected, 256)
+    assert sum(r.length for r in out) == sum(len(i) for _, i in expected)
+    assert packing.pack(spark, spark.createDataFrame([], DOC), WORDS).collect() == []
+
+
+def test_query_op2_covers_the_whole_table(spark):
+    words = WordTokens(WORDS)
+    rows = queries.op2_packing(spark, "/root/testdata/sf0.001").collect()
+    pieces = defaultdict(list)
+    for r in rows:
+        pieces[r.doc_id].append(r)
+    docs = read(spark, "/root/testdata/sf0.001", "documents").collect()
+    assert set(pieces) == {d.doc_id for d in docs}
+    for d in docs:
+        ids = np.array([*words.ids(d.text), 1], "<u4")
+        own = sorted(pieces[d.doc_id], key=lambda r: r.start)
+        assert [r.start for r in own] == [sum(x.length for x in own[:i]) for i in range(len(own))]
+        assert all(r.doc_tokens == len(ids) and r.ids_crc32 == zlib.crc32(ids[r.start : r.start + r.length].tobytes()) for r in own)
+        assert sum(r.length for r in own) == len(ids)
