@@ -6,10 +6,13 @@ Job configs carry expressions as text. Two spellings are accepted:
 * a string starting with ``F.``: a PySpark expression such as
   ``F.col('qty') * 2`` or ``F.upper(F.col('name')).alias('n')``.
 
-The second form is evaluated by walking its syntax tree and allowing only
-calls into ``pyspark.sql.functions`` / ``pyspark.sql.types``, methods of
-the resulting values, Column item access (``[0]``, ``['key']``), literals
-and operators, so a config cannot run arbitrary code.
+The second form is evaluated by walking its syntax tree. Allowed are the
+public functions of ``pyspark.sql.functions`` as ``F.name`` and the types
+of ``pyspark.sql.types`` as ``T.name``, methods of Columns and types (and
+of what ``F.when`` and windows build from them), Column item access
+(``[0]``, ``['key']``), literals and operators. A name is looked up only
+directly on ``F`` or ``T`` and only if the module exports it, so neither
+imported modules nor functions that take Python code can be reached.
 """
 
 from __future__ import annotations
@@ -22,7 +25,13 @@ from pyspark.sql import Column
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
-_NAMESPACES = {"F": F, "T": T}
+# Functions that run Python code are no expressions.
+_CODE = {"udf", "pandas_udf", "udtf", "arrow_udf", "arrow_udtf"}
+_NAMESPACES = {
+    "F": {n: getattr(F, n) for n in F.__all__ if n not in _CODE},
+    "T": {n: getattr(T, n) for n in T.__all__},
+}
+_METHODS_OF = (Column, T.DataType)
 _BINOPS = {
     ast.Add: operator.add,
     ast.Sub: operator.sub,
@@ -44,6 +53,23 @@ _CMPOPS = {
 _UNARY = {ast.Invert: operator.invert, ast.USub: operator.neg, ast.Not: operator.invert}
 
 
+def _name(node: ast.Attribute):
+    """``F.x`` and ``T.x`` from the exported names, else a public method of
+    a Column or a type."""
+    if isinstance(node.value, ast.Name):
+        names = _NAMESPACES.get(node.value.id, {})
+        if node.attr not in names:
+            raise ValueError(f"{node.value.id}.{node.attr} is not allowed")
+        return names[node.attr]
+    value = _eval(node.value)
+    if node.attr.startswith("_") or not isinstance(value, _METHODS_OF):
+        raise ValueError(f"attribute {node.attr!r} is not allowed")
+    method = getattr(type(value), node.attr, None)
+    if not callable(method):
+        raise ValueError(f"{node.attr!r} is no method of {type(value).__name__}")
+    return getattr(value, node.attr)
+
+
 def _eval(node):
     if isinstance(node, ast.Expression):
         return _eval(node.body)
@@ -54,14 +80,12 @@ def _eval(node):
         return items if isinstance(node, ast.List) else tuple(items)
     if isinstance(node, ast.Dict):
         return {_eval(k): _eval(v) for k, v in zip(node.keys, node.values)}
-    if isinstance(node, ast.Name) and node.id in _NAMESPACES:
-        return _NAMESPACES[node.id]
     if isinstance(node, ast.Attribute):
-        if node.attr.startswith("_"):
-            raise ValueError(f"private attribute {node.attr!r} not allowed")
-        return getattr(_eval(node.value), node.attr)
+        return _name(node)
     if isinstance(node, ast.Call):
-        func = _eval(node.func)
+        if not isinstance(node.func, ast.Attribute):
+            raise ValueError("only F., T. and methods may be called")
+        func = _name(node.func)
         args = [_eval(a) for a in node.args]
         kwargs = {k.arg: _eval(k.value) for k in node.keywords}
         return func(*args, **kwargs)
@@ -108,11 +132,11 @@ def as_column(value) -> Column:
 #   ${run_date}   substituted as written (catalog SQL query, JDBC table)
 #   {$run_date}   substituted as a quoted literal (SQL-file transform)
 #   :run_date     Spark SQL named parameter (preferred)
-_QUOTED = re.compile(r"'(\$\{run_date\}|\{\$run_date\})'")
+_QUOTED = re.compile(r"""(['"])(\$\{run_date\}|\{\$run_date\})\1""")
 _BARE = re.compile(r"\$\{run_date\}|\{\$run_date\}")
 _EMBEDDED = re.compile(r"[A-Za-z0-9_]\$\{run_date\}|\$\{run_date\}[A-Za-z0-9_]")
-_LITERAL = re.compile(r"'(?:[^'\\]|\\.|'')*'")
-_TYPED = re.compile(r"\b(DATE|TIMESTAMP_NTZ|TIMESTAMP_LTZ|TIMESTAMP)\s*'(?:\$\{run_date\}|\{\$run_date\})'", re.IGNORECASE)
+_LITERAL = re.compile(r"""'(?:[^'\\]|\\.|'')*'|"(?:[^"\\]|\\.|"")*\"""")
+_TYPED = re.compile(r"\b(DATE|TIMESTAMP_NTZ|TIMESTAMP_LTZ|TIMESTAMP)\s*(['\"])(?:\$\{run_date\}|\{\$run_date\})\2", re.IGNORECASE)
 _PLACEHOLDERS = ("${run_date}", "{$run_date}")
 
 
@@ -149,9 +173,11 @@ def bind_run_date(sql_text: str, run_date) -> tuple[str, dict]:
 
 
 def substitute_run_date(text: str, run_date) -> str:
-    """Plain text substitution of ``${run_date}`` for source-side SQL
+    """Plain text substitution of the placeholders for source-side SQL
     (a JDBC ``dbtable`` subquery runs in the source database, where Spark
     parameters do not exist)."""
     if run_date is None:
         return text
-    return text.replace("${run_date}", str(run_date))
+    for p in _PLACEHOLDERS:
+        text = text.replace(p, str(run_date))
+    return text

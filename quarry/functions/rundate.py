@@ -34,13 +34,9 @@ def _check_step(step) -> int:
 
 def date_range(start, end, step=None) -> list[str]:
     """Dates from ``start`` to ``end`` inclusive, ``step`` days apart."""
-    step = _check_step(step)
-    cur, last = _as_date(start), _as_date(end)
-    out = []
-    while cur <= last:
-        out.append(cur.strftime(DATE_FORMAT))
-        cur += dt.timedelta(days=step)
-    return out
+    first, step = _as_date(start), _check_step(step)
+    steps = (_as_date(end) - first).days // step
+    return [(first + dt.timedelta(days=i * step)).strftime(DATE_FORMAT) for i in range(steps + 1)]
 
 
 def int_range(start: int, end: int) -> list[int]:

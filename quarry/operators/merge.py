@@ -13,13 +13,22 @@ Semantics (the ``MERGE`` a job's ``upsert`` mode describes):
   ``MERGE``); duplicate source keys that match nothing are all inserted,
   and duplicate target keys are each updated.
 
-Plan. The result is ``target LEFT JOIN source`` (updates and untouched
-rows) ``UNION ALL source LEFT ANTI JOIN target-keys`` (inserts). Unlike a
-full outer join, both joins let AQE split a hot key on their streamed
-side, and the target keys are de-duplicated map-side before they shuffle.
-The source is measured first (one aggregation, also used for the
-duplicate check); when it is small enough it is broadcast, so the target
-is scanned but never shuffled.
+Plan. The source is measured first (one aggregation, also used for the
+duplicate check).
+
+* Small against the target (under ``broadcast_bytes`` and a quarter of the
+  target's size): it is broadcast, so the target is never shuffled;
+  ``target LEFT JOIN source`` gives updated and untouched rows, ``source
+  LEFT ANTI JOIN target-keys`` the inserts, the keys being a second,
+  column-pruned scan.
+* Larger, without repeated keys: one ``FULL OUTER JOIN``, so either side is
+  read and shuffled once. Rows with a NULL key match nothing; a salt spreads
+  them, as NULLs would else all hash to one task. The source holds a key
+  once; a hot key could only be many equal keys in the target.
+* Larger, with repeated keys (which then match nothing): the two joins as
+  above without the broadcast, which AQE can split.
+
+Column names compare like Spark's (not by case).
 """
 
 from __future__ import annotations
@@ -29,10 +38,15 @@ from functools import reduce
 
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
+from pyspark.sql import types as T
 
-from quarry.operators.sizing import DEFAULT_BROADCAST_BYTES, row_width
+from quarry.operators.sizing import DEFAULT_BROADCAST_BYTES, plan_bytes, row_width
 
-_T, _S, _HIT = "__t", "__s", "__s_hit"
+_T, _S, _HIT, _SALT, _OLD = "__t", "__s", "__s_hit", "__salt", "__t_hit"
+SALTS = 1024
+# A source under this share of the target's bytes is worth a second scan of
+# the target's keys rather than a shuffle of the target.
+SMALL_SHARE = 0.25
 
 class DuplicateSourceKeyError(ValueError):
     pass
@@ -103,6 +117,32 @@ def check_duplicate_matches(
         )
 
 
+def _changed(tracked: list[str], null_safe: bool) -> Column:
+    """Whether a tracked column of the joined rows differs."""
+    pairs = [(_q(_T, c), _q(_S, c)) for c in tracked]
+    diffs = [~a.eqNullSafe(b) if null_safe else a != b for a, b in pairs]
+    return F.coalesce(reduce(Column.__or__, diffs), F.lit(False)) if diffs else F.lit(False)
+
+
+def _one_pass(target: DataFrame, source: DataFrame, keys: list[str], tracked: list[str], null_safe: bool) -> DataFrame:
+    """Both sides read and shuffled once; see the module's text."""
+
+    def salted(df: DataFrame, hit: str) -> DataFrame:
+        no_match = reduce(Column.__or__, [F.col(f"`{k}`").isNull() for k in keys])
+        spread = F.pmod(F.xxhash64(*[F.col(f"`{f.name}`") for f in df.schema.fields if not isinstance(f.dataType, T.MapType)]), F.lit(SALTS))
+        return df.select("*", F.when(no_match, spread).otherwise(F.lit(0)).alias(_SALT), F.lit(True).alias(hit))
+
+    t, s = salted(target, _OLD).alias(_T), salted(source, _HIT).alias(_S)
+    both = t.join(s, _key_condition([*keys, _SALT], _T, _S), "full")
+    old, update = _q(_T, _OLD).isNotNull(), _q(_S, _HIT).isNotNull() & _changed(tracked, null_safe)
+    out = []
+    for f in target.schema.fields:
+        new = _q(_S, f.name) if f.name in source.columns else F.lit(None)
+        kept = F.when(update, new).otherwise(_q(_T, f.name)) if f.name in tracked else _q(_T, f.name)
+        out.append(F.when(old, kept).otherwise(new).cast(f.dataType).alias(f.name))
+    return both.select(*out)
+
+
 def merge_changes(
     target: DataFrame,
     source: DataFrame,
@@ -110,13 +150,18 @@ def merge_changes(
     tracked: list[str],
     null_safe: bool = False,
     broadcast_source: bool = False,
+    unique_source: bool = False,
 ) -> DataFrame:
     """The merged table (target columns, target order), lazily.
 
     ``broadcast_source`` must only be set when the source size has been
-    checked (see ``plan_merge``).
+    checked, ``unique_source`` when no non-NULL key repeats in the source
+    (see ``plan_merge``).
     """
     cols = target.columns
+    spelled = {c.lower(): c for c in cols}
+    source = source.select(*[F.col(f"`{c}`").alias(spelled.get(c.lower(), c)) for c in source.columns])
+    keys, tracked = [spelled.get(c.lower(), c) for c in keys], [spelled.get(c.lower(), c) for c in tracked]
     missing = [c for c in list(keys) + list(tracked) if c not in cols or c not in source.columns]
     if missing:
         raise ValueError(f"key/tracked columns missing from target or source: {missing}")
@@ -126,17 +171,14 @@ def merge_changes(
     if not keys:
         raise ValueError("an upsert needs at least one key column")
 
+    if unique_source and not broadcast_source:
+        return _one_pass(target, source, keys, tracked, null_safe)
     src = source.withColumn(_HIT, F.lit(True))
     src_side = F.broadcast(src) if broadcast_source else src
     t, s = target.alias(_T), src_side.alias(_S)
     on = _key_condition(keys, _T, _S)
 
-    if null_safe:
-        diffs = [~_q(_T, c).eqNullSafe(_q(_S, c)) for c in tracked]
-    else:
-        diffs = [_q(_T, c) != _q(_S, c) for c in tracked]
-    changed = reduce(lambda a, b: a | b, diffs) if diffs else F.lit(False)
-    update = _q(_S, _HIT).isNotNull() & F.coalesce(changed, F.lit(False))
+    update = _q(_S, _HIT).isNotNull() & _changed(tracked, null_safe)
 
     types = {f.name: f.dataType for f in target.schema.fields}
     # Every output column keeps the target's type, so a narrower source
@@ -189,5 +231,7 @@ def plan_merge(
     prof = profile_source(source, keys)
     if prof.max_rows_per_key > 1:
         check_duplicate_matches(target, source, keys, prof.dup_keys, broadcast_bytes)
-    small = prof.est_bytes <= broadcast_bytes
-    return merge_changes(target, source, keys, tracked, null_safe, broadcast_source=small)
+    small = prof.est_bytes <= min(broadcast_bytes, SMALL_SHARE * plan_bytes(target))
+    return merge_changes(
+        target, source, keys, tracked, null_safe, broadcast_source=small, unique_source=prof.max_rows_per_key <= 1
+    )

@@ -29,13 +29,17 @@ def row_width(schema: T.StructType) -> int:
     return width
 
 
+def plan_bytes(df: DataFrame) -> int:
+    """The planner's estimate of a frame's size (file sizes, for a scan)."""
+    return int(df._jdf.queryExecution().optimizedPlan().stats().sizeInBytes())
+
+
 def fits_broadcast(df: DataFrame, max_bytes: int = DEFAULT_BROADCAST_BYTES, max_rows: int | None = None) -> bool:
     """Whether ``df`` is under ``max_bytes`` (and ``max_rows``, if given).
 
-    Counts at most one row past the bound (a limit, so no task reads more
-    than that), never the whole frame.
+    One count, combined in each task, so no task holds the rows.
     """
     bound = max_bytes // max(row_width(df.schema), 1)
     if max_rows is not None:
         bound = min(bound, int(max_rows))
-    return df.limit(bound + 1).count() <= bound
+    return df.count() <= bound

@@ -68,14 +68,11 @@ def order_counts(orders: DataFrame, run_date) -> DataFrame:
 
 def top_users(customers: DataFrame, orders: DataFrame, run_date, k: int = 10, ascending: bool = False) -> DataFrame:
     """Customer rows of the k customers with the most (``ascending``:
-    fewest) straddling completed orders. The k-row side is broadcast: its
-    size is bounded by k, not by the data."""
-    top = top_k(order_counts(orders, run_date), "order_count", k, ascending, tie_break=["customer_id"])
-    return (
-        customers.alias("a")
-        .join(F.broadcast(top).alias("b"), F.col("a.id") == F.col("b.customer_id"), "inner")
-        .select("a.*")
-    )
+    fewest) straddling completed orders. The k ids are broadcast: their
+    number is bounded by k, not by the data."""
+    ids = top_k(order_counts(orders, run_date), "order_count", k, ascending, tie_break=["customer_id"])
+    ids = F.broadcast(ids.select(F.col("customer_id").alias("id")))
+    return customers.join(ids, "id", "left_semi").select(*customers.columns)
 
 
 @transform_function("top_user", outputs=("top_user",))

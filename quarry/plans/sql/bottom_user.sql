@@ -1,21 +1,13 @@
--- Customers with the fewest completed orders that straddle the run date
--- (created before it, last touched on or after it): count per customer,
--- the ten lowest counts (ties broken on customer id), customer rows back.
-WITH completed AS (
+-- The customers with the fewest straddling completed orders: an order
+-- straddles the run date if it was created before that day began and last
+-- touched when it had begun. Equal counts go by customer id.
+SELECT customers.*
+FROM customers
+LEFT SEMI JOIN (
     SELECT customer_id
     FROM orders
-    WHERE updated_at >= :run_date
-      AND created_at < :run_date
-      AND status = 'Completed'
-),
-per_customer AS (
-    SELECT customer_id, count(1) AS n_orders
-    FROM completed
+    WHERE status = 'Completed' AND created_at < :run_date AND NOT updated_at < :run_date
     GROUP BY customer_id
-),
-lowest AS (
-    SELECT customer_id FROM per_customer ORDER BY n_orders, customer_id LIMIT 10
-)
-SELECT c.*
-FROM customers c
-JOIN lowest l ON c.id = l.customer_id
+    ORDER BY count(*), customer_id
+    LIMIT 10
+) AS fewest ON customers.id = fewest.customer_id

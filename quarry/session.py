@@ -80,6 +80,12 @@ def _size_initial_shuffles(spark: SparkSession) -> None:
     spark.conf.set(INITIAL_PARTITIONS, str(max(base, 4 * cores)))
 
 
+def is_shared(path: str) -> bool:
+    """Whether a folder is named with the scheme of a shared store."""
+    scheme, colon, _ = path.partition(":")
+    return bool(colon) and "/" not in scheme and scheme != "file"
+
+
 def scratch_root(spark: SparkSession) -> str:
     """The shared folder for intermediate tables and checkpoints.
 
@@ -92,6 +98,11 @@ def scratch_root(spark: SparkSession) -> str:
         root = spark.sparkContext.getCheckpointDir()
     if not root:
         root = spark.conf.get("spark.sql.warehouse.dir").rstrip("/") + "/_checkpoints"
+        if not spark.sparkContext.master.startswith("local") and not is_shared(root):
+            raise ValueError(
+                f"{root} is a folder of each machine: name a shared one in spark.checkpoint.dir, "
+                "where executors find each other's intermediate tables"
+            )
         spark.sparkContext.setCheckpointDir(root)
     elif not spark.sparkContext.getCheckpointDir():
         spark.sparkContext.setCheckpointDir(root)
@@ -112,3 +123,11 @@ def materialize(spark: SparkSession, df, tag: str):
     path = new_work_dir(spark, tag)
     df.write.parquet(path)
     return spark.read.parquet(path)
+
+
+def remove(spark: SparkSession, path: str) -> None:
+    """Delete a folder that ``new_work_dir`` named, once nothing reads it."""
+    if not path.startswith(f"{scratch_root(spark)}/quarry/"):
+        raise ValueError(f"{path} is no intermediate folder")
+    target = spark._jvm.org.apache.hadoop.fs.Path(path)
+    target.getFileSystem(spark._jsc.hadoopConfiguration()).delete(target, True)

@@ -20,8 +20,11 @@ JSON_OPTIONS = {
 
 
 def json_events(df: DataFrame, key_cols: list[str], value_cols: list[str] | None = None) -> DataFrame:
+    """``key`` is the key column as text, NULL for NULL; of several columns
+    it is a JSON array of their texts, so that different values, NULLs and
+    values with separators among them, never give the same key."""
     key_parts = [F.col(c).cast("string") for c in key_cols]
-    key = key_parts[0] if len(key_parts) == 1 else F.concat_ws("|", *key_parts)
+    key = key_parts[0] if len(key_parts) == 1 else F.to_json(F.array(*key_parts))
     value_cols = value_cols or df.columns
     return df.select(
         key.alias("key"),

@@ -1,11 +1,13 @@
 """Table sinks: append, full overwrite, partition overwrite, upsert.
 
 Config keys: ``table_name`` (``table``, ``db.table`` or
-``catalog.db.table``; the catalog part is ignored for file tables),
-``path`` (default ``<warehouse>/<db>/<table>``), ``partition_by``,
-``format`` (default per writer; ``parquet`` when the writer's table
-format is not installed), ``first`` (re-register the table),
-``merge_schema`` (read back with Parquet schema merging), ``rebalance``
+``catalog.db.table``; file tables live in the session catalog, so there
+the catalog part is ignored), ``path`` (default
+``<warehouse>/<db>/<table>``), ``partition_by``, ``format`` (default per
+writer; a writer whose table format is not configured raises unless the
+config asks for another one), ``first`` (register the table at its path
+again; a table with versions stays at its current one), ``merge_schema``
+(an append may bring new columns), ``rebalance``
 (default true: partitioned writes are laid out per partition value, see
 ``rebalanced``; set false when every write holds one partition value,
 such as one run date per backfill run), ``bucket_by`` (``{"columns": [...],
@@ -15,26 +17,34 @@ such as one run date per backfill run), ``bucket_by`` (``{"columns": [...],
 File tables (Parquet, ORC, ...) are written with Spark's commit protocol,
 so a lost executor only re-runs its tasks. ``overwrite`` replaces every
 partition; ``overwrite_partition`` replaces only the partitions present in
-the new data (set per write, never through the session). An upsert on a
-file table writes the merged table to a new version folder and then
-re-points the catalog entry in one metadata operation, so a failed run
-leaves the previous version in place. Delta / Iceberg tables, when their
-jars are present, use their own ``writeTo`` / ``MERGE`` support.
+the new data (set per write, never through the session). Appends and
+partition overwrites keep the table's schema: columns the data lacks are
+NULL, new ones need ``merge_schema``, and a column of another type is an
+error before anything is written.
+
+An upsert on a file table writes the merged table to a new version folder,
+names it current on storage in one rename (see ``versions``) and then lets
+the catalog entry follow. A run that fails at any point leaves a readable
+table, and the next write starts from the version named on storage, with
+or without a catalog entry. Old versions are kept for readers that still
+use them; to reclaim space delete folders under ``_versions`` other than
+the one ``_versions/_current`` names (never by age alone). Delta / Iceberg
+tables, when configured, use their own ``writeTo`` / ``MERGE`` support.
 """
 
 from __future__ import annotations
 
 import logging
-import time
 import uuid
+from functools import reduce
 
-from pyspark.sql import DataFrame, SparkSession
-from pyspark.sql import Observation
+from pyspark.sql import Column, DataFrame, Observation, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
 from quarry.operators.merge import DEFAULT_BROADCAST_BYTES, plan_merge
-from quarry.session import materialize
+from quarry.session import new_work_dir, remove
+from quarry.sinks import versions
 
 log = logging.getLogger(__name__)
 
@@ -52,35 +62,36 @@ FORMAT_BY_WRITER = {
 
 
 def split_table_name(name: str) -> tuple[str | None, str]:
+    """Database and table of a name of one to three parts."""
+    return _name_parts(name)[1:]
+
+
+def _name_parts(name: str) -> tuple[str | None, str | None, str]:
     parts = [p.strip("`") for p in name.split(".")]
-    if len(parts) == 1:
-        return None, parts[0]
-    if len(parts) in (2, 3):
-        return parts[-2], parts[-1]
-    raise ValueError(f"table name {name!r} must have one to three parts")
+    if not 1 <= len(parts) <= 3:
+        raise ValueError(f"table name {name!r} must have one to three parts")
+    return tuple([None] * (3 - len(parts)) + parts)
 
 
-def qualified(db: str | None, table: str) -> str:
-    return f"`{db}`.`{table}`" if db else f"`{table}`"
+def qualified(*parts: str | None) -> str:
+    return ".".join(f"`{p}`" for p in parts if p)
 
 
-def format_available(spark: SparkSession, fmt: str) -> bool:
+def format_available(spark: SparkSession, fmt: str, catalog: str | None = None) -> bool:
     """Whether the session is set up for a table format with its own
-    transactions (its extension or catalog is configured)."""
+    transactions: by its extension, or by the catalog a table is in."""
     if fmt not in V2_FORMATS:
         return True
-    confs = " ".join(
-        str(spark.conf.get(k, "") or "")
-        for k in ("spark.sql.extensions", "spark.sql.catalog.spark_catalog")
-    ).lower()
-    return fmt in confs
+    keys = ["spark.sql.extensions", "spark.sql.catalog.spark_catalog"]
+    keys += [f"spark.sql.catalog.{catalog}"] if catalog else []
+    return any(fmt in str(spark.conf.get(k, "") or "").lower() for k in keys)
 
 
 def resolve_format(spark: SparkSession, config: dict, writer: str | None) -> str:
     fmt = config.get("format") or FORMAT_BY_WRITER.get(writer or "", "parquet")
-    if fmt in V2_FORMATS and not format_available(spark, fmt):
-        log.warning("%s is not configured in this session; writing parquet", fmt)
-        fmt = "parquet"
+    catalog = _name_parts(config["table_name"])[0] if config.get("table_name") else None
+    if not format_available(spark, fmt, catalog):
+        raise ValueError(f"{fmt} is not configured in this session; configure it or ask for another \"format\"")
     return fmt
 
 
@@ -90,24 +101,29 @@ def table_location(spark: SparkSession, name: str) -> str | None:
         return None
     rows = spark.sql(f"DESCRIBE TABLE EXTENDED {name}").filter(F.col("col_name") == "Location")
     row = rows.select("data_type").first()
-    return row[0] if row else None
-
-
-def _plain_path(p: str) -> str:
-    if p.startswith("file:"):
-        p = "/" + p[len("file:"):].lstrip("/")
-    return p.rstrip("/")
+    # The catalog shows the folder as an encoded URI.
+    return spark._jvm.org.apache.hadoop.fs.Path(spark._jvm.java.net.URI(row[0])).toString() if row else None
 
 
-def _same_location(a: str | None, b: str) -> bool:
-    return a is not None and _plain_path(a) == _plain_path(b)
+def _same_location(spark: SparkSession, a: str | None, b: str) -> bool:
+    return a is not None and versions.qualified_path(spark, a) == versions.qualified_path(spark, b)
 
 
-def reads_path(df: DataFrame, path: str) -> bool:
-    """Whether ``df`` reads files under ``path`` (file names only, from the
-    scan's own listing)."""
-    prefix = _plain_path(path) + "/"
-    return any(_plain_path(f).startswith(prefix) for f in df.inputFiles())
+def _swap(spark: SparkSession, stage: str, name: str) -> None:
+    """Put the entry ``stage`` in the place of ``name``. Entries are
+    external, so no files move. If the second step fails the old entry is
+    put back under its name before the error goes on."""
+    if not spark.catalog.tableExists(name):
+        spark.sql(f"ALTER TABLE {stage} RENAME TO {name}")
+        return
+    old = name[:-1] + f"__{uuid.uuid4().hex[:12]}`"
+    spark.sql(f"ALTER TABLE {name} RENAME TO {old}")
+    try:
+        spark.sql(f"ALTER TABLE {stage} RENAME TO {name}")
+    except Exception:
+        spark.sql(f"ALTER TABLE {old} RENAME TO {name}")
+        raise
+    spark.sql(f"DROP TABLE IF EXISTS {old}")
 
 
 def register_table(
@@ -140,42 +156,66 @@ def register_table(
     for a table already registered there only those are added, instead of
     listing the whole folder.
 
-    Created when missing; re-created when ``force`` (a job's ``first``),
-    when it points elsewhere, or when the data written brings ``columns``
-    the entry does not have. External tables: dropping the entry never
-    deletes data.
+    Created when missing. A change of place or of columns is one ``ALTER``
+    where the catalog has one, else a new entry is made in full and then
+    put in the old one's place (``_swap``). External tables: dropping an
+    entry never deletes data.
     """
     if schema is not None and columns is None:
         columns = schema.fieldNames()
-    current = table_location(spark, name)
-    if current is not None and not force and _same_location(current, path):
-        listed = spark.catalog.listColumns(name)
-        known = {c.name for c in listed}
-        same = set(columns or known) == known and [c.name for c in listed if c.isPartition] == list(partition_by)
-        if (not columns or set(columns) <= known) and (same or not first):
-            if partition_by:
-                # Appends and dynamic overwrites only add partitions; the
-                # catalog learns the new ones (existing ones are kept).
-                if not add_partitions(spark, name, partition_by, written):
-                    _recover_partitions(spark, name)
-            spark.catalog.refreshTable(name)
-            return
+    if not spark.catalog.tableExists(name):
+        _create(spark, name, fmt, path, partition_by, list(schema.fields) if schema is not None else None)
+        return
+    moved = not _same_location(spark, table_location(spark, name), path)
+    old = spark.table(name).schema
+    listed = [c.name for c in spark.catalog.listColumns(name) if c.isPartition]
+    known = {f.name.lower(): f.dataType for f in old.fields}
+    new = [f for f in (schema.fields if schema is not None else []) if f.name.lower() not in known]
+    same_types = schema is None or all(known.get(f.name.lower(), f.dataType) == f.dataType for f in schema.fields)
+    gone = bool(columns) and not set(known) <= {c.lower() for c in columns} | {f.name.lower() for f in new}
+    replaces = (force or first) and not merge_schema and (gone or new or not same_types)
+    if replaces or listed != list(partition_by) or not same_types or (moved and partition_by):
+        fields = None if schema is None else list(schema.fields)
+        if fields is not None and not replaces:
+            fields = [f for f in old.fields if f.name.lower() not in {x.name.lower() for x in fields}] + fields
+        stage = name[:-1] + f"__{uuid.uuid4().hex[:12]}`"
+        _create(spark, stage, fmt, path, partition_by, fields)
+        _swap(spark, stage, name)
+        spark.catalog.refreshTable(name)
+        return
+    if new:
+        spark.sql(f"ALTER TABLE {name} ADD COLUMNS ({T.StructType(new).toDDL()})")
+    if moved:
+        spark.sql(f"ALTER TABLE {name} SET LOCATION '{_quoted(path)}'")
+    elif partition_by and fmt not in V2_FORMATS and _tracks_partitions(spark, name):
+        if force:  # a full overwrite: partitions may be gone
+            spark.sql(f"MSCK REPAIR TABLE {name} SYNC PARTITIONS")
+        elif not add_partitions(spark, name, partition_by, written):
+            spark.sql(f"ALTER TABLE {name} RECOVER PARTITIONS")
+    spark.catalog.refreshTable(name)
+
+
+def _quoted(path: str) -> str:
+    return path.replace("\\", "\\\\").replace("'", "\\'")
+
+
+def _create(spark: SparkSession, name: str, fmt: str, path: str, partition_by: list[str], fields) -> None:
     declared, partitioned = "", ""
-    if schema is not None:
-        fields = list(schema.fields)
-        if merge_schema and current is not None:
-            old = spark.table(name).schema
-            fields = list(old.fields) + [f for f in fields if f.name not in set(old.fieldNames())]
+    if fields is not None and fmt not in V2_FORMATS:  # those keep their own schema
         declared, partitioned = _declared_columns(fields, partition_by)
-    if current is not None:
-        spark.sql(f"DROP TABLE IF EXISTS {name}")
-    options = " OPTIONS (mergeSchema 'true')" if merge_schema else ""
-    spark.sql(f"CREATE TABLE {name}{declared} USING {fmt}{options}{partitioned} LOCATION '{path}'")
-    if partition_by:
-        _recover_partitions(spark, name)
+    spark.sql(f"CREATE TABLE {name}{declared} USING {fmt}{partitioned} LOCATION '{_quoted(path)}'")
+    if partition_by and fmt not in V2_FORMATS and _tracks_partitions(spark, name):
+        spark.sql(f"ALTER TABLE {name} RECOVER PARTITIONS")
     spark.catalog.refreshTable(name)
 
 
+def _tracks_partitions(spark: SparkSession, name: str) -> bool:
+    """Whether the catalog lists the table's partitions (else Spark lists
+    the folder when it reads)."""
+    rows = spark.sql(f"DESCRIBE TABLE EXTENDED {name}").filter("col_name = 'Partition Provider'").select("data_type").take(1)
+    return bool(rows) and rows[0][0].lower() == "catalog"
+
+
 def _declared_columns(fields: list[T.StructField], partition_by: list[str]) -> tuple[str, str]:
     """Column list (partition columns last, as Spark stores them) and
     ``PARTITIONED BY`` clause of a CREATE TABLE, as two clauses."""
@@ -186,7 +226,8 @@ def _declared_columns(fields: list[T.StructField], partition_by: list[str]) -> t
     return cols, parts
 
 
-# Most partition values added by name; beyond it the folder is listed.
+# Most partition values an upsert names one by one (in the scan's filter and
+# in the catalog); beyond it they are joined, and the folder is listed.
 MAX_ADDED_PARTITIONS = 10_000
 _PLAIN_PARTITION_TYPES = (T.StringType, T.IntegerType, T.LongType, T.ShortType, T.ByteType, T.DateType,
                           T.BooleanType)
@@ -225,15 +266,6 @@ def add_partitions(spark: SparkSession, name: str, partition_by: list[str], writ
     return True
 
 
-def _recover_partitions(spark: SparkSession, name: str) -> None:
-    """Bring the catalog's partition list up to date with the folder (a
-    listing Spark spreads over the cluster when there are many)."""
-    try:
-        spark.sql(f"ALTER TABLE {name} RECOVER PARTITIONS")
-    except Exception:  # catalogs that do not track partitions
-        pass
-
-
 def rebalanced(df: DataFrame, partition_by: list[str]) -> DataFrame:
     """Lay out a partitioned write: rows of one partition value are
     brought together, so each value gets a few files instead of one per
@@ -253,7 +285,7 @@ class TableSink:
     the merged rows come out already in bucket order for the write: the
     target, the large side, is never shuffled. Spark writes bucketed files
     only through the catalog, so every overwrite or upsert writes a new
-    version as an external table and renames it over the old entry;
+    version as an external table and puts its entry in the old one's place;
     appends insert into the table, and partition overwrites insert with
     the table's own dynamic overwrite mode (stored with it, so the
     session's setting does not matter).
@@ -266,48 +298,101 @@ class TableSink:
         self.fmt = resolve_format(spark, config, writer)
         self.partition_by = list(config.get("partition_by") or [])
         name = config.get("table_name")
-        self.db, self.table = split_table_name(name) if name else (None, None)
-        self.name = qualified(self.db, self.table) if self.table else None
+        catalog, self.db, self.table = _name_parts(name) if name else (None, None, None)
+        # File tables are entries of the session catalog.
+        self.catalog = catalog if self.fmt in V2_FORMATS and catalog != "spark_catalog" else None
+        self.name = qualified(self.catalog, self.db, self.table) if self.table else None
 
     # -- helpers ---------------------------------------------------------
     def _ensure_database(self) -> None:
         if self.db:
             loc = self.config.get("database_location")
-            where = f" LOCATION '{loc}'" if loc else ""
-            self.spark.sql(f"CREATE DATABASE IF NOT EXISTS `{self.db}`{where}")
+            where = f" LOCATION '{_quoted(loc)}'" if loc else ""
+            self.spark.sql(f"CREATE DATABASE IF NOT EXISTS {qualified(self.catalog, self.db)}{where}")
 
-    def path(self) -> str:
-        """Where file data goes: the table's current location (an upsert
-        may have moved it), else the configured or default path."""
-        if self.name:
-            current = table_location(self.spark, self.name)
-            if current is not None and not self.config.get("first"):
-                return current
+    def _base_path(self) -> str:
+        """The folder the table's versions lie under."""
         if self.config.get("path"):
-            return self.config["path"]
+            return self.config["path"].rstrip("/")
         if not self.table:
             raise ValueError("a table sink needs 'table_name' or 'path'")
+        entry = table_location(self.spark, self.name)
+        if entry is not None:
+            return versions.base_of(entry)
         warehouse = self.spark.conf.get("spark.sql.warehouse.dir").rstrip("/")
         return f"{warehouse}/{self.db or 'default'}/{self.table}"
 
+    def path(self) -> str:
+        """Where the table's files are: the version named on storage; else
+        where the catalog has it, unless ``first`` takes it (back) to the
+        configured path; else the configured or default path."""
+        base = self._base_path()
+        named = versions.current(self.spark, base)
+        if named is not None:
+            return named
+        entry = table_location(self.spark, self.name) if self.name else None
+        if entry is not None:
+            of_base = _same_location(self.spark, versions.base_of(entry), base)
+            if of_base or not self.config.get("first"):
+                return versions.current(self.spark, versions.base_of(entry)) or entry
+        return base
+
+    def _stored(self, like: T.StructType) -> DataFrame | None:
+        """The table as it is: by its entry if that is where the files are,
+        else read from storage; None if there is none yet. ``like`` gives
+        the types of partition columns, which folder names do not hold."""
+        path = self.path()
+        if self.name and _same_location(self.spark, table_location(self.spark, self.name), path):
+            return self.spark.table(self.name)
+        if not versions.holds_data(self.spark, path):
+            return None
+        reader = self.spark.read.format(self.fmt)
+        schema = reader.load(path).schema
+        types = {f.name.lower(): f.dataType for f in like.fields}
+        for f in schema.fields:
+            if f.name in self.partition_by:
+                f.dataType = types.get(f.name.lower(), f.dataType)
+        return reader.schema(schema).load(path)
+
+    def _aligned(self, df: DataFrame, stored: DataFrame | None) -> DataFrame:
+        """``df`` with the stored table's columns: see the module's text."""
+        if stored is None:
+            return df
+        have = {f.name.lower(): f for f in df.schema.fields}
+        known = {f.name.lower() for f in stored.schema.fields}
+        new = [f.name for k, f in have.items() if k not in known]
+        if new and not self.config.get("merge_schema"):
+            raise ValueError(f"{self.name or self.path()} has no columns {new} (set merge_schema to add them)")
+        other = [
+            f"{f.name}: {f.dataType.simpleString()} in the table, {have[f.name.lower()].dataType.simpleString()} in the data"
+            for f in stored.schema.fields
+            if f.name.lower() in have and have[f.name.lower()].dataType != f.dataType
+        ]
+        if other:
+            raise ValueError(f"column types differ in {self.name or self.path()}: " + "; ".join(other))
+        columns = [
+            F.col(f"`{have[f.name.lower()].name}`").alias(f.name) if f.name.lower() in have else F.lit(None).cast(f.dataType).alias(f.name)
+            for f in stored.schema.fields
+        ]
+        return df.select(*columns, *[F.col(f"`{n}`") for n in new])
+
     def _bucket_spec(self) -> tuple[int, list[str]] | None:
         spec = self.config.get("bucket_by")
         if not spec:
             return None
         return int(spec["buckets"]), list(spec["columns"])
 
-    def _base_path(self) -> str:
-        if self.config.get("path"):
-            return self.config["path"]
-        return self.path().split("/_versions/")[0]
-
-    def _save_bucketed_version(self, df: DataFrame) -> str:
+    def _save_bucketed_version(self, df: DataFrame, aligned: bool = False) -> str:
         """Write ``df`` as a new version of the bucketed table and point
         the table's name at it (the old version's files stay in place)."""
         n, cols = self._bucket_spec()
         self._ensure_database()
-        version = self._new_version(self._base_path())
+        version = versions.new_version(self._base_path())
         stage = qualified(self.db, f"{self.table}__{uuid.uuid4().hex[:12]}")
+        if not aligned:
+            # One task per bucket, else every task writes a file for every
+            # bucket it has rows of.
+            df = df.repartition(n, *cols)
         writer = (
             df.write.format(self.fmt).mode("errorifexists")
             .bucketBy(n, *cols).sortBy(*cols).option("path", version)
@@ -318,42 +403,54 @@ class TableSink:
             # session's setting.
             writer = writer.partitionBy(*self.partition_by).option("partitionOverwriteMode", "dynamic")
         writer.saveAsTable(stage)
-        self.spark.sql(f"DROP TABLE IF EXISTS {self.name}")  # external: files are kept
-        self.spark.sql(f"ALTER TABLE {stage} RENAME TO {self.name}")
+        versions.set_current(self.spark, version)
+        _swap(self.spark, stage, self.name)
         self.spark.catalog.refreshTable(self.name)
         return version
 
     def _bucketed(self, mode: str, df: DataFrame) -> None:
         if not self.name:
             raise ValueError("a bucketed table needs 'table_name'")
-        exists = self.spark.catalog.tableExists(self.name)
-        if mode == "append" and exists:
-            cols = self.spark.table(self.name).columns
-            df.select(*cols).write.insertInto(self.name)
+        stored = self._stored(df.schema)
+        entry = stored is not None and _same_location(self.spark, table_location(self.spark, self.name), self.path())
+        if mode == "append" and stored is not None:
+            df = self._aligned(df, stored)
+            if entry and df.columns == stored.columns:
+                df.write.insertInto(self.name)
+            else:  # new columns, or files without a catalog entry
+                self._save_bucketed_version(stored.unionByName(df, allowMissingColumns=True))
             return
-        if mode == "overwrite_partition" and exists and self.partition_by:
+        if mode == "overwrite_partition" and entry and self.partition_by:
             props = self.spark.sql(f"DESCRIBE TABLE EXTENDED {self.name}").filter(
                 F.col("col_name") == "Storage Properties").select("data_type").first()
             if not props or "partitionOverwriteMode=dynamic" not in props[0]:
                 raise ValueError(f"{self.name} was not created for partition overwrites; overwrite it once first")
-            cols = self.spark.table(self.name).columns
-            df.select(*cols).write.insertInto(self.name, overwrite=True)
+            self._aligned(df, stored).select(*stored.columns).write.insertInto(self.name, overwrite=True)
             return
+        if mode == "overwrite_partition" and stored is not None and self.partition_by:
+            raise ValueError(f"{self.path()} holds a bucketed table without a catalog entry; upsert or append to it first")
         if mode == "upsert":
-            keys = list(self.config["primary_key"])
-            target = self.spark.table(self.name) if exists else self.spark.createDataFrame([], df.schema)
-            source = self._pinned(df)
-            merged = plan_merge(
-                target, source, keys, list(self.config.get("change_tracking_column") or []),
-                bool(self.config.get("null_safe", False)),
-                broadcast_bytes=int(self.config.get("broadcast_bytes", DEFAULT_BROADCAST_BYTES)),
-            )
-            self._save_bucketed_version(merged)
+            self._upsert_whole(df, stored, self._save_bucketed_version)
             return
         # overwrite; the first append; a partition overwrite of a new or
         # unpartitioned table (which replaces all of it)
         self._save_bucketed_version(df)
 
+    def _upsert_whole(self, df: DataFrame, stored: DataFrame | None, save) -> None:
+        """Merge with the whole stored table and save the result."""
+        source = self._pinned(df)
+        merged = plan_merge(
+            self.spark.createDataFrame([], df.schema) if stored is None else stored,
+            source, list(self.config["primary_key"]), list(self.config.get("change_tracking_column") or []),
+            bool(self.config.get("null_safe", False)),
+            broadcast_bytes=int(self.config.get("broadcast_bytes", DEFAULT_BROADCAST_BYTES)),
+        )
+        save(merged)
+        self._unpin()
+
+    def _unpin(self) -> None:
+        remove(self.spark, self._pin)
+
     def _pinned(self, df: DataFrame) -> DataFrame:
         """The upsert source, written once as Parquet in the shared scratch
         folder. The profile, the update join and the insert join all read
@@ -361,59 +458,75 @@ class TableSink:
         executor's part is read back from the files instead of being
         recomputed from a source that may have changed since (a database,
         a growing folder)."""
-        return materialize(self.spark, df, "upsert_source")
+        self._pin = new_work_dir(self.spark, "upsert_source")
+        df.write.parquet(self._pin)
+        return self.spark.read.parquet(self._pin)
 
     def _layout(self, df: DataFrame) -> DataFrame:
         if self.config.get("rebalance", True):
             return rebalanced(df, self.partition_by)
         return df
 
-    def _new_version(self, base: str) -> str:
-        return f"{base.rstrip('/')}/_versions/{int(time.time() * 1000)}-{uuid.uuid4().hex[:8]}"
-
     def _write_files(self, df: DataFrame, mode: str, overwrite_mode: str | None = None) -> str:
         self._ensure_database()
         path = self.path()
-        if overwrite_mode == "static" and self.fmt not in V2_FORMATS and reads_path(df, path):
+        if self.fmt not in V2_FORMATS and overwrite_mode != "static":
+            df = self._aligned(df, self._stored(df.schema))
+        if overwrite_mode == "static" and self.fmt not in V2_FORMATS and versions.reads_path(df, path):
             # A static overwrite deletes the folder before the job reads
             # it. Write a new version instead and re-point the table.
             if not self.name:
                 raise ValueError(f"cannot overwrite {path}: the data is read from it (give a table_name)")
-            path = self._new_version(path.split("/_versions/")[0])
+            path = versions.new_version(versions.base_of(path))
             mode = "errorifexists"
         seen = None
-        if self.name and self.partition_by and overwrite_mode != "static":
-            # The partition values this write produces, gathered by the
-            # write job itself (one set per task, merged on the driver;
-            # as many entries as partitions written).
+        if self.name and self.partition_by and overwrite_mode != "static" and self.fmt not in V2_FORMATS:
+            # Whether this write holds one partition value, as a dated run
+            # does, gathered by the write job itself: a few numbers,
+            # however many partitions there are.
             seen = Observation(f"partitions_{uuid.uuid4().hex[:8]}")
-            df = df.observe(seen, F.collect_set(F.struct(*self.partition_by)).alias("parts"))
+            df = df.observe(
+                seen, F.count(F.lit(1)).alias("n"),
+                *[f(c).alias(f"{k}{i}") for i, c in enumerate(self.partition_by) for k, f in (("lo", F.min), ("hi", F.max), ("n", F.count))],
+            )
         writer = self._layout(df).write.format(self.fmt).mode(mode)
         if self.partition_by:
             writer = writer.partitionBy(*self.partition_by)
         if overwrite_mode:
             writer = writer.option("partitionOverwriteMode", overwrite_mode)
+        if self.config.get("merge_schema") and self.fmt == "delta":
+            writer = writer.option("mergeSchema", "true")
         writer.save(path)
-        written = None
-        if seen is not None:
-            try:
-                written = [r.asDict() for r in seen.get["parts"]]
-            except Exception:  # no metrics (an empty write planned away): list the folder
-                written = None
+        if mode == "errorifexists":
+            versions.set_current(self.spark, path)
         if self.name:
             # A static overwrite of a partitioned table may have removed
-            # partitions: register it afresh so the catalog drops them.
-            replaced = overwrite_mode == "static" and bool(self.partition_by)
+            # partitions, and any overwrite may have changed the columns.
             register_table(
                 self.spark, self.name, self.fmt, path, self.partition_by,
-                force=replaced,
+                force=overwrite_mode == "static",
                 first=bool(self.config.get("first")),
-                merge_schema=bool(self.config.get("merge_schema")),
-                written=written,
+                merge_schema=overwrite_mode != "static",
+                written=self._one_partition(seen),
                 schema=df.schema,
             )
         return path
 
+    def _one_partition(self, seen: Observation | None) -> list[dict] | None:
+        """The one partition a write produced ([] for an empty write), None
+        if there may be more."""
+        try:
+            got = seen.get if seen is not None else None
+        except Exception as e:  # an empty write planned away has no metrics
+            log.info("no write metrics (%s); partitions are listed", e)
+            return None
+        if not got:
+            return None
+        if got["n"] == 0:
+            return []
+        one = all(got[f"n{i}"] == got["n"] and got[f"lo{i}"] == got[f"hi{i}"] for i in range(len(self.partition_by)))
+        return [{c: got[f"lo{i}"] for i, c in enumerate(self.partition_by)}] if one else None
+
     def _v2_writer(self, df: DataFrame):
         self._ensure_database()
         if not self.spark.catalog.tableExists(self.name):
@@ -461,57 +574,52 @@ class TableSink:
             self._bucketed("upsert", df)
             return
         self._ensure_database()
-        current = table_location(self.spark, self.name)
+        stored = self._stored(df.schema)
         scope = self.config.get("upsert_scope", "partitions")
-        if current is not None and self.partition_by and set(self.partition_by) <= set(keys) and scope == "partitions":
-            self._upsert_partitions(df, current, keys, tracked, null_safe)
+        if stored is not None and self.partition_by and set(self.partition_by) <= set(keys) and scope == "partitions":
+            self._upsert_partitions(df, stored, keys, tracked, null_safe)
             return
-        if current is None:
-            target = self.spark.createDataFrame([], df.schema)
-            base = self.config.get("path") or self.path()
-        else:
-            target = self.spark.table(self.name)
-            base = self.config.get("path") or current.split("/_versions/")[0]
-        source = self._pinned(df)
-        merged = plan_merge(
-            target, source, keys, tracked, null_safe,
-            broadcast_bytes=int(self.config.get("broadcast_bytes", DEFAULT_BROADCAST_BYTES)),
-        )
-        version = self._new_version(base)
-        writer = self._layout(merged).write.format(self.fmt).mode("errorifexists")
-        if self.partition_by:
-            writer = writer.partitionBy(*self.partition_by)
-        writer.save(version)
-        register_table(self.spark, self.name, self.fmt, version, self.partition_by, schema=merged.schema)
 
-    def _upsert_partitions(self, df: DataFrame, location: str, keys, tracked, null_safe) -> None:
+        def save(merged: DataFrame) -> None:
+            version = versions.new_version(self._base_path())
+            writer = self._layout(merged).write.format(self.fmt).mode("errorifexists")
+            if self.partition_by:
+                writer = writer.partitionBy(*self.partition_by)
+            writer.save(version)
+            versions.set_current(self.spark, version)
+            register_table(self.spark, self.name, self.fmt, version, self.partition_by, schema=merged.schema)
+
+        self._upsert_whole(df, stored, save)
+
+    def _upsert_partitions(self, df: DataFrame, stored: DataFrame, keys, tracked, null_safe) -> None:
         """Upsert that rewrites only the partitions the source touches.
 
         Valid when the partition columns are part of the key: a source row
-        can then only match target rows of its own partition. The target
-        is read through a semi join on the touched partition values (so the
-        scan is pruned to them), merged, and written back with a dynamic
-        partition overwrite, which stages the files before replacing each
-        touched partition. Untouched partitions are neither read nor
-        written.
+        can then only match target rows of its own partition. The touched
+        values (few, on the driver) filter the target's scan as literals,
+        so Spark prunes it to their folders; the merged rows go back with a
+        dynamic partition overwrite, which stages the files before
+        replacing each touched partition. Untouched partitions are neither
+        read nor written. Beyond MAX_ADDED_PARTITIONS values the target is
+        read through a semi join instead.
         """
         parts = self.partition_by
+        location = self.path()
         source = self._pinned(df)
         touched = source.select(*parts).distinct()
-        limit = int(self.config.get("broadcast_partitions", 100_000))
-        # One bounded job: the touched values themselves when few (kept to
-        # register them), else only whether they exceed the broadcast limit.
-        few = touched.limit(MAX_ADDED_PARTITIONS + 1).collect()
+        few = [r.asDict() for r in touched.limit(MAX_ADDED_PARTITIONS + 1).collect()]
         if len(few) <= MAX_ADDED_PARTITIONS:
-            known, n_touched = [r.asDict() for r in few], len(few)
+            known, target = few, stored
+            for p in parts:
+                target = target.filter(_one_of(p, {r[p] for r in few}))
+            if len(parts) > 1:  # the pairs, not only the values
+                pairs = F.broadcast(touched)  # at most MAX_ADDED_PARTITIONS rows
+                target = target.join(pairs, [target[p].eqNullSafe(pairs[p]) for p in parts], "left_semi")
         else:
-            known, n_touched = None, touched.limit(limit + 1).count()
-        touched_side = F.broadcast(touched) if n_touched <= limit else touched
-        target = self.spark.table(self.name)
-        on = [target[p].eqNullSafe(touched_side[p]) for p in parts]
-        target_in = target.join(touched_side, on, "left_semi")
+            known = None
+            target = stored.join(touched, [stored[p].eqNullSafe(touched[p]) for p in parts], "left_semi")
         merged = plan_merge(
-            target_in, source, keys, tracked, null_safe,
+            target, source, keys, tracked, null_safe,
             broadcast_bytes=int(self.config.get("broadcast_bytes", DEFAULT_BROADCAST_BYTES)),
         )
         (
@@ -522,24 +630,29 @@ class TableSink:
             .save(location)
         )
         register_table(self.spark, self.name, self.fmt, location, parts, written=known, schema=merged.schema)
+        self._unpin()
 
     def _merge_v2(self, df: DataFrame, keys, tracked, null_safe) -> None:
         if self.fmt in CATALOG_WRITE_FORMATS:
             self._v2_writer(df)  # create if missing
         elif not self.spark.catalog.tableExists(self.name):
             self._write_files(df.limit(0), "append")  # empty table at the path, registered
-        t = self.name
-        cond = " AND ".join(f"{t}.`{k}` = s.`{k}`" for k in keys)
-        if null_safe:
-            changed = " OR ".join(f"NOT ({t}.`{c}` <=> s.`{c}`)" for c in tracked)
-        else:
-            changed = " OR ".join(f"{t}.`{c}` <> s.`{c}`" for c in tracked)
-        merge = df.alias("s").mergeInto(t, F.expr(cond))
+        on = [F.col(f"{self.name}.`{k}`") == F.col(f"s.`{k}`") for k in keys]
+        merge = df.alias("s").mergeInto(self.name, reduce(Column.__and__, on))
         if tracked:
-            merge = merge.whenMatched(F.expr(changed)).update({c: F.col(f"s.`{c}`") for c in tracked})
+            pairs = [(F.col(f"{self.name}.`{c}`"), F.col(f"s.`{c}`")) for c in tracked]
+            changed = [~old.eqNullSafe(new) if null_safe else old != new for old, new in pairs]
+            merge = merge.whenMatched(reduce(Column.__or__, changed)).update({c: new for c, (_, new) in zip(tracked, pairs)})
         merge.whenNotMatched().insertAll().merge()
 
 
+def _one_of(column: str, values: set) -> Column:
+    """Whether a partition column has one of a few values (NULL included)."""
+    some = [v for v in values if v is not None]
+    found = F.col(f"`{column}`").isin(some) if some else F.lit(False)
+    return found | F.col(f"`{column}`").isNull() if None in values else found
+
+
 class ConsoleSink:
     """Prints the frame untruncated; every mode does the same."""
 

@@ -1,7 +1,7 @@
 """JDBC sources (Postgres, Oracle, any driver on the classpath).
 
 Config keys: ``url``; ``table`` (a table name or a parenthesised subquery,
-``${run_date}`` substituted as text) or ``query`` (source-side SQL, not
+``${run_date}`` and ``{$run_date}`` substituted as text) or ``query`` (source-side SQL, not
 substituted); ``properties`` passed through as reader options (``user``,
 ``driver``, ``fetchsize`` (default 10,000 rows), ...).
 
@@ -61,12 +61,13 @@ def bounds_query(opts: dict[str, str]) -> str:
     return f"SELECT MIN({col}) AS lo, MAX({col}) AS hi FROM {source}"
 
 
-def _bounds(spark: SparkSession, opts: dict[str, str]) -> tuple[str, str]:
+def _bounds(spark: SparkSession, opts: dict[str, str]) -> tuple[str, str] | None:
+    """Smallest and largest value; None for a source without any."""
     probe = {k: v for k, v in opts.items()
              if k not in ("partitionColumn", "numPartitions", "dbtable", "query")}
     probe["query"] = bounds_query(opts)
     row = spark.read.format("jdbc").options(**probe).load().first()
-    return str(row[0]), str(row[1])
+    return None if row is None or row[0] is None else (str(row[0]), str(row[1]))
 
 
 def read_jdbc(spark: SparkSession, config: dict, run_date=None) -> DataFrame:
@@ -84,5 +85,9 @@ def read_jdbc(spark: SparkSession, config: dict, run_date=None) -> DataFrame:
             # Spark forbids partitionColumn together with 'query'; wrap it.
             opts["dbtable"] = f"({opts.pop('query')}) q"
         if "lowerBound" not in opts:
-            opts["lowerBound"], opts["upperBound"] = _bounds(spark, opts)
+            found = _bounds(spark, opts)
+            if found is None:  # nothing to split: an empty slice, or only NULLs
+                del opts["partitionColumn"], opts["numPartitions"]
+            else:
+                opts["lowerBound"], opts["upperBound"] = found
     return spark.read.format("jdbc").options(**opts).load()

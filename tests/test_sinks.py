@@ -80,9 +80,11 @@ def test_console_and_unknown_writer(spark, capsys):
         write_output(spark, df, {"writer": "ConsoleWriter", "mode": "merge"})
 
 
-def test_delta_writer_falls_back_to_parquet_without_jars(spark, workdir):
+def test_delta_writer_needs_delta_or_another_format(spark, workdir):
     cfg = {**sink(workdir, "dw", "overwrite", first=True), "writer": "DeltaWriter"}
-    write_output(spark, spark.createDataFrame([(1,)], "k int"), cfg)
+    with pytest.raises(ValueError, match="delta is not configured"):
+        write_output(spark, spark.createDataFrame([(1,)], "k int"), cfg)
+    write_output(spark, spark.createDataFrame([(1,)], "k int"), {**cfg, "format": "parquet"})
     assert rows(spark.read.parquet(f"{workdir}/dw")) == [(1,)]
 
 
@@ -255,7 +257,7 @@ def test_first_registers_once_unless_the_shape_changes(spark, workdir, monkeypat
     real_sql = spark.sql
 
     def recording(text, *args, **kwargs):
-        if "CREATE TABLE" in text or "DROP TABLE" in text:
+        if "CREATE TABLE" in text or "DROP TABLE" in text or "ADD COLUMNS" in text:
             ddl.append(text.split("(")[0].strip())
         return real_sql(text, *args, **kwargs)
 
@@ -268,7 +270,7 @@ def test_first_registers_once_unless_the_shape_changes(spark, workdir, monkeypat
         write_output(spark, spark.createDataFrame([(k, p)], schema), cfg)
     assert len(ddl) == created
     assert rows(spark.table("db_fo.t")) == [(1, "a"), (2, "b"), (3, "c")]
-    # a new column is a new shape: registered again
+    # a new column is a new shape: the entry learns it
     write_output(spark, spark.createDataFrame([(4, "x", "d")], "k int, extra string, p string"),
                  {**cfg, "merge_schema": True})
     assert len(ddl) > created

@@ -64,10 +64,22 @@ def test_iceberg_modes_go_through_its_catalog(spark, mode, final):
     # created empty (schema only) with its partitioning, then written in one commit
     assert names[:5] == ["limit", "writeTo", "using", "partitionedBy", "create"]
     assert names[5:] == ["writeTo", final]
-    assert any("CREATE DATABASE IF NOT EXISTS `db`" in args[0] for who, _, args, _ in log if who == "spark")
+    # the catalog part of the name is kept throughout
+    assert any("CREATE DATABASE IF NOT EXISTS `cat`.`db`" in args[0] for who, _, args, _ in log if who == "spark")
+    assert [args[0] for who, name, args, _ in log if name == "writeTo"] == ["`cat`.`db`.`t`"] * 2
 
 
-@pytest.mark.parametrize("null_safe,changed", [(False, "<>"), (True, "<=>")])
+def test_iceberg_is_recognised_by_the_table_s_catalog(spark):
+    log = []
+    fake = FakeSpark(log, exists=True, extensions="")
+    fake.conf.get = lambda key, default=None: "org.apache.iceberg.spark.SparkCatalog" if key == "spark.sql.catalog.cat" else default
+    write_output(fake, Recorder(log, "df"), {"writer": "IcebergWriter", "mode": "append", "table_name": "cat.db.t"})
+    assert calls(log, "df") == ["writeTo", "append"]
+    with pytest.raises(ValueError, match="iceberg is not configured"):
+        write_output(fake, Recorder(log, "df"), {"writer": "IcebergWriter", "mode": "append", "table_name": "other.db.t"})
+
+
+@pytest.mark.parametrize("null_safe,changed", [(False, "=("), (True, "<=>(")])
 def test_iceberg_upsert_is_one_merge(spark, null_safe, changed):
     log = []
     fake = FakeSpark(log, exists=True, extensions=ICEBERG)
@@ -78,16 +90,18 @@ def test_iceberg_upsert_is_one_merge(spark, null_safe, changed):
     assert names[-7:] == ["alias", "mergeInto", "whenMatched", "update", "whenNotMatched", "insertAll", "merge"]
     merge_args = next(args for who, name, args, _ in log if name == "mergeInto")
     cond = str(merge_args[1])
-    assert "k1" in cond and "k2" in cond and " AND " in cond.upper()
+    assert "k1" in cond and "k2" in cond and "and(" in cond.lower()
     matched = next(args for who, name, args, _ in log if name == "whenMatched")
     assert changed in str(matched[0])
     update = next(args for who, name, args, _ in log if name == "update")
     assert list(update[0]) == ["v"]
 
 
-def test_delta_without_its_extension_falls_back_to_parquet(spark, workdir, caplog):
+def test_delta_without_its_extension_is_an_error(spark, workdir):
     df = spark.createDataFrame([(1, "a")], "k int, v string")
-    write_output(spark, df, {"writer": "DeltaWriter", "mode": "overwrite", "table_name": "spark_catalog.dlt.t",
-                             "path": f"{workdir}/dlt", "database_location": f"{workdir}/dlt.db", "first": True})
+    cfg = {"writer": "DeltaWriter", "mode": "overwrite", "table_name": "spark_catalog.dlt.t",
+           "path": f"{workdir}/dlt", "database_location": f"{workdir}/dlt.db", "first": True}
+    with pytest.raises(ValueError, match="delta is not configured"):
+        write_output(spark, df, cfg)
+    write_output(spark, df, {**cfg, "format": "parquet"})
     assert sorted(map(tuple, spark.table("dlt.t").collect())) == [(1, "a")]
-    assert "delta is not configured" in caplog.text
