@@ -19,9 +19,11 @@ import regex
 
 from .byte_bpe import Recent
 
+# Fixed value: the pattern of the public word vocabulary.
+WORDS = r"'s|'t|'re|'ve|'m|'ll|'d|[\p{L}]+|[\p{N}]|[^\s\p{L}\p{N}]+"
 CACHE = 400_000  # chunks remembered by a worker, twice
-# Python's str.split() also cuts at these four; the library does not.
-_other = re.compile("[\x1c-\x1f]")
+# Python's str.split() also cuts at these four, and the library does not.
+OTHER = "\x1c\x1d\x1e\x1f"
 _plain = "ƀ"  # below: no combining marks, and one-to-one lower case but for one
 
 
@@ -36,6 +38,9 @@ class WordTokens:
         self.chunked, self.pattern = _shape(setup)
         self.special = tuple(t["content"] for t in setup.get("added_tokens", ()))
         self.letters = _byte_letters()
+        # A run of letters is one piece by this pattern, and a character
+        # after it another.
+        self.one_run = self.pattern is not None and self.pattern.pattern == WORDS and not any(t.isalpha() or t[:-1].isalpha() for t in self.special)
         self.pieces = Recent(self._piece, CACHE)
         self.chunks = Recent(self._chunk, CACHE)
 
@@ -44,11 +49,20 @@ class WordTokens:
 
     def _piece(self, piece: str) -> bytes:
         """One match of the pattern, straight through the library's model."""
-        letters = "".join(map(self.letters.__getitem__, piece.encode()))
+        # Printable ASCII stands for itself, and a piece has no white space.
+        letters = piece if piece.isascii() and piece.isprintable() else "".join(map(self.letters.__getitem__, piece.encode()))
         return array("I", [t.id for t in self.tokenizer.model.tokenize(letters)]).tobytes()
 
     def _chunk(self, chunk: str) -> bytes:
-        if self.pattern is None or max(chunk, default="") >= _plain or any(s in chunk for s in self.special):
+        if self.pattern is None or not chunk.isascii() and max(chunk) >= _plain:
+            return self._whole(chunk)
+        if self.one_run:  # most chunks are a word, or a word and a mark
+            if chunk.isalpha():
+                if (low := chunk.lower()).isalpha():  # one capital becomes two characters
+                    return self.pieces[low]
+            elif (low := chunk[:-1].lower()).isalpha():
+                return self.pieces[low] + self.pieces[chunk[-1]]
+        if any(s in chunk for s in self.special):
             return self._whole(chunk)
         return b"".join(map(self.pieces.__getitem__, self.pattern.findall(chunk.lower())))
 
@@ -56,7 +70,7 @@ class WordTokens:
         """uint32 ids, without special tokens; none for a null text."""
         if not text:
             return np.zeros(0, np.uint32)
-        if not self.chunked or _other.search(text):
+        if not self.chunked or any(c in text for c in OTHER):
             return np.frombuffer(self._whole(text), np.uint32)
         return np.frombuffer(b"".join(map(self.chunks.__getitem__, text.split())), np.uint32)
 
