@@ -1,6 +1,6 @@
 """Run a job config.
 
-    python -m quarry JOB.json [--run-date YYYY-MM-DD] [--set name=value ...] [--explain]
+    python -m quarry JOB.json [--run-date YYYY-MM-DD] [--set name=value ...] [--explain] [--hive]
 
 ``{{name}}`` in the config text is replaced by ``--set`` values (paths,
 database names), so one config serves several environments. A config on
@@ -41,9 +41,10 @@ def main(argv: list[str] | None = None) -> int:
     parser.add_argument("--set", action="append", default=[], metavar="NAME=VALUE")
     parser.add_argument("--explain", action="store_true",
                         help="print the physical plan of every output instead of writing")
+    parser.add_argument("--hive", action="store_true", help="use the deployment's Hive metastore as catalog")
     args = parser.parse_args(argv)
     variables = dict(item.split("=", 1) for item in args.set)
-    spark = build_session()
+    spark = build_session(hive=args.hive)
     conf = load_config(spark, args.config, variables)
     if args.explain:
         # the plan of one run: the date given, else the job's first run date

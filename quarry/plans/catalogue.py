@@ -8,6 +8,8 @@ session's shared scratch root and return the table read back.
 
 from __future__ import annotations
 
+import datetime as dt
+import re
 from collections.abc import Callable
 
 from pyspark.sql import DataFrame, SparkSession
@@ -16,7 +18,7 @@ from pyspark.sql import functions as F
 from quarry.functions.rundate import date_range, int_spine
 from quarry.operators.steps import apply_steps
 from quarry.plans import reports
-from quarry.plans.job import run, run_job
+from quarry.plans.job import run, run_dates, run_job
 from quarry.session import new_work_dir
 from quarry.sinks import write_output
 from quarry.sources import read_files, read_table
@@ -54,7 +56,8 @@ def register_views(spark: SparkSession, sf_dir: str, names=TABLES) -> None:
 
 def _inputs(spark, sf_dir):
     customers = reports.customers_view(table(spark, sf_dir, "customer"))
-    orders = reports.silver_orders(table(spark, sf_dir, "orders"), table(spark, sf_dir, "lineitem"))
+    # The reports on it count completed orders only.
+    orders = reports.silver_orders(table(spark, sf_dir, "orders"), table(spark, sf_dir, "lineitem"), reports.COMPLETED)
     return customers, orders
 
 
@@ -149,9 +152,7 @@ def q_multi_output_job(spark, sf_dir):
     """Two sources, a Python transform with two outputs,
     two table loads; both tables read back, tagged."""
     work = new_work_dir(spark, "multi_output")
-    reports.silver_orders(table(spark, sf_dir, "orders"), table(spark, sf_dir, "lineitem")).createOrReplaceTempView(
-        "silver_orders"
-    )
+    _inputs(spark, sf_dir)[1].createOrReplaceTempView("silver_orders")
     reports.customers_view(table(spark, sf_dir, "customer")).createOrReplaceTempView("gold_customers")
     conf = {
         "run_mode": {"name": "default"},
@@ -198,6 +199,27 @@ def q_backfill_date_spine(spark, sf_dir):
     return reports.order_counts_by_date(orders, BACKFILL_START, BACKFILL_END, BACKFILL_STEP)
 
 
+@query(
+    "backfill_intervals",
+    _BY_DATE
+    + f""",
+numbered AS (
+    SELECT *, CAST(date_diff('day', DATE '{BACKFILL_START}', run_date) // {BACKFILL_STEP} AS BIGINT) AS i FROM by_date
+),
+islands AS (
+    SELECT *, i - row_number() OVER (PARTITION BY customer_id, order_count ORDER BY i) AS g FROM numbered
+)
+SELECT customer_id, min(run_date) AS from_date, max(run_date) AS to_date, order_count
+FROM islands GROUP BY customer_id, order_count, g""",
+)
+def q_backfill_intervals(spark, sf_dir):
+    """R2 in the interval form: one row per customer and stretch of run
+    dates with the same count, so it grows with the changes of the counts
+    and not with customers times dates."""
+    _, orders = _inputs(spark, sf_dir)
+    return reports.order_count_intervals(orders, BACKFILL_START, BACKFILL_END, BACKFILL_STEP)
+
+
 @query(
     "backfill_top_user",
     _BY_DATE
@@ -233,9 +255,7 @@ def q_backfill_loop(spark, sf_dir):
     """R1-R4 loop form: a back_fill job config, one complete job per date,
     each appending its date's counts to one table."""
     work = new_work_dir(spark, "backfill_loop")
-    reports.silver_orders(table(spark, sf_dir, "orders"), table(spark, sf_dir, "lineitem")).createOrReplaceTempView(
-        "silver_orders"
-    )
+    _inputs(spark, sf_dir)[1].createOrReplaceTempView("silver_orders")
     conf = {
         "run_mode": {"name": "back_fill", "start": LOOP_START, "end": LOOP_END, "step": LOOP_STEP},
         # derived from two tables and independent of the run date: computed
@@ -257,17 +277,16 @@ def q_backfill_loop(spark, sf_dir):
     )
 
 
-@query("backfill_set_job")
+@query("backfill_set_job", _BY_DATE + "\nSELECT * FROM by_date")
 def q_backfill_set_job(spark, sf_dir):
-    """R2 through the job runner, set-based: the same back_fill config as
-    ``backfill_loop`` with ``set_based``; the runner uses the transform's
-    range form, so the four dates are one job and one write."""
+    """R2 through the job runner, set-based: the kind of back_fill config
+    that ``backfill_loop`` runs date by date, over the whole history with
+    ``set_based``; the runner uses the transform's range form, so all the
+    dates are one job and one write."""
     work = new_work_dir(spark, "backfill_set")
-    reports.silver_orders(table(spark, sf_dir, "orders"), table(spark, sf_dir, "lineitem")).createOrReplaceTempView(
-        "silver_orders"
-    )
+    _inputs(spark, sf_dir)[1].createOrReplaceTempView("silver_orders")
     conf = {
-        "run_mode": {"name": "back_fill", "start": LOOP_START, "end": LOOP_END, "step": LOOP_STEP,
+        "run_mode": {"name": "back_fill", "start": BACKFILL_START, "end": BACKFILL_END, "step": BACKFILL_STEP,
                      "set_based": True},
         "extract": {"orders": {"reader": "TableReader", "table": "silver_orders"}},
         "transform": {"transformer": "PyTransformer", "transformation": "daily_order_counts"},
@@ -284,7 +303,15 @@ def q_backfill_set_job(spark, sf_dir):
     )
 
 
-ORACLE["backfill_set_job"] = ORACLE["backfill_loop"]
+@query("default_run_counts", ORACLE["backfill_loop"].replace(f"TIMESTAMP '{LOOP_END}'", f"TIMESTAMP '{LOOP_START}'"))
+def q_default_run_counts(spark, sf_dir):
+    """A default run takes yesterday as its run date; ``today`` is given
+    here, so the result does not change with the day it is run."""
+    _, orders = _inputs(spark, sf_dir)
+    today = dt.date.fromisoformat(RUN_DATE) + dt.timedelta(days=1)
+    (run_date,) = run_dates({"run_mode": {"name": "default"}}, today=today)
+    counts = reports.order_counts(orders, run_date)
+    return counts.select(F.lit(run_date).cast("date").alias("run_date"), "customer_id", "order_count")
 
 
 @query(
@@ -396,9 +423,9 @@ WITH {_RECOMPUTED},
 tgt AS (
     SELECT o_orderkey, o_custkey, o_orderstatus, o_totalprice, o_orderdate, o_orderpriority,
            CAST(year(o_orderdate) AS INTEGER) AS o_year
-    FROM orders WHERE o_orderdate < TIMESTAMP '1998-06-01'
+    FROM orders
 ),
-s AS (SELECT *, CAST(year(o_orderdate) AS INTEGER) AS o_year FROM src WHERE year(o_orderdate) = 1998)
+s AS (SELECT *, CAST(year(o_orderdate) AS INTEGER) AS o_year FROM src WHERE o_orderstatus = 'P' OR year(o_orderdate) % 2 = 0)
 SELECT t.o_orderkey, t.o_custkey,
        CASE WHEN s.o_orderkey IS NOT NULL AND coalesce(t.o_orderstatus <> s.o_orderstatus, false)
             THEN s.o_orderstatus ELSE t.o_orderstatus END AS o_orderstatus,
@@ -408,20 +435,87 @@ UNION ALL
 SELECT s.* FROM s WHERE NOT EXISTS (SELECT 1 FROM tgt t WHERE t.o_orderkey = s.o_orderkey AND t.o_year = s.o_year)""",
 )
 def q_upsert_partitioned(spark, sf_dir):
-    """K8 on a year-partitioned table keyed by (order, year): the run
-    date's year arrives recomputed; only that partition is read and
-    rewritten (dynamic partition overwrite), the others are untouched."""
+    """K8 on a year-partitioned table keyed by (order, year): the whole
+    order table is the target; recomputed orders arrive for some of every
+    year and all of the even ones. Only the touched partitions are read and
+    rewritten (dynamic partition overwrite)."""
     work = new_work_dir(spark, "upsert_partitioned")
     year = F.year("o_orderdate").alias("o_year")
     sink = _sink(work, "orders_keyed_by_year", "overwrite", partition_by=["o_year"], first=True)
-    write_output(spark, _before_run_date(table(spark, sf_dir, "orders")).select(*_ORDER_COLS, year), sink)
-    fresh = recomputed_orders(spark, sf_dir).select("*", year).filter(F.col("o_year") == int(RUN_DATE[:4]))
+    write_output(spark, table(spark, sf_dir, "orders").select(*_ORDER_COLS, year), sink)
+    fresh = recomputed_orders(spark, sf_dir).select("*", year).filter("o_orderstatus = 'P' OR o_year % 2 = 0")
     upsert = {**sink, "mode": "upsert", "first": False, "primary_key": ["o_orderkey", "o_year"],
               "change_tracking_column": ["o_orderstatus"]}
     write_output(spark, fresh, upsert)
     return spark.table("bronze.orders_keyed_by_year")
 
 
+@query(
+    "upsert_then_append_first",
+    _upsert_oracle("t.o_orderstatus <> s.o_orderstatus") + """
+UNION ALL
+SELECT o_orderkey, o_custkey, o_orderstatus, o_totalprice, o_orderdate, o_orderpriority
+FROM orders WHERE o_orderdate >= TIMESTAMP '1998-06-01'""",
+)
+def q_upsert_then_append_first(spark, sf_dir):
+    """Append with ``first``, upsert, append with ``first``
+    again: the second append lands in the upserted version."""
+    work = new_work_dir(spark, "upsert_append")
+    orders = table(spark, sf_dir, "orders").select(*_ORDER_COLS)
+    append = _sink(work, "orders_first", "append", first=True)
+    write_output(spark, _before_run_date(orders), append)
+    write_output(spark, recomputed_orders(spark, sf_dir), {**append, "mode": "upsert", "primary_key": ["o_orderkey"],
+                                                           "change_tracking_column": ["o_orderstatus"]})
+    write_output(spark, _from_run_date(orders), append)
+    return spark.table("bronze.orders_first")
+
+
+@query("upsert_without_catalog_entry", _upsert_oracle("t.o_orderstatus <> s.o_orderstatus"))
+def q_upsert_without_catalog_entry(spark, sf_dir):
+    """K8 in a session whose catalog knows nothing of the table, as after
+    each run of a session without a metastore: the table on storage is the
+    target, once as plain files and once as the version of an upsert."""
+    work = new_work_dir(spark, "upsert_no_entry")
+    target = _before_run_date(table(spark, sf_dir, "orders")).select(*_ORDER_COLS)
+    write_output(spark, target, _sink(work, "orders_no_entry", "append"))
+    upsert = _sink(work, "orders_no_entry", "upsert", primary_key=["o_orderkey"], change_tracking_column=["o_orderstatus"])
+    fresh = recomputed_orders(spark, sf_dir)
+    for part in (fresh.filter("o_orderkey % 2 = 0"), fresh.filter("o_orderkey % 2 <> 0")):
+        spark.sql("DROP TABLE IF EXISTS bronze.orders_no_entry")  # external: the files stay
+        write_output(spark, part, upsert)
+    return spark.table("bronze.orders_no_entry")
+
+
+@query(
+    "append_fewer_columns",
+    """
+SELECT o_orderkey, o_custkey, o_orderstatus, o_totalprice, o_orderdate, o_orderpriority FROM orders
+WHERE o_orderdate < TIMESTAMP '1998-06-01'
+UNION ALL
+SELECT o_orderkey, o_custkey, NULL, NULL, o_orderdate, NULL FROM orders WHERE o_orderdate >= TIMESTAMP '1998-06-01'""",
+)
+def q_append_fewer_columns(spark, sf_dir):
+    """K5: an append that lacks columns of the table leaves them NULL."""
+    work = new_work_dir(spark, "append_fewer")
+    orders = table(spark, sf_dir, "orders").select(*_ORDER_COLS)
+    sink = _sink(work, "orders_fewer", "append", first=True)
+    write_output(spark, _before_run_date(orders), sink)
+    write_output(spark, _from_run_date(orders).select("o_orderdate", "o_orderkey", "o_custkey"), sink)
+    return spark.table("bronze.orders_fewer")
+
+
+@query("create_if_missing", "SELECT o_orderkey, o_custkey, o_orderstatus FROM orders")
+def q_create_if_missing(spark, sf_dir):
+    """K9: an empty frame creates the table with its columns and types; a
+    second one changes nothing; then the rows arrive."""
+    work = new_work_dir(spark, "create_if_missing")
+    orders = table(spark, sf_dir, "orders").select("o_orderkey", "o_custkey", "o_orderstatus")
+    sink = _sink(work, "orders_created", "append")
+    for rows in (orders.limit(0), orders.limit(0), orders):
+        write_output(spark, rows, sink)
+    return spark.table("bronze.orders_created")
+
+
 @query(
     "overwrite_partition",
     f"""
@@ -502,20 +596,81 @@ def q_schema_merge_append(spark, sf_dir):
 
 
 # ------------------------------------------------------------------- ingest
-# Bronze ingest projections: source columns renamed to the bronze names,
-# pushed into the source as a query.
+# Bronze ingest projections. The sources are stand-ins with the columns of
+# the source database (what the given tables lack is a typed NULL); the
+# queries rename them to the bronze names (fixed values).
+def _source_tables(spark, sf_dir) -> dict[str, DataFrame]:
+    t = {n: table(spark, sf_dir, n) for n in ("region", "nation", "customer", "part", "orders", "lineitem")}
+    cities = t["nation"].join(t["region"], F.col("n_regionkey") == F.col("r_regionkey"))
+    none = lambda kind, name: F.lit(None).cast(kind).alias(name)
+    words = F.split("p_type", " ")
+    code = F.concat(F.lit("P"), F.col("p_partkey"))
+    return {
+        "branches": cities.select(
+            F.col("n_nationkey").alias("branch_id"), F.col("r_name").alias("region"), F.col("n_name").alias("city"),
+            none("string", "town"), F.concat_ws("/", "r_name", "n_name").alias("branch_town"), none("double", "lat"), none("double", "lon"),
+        ),
+        "categories": t["part"].select(
+            F.col("p_partkey").alias("itemid"),
+            F.get(words, F.lit(0)).alias("category1"), F.col("p_size").alias("category1_id"),
+            F.get(words, F.lit(1)).alias("category2"), none("int", "category2_id"),
+            F.get(words, F.lit(2)).alias("category3"), none("int", "category3_id"),
+            none("string", "category4"), none("int", "category4_id"),
+            F.col("p_brand").alias("brand"), code.alias("itemcode"), F.col("p_name").alias("itemname"),
+        ),
+        "customers": t["customer"].join(cities, F.col("c_nationkey") == F.col("n_nationkey"), "left").select(
+            F.col("c_custkey").alias("userid"), F.lower("c_name").alias("username_"), F.col("c_name").alias("namesurname"),
+            F.col("c_mktsegment").alias("status_"), none("string", "usergender"), none("date", "userbirthdate"),
+            F.col("r_name").alias("region"), F.col("n_name").alias("city"), none("string", "town"), none("string", "district"),
+            none("string", "addresstext"),
+        ),
+        "orders": t["orders"].join(t["customer"], F.col("o_custkey") == F.col("c_custkey"), "left").select(
+            F.col("o_orderkey").alias("orderid"), F.col("c_nationkey").alias("branch_id"), F.col("o_orderdate").alias("date_"),
+            F.col("o_custkey").alias("userid"), F.col("c_name").alias("namesurname"), F.col("o_totalprice").alias("totalbasket"),
+        ),
+        "order_details": t["lineitem"].select(
+            F.col("l_orderkey").alias("orderid"), F.col("l_linenumber").alias("orderdetailid"), F.col("l_quantity").alias("amount"),
+            (F.col("l_extendedprice") / F.col("l_quantity")).alias("unitprice"), F.col("l_extendedprice").alias("totalprice"),
+            F.col("l_partkey").alias("itemid"), F.concat(F.lit("P"), F.col("l_partkey")).alias("itemcode"),
+        ),
+    }
+
+
 INGEST = {
-    "branches": """SELECT n.n_nationkey AS branch_id, r.r_name AS region, n.n_name AS city
-                   FROM nation n JOIN region r ON n.n_regionkey = r.r_regionkey""",
-    "categories": """SELECT p_partkey AS item_id, p_type AS category_1, p_size AS category_1_id,
-                     p_brand AS brand, p_name AS item_name, p_retailprice AS unit_price FROM part""",
-    "customers": """SELECT c_custkey AS user_id, c_name AS name_surname, c_mktsegment AS status,
-                    c_nationkey AS region, c_acctbal AS account_balance FROM customer""",
-    "orders": """SELECT o_orderkey AS order_id, o_orderdate AS order_date, o_custkey AS user_id,
-                 o_orderstatus AS status, o_totalprice AS total_basket FROM orders""",
+    "branches": "SELECT branch_id, region, city, town, branch_town, lat, lon FROM src_branches",
+    "categories": """SELECT itemid AS item_id, category1 AS category_1, category1_id AS category_1_id,
+                     category2 AS category_2, category2_id AS category_2_id, category3 AS category_3,
+                     category3_id AS category_3_id, category4 AS category_4, category4_id AS category_4_id,
+                     brand, itemcode AS item_code, itemname AS item_name FROM src_categories""",
+    "customers": """SELECT userid AS user_id, username_ AS username, namesurname AS name_surname, status_ AS status,
+                    usergender AS user_gender, userbirthdate AS user_birth_date, region, city, town, district,
+                    addresstext AS address_text FROM src_customers""",
+    "orders": """SELECT orderid AS order_id, branch_id, date_ AS order_date, userid AS user_id,
+                 namesurname AS name_surname, totalbasket AS total_basket FROM src_orders""",
+    "order_details": """SELECT orderid AS order_id, orderdetailid AS order_detail_id, amount, unitprice AS unit_price,
+                        totalprice AS total_price, itemid AS item_id, itemcode AS item_code FROM src_order_details""",
+}
+# What must come out, straight from the given tables.
+INGEST_ORACLE = {
+    "branches": """SELECT n_nationkey AS branch_id, r_name AS region, n_name AS city, CAST(NULL AS VARCHAR) AS town,
+                   r_name || '/' || n_name AS branch_town, CAST(NULL AS DOUBLE) AS lat, CAST(NULL AS DOUBLE) AS lon
+                   FROM nation, region WHERE n_regionkey = r_regionkey""",
+    "categories": """SELECT p_partkey AS item_id, nullif(split_part(p_type, ' ', 1), '') AS category_1, p_size AS category_1_id,
+                     nullif(split_part(p_type, ' ', 2), '') AS category_2, CAST(NULL AS INTEGER) AS category_2_id,
+                     nullif(split_part(p_type, ' ', 3), '') AS category_3, CAST(NULL AS INTEGER) AS category_3_id,
+                     CAST(NULL AS VARCHAR) AS category_4, CAST(NULL AS INTEGER) AS category_4_id,
+                     p_brand AS brand, 'P' || p_partkey AS item_code, p_name AS item_name FROM part""",
+    "customers": """SELECT c_custkey AS user_id, lower(c_name) AS username, c_name AS name_surname, c_mktsegment AS status,
+                    CAST(NULL AS VARCHAR) AS user_gender, CAST(NULL AS DATE) AS user_birth_date,
+                    (SELECT r_name FROM nation JOIN region ON n_regionkey = r_regionkey WHERE n_nationkey = c_nationkey) AS region,
+                    (SELECT n_name FROM nation WHERE n_nationkey = c_nationkey) AS city, CAST(NULL AS VARCHAR) AS town,
+                    CAST(NULL AS VARCHAR) AS district, CAST(NULL AS VARCHAR) AS address_text FROM customer""",
+    "orders": """SELECT o_orderkey AS order_id, (SELECT c_nationkey FROM customer WHERE c_custkey = o_custkey) AS branch_id,
+                 o_orderdate AS order_date, o_custkey AS user_id,
+                 (SELECT c_name FROM customer WHERE c_custkey = o_custkey) AS name_surname, o_totalprice AS total_basket FROM orders""",
     "order_details": """SELECT l_orderkey AS order_id, l_linenumber AS order_detail_id, l_quantity AS amount,
                         l_extendedprice / l_quantity AS unit_price, l_extendedprice AS total_price,
-                        l_partkey AS item_id FROM lineitem""",
+                        l_partkey AS item_id, 'P' || l_partkey AS item_code FROM lineitem""",
 }
 
 
@@ -524,7 +679,7 @@ def _ingest(name: str):
         """F7-F11 + S6 + K6 + K11: an ingest job config (query source,
         empty step list, overwrite into a registered bronze table)."""
         work = new_work_dir(spark, f"ingest_{name}")
-        register_views(spark, sf_dir, ("region", "nation", "customer", "part", "orders", "lineitem"))
+        _source_tables(spark, sf_dir)[name].createOrReplaceTempView(f"src_{name}")
         conf = {
             "run_mode": {"name": "default"},
             "extract": {name: {"reader": "TableReader", "query": INGEST[name]}},
@@ -537,8 +692,8 @@ def _ingest(name: str):
     return run_ingest
 
 
-for _name, _sql in INGEST.items():
-    query(f"ingest_{_name}", _sql)(_ingest(_name))
+for _name in INGEST:
+    query(f"ingest_{_name}", INGEST_ORACLE[_name])(_ingest(_name))
 
 
 # -------------------------------------------------------------------- scans
@@ -555,6 +710,17 @@ def q_table_scan_run_date(spark, sf_dir):
     return read_table(spark, cfg, RUN_DATE)
 
 
+@query(
+    "table_scan_quoted_date",
+    "SELECT o_orderkey, o_orderdate FROM orders WHERE o_orderdate >= TIMESTAMP '1998-06-01'",
+)
+def q_table_scan_quoted_date(spark, sf_dir):
+    """The placeholder in double quotes is the date as well."""
+    register_views(spark, sf_dir, ("orders",))
+    cfg = {"query": 'SELECT o_orderkey, o_orderdate FROM orders WHERE o_orderdate >= to_timestamp_ntz("${run_date}")'}
+    return read_table(spark, cfg, RUN_DATE)
+
+
 @query("table_scan", "SELECT * FROM customer")
 def q_table_scan(spark, sf_dir):
     """A catalog table registered over Parquet files, read by name."""
@@ -566,16 +732,14 @@ def q_table_scan(spark, sf_dir):
     return read_table(spark, {"table": "bronze.customer_files"})
 
 
-@query(
-    "parquet_scan",
-    "SELECT l_orderkey, l_partkey, l_quantity, l_shipdate FROM lineitem WHERE l_shipdate >= TIMESTAMP '1998-06-01'",
-)
+@query("parquet_scan", "SELECT l_orderkey, l_partkey, l_quantity, l_shipdate FROM lineitem")
 def q_parquet_scan(spark, sf_dir):
-    """A Parquet folder by path; projection and filter reach the scan."""
-    df = read_files(spark, {"path": f"{sf_dir}/lineitem.parquet"})
-    return df.filter(F.col("l_shipdate") >= F.lit(RUN_DATE).cast("timestamp_ntz")).select(
-        "l_orderkey", "l_partkey", "l_quantity", "l_shipdate"
-    )
+    """A Parquet folder by bucket and prefix, in whatever store the
+    tables are; the projection reaches the scan."""
+    store = re.match(r"(\w+)://([^/]*)/(.*)", sf_dir)
+    scheme, bucket, prefix = store.groups() if store else ("file", "", sf_dir)
+    conf = {"bucket": bucket or "/", "scheme": scheme, "prefix": f"{prefix.lstrip('/')}/lineitem.parquet"}
+    return read_files(spark, conf).select("l_orderkey", "l_partkey", "l_quantity", "l_shipdate")
 
 
 # -------------------------------------------------------------------- steps
@@ -841,32 +1005,26 @@ def q_step_join_semi(spark, sf_dir):
 
 @query(
     "step_sql_window",
-    """SELECT o_custkey, o_orderkey, o_orderdate, rn FROM (
-         SELECT o_custkey, o_orderkey, o_orderdate,
-                CAST(row_number() OVER (PARTITION BY o_custkey ORDER BY o_orderdate DESC, o_orderkey DESC)
-                     AS INTEGER) AS rn
-         FROM orders) WHERE rn <= 3""",
+    """SELECT o_custkey, o_orderkey, o_orderdate,
+              CAST(row_number() OVER (PARTITION BY o_custkey ORDER BY o_orderdate DESC, o_orderkey DESC) AS INTEGER) AS rn
+       FROM orders""",
 )
 def q_step_sql_window(spark, sf_dir):
-    """T3 through a SQL step: latest three orders per customer (the rank
-    filter lets Catalyst cut each group to three rows before the shuffle)."""
+    """T3 through a SQL step: every order with its rank in its customer's
+    history."""
     return _steps(spark, sf_dir, "orders", [{"op": "sql", "args": {"view_name": "orders_w", "query":
-        "SELECT o_custkey, o_orderkey, o_orderdate, rn FROM ("
-        " SELECT o_custkey, o_orderkey, o_orderdate, row_number() OVER ("
-        "  PARTITION BY o_custkey ORDER BY o_orderdate DESC, o_orderkey DESC) AS rn FROM orders_w)"
-        " WHERE rn <= 3"}}])
+        "SELECT o_custkey, o_orderkey, o_orderdate, row_number() OVER ("
+        " PARTITION BY o_custkey ORDER BY o_orderdate DESC, o_orderkey DESC) AS rn FROM orders_w"}}])
 
 
-@query(
-    "step_sql_rollup",
-    """SELECT o_orderstatus, o_orderpriority, count(*) AS n_orders, max(o_totalprice) AS max_price
-       FROM orders GROUP BY ROLLUP (o_orderstatus, o_orderpriority) HAVING count(*) > 1000""",
-)
+_ROLLUP = """SELECT o_orderstatus, o_orderpriority, count(*) AS n_orders, max(o_totalprice) AS max_price
+       FROM {t} GROUP BY ROLLUP (o_orderstatus, o_orderpriority) HAVING count(*) > 0.05 * (SELECT count(*) FROM {t})"""
+
+
+@query("step_sql_rollup", _ROLLUP.format(t="orders"))
 def q_step_sql_rollup(spark, sf_dir):
-    """A3 through a SQL step: rollup with HAVING."""
-    return _steps(spark, sf_dir, "orders", [{"op": "sql", "args": {"view_name": "orders_r", "query":
-        "SELECT o_orderstatus, o_orderpriority, count(*) AS n_orders, max(o_totalprice) AS max_price "
-        "FROM orders_r GROUP BY ROLLUP (o_orderstatus, o_orderpriority) HAVING count(*) > 1000"}}])
+    """A3 through a SQL step: rollup with HAVING, by a share of all rows."""
+    return _steps(spark, sf_dir, "orders", [{"op": "sql", "args": {"view_name": "orders_r", "query": _ROLLUP.format(t="orders_r")}}])
 
 
 @query(
@@ -892,11 +1050,166 @@ def q_step_sql_set_ops(spark, sf_dir):
     return apply_steps(spark, dfs, steps, RUN_DATE)["orders"]
 
 
-@query("step_sample")
+@query("step_sample", "SELECT count(*) AS n_orders, true AS subset, true AS repeatable, true AS near_share FROM orders")
 def q_step_sample(spark, sf_dir):
-    """C14: a seeded Bernoulli sample (the sampling is the feature; no
-    oracle can reproduce Spark's random stream)."""
-    return _steps(spark, sf_dir, "orders", [{"op": "sample", "args": {"fraction": 0.1, "seed": 42}}])
+    """C14: a seeded Bernoulli sample (the sampling is the feature). No
+    oracle can reproduce Spark's random stream, so the query states what any
+    such sample must satisfy: it holds rows of the table only, the seed
+    gives it again, and its size is near the share asked for."""
+    orders = table(spark, sf_dir, "orders")
+    step = [{"op": "sample", "args": {"fraction": 0.1, "seed": 42}}]
+    one, two = (_steps(spark, sf_dir, "orders", step) for _ in range(2))
+    total = orders.agg(F.count(F.lit(1)).alias("n_orders"))
+    sample = one.agg(F.count(F.lit(1)).alias("n"))
+    strange = one.exceptAll(orders).agg(F.count(F.lit(1)).alias("strange"))
+    differ = one.exceptAll(two).union(two.exceptAll(one)).agg(F.count(F.lit(1)).alias("differ"))
+    spread = 5 * F.sqrt(F.col("n_orders") * 0.1 * 0.9)  # five standard deviations
+    all_four = total.join(sample).join(strange).join(differ)  # one row each
+    return all_four.select(
+        "n_orders", (F.col("strange") == 0).alias("subset"), (F.col("differ") == 0).alias("repeatable"),
+        (F.abs(F.col("n") - F.col("n_orders") * 0.1) <= spread).alias("near_share"),
+    )
+
+
+@query(
+    "step_describe",
+    """SELECT u.summary, round(u.p, 2) AS o_totalprice, round(u.k, 2) AS o_custkey
+       FROM (SELECT count(o_totalprice) AS c1, avg(o_totalprice) AS a1, stddev_samp(o_totalprice) AS s1, min(o_totalprice) AS l1,
+                    max(o_totalprice) AS h1, count(o_custkey) AS c2, avg(o_custkey) AS a2, stddev_samp(o_custkey) AS s2,
+                    min(o_custkey) AS l2, max(o_custkey) AS h2 FROM orders),
+            LATERAL (VALUES ('count', CAST(c1 AS DOUBLE), CAST(c2 AS DOUBLE)), ('mean', a1, a2), ('stddev', s1, s2),
+                            ('min', l1, CAST(l2 AS DOUBLE)), ('max', h1, CAST(h2 AS DOUBLE))) AS u(summary, p, k)""",
+)
+def q_step_describe(spark, sf_dir):
+    """The default statistics (Spark returns them as text; compared
+    here as rounded numbers)."""
+    got = _steps(spark, sf_dir, "orders", [{"op": "describe", "args": {"cols": ["o_totalprice", "o_custkey"]}}])
+    return got.select("summary", *[F.round(F.col(c).cast("double"), 2).alias(c) for c in ("o_totalprice", "o_custkey")])
+
+
+@query("step_summary_default", "SELECT unnest(['count', 'mean', 'stddev', 'min', '25%', '50%', '75%', 'max']) AS summary, count(*) AS n_rows, true AS ordered FROM orders")
+def q_step_summary_default(spark, sf_dir):
+    """``summary`` without arguments gives eight statistics; the
+    quartiles are approximate, so they are only checked to lie in order."""
+    got = _steps(spark, sf_dir, "orders", [{"op": "select", "args": {"cols": ["o_totalprice"]}}, {"op": "summary", "args": {}}])
+    value = lambda name: F.max(F.when(F.col("summary") == name, F.col("o_totalprice").cast("double")))
+    marks = ["min", "25%", "50%", "75%", "max"]
+    row = got.agg(value("count").cast("long").alias("n_rows"), *[value(m).alias(m) for m in marks])
+    ordered = [F.col(f"`{a}`") <= F.col(f"`{b}`") for a, b in zip(marks, marks[1:])]
+    return got.select("summary").join(row).select("summary", "n_rows", (ordered[0] & ordered[1] & ordered[2] & ordered[3]).alias("ordered"))
+
+
+@query("step_to_schema", "SELECT CAST(o_custkey AS VARCHAR) AS o_custkey, o_orderkey FROM orders")
+def q_step_to_schema(spark, sf_dir):
+    """C20: alias, column metadata, then a target schema (columns by name,
+    cast and reordered)."""
+    return _steps(spark, sf_dir, "orders", [
+        {"op": "alias", "args": {"alias": "o"}},
+        {"op": "withMetadata", "args": {"columnName": "o_orderkey", "metadata": {"key": True}}},
+        {"op": "to", "args": {"schema": "o_custkey string, o_orderkey bigint"}},
+    ])
+
+
+@query("step_layout", "SELECT * FROM orders")
+def q_step_layout(spark, sf_dir):
+    """Layout, caching, checkpoint and watermark steps leave the
+    rows of a batch as they are."""
+    return _steps(spark, sf_dir, "orders", [
+        {"op": "hint", "args": {"name": "rebalance"}},
+        {"op": "repartition", "args": {"numPartitions": 6}},
+        {"op": "coalesce", "args": {"numPartitions": 3}},
+        {"op": "checkpoint", "args": {}},
+        {"op": "persist", "args": {"storageLevel": "DISK_ONLY"}},
+        {"op": "unpersist", "args": {}},
+        {"op": "withColumn", "args": {"colName": "seen", "col": "F.col('o_orderdate').cast('timestamp')"}},
+        {"op": "withWatermark", "args": {"eventTime": "seen", "delayThreshold": "1 day"}},
+        {"op": "drop", "args": {"cols": ["seen"]}},
+    ])
+
+
+@query(
+    "step_join_full",
+    """SELECT c.c_custkey, s.s_suppkey, c.c_nationkey, s.s_nationkey FROM
+       (SELECT * FROM customer WHERE c_acctbal < 0) c FULL JOIN (SELECT * FROM supplier WHERE s_acctbal > 0) s
+       ON c.c_custkey = s.s_suppkey""",
+)
+def q_step_join_full(spark, sf_dir):
+    """J4 full: rows without a partner on either side stay."""
+    dfs = {"customer": table(spark, sf_dir, "customer"), "supplier": table(spark, sf_dir, "supplier")}
+    steps = {
+        "supplier": [{"op": "filter", "args": {"condition": "s_acctbal > 0"}}],
+        "customer": [
+            {"op": "filter", "args": {"condition": "c_acctbal < 0"}},
+            {"op": "join", "args": {"other": "supplier", "on": {"expr": "c_custkey = s_suppkey"}, "how": "full"}},
+            {"op": "select", "args": {"cols": ["c_custkey", "s_suppkey", "c_nationkey", "s_nationkey"]}},
+        ],
+    }
+    return apply_steps(spark, dfs, steps, RUN_DATE)["customer"]
+
+
+@query(
+    "step_join_right",
+    """SELECT n.n_name, c.c_custkey FROM nation n RIGHT JOIN customer c ON n.n_nationkey = c.c_nationkey AND c.c_acctbal > 0""",
+)
+def q_step_join_right(spark, sf_dir):
+    """J4 right: every customer, with the nation of those in credit."""
+    dfs = {"nation": table(spark, sf_dir, "nation"), "customer": table(spark, sf_dir, "customer")}
+    steps = {"nation": [
+        {"op": "join", "args": {"other": "customer", "on": {"expr": "n_nationkey = c_nationkey AND c_acctbal > 0"}, "how": "right"}},
+        {"op": "select", "args": {"cols": ["n_name", "c_custkey"]}},
+    ]}
+    return apply_steps(spark, dfs, steps, RUN_DATE)["nation"]
+
+
+@query(
+    "step_join_range",
+    """SELECT o.o_orderkey, o.o_custkey, l.l_linenumber, l.l_shipdate FROM orders o JOIN lineitem l
+       ON o.o_orderkey = l.l_orderkey AND l.l_shipdate >= o.o_orderdate
+       AND l.l_shipdate < o.o_orderdate + INTERVAL 30 DAY""",
+)
+def q_step_join_range(spark, sf_dir):
+    """J4 range: lines shipped within 30 days of their order. The equal key
+    deals the rows, the range is checked inside each key."""
+    dfs = {"orders": table(spark, sf_dir, "orders"), "lineitem": table(spark, sf_dir, "lineitem")}
+    steps = {"orders": [
+        {"op": "join", "args": {"other": "lineitem", "how": "inner", "on": {"expr":
+            "o_orderkey = l_orderkey AND l_shipdate >= o_orderdate AND l_shipdate < o_orderdate + INTERVAL 30 DAY"}}},
+        {"op": "select", "args": {"cols": ["o_orderkey", "o_custkey", "l_linenumber", "l_shipdate"]}},
+    ]}
+    return apply_steps(spark, dfs, steps, RUN_DATE)["orders"]
+
+
+@query("step_union", "SELECT c_custkey AS k, c_name AS name FROM customer UNION ALL SELECT s_suppkey, s_name FROM supplier")
+def q_step_union(spark, sf_dir):
+    """T4: union of two tables by column name."""
+    dfs = {"customer": table(spark, sf_dir, "customer"), "supplier": table(spark, sf_dir, "supplier")}
+    steps = {
+        "supplier": [{"op": "select", "args": {"cols": ["s_name AS name", "s_suppkey AS k"]}}],
+        "customer": [{"op": "select", "args": {"cols": ["c_custkey AS k", "c_name AS name"]}}, {"op": "union", "args": {"other": "supplier"}}],
+    }
+    return apply_steps(spark, dfs, steps, RUN_DATE)["customer"]
+
+
+@query("step_offset", "SELECT * FROM customer ORDER BY c_acctbal, c_custkey LIMIT 50 OFFSET 20")
+def q_step_offset(spark, sf_dir):
+    """C13 with an offset: a page of a report (the limit is the feature)."""
+    return _steps(spark, sf_dir, "customer", [
+        {"op": "sort", "args": {"cols": ["c_acctbal", "c_custkey"]}},
+        {"op": "limit", "args": {"num": 70}},
+        {"op": "offset", "args": {"num": 20}},
+    ])
+
+
+@query(
+    "step_sql_cube",
+    """SELECT l_returnflag, l_linestatus, count(*) AS n_lines, CAST(grouping_id(l_returnflag, l_linestatus) AS BIGINT) AS grouped
+       FROM lineitem GROUP BY CUBE (l_returnflag, l_linestatus)""",
+)
+def q_step_sql_cube(spark, sf_dir):
+    """A3 through a SQL step: cube with the grouping of each row."""
+    return _steps(spark, sf_dir, "lineitem", [{"op": "sql", "args": {"view_name": "lines_c", "query":
+        "SELECT l_returnflag, l_linestatus, count(*) AS n_lines, CAST(grouping_id(l_returnflag, l_linestatus) AS BIGINT) AS grouped "
+        "FROM lines_c GROUP BY CUBE (l_returnflag, l_linestatus)"}}])
 
 
 @query(

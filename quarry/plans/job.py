@@ -23,6 +23,7 @@ import importlib.resources
 import io
 import json
 import os
+import re
 from collections.abc import Callable
 
 from pyspark.sql import DataFrame, SparkSession
@@ -90,9 +91,12 @@ def _resolve_python_transform(name: str) -> Transform:
     return target
 
 
-def read_sql_text(ref: str) -> str:
-    """SQL of a SQL-file transform: a path, ``package:file.sql`` for SQL
+def read_sql_text(ref: str, spark: SparkSession | None = None) -> str:
+    """SQL of a SQL-file transform: a path, one on shared storage
+    (``s3a://...``, read through Spark), ``package:file.sql`` for SQL
     shipped inside a package, or the statement itself."""
+    if spark is not None and re.fullmatch(r"[a-z][a-z0-9+.-]*://\S+\.sql", ref):
+        return spark.read.text(ref, wholetext=True).first()[0]
     if ref.endswith(".sql") and ":" in ref and not os.path.exists(ref):
         package, _, filename = ref.partition(":")
         return importlib.resources.files(package).joinpath(filename).read_text()
@@ -107,7 +111,7 @@ def sql_transform(spark: SparkSession, dfs: dict[str, DataFrame], sql_ref: str,
     the output is called ``result``."""
     for name, df in dfs.items():
         df.createOrReplaceTempView(name)
-    text, args = bind_run_date(read_sql_text(sql_ref), run_date)
+    text, args = bind_run_date(read_sql_text(sql_ref, spark), run_date)
     return {"result": spark.sql(text, args=args or None)}
 
 

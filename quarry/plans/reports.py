@@ -11,7 +11,7 @@ Stand-ins over the TPC-H-like tables (see FIXTURES.md):
 
 from __future__ import annotations
 
-from pyspark.sql import DataFrame, SparkSession, Window
+from pyspark.sql import Column, DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
 
 from quarry.functions.rundate import _as_date, _check_step, date_range, run_date_literal
@@ -29,15 +29,19 @@ def customers_view(customer: DataFrame) -> DataFrame:
     return customer.withColumnRenamed("c_custkey", "id")
 
 
-def silver_orders(orders: DataFrame, lineitem: DataFrame) -> DataFrame:
-    """Line items are reduced to one row per order before the join (partial
+def silver_orders(orders: DataFrame, lineitem: DataFrame, only: str | None = None) -> DataFrame:
+    """Orders with their status word and last ship date; ``only`` those of
+    one status, tested on the stored code, so the test reaches the scan.
+    Line items are reduced to one row per order before the join (partial
     aggregation map-side); the aggregate comes out hash-partitioned on the
     order key, so the join shuffles only ``orders``."""
     last_ship = lineitem.groupBy("l_orderkey").agg(F.max("l_shipdate").alias("updated_at"))
-    status = F.coalesce(
-        *[F.when(F.col("o_orderstatus") == code, F.lit(word)) for code, word in STATUS_WORDS.items()],
-        F.col("o_orderstatus"),
-    )
+    if only is not None:
+        codes = [code for code, word in STATUS_WORDS.items() if word == only]
+        orders = orders.filter(F.col("o_orderstatus").isin([*codes, only]))
+    status = F.col("o_orderstatus")
+    for code, word in STATUS_WORDS.items():
+        status = F.when(F.col("o_orderstatus") == code, F.lit(word)).otherwise(status)
     return orders.join(last_ship, orders["o_orderkey"] == last_ship["l_orderkey"], "left").select(
         F.col("o_orderkey").alias("id"),
         F.col("o_custkey").alias("customer_id"),
@@ -115,8 +119,9 @@ def daily_counts_transform(spark: SparkSession, dfs: dict, run_date) -> dict:
     return {"daily_order_counts": counts}
 
 
-def order_counts_by_date(orders: DataFrame, start, end, step=None) -> DataFrame:
-    """``order_counts`` for every date of a backfill range in one pass.
+def _segments(orders: DataFrame, start, end, step=None) -> DataFrame:
+    """(customer_id, i, next_i, order_count): ``order_counts`` over a
+    backfill range, as stretches i <= index < next_i of equal counts.
 
     An order straddles date d (midnight) exactly when
     ``to_date(created_at) < d <= to_date(updated_at)``, i.e. it covers a
@@ -127,8 +132,7 @@ def order_counts_by_date(orders: DataFrame, start, end, step=None) -> DataFrame:
     partial aggregation, then a running sum over a customer's change
     points (at most ``dates + 1`` rows per customer, however many orders
     it has, so a hot customer stays small) gives the count of each
-    segment between consecutive change points. Only the final segments
-    are expanded to dates, after the last shuffle. Nothing is compared
+    segment between consecutive change points. Nothing is compared
     pairwise and no date spine is joined.
     """
     step = _check_step(step)
@@ -160,22 +164,40 @@ def order_counts_by_date(orders: DataFrame, start, end, step=None) -> DataFrame:
         .filter(F.col("d") != 0)
     )
     w = Window.partitionBy("customer_id").orderBy("i")
-    segments = changes.select(
+    return changes.select(
         "customer_id",
         "i",
         F.sum("d").over(w.rowsBetween(Window.unboundedPreceding, Window.currentRow)).alias("order_count"),
         F.lead("i").over(w).alias("next_i"),
     ).filter(F.col("order_count") > 0)
+
+
+def _date_at(first, step: int, i) -> Column:
+    return F.date_add(F.lit(first), (i * step).cast("int"))
+
+
+def order_counts_by_date(orders: DataFrame, start, end, step=None) -> DataFrame:
+    """``order_counts`` for every date of a backfill range in one pass: the
+    segments of ``_segments``, expanded to dates after the last shuffle. It
+    has a row per customer and date with a count; where intervals will do,
+    take ``order_count_intervals``."""
+    first, step = _as_date(start), _check_step(step)
     # Every +1 has its -1 at most at index n_dates, so a positive segment
     # always has a next change point.
-    return segments.select(
+    return _segments(orders, start, end, step).select(
         F.explode(F.sequence("i", F.col("next_i") - 1)).alias("i"),
         "customer_id",
         F.col("order_count").cast("long").alias("order_count"),
-    ).select(
-        F.date_add(start_lit, (F.col("i") * step).cast("int")).alias("run_date"),
-        "customer_id",
-        "order_count",
+    ).select(_date_at(first, step, F.col("i")).alias("run_date"), "customer_id", "order_count")
+
+
+def order_count_intervals(orders: DataFrame, start, end, step=None) -> DataFrame:
+    """(customer_id, from_date, to_date, order_count): the stretches of run
+    dates over which a customer's count stays the same and is not zero."""
+    first, step = _as_date(start), _check_step(step)
+    return _segments(orders, start, end, step).select(
+        "customer_id", _date_at(first, step, F.col("i")).alias("from_date"),
+        _date_at(first, step, F.col("next_i") - 1).alias("to_date"), F.col("order_count").cast("long").alias("order_count"),
     )
 
 

@@ -26,15 +26,20 @@ def build_session(
     master: str | None = None,
     app_name: str = "quarry",
     conf: dict[str, str] | None = None,
+    hive: bool = False,
 ) -> SparkSession:
     """Get or create a session with the defaults above.
 
     ``master`` is only for local runs and tests; on a cluster the launcher
-    sets it. ``conf`` overrides the defaults.
+    sets it. ``conf`` overrides the defaults. ``hive`` keeps the catalog in
+    the metastore the deployment configures; without it a session's catalog
+    is its own, and tables are found again by the version named on storage.
     """
     builder = SparkSession.builder.appName(app_name)
     if master:
         builder = builder.master(master)
+    if hive:
+        builder = builder.enableHiveSupport()
     for key, value in {**DEFAULT_CONF, **(conf or {})}.items():
         builder = builder.config(key, value)
     spark = builder.getOrCreate()

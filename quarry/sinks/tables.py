@@ -101,8 +101,7 @@ def table_location(spark: SparkSession, name: str) -> str | None:
         return None
     rows = spark.sql(f"DESCRIBE TABLE EXTENDED {name}").filter(F.col("col_name") == "Location")
     row = rows.select("data_type").first()
-    # The catalog shows the folder as an encoded URI.
-    return spark._jvm.org.apache.hadoop.fs.Path(spark._jvm.java.net.URI(row[0])).toString() if row else None
+    return row[0] if row else None
 
 
 def _same_location(spark: SparkSession, a: str | None, b: str) -> bool:
@@ -184,7 +183,8 @@ def register_table(
         spark.catalog.refreshTable(name)
         return
     if new:
-        spark.sql(f"ALTER TABLE {name} ADD COLUMNS ({T.StructType(new).toDDL()})")
+        nullable = T.StructType([T.StructField(f.name, f.dataType) for f in new])
+        spark.sql(f"ALTER TABLE {name} ADD COLUMNS ({nullable.toDDL()})")
     if moved:
         spark.sql(f"ALTER TABLE {name} SET LOCATION '{_quoted(path)}'")
     elif partition_by and fmt not in V2_FORMATS and _tracks_partitions(spark, name):
@@ -219,6 +219,8 @@ def _tracks_partitions(spark: SparkSession, name: str) -> bool:
 def _declared_columns(fields: list[T.StructField], partition_by: list[str]) -> tuple[str, str]:
     """Column list (partition columns last, as Spark stores them) and
     ``PARTITIONED BY`` clause of a CREATE TABLE, as two clauses."""
+    # An append may leave any column NULL.
+    fields = [T.StructField(f.name, f.dataType, True, f.metadata) for f in fields]
     by_name = {f.name: f for f in fields}
     ordered = [f for f in fields if f.name not in partition_by] + [by_name[p] for p in partition_by]
     cols = " (" + T.StructType(ordered).toDDL() + ")"
@@ -439,14 +441,15 @@ class TableSink:
     def _upsert_whole(self, df: DataFrame, stored: DataFrame | None, save) -> None:
         """Merge with the whole stored table and save the result."""
         source = self._pinned(df)
-        merged = plan_merge(
-            self.spark.createDataFrame([], df.schema) if stored is None else stored,
-            source, list(self.config["primary_key"]), list(self.config.get("change_tracking_column") or []),
-            bool(self.config.get("null_safe", False)),
-            broadcast_bytes=int(self.config.get("broadcast_bytes", DEFAULT_BROADCAST_BYTES)),
-        )
-        save(merged)
-        self._unpin()
+        try:
+            save(plan_merge(
+                self.spark.createDataFrame([], df.schema) if stored is None else stored,
+                source, list(self.config["primary_key"]), list(self.config.get("change_tracking_column") or []),
+                bool(self.config.get("null_safe", False)),
+                broadcast_bytes=int(self.config.get("broadcast_bytes", DEFAULT_BROADCAST_BYTES)),
+            ))
+        finally:
+            self._unpin()
 
     def _unpin(self) -> None:
         remove(self.spark, self._pin)
@@ -480,13 +483,14 @@ class TableSink:
             path = versions.new_version(versions.base_of(path))
             mode = "errorifexists"
         seen = None
-        if self.name and self.partition_by and overwrite_mode != "static" and self.fmt not in V2_FORMATS:
+        if (self.name or self._dated) and self.partition_by and overwrite_mode != "static" and self.fmt not in V2_FORMATS:
             # Whether this write holds one partition value, as a dated run
             # does, gathered by the write job itself: a few numbers,
             # however many partitions there are.
             seen = Observation(f"partitions_{uuid.uuid4().hex[:8]}")
+            own = F.col(self._dated).cast("string") == F.lit(str(self.run_date)) if self._dated else F.lit(False)
             df = df.observe(
-                seen, F.count(F.lit(1)).alias("n"),
+                seen, F.count(F.lit(1)).alias("n"), F.count_if(own).alias("own"),
                 *[f(c).alias(f"{k}{i}") for i, c in enumerate(self.partition_by) for k, f in (("lo", F.min), ("hi", F.max), ("n", F.count))],
             )
         writer = self._layout(df).write.format(self.fmt).mode(mode)
@@ -510,16 +514,40 @@ class TableSink:
                 written=self._one_partition(seen),
                 schema=df.schema,
             )
+        if overwrite_mode == "dynamic" and seen is not None and self._dated:
+            got = self._metrics(seen)
+            if df.filter(own).isEmpty() if got is None else not got["own"]:
+                self._clear_own_partition(path)
         return path
 
+    @property
+    def _dated(self) -> str | None:
+        """The column of a dated run's own partition, if the table is
+        partitioned by it alone."""
+        column = self.config.get("run_date_column", "run_date")
+        return column if self.run_date is not None and self.partition_by == [column] else None
+
+    def _clear_own_partition(self, path: str) -> None:
+        """A re-run that finds no rows for its date takes the rows of the
+        earlier run away: a dynamic overwrite alone would leave them."""
+        fs, folder = versions.file_system(self.spark, f"{path}/{self._dated}={self.run_date}")
+        if fs.exists(folder):
+            fs.delete(folder, True)
+        if self.name and _tracks_partitions(self.spark, self.name):
+            self.spark.sql(f"ALTER TABLE {self.name} DROP IF EXISTS PARTITION (`{self._dated}` = {_spec_literal(self.run_date)})")
+            self.spark.catalog.refreshTable(self.name)
+
+    def _metrics(self, seen: Observation) -> dict | None:
+        try:
+            return seen.get
+        except Exception as e:  # an empty write planned away has none
+            log.info("no write metrics (%s)", e)
+            return None
+
     def _one_partition(self, seen: Observation | None) -> list[dict] | None:
         """The one partition a write produced ([] for an empty write), None
         if there may be more."""
-        try:
-            got = seen.get if seen is not None else None
-        except Exception as e:  # an empty write planned away has no metrics
-            log.info("no write metrics (%s); partitions are listed", e)
-            return None
+        got = self._metrics(seen) if seen is not None else None
         if not got:
             return None
         if got["n"] == 0:
@@ -618,19 +646,16 @@ class TableSink:
         else:
             known = None
             target = stored.join(touched, [stored[p].eqNullSafe(touched[p]) for p in parts], "left_semi")
-        merged = plan_merge(
-            target, source, keys, tracked, null_safe,
-            broadcast_bytes=int(self.config.get("broadcast_bytes", DEFAULT_BROADCAST_BYTES)),
-        )
-        (
-            self._layout(merged).write.format(self.fmt)
-            .mode("overwrite")
-            .option("partitionOverwriteMode", "dynamic")
-            .partitionBy(*parts)
-            .save(location)
-        )
-        register_table(self.spark, self.name, self.fmt, location, parts, written=known, schema=merged.schema)
-        self._unpin()
+        try:
+            merged = plan_merge(
+                target, source, keys, tracked, null_safe,
+                broadcast_bytes=int(self.config.get("broadcast_bytes", DEFAULT_BROADCAST_BYTES)),
+            )
+            writer = self._layout(merged).write.format(self.fmt).mode("overwrite")
+            writer.option("partitionOverwriteMode", "dynamic").partitionBy(*parts).save(location)
+            register_table(self.spark, self.name, self.fmt, location, parts, written=known, schema=merged.schema)
+        finally:
+            self._unpin()
 
     def _merge_v2(self, df: DataFrame, keys, tracked, null_safe) -> None:
         if self.fmt in CATALOG_WRITE_FORMATS:

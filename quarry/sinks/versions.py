@@ -18,7 +18,8 @@ from pyspark.sql import SparkSession
 FOLDER, POINTER = "_versions", "_current"
 
 
-def _fs(spark: SparkSession, path: str):
+def file_system(spark: SparkSession, path: str):
+    """The Hadoop file system of a path, and the path for it."""
     jvm = spark._jvm
     p = jvm.org.apache.hadoop.fs.Path(path)
     return p.getFileSystem(spark._jsc.hadoopConfiguration()), p
@@ -27,7 +28,7 @@ def _fs(spark: SparkSession, path: str):
 def qualified_path(spark: SparkSession, path: str) -> str:
     """The path with scheme and authority, decoded, without a trailing
     slash: two spellings of one folder come out equal."""
-    fs, p = _fs(spark, path)
+    fs, p = file_system(spark, path)
     return fs.makeQualified(p).toString().rstrip("/")
 
 
@@ -43,7 +44,7 @@ def new_version(base: str) -> str:
 def current(spark: SparkSession, base: str) -> str | None:
     """The current version's folder, or None for a table without versions."""
     base = base.rstrip("/")
-    fs, p = _fs(spark, f"{base}/{FOLDER}/{POINTER}")
+    fs, p = file_system(spark, f"{base}/{FOLDER}/{POINTER}")
     if not fs.exists(p):
         return None
     stream = fs.open(p)
@@ -59,23 +60,22 @@ def set_current(spark: SparkSession, version: str) -> None:
     one, in one rename over the old pointer."""
     folder, _, name = version.rpartition("/")
     jvm = spark._jvm
-    fs, new = _fs(spark, f"{folder}/.{POINTER}-{uuid.uuid4().hex}")
+    fs, new = file_system(spark, f"{folder}/.{POINTER}-{uuid.uuid4().hex}")
     out = fs.create(new)
     try:
         out.write(bytearray(name.encode()))
     finally:
         out.close()
-    fs.setVerifyChecksum(False)
     context = jvm.org.apache.hadoop.fs.FileContext.getFileContext(fs.getUri(), spark._jsc.hadoopConfiguration())
     options = spark.sparkContext._gateway.new_array(jvm.org.apache.hadoop.fs.Options.Rename, 1)
     options[0] = jvm.org.apache.hadoop.fs.Options.Rename.OVERWRITE
-    context.rename(fs.makeQualified(new), fs.makeQualified(_fs(spark, f"{folder}/{POINTER}")[1]), options)
+    context.rename(fs.makeQualified(new), fs.makeQualified(file_system(spark, f"{folder}/{POINTER}")[1]), options)
 
 
 def holds_data(spark: SparkSession, path: str) -> bool:
     """Whether any data file lies under ``path`` (names that begin with _ or
     . are no data); stops at the first."""
-    fs, p = _fs(spark, path)
+    fs, p = file_system(spark, path)
     if not fs.exists(p):
         return False
     todo = [p]

@@ -72,3 +72,39 @@ def test_column_item_access(spark):
         pyspark_expression("F.__dict__['col']")
     with pytest.raises(ValueError):
         pyspark_expression("[F.col][0]")
+
+
+@pytest.mark.parametrize(
+    "text",
+    [
+        "F.builtin.sys.modules.get('os').getcwd()", "F.sys", "F.udf('x')", "F.pandas_udf('int')", "T.json", "F.Any", "F.lit(1).__class__",
+        "F.col('a')._jc", "T.StringType().typeName.__func__", "(1).bit_length()", "'x'.format(1)", "F.functools.reduce", "F.col.__globals__",
+        "F", "T.StructType().fields",
+    ],
+)
+def test_nothing_but_exported_names_and_column_methods(spark, text):
+    with pytest.raises(ValueError):
+        pyspark_expression(text)
+
+
+def test_whens_windows_and_types_still_work(spark):
+    df = spark.createDataFrame([(1,), (None,)], "a int")
+    got = df.select(
+        pyspark_expression("F.when(F.col('a') == 1, 'one').otherwise('none').alias('w')"),
+        pyspark_expression("F.col('a').cast(T.StringType()).alias('s')"),
+        pyspark_expression("F.coalesce(F.col('a'), F.lit(7)).between(1, 7).alias('b')"),
+    )
+    assert sorted(map(tuple, got.collect()), key=repr) == [("none", None, True), ("one", "1", True)]
+
+
+def test_double_quoted_run_dates(spark):
+    for text in ('SELECT "${run_date}" AS d', 'SELECT "{$run_date}" AS d', "SELECT '${run_date}' AS d"):
+        sql, args = bind_run_date(text, "2024-01-02")
+        assert spark.sql(sql, args=args).first().d == "2024-01-02"
+    sql, args = bind_run_date('SELECT "on ${run_date}, 12:00" AS d, DATE "${run_date}" AS e', "2024-01-02")
+    row = spark.sql(sql, args=args or None).first()
+    assert row.d == "on 2024-01-02, 12:00" and str(row.e) == "2024-01-02"
+
+
+def test_both_placeholders_in_source_side_sql():
+    assert substitute_run_date("(SELECT '${run_date}', '{$run_date}') q", "2024-01-02") == "(SELECT '2024-01-02', '2024-01-02') q"

@@ -66,3 +66,27 @@ def test_predicates_give_one_partition_each():
     assert seen["table"] == "(select * from o) q" and seen["url"] == "jdbc:x"
     assert seen["predicates"] == ["d < '2024-01-02'", "d >= '2024-01-02'"]
     assert seen["properties"]["user"] == "u" and "url" not in seen["properties"]
+
+
+def test_an_empty_source_is_read_without_a_split(monkeypatch):
+    from quarry.sources import jdbc
+
+    seen = {}
+
+    class Reader:
+        def format(self, name):
+            return self
+
+        def options(self, **options):
+            seen.update(options)
+            return self
+
+        def load(self):
+            return "frame"
+
+    class Session:
+        read = Reader()
+
+    monkeypatch.setattr(jdbc, "_bounds", lambda spark, opts: None)
+    assert jdbc.read_jdbc(Session(), {"url": "u", "table": "t", "partition_column": "id"}) == "frame"
+    assert "partitionColumn" not in seen and "lowerBound" not in seen and "numPartitions" not in seen

@@ -214,3 +214,37 @@ def test_report_rejects_an_integer_run_date_up_front(spark):
     customers, orders = _inputs(spark, SF)
     with pytest.raises(ValueError, match="date run date"):
         reports.top_users(customers, orders, 7)
+
+
+def test_the_five_ingest_jobs_are_complete():
+    import glob
+    import json
+    import os
+    import re
+
+    from quarry.plans.catalogue import INGEST
+    from quarry.plans.job import validate_job
+
+    root = os.path.dirname(os.path.dirname(os.path.abspath(__file__)))
+    found = {}
+    for path in glob.glob(f"{root}/jobs/bronze_*_jdbc.json"):
+        conf = json.load(open(path))
+        validate_job(conf)
+        (name, source), = conf["extract"].items()
+        found[name] = re.findall(r"(\w+)(?=,| FROM)", source["query"])
+        assert conf["load"][name]["first"] and conf["load"][name]["mode"] == "overwrite"
+    columns = {n: re.findall(r"(\w+)\s*(?=,|\s+FROM)", q) for n, q in INGEST.items()}
+    assert found == columns
+
+
+def test_sql_file_on_shared_storage(spark, workdir):
+    from quarry.plans.job import sql_transform
+
+    path = f"{workdir}/q.sql"
+    spark.createDataFrame([("SELECT k + 1 AS k FROM src WHERE '{$run_date}' = :run_date",)], "value string").coalesce(1).write.text(f"{workdir}/sqldir")
+    fs = spark._jvm.org.apache.hadoop.fs.Path(path).getFileSystem(spark._jsc.hadoopConfiguration())
+    part = next(s.getPath() for s in fs.listStatus(spark._jvm.org.apache.hadoop.fs.Path(f"{workdir}/sqldir")) if s.getPath().getName().startswith("part"))
+    fs.rename(part, spark._jvm.org.apache.hadoop.fs.Path(path))
+    url = path if "://" in path else "file://" + path.removeprefix("file:")
+    got = sql_transform(spark, {"src": spark.createDataFrame([(1,)], "k int")}, url, "2024-01-02")["result"].collect()
+    assert [r.k for r in got] == [2]

@@ -1,5 +1,6 @@
 """Physical-plan checks: shuffles, broadcasts, push-down."""
 
+from quarry.operators.steps import apply_steps
 from quarry.plans import reports
 from quarry.plans.catalogue import QUERIES, table
 
@@ -25,9 +26,18 @@ def test_top_user_has_one_shuffle_and_one_bounded_broadcast(spark, workdir):
 
 
 def test_parquet_scan_prunes_and_pushes(spark):
-    text = plan(QUERIES["parquet_scan"](spark, SF))
-    assert "GreaterThanOrEqual(l_shipdate,1998-06-01T00:00)" in text
-    assert "ReadSchema: struct<l_orderkey:bigint,l_partkey:bigint,l_quantity:double,l_shipdate:timestamp_ntz>" in text
+    df = QUERIES["parquet_scan"](spark, SF)
+    schema = "ReadSchema: struct<l_orderkey:bigint,l_partkey:bigint,l_quantity:double,l_shipdate:timestamp_ntz>"
+    assert schema in plan(df)
+    text = plan(df.filter("l_shipdate >= timestamp_ntz'1998-06-01'"))
+    assert "GreaterThanOrEqual(l_shipdate,1998-06-01T00:00)" in text and schema in text
+
+
+def test_report_filters_reach_the_order_scan(spark):
+    """The status word is tested on the stored code."""
+    text = plan(QUERIES["top_user"](spark, SF))
+    pushed = [x.split("ReadSchema")[0] for x in text.split("PushedFilters: [")[1:]]
+    assert any("In(o_orderstatus, [" in x and "o_orderdate" in x for x in pushed)
 
 
 def test_per_date_top_k_limits_before_the_shuffle(spark):
@@ -57,7 +67,10 @@ def test_backfill_expands_dates_after_the_last_shuffle(spark, workdir):
 
 
 def test_sql_window_step_limits_groups_before_the_shuffle(spark):
-    text = plan(QUERIES["step_sql_window"](spark, SF))
+    step = {"op": "sql", "args": {"view_name": "orders_w3", "query":
+        "SELECT * FROM (SELECT o_custkey, o_orderkey, row_number() OVER (PARTITION BY o_custkey "
+        "ORDER BY o_orderdate DESC, o_orderkey DESC) AS rn FROM orders_w3) WHERE rn <= 3"}}
+    text = plan(apply_steps(spark, {"orders": table(spark, SF, "orders")}, {"orders": [step]})["orders"])
     head, _, tail = text.partition("Exchange hashpartitioning(o_custkey")
     assert "WindowGroupLimit" in head and "Partial" in tail and "WindowGroupLimit" in tail
 

@@ -27,3 +27,36 @@ def test_materialize_cuts_lineage_into_the_scratch_folder(spark):
     assert files and all(scratch_root(spark).removeprefix("file:") in f for f in files)
     assert not any("testdata" in f for f in files)
     assert copy.schema == src.schema and copy.count() == src.count()
+
+
+def test_a_machine_s_own_folder_is_no_scratch_on_a_cluster():
+    import pytest
+
+    from quarry.session import is_shared, scratch_root
+
+    assert is_shared("hdfs://n/x") and is_shared("s3a://b/x") and not is_shared("file:/x") and not is_shared("/x")
+
+    class Conf:
+        def __init__(self, **values):
+            self.values = values
+
+        def get(self, key, default=None):
+            return self.values.get(key, default)
+
+    class Context:
+        master = "spark://host:7077"
+
+        def getCheckpointDir(self):
+            return None
+
+        def setCheckpointDir(self, root):
+            self.root = root
+
+    class Session:
+        sparkContext = Context()
+
+    Session.conf = Conf(**{"spark.sql.warehouse.dir": "file:/work/spark-warehouse"})
+    with pytest.raises(ValueError, match="spark.checkpoint.dir"):
+        scratch_root(Session())
+    Session.conf = Conf(**{"spark.sql.warehouse.dir": "hdfs://n/warehouse"})
+    assert scratch_root(Session()) == "hdfs://n/warehouse/_checkpoints"

@@ -275,3 +275,13 @@ def test_first_registers_once_unless_the_shape_changes(spark, workdir, monkeypat
                  {**cfg, "merge_schema": True})
     assert len(ddl) > created
     assert spark.table("db_fo.t").filter("extra = 'x'").count() == 1
+
+
+def test_event_keys_of_several_columns_never_collide(spark):
+    from quarry.sinks import json_events
+
+    pairs = [("a", None), (None, "a"), ("a", "b"), ("a|b", None), ("a", "|b"), (None, None), ('a","b', None)]
+    df = spark.createDataFrame(pairs, "x string, y string")
+    keys = [r.key for r in json_events(df, ["x", "y"]).collect()]
+    assert len(set(keys)) == len(pairs) and None not in keys
+    assert [r.key for r in json_events(df.limit(2), ["x"]).collect()] == ["a", None]
