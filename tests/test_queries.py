@@ -6,6 +6,8 @@ import duckdb
 import pytest
 
 import __spark_entry__ as entry
+from quarry.operators.steps import apply_steps
+from quarry.plans.catalogue import ORACLE, QUERIES
 
 SF = "/root/testdata/sf0.001"
 TABLES = ["region", "nation", "customer", "supplier", "part", "orders", "lineitem", "events"]
@@ -36,17 +38,37 @@ def test_entry_smoke(spark):
     assert df.count() == 10
 
 
-def test_every_query_has_an_oracle_or_is_rows_only():
-    rows_only = set(entry.queries()) - set(entry.oracle_sql())
-    assert rows_only == {"step_sample"}
-    assert set(entry.oracle_sql()) <= set(entry.queries())
+def test_every_query_has_an_oracle():
+    assert set(ORACLE) == set(QUERIES)
+    assert set(QUERIES) <= set(entry.queries()) and set(entry.oracle_sql()) <= set(entry.queries())
 
 
-@pytest.mark.parametrize("name", sorted(entry.oracle_sql()))
+def test_entry_without_the_corpus_operators(tmp_path):
+    """They are an optional part: without their folder and the pipeline the
+    entry still imports and has the other queries; an error inside them is
+    not swallowed."""
+    import os
+    import shutil
+    import subprocess
+    import sys
+
+    root = os.path.dirname(os.path.abspath(entry.__file__))
+    shutil.copytree(f"{root}/quarry", tmp_path / "quarry", ignore=shutil.ignore_patterns("llm", "__pycache__"))
+    shutil.copy(f"{root}/__spark_entry__.py", tmp_path)
+    ask = "import __spark_entry__ as e; print(len(e.queries()), len(e.oracle_sql()))"
+    run = lambda: subprocess.run([sys.executable, "-c", ask], cwd=tmp_path, capture_output=True, text=True, env={**os.environ, "PYTHONPATH": str(tmp_path)})
+    assert run().stdout.split() == [str(len(QUERIES)), str(len(ORACLE))]
+    (tmp_path / "quarry/llm").mkdir()
+    (tmp_path / "quarry/llm/__init__.py").write_text("")
+    (tmp_path / "quarry/llm/queries.py").write_text("import no_such_module")
+    assert "no_such_module" in run().stderr
+
+
+@pytest.mark.parametrize("name", sorted(ORACLE))
 def test_query_matches_oracle(spark, con, name):
-    df = entry.queries()[name](spark, SF)
+    df = QUERIES[name](spark, SF)
     got = [tuple(r) for r in df.collect()]
-    res = con.execute(entry.oracle_sql()[name])
+    res = con.execute(ORACLE[name])
     cols = [d[0] for d in res.description]
     want = res.fetchall()
     assert sorted(df.columns) == sorted(cols)
@@ -57,8 +79,9 @@ def test_sample_is_a_seeded_subset_of_the_right_size(spark):
     # No other engine reproduces Spark's random stream, so the sample is
     # checked by its properties: repeatable for a seed, a subset of the
     # table, and of the expected size (within five standard deviations).
-    q = entry.queries()["step_sample"]
-    a, b = q(spark, SF), q(spark, SF)
+    step = {"orders": [{"op": "sample", "args": {"fraction": 0.1, "seed": 42}}]}
+    source = {"orders": spark.read.parquet(f"{SF}/orders.parquet")}
+    a, b = (apply_steps(spark, source, step)["orders"] for _ in range(2))
     keys = [r.o_orderkey for r in a.select("o_orderkey").collect()]
     assert sorted(keys) == sorted(r.o_orderkey for r in b.select("o_orderkey").collect())
     orders = spark.read.parquet(f"{SF}/orders.parquet")
