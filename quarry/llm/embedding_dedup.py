@@ -32,9 +32,10 @@ from ..session import materialize
 from .common import hash128, only
 from .components import connected_components
 
-SAMPLE = 8192  # vectors that centres are chosen from
-MAX_CENTRES = 2048
-PER_CELL = 100  # vectors a cell should have, while MAX_CENTRES allows
+PER_CELL = 100  # vectors a cell should have, up to FINE centres; then the
+FINE = 2048  # number of centres grows as the root of the vectors' number,
+MAX_CENTRES = 16384  # up to this
+SAMPLE_BYTES = 64 << 20  # most of the sample that centres are chosen from
 APART = 0.6  # greatest cosine between two centres
 VISITS = 12  # cells a vector visits beside its home
 BLOCK = 1024
@@ -82,10 +83,12 @@ def usable(vec: Column) -> Column:
 
 def _centres(classes: DataFrame, dim: int, n: int) -> np.ndarray:
     """Sampled unit vectors, each at most APART from those before it."""
-    want = int(min(MAX_CENTRES, max(1, n // PER_CELL)))
+    most = max(1, SAMPLE_BYTES // (8 * dim))
+    want = int(min(MAX_CENTRES, most // 2 + 1, max(1, min(FINE, n // PER_CELL), n**0.5)))
+    size = min(most, max(8192, 2 * want))
     place = F.xxhash64("embedding").bitwiseAND(F.lit((1 << 31) - 1)) / float(1 << 31)
-    sample = classes.where((F.size("embedding") == dim) & (place < 2.0 * SAMPLE / max(n, 1)))
-    got = sample.orderBy(F.xxhash64("embedding"), "node").limit(SAMPLE).select("embedding").toPandas()["embedding"]
+    sample = classes.where((F.size("embedding") == dim) & (place < 2.0 * size / max(n, 1)))
+    got = sample.orderBy(F.xxhash64("embedding"), "node").limit(size).select("embedding").toPandas()["embedding"]
     if not len(got):
         return np.zeros((0, dim))
     pool = unit(np.stack([np.asarray(v, np.float64) for v in got]))
