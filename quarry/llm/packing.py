@@ -7,7 +7,8 @@ so the choice is one vectorised look over the levels, whatever the number
 of open windows.
 
 Each task packs its own documents in their order: no shuffle, and a re-run
-task gives the same sequences. At its end the windows still open are filled
+task gives the same sequences. At its end (and whenever more than OPEN
+windows are open, which bounds a task's memory) the windows still open are filled
 up from the emptiest ones by cutting their documents; the one window that
 remains is cut into powers of two, which need no padding.
 """
@@ -26,6 +27,7 @@ from .word_tokens import word_tokens
 
 WINDOW = 2048
 END = 1  # the id after each document
+OPEN = 4096  # windows a task keeps open; beyond, all are filled up by cutting
 PIECE = "doc_id long, start long, length long, ids binary, doc_tokens long, sequence_id long, offset long"
 
 
@@ -33,7 +35,7 @@ class SumOfSquares:
     """Open windows by fill level; a window is a list of pieces."""
 
     def __init__(self, size: int):
-        self.size = size
+        self.size, self.total = size, 0
         self.counts = np.zeros(size + 1, np.int64)  # N(h), zero at 0 and size
         self.open: list[deque] = [deque() for _ in range(size + 1)]
 
@@ -54,10 +56,12 @@ class SumOfSquares:
         window = [] if level == 0 else self.open[level].popleft()
         if level:
             n[level] -= 1
+            self.total -= 1
         window.append(piece)
         if level + length == self.size:
             return window
         n[level + length] += 1
+        self.total += 1
         self.open[level + length].append(window)
         return None
 
@@ -117,9 +121,8 @@ def pack(spark: SparkSession, docs: DataFrame, vocabulary: str, size: int = WIND
 
     A null or empty text is the end id alone. Rows are packed one by one, so
     null and repeated ids stay apart by their pieces only. Other columns are
-    ignored; an empty table gives no rows. A task holds the ids of the
-    documents in its open windows (at most one window per level, times what
-    the rule leaves open) and one batch of texts.
+    ignored; an empty table gives no rows. A task holds the ids in at most
+    OPEN windows and one batch of texts.
     """
     small_batches(spark)
     names = [c.split()[0] for c in PIECE.split(", ")]
@@ -140,6 +143,12 @@ def pack(spark: SparkSession, docs: DataFrame, vocabulary: str, size: int = WIND
                 offset += stop - start
             sequence += 1
 
+        def finish():
+            nonlocal packer
+            for window in close(packer.rest(), size):
+                emit(window)
+            packer = SumOfSquares(size)
+
         def batch():
             got = pa.RecordBatch.from_arrays([pa.array(c, k) for c, k in zip(zip(*rows), kinds)], names)
             rows.clear()
@@ -156,12 +165,11 @@ def pack(spark: SparkSession, docs: DataFrame, vocabulary: str, size: int = WIND
                     full = packer.place(((name, n, whole, ids[whole:].copy()), whole, n), n - whole)
                     if full:
                         emit(full)
+                    elif packer.total > OPEN:
+                        finish()
                 if len(rows) >= 256:
                     yield batch()
-        for window in close(packer.rest(), size):
-            emit(window)
-            if len(rows) >= 256:
-                yield batch()
+        finish()
         if rows:
             yield batch()
 

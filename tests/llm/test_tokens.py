@@ -149,6 +149,19 @@ def test_packing(spark):
     assert packing.pack(spark, spark.createDataFrame([], DOC), WORDS).collect() == []
 
 
+def test_a_task_keeps_few_windows_open(spark, monkeypatch):
+    words = WordTokens(WORDS)
+    rows = [(i, " ".join(["cat"] * 40)) for i in range(300)]  # no two fit one window of 64
+    plain = packing.pack(spark, spark.createDataFrame(rows, DOC).coalesce(1), WORDS, size=64).collect()
+    check_pieces(plain, [(d, [*words.ids(t).tolist(), 1]) for d, t in rows], 64)
+    packer = packing.SumOfSquares(64)
+    for i in range(300):
+        packer.place((i, 0, 41), 41)
+    assert packer.total == sum(map(len, packer.open)) == 300
+    windows = list(packing.close(packer.rest(), 64))
+    assert [sum(e - s for _, s, e in w) for w in windows[:-2]] == [64] * (300 * 41 // 64)
+
+
 def test_query_op2_covers_the_whole_table(spark):
     words = WordTokens(WORDS)
     rows = queries.op2_packing(spark, "/root/testdata/sf0.001").collect()
