@@ -225,13 +225,15 @@ def plan_merge(
     tracked: list[str],
     null_safe: bool = False,
     broadcast_bytes: int = DEFAULT_BROADCAST_BYTES,
+    one_pass: bool = True,
 ) -> DataFrame:
     """Check the source, then return ``merge_changes`` with the join
-    strategy the measured source size allows."""
+    strategy the measured source size allows. ``one_pass`` may be withheld
+    for a target that is already dealt by its key (bucketed)."""
     prof = profile_source(source, keys)
     if prof.max_rows_per_key > 1:
         check_duplicate_matches(target, source, keys, prof.dup_keys, broadcast_bytes)
     small = prof.est_bytes <= min(broadcast_bytes, SMALL_SHARE * plan_bytes(target))
     return merge_changes(
-        target, source, keys, tracked, null_safe, broadcast_source=small, unique_source=prof.max_rows_per_key <= 1
+        target, source, keys, tracked, null_safe, broadcast_source=small, unique_source=one_pass and prof.max_rows_per_key <= 1
     )

@@ -21,6 +21,7 @@ from quarry.plans import reports
 from quarry.plans.job import run, run_dates, run_job
 from quarry.session import new_work_dir
 from quarry.sinks import write_output
+from quarry.sinks.events import JSON_OPTIONS
 from quarry.sources import read_files, read_table
 
 RUN_DATE = "1998-06-01"
@@ -1246,12 +1247,6 @@ def q_json_event_payload(spark, sf_dir):
                                  "key_columns": ["user_id"],
                                  "value_columns": ["event_id", "ts", "event_type", "value", "props"]})
     back = spark.read.schema("key string, value string").json(f"{work}/events")
-    field = lambda name: F.get_json_object("value", f"$.{name}")
-    return back.select(
-        "key",
-        field("event_id").cast("long").alias("event_id"),
-        F.to_timestamp_ntz(field("ts"), F.lit("yyyy-MM-dd'T'HH:mm:ss.SSSSSS")).alias("ts"),
-        field("event_type").alias("event_type"),
-        field("value").cast("double").alias("value"),
-        field("props").alias("props"),
-    )
+    # Parsed once per row, not once per field.
+    parsed = F.from_json("value", "event_id long, ts timestamp_ntz, event_type string, value double, props string", JSON_OPTIONS)
+    return back.select("key", parsed.alias("v")).select("key", "v.*")

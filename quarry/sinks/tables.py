@@ -432,13 +432,15 @@ class TableSink:
         if mode == "overwrite_partition" and stored is not None and self.partition_by:
             raise ValueError(f"{self.path()} holds a bucketed table without a catalog entry; upsert or append to it first")
         if mode == "upsert":
-            self._upsert_whole(df, stored, self._save_bucketed_version)
+            # The two joins keep the target in its buckets, so neither they
+            # nor the write shuffle it.
+            self._upsert_whole(df, stored, lambda merged: self._save_bucketed_version(merged, aligned=entry), one_pass=not entry)
             return
         # overwrite; the first append; a partition overwrite of a new or
         # unpartitioned table (which replaces all of it)
         self._save_bucketed_version(df)
 
-    def _upsert_whole(self, df: DataFrame, stored: DataFrame | None, save) -> None:
+    def _upsert_whole(self, df: DataFrame, stored: DataFrame | None, save, one_pass: bool = True) -> None:
         """Merge with the whole stored table and save the result."""
         source = self._pinned(df)
         try:
@@ -447,6 +449,7 @@ class TableSink:
                 source, list(self.config["primary_key"]), list(self.config.get("change_tracking_column") or []),
                 bool(self.config.get("null_safe", False)),
                 broadcast_bytes=int(self.config.get("broadcast_bytes", DEFAULT_BROADCAST_BYTES)),
+                one_pass=one_pass,
             ))
         finally:
             self._unpin()

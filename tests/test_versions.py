@@ -169,6 +169,29 @@ def test_bucketed_overwrite_writes_a_file_per_bucket(spark, workdir):
     assert len(spark.table("db_vk.t").inputFiles()) <= 4
 
 
+def test_bucketed_upsert_through_the_sink_keeps_the_buckets(spark, workdir, monkeypatch):
+    cfg = {**upsert(workdir, "vz", broadcast_bytes=0), "bucket_by": {"columns": ["k"], "buckets": 4}}
+    write_output(spark, frame(spark, [(i, "a") for i in range(400)]), {**cfg, "mode": "overwrite"})
+    plans = []
+    real = TableSink._save_bucketed_version
+
+    def spying(self, df, aligned=False):
+        plans.append((aligned, df._jdf.queryExecution().executedPlan().toString()))
+        return real(self, df, aligned)
+
+    monkeypatch.setattr(TableSink, "_save_bucketed_version", spying)
+    spark.conf.set("spark.sql.autoBroadcastJoinThreshold", "-1")
+    try:
+        write_output(spark, frame(spark, [(i, "b") for i in range(350, 450)]), cfg)
+    finally:
+        spark.conf.unset("spark.sql.autoBroadcastJoinThreshold")
+    (aligned, plan), = plans
+    # Exchanges stand over the source's files only.
+    assert aligned and "Bucketed: true" in plan and plan.count("Exchange hashpartitioning") == 2
+    assert spark.table("db_vz.t").groupBy("v").count().orderBy("v").collect() == [("a", 350), ("b", 100)]
+    assert len(spark.table("db_vz.t").inputFiles()) <= 8
+
+
 def test_empty_rerun_of_a_date_clears_it(spark, workdir):
     schema = "k int, run_date date"
     cfg = {**sink(workdir, "vd", "overwrite_partition"), "partition_by": ["run_date"]}
