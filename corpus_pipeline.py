@@ -22,10 +22,14 @@ from quarry.session import new_work_dir
 ORACLE_SQL = None
 
 
-def _as_documents(out: DataFrame, docs: DataFrame) -> DataFrame:
-    """The columns of ``docs``, with n_chars of the text as it is now."""
-    n = F.length("text").cast("long") if "n_chars" in docs.columns else None
-    return out.select(*[n.alias("n_chars") if c == "n_chars" else F.col(f"`{c}`") for c in docs.columns])
+def _rewritten(docs: DataFrame, operator) -> DataFrame:
+    """``docs`` with the texts that ``operator`` gives: all columns come
+    back, n_chars for the text as it is now. Columns the operator does not
+    need pass through it under other names, so none clashes with its own."""
+    aside = {c: c if c in ("doc_id", "text") else f"_p_{i}" for i, c in enumerate(docs.columns)}
+    out = operator(docs.toDF(*aside.values()))
+    n = F.length("text").cast("long").alias("n_chars")
+    return out.select(*[n if c == "n_chars" else F.col(a).alias(c) for c, a in aside.items()])
 
 
 def quality_rules(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
@@ -36,7 +40,7 @@ def quality_rules(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFram
 
 def lines(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
     """Lines that ten documents share go; every document stays."""
-    return _as_documents(line_dedup.dedup_lines(spark, docs, min_docs=10, min_chars=1), docs)
+    return _rewritten(docs, lambda d: line_dedup.dedup_lines(spark, d, min_docs=10, min_chars=1))
 
 
 def near_duplicates(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
@@ -46,7 +50,7 @@ def near_duplicates(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFr
 
 def substrings(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
     """Passages of 50 words and more stay in the first document only."""
-    return _as_documents(substring_dedup.dedup_substrings(spark, docs, window=50), docs)
+    return _rewritten(docs, lambda d: substring_dedup.dedup_substrings(spark, d, window=50))
 
 
 def pack(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:

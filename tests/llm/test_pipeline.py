@@ -110,5 +110,20 @@ def test_empty_documents(spark):
         docs = spark.createDataFrame(rows, docs.schema)
 
 
+def test_extra_columns_pass_every_stage(spark):
+    text = " ".join(f"w{i}" for i in range(80))
+    rows = [(i, f"{text} {i}\nshared line", 3, f"n{i}", i, True, None, 1) for i in range(12)]
+    names = "doc_id long, text string, n_lines int, n_words string, n_removed long, kept boolean, `key` string, component_id int"
+    docs = spark.createDataFrame(rows, names)
+    for stage in (C.quality_rules, C.lines, C.near_duplicates, C.substrings):
+        out = stage(spark, docs, "/root/testdata/sf0.001")
+        assert out.columns == docs.columns
+    got = {r.doc_id: r for r in C.lines(spark, docs, "/root/testdata/sf0.001").collect()}
+    assert all(got[r[0]][2:] == r[2:] and got[r[0]].text == f"{text} {r[0]}" for r in rows)
+    got = {r.doc_id: r for r in C.substrings(spark, docs, "/root/testdata/sf0.001").collect()}
+    assert all(got[r[0]][2:] == r[2:] for r in rows) and got[1].text == "1\nshared line" and got[0].text == rows[0][1]
+    assert C.pack(spark, docs, "/root/testdata/sf0.001").count() > 0
+
+
 def test_one_query_per_operator():
     assert sorted(int(q[2:].split("_")[0]) for q in QUERIES) == list(range(1, 11))
