@@ -16,9 +16,10 @@ from __future__ import annotations
 
 import numpy as np
 import pyarrow as pa
-from pyspark.sql import Column, DataFrame, SparkSession, Window
+from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
+from ..session import materialize
 from .common import only, small_batches
 from .ngrams import char_grams, code_points, has_letter
 
@@ -93,9 +94,18 @@ def train(
 
     found = sample.mapInArrow(count, "code int, gram long, n long").groupBy("code", "gram").agg(F.sum("n").alias("n"))
     least = F.element_at(F.lit([max(1.0, MIN_SHARE * min(max_docs, totals[k])) for k in langs]), F.col("code") + 1)
-    order = Window.partitionBy("code").orderBy(F.desc("n"), "gram")
-    top = found.where(F.col("n") >= least).withColumn("rank", F.row_number().over(order)).where(F.col("rank") <= max_grams)
-    rows = top.select("code", "gram").toPandas()  # at most max_grams a language
+    found = materialize(spark, found.where(F.col("n") >= least), "langid-grams")
+    # How many n-grams a language has of each frequency: at most as many
+    # numbers as sampled documents. From them the frequency at which the
+    # max_grams most frequent ones end (ties at the end stay out).
+    levels = sorted((r["code"], -r["n"], r["grams"]) for r in found.groupBy("code", "n").agg(F.count("gram").alias("grams")).collect())
+    lowest, held = {}, {}
+    for code, n, many in levels:
+        held[code] = held.get(code, 0) + many
+        if held[code] <= max_grams:
+            lowest[code] = -n
+    floor = F.element_at(F.lit([lowest.get(i, 1 << 62) for i in range(len(langs))]), F.col("code") + 1)
+    rows = found.where(F.col("n") >= floor).select("code", "gram").toPandas()  # at most max_grams a language
     masks = np.zeros((1 << BITS, (len(langs) + 7) // 8), np.uint8)
     for code, own in rows.groupby("code"):
         for at in places(own["gram"].to_numpy().view(np.uint64)):
