@@ -18,27 +18,29 @@ on all windows of all texts:
    documents through it, which locates every occurrence; located windows
    that were confirmed mark their words.
 
-So texts cross the network twice (deflated), and no task holds more than a
+So texts cross the network twice (compressed), and no task holds more than a
 shard: a phrase that very many documents share is one pattern per shard.
 """
 
 from __future__ import annotations
 
 import re
-import zlib
+from functools import cached_property
 
 import ahocorasick
 import numpy as np
 import pyarrow as pa
+import zstandard
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from ..session import materialize
 from .common import only, small_batches
-from .ngrams import runs, word_hashes
+from .ngrams import code_points, count_words, long_runs, runs, word_hashes
 
 WINDOW = 50
 PHRASE = 16
+PASSAGE = ["key", "win", "doc", "phrase"]
 _words = re.compile(r"[^\x20\x09-\x0D]+")
 
 
@@ -58,20 +60,22 @@ class Windows:
     name the same phrase."""
 
     def __init__(self, data: bytes, window: int):
-        words = word_hashes(data)
-        self.n = len(words)
-        size = min(PHRASE, window)
-        self.width = window - size + 1
-        self.named = _slide_min(runs(words, size), self.width) if self.n >= window else np.zeros(0, np.uint64)
-        self.hashes = runs(words, window)
+        self.words, self.window, self.size = word_hashes(data), window, min(PHRASE, window)
+        self.width = window - self.size + 1
+        self.phrases = runs(self.words, self.size)
+        self.named = _slide_min(self.phrases, self.width) if len(self.words) >= window else np.zeros(0, np.uint64)
         new = np.flatnonzero(np.append(len(self.named) > 0, self.named[1:] != self.named[:-1])) if len(self.named) else np.zeros(0, np.int64)
         self.first, self.last = new, np.append(new[1:], len(self.named))[: len(new)] - 1
 
+    @cached_property
+    def hashes(self) -> np.ndarray:
+        return long_runs(self.phrases, self.size, self.window)
+
     def contexts(self) -> tuple[np.ndarray, np.ndarray]:
         """Phrase and a hash of all words around it, per run. The first and
         the last window of a run overlap, so they hold all its words."""
-        a, b = self.hashes[self.first], self.hashes[self.last]
-        around = (a ^ (a >> np.uint64(31))) * np.uint64(0x9E3779B97F4A7C15) + b + (self.last - self.first).astype(np.uint64)
+        a, b = (long_runs(self.phrases, self.size, self.window, at) for at in (self.first, self.last))
+        around = a * np.uint64(0x9E3779B97F4A7C15) + b + (self.last - self.first).astype(np.uint64)
         return self.named[self.first].view(np.int64), around.view(np.int64)
 
 
@@ -89,13 +93,14 @@ def _named(docs: DataFrame, window: int) -> DataFrame:
     return docs.where("doc is not null").select("doc", "text").mapInArrow(run, "key long, around long, doc long")
 
 
-def _deflated(docs: DataFrame, text: str) -> DataFrame:
-    """All columns, the text as deflated UTF-8 (null for null)."""
+def _compressed(docs: DataFrame, text: str) -> DataFrame:
+    """All columns, the text as compressed UTF-8 (null for null)."""
     at = docs.columns.index(text)
 
     def run(batches):
+        deflate = zstandard.ZstdCompressor(level=1).compress
         for b in batches:
-            z = pa.array([None if t is None else zlib.compress(t.encode(), 1) for t in b.column(at).to_pylist()], pa.binary())
+            z = pa.array([None if t is None else deflate(t.encode()) for t in b.column(at).to_pylist()], pa.binary())
             yield pa.RecordBatch.from_arrays([z if i == at else c for i, c in enumerate(b.columns)], b.schema.names)
 
     schema = docs.withColumn(text, F.lit(None).cast("binary")).schema
@@ -103,43 +108,41 @@ def _deflated(docs: DataFrame, text: str) -> DataFrame:
 
 
 def _passages(dealt: DataFrame, window: int) -> DataFrame:
-    """From (doc, text deflated, keys): the hash of each window that names a
+    """From (doc, text compressed, keys): the hash of each window that names a
     phrase of several contexts; and, from its first document, each phrase's
     words."""
-    size = min(PHRASE, window)
-
     def run(batches):
+        inflate = zstandard.ZstdDecompressor().decompress
         for b in batches:
-            out: list[tuple] = []
-            for doc, z, keys in zip(*[c.to_pylist() for c in b.columns]):
-                data = zlib.decompress(z)
+            lists = b.column(2)
+            at, (key, low, several) = lists.offsets.to_numpy(), (np.asarray(c) for c in lists.values.flatten())
+            keys, wins, ids, told = [], [], [], []
+            for i, (doc, z) in enumerate(zip(b.column(0).to_pylist(), b.column(1).to_pylist())):
+                data = inflate(z)
                 win = Windows(data, window)
-                wanted = {k["key"]: k for k in keys}
-                words = None
-                for key, i, j in zip(win.named[win.first].view(np.int64).tolist(), win.first.tolist(), win.last.tolist()):
-                    k = wanted.get(key)
-                    if k is None:
-                        continue
-                    if k["several"]:
-                        out += [(key, h, doc, None) for h in win.hashes[i : j + 1].view(np.int64).tolist()]
-                    if k["low"] == doc and not k.get("told"):
-                        k["told"] = True
-                        words = words or _words.findall(data.decode())
-                        at = i + int(np.argmin(runs(word_hashes(" ".join(words[i : i + window]).encode()), size)))
-                        out.append((key, None, doc, " ".join(words[at : at + size])))
-                if len(out) > 20_000:
-                    yield _rows(out)
-                    out = []
-            if out:
-                yield _rows(out)
+                mine = slice(at[i], at[i + 1])
+                named = win.named.view(np.int64)
+                differ = np.isin(named, key[mine][several[mine]])
+                keys.append(named[differ])
+                wins.append(win.hashes.view(np.int64)[differ])
+                ids.append(np.full(len(keys[-1]), doc, np.int64))
+                first = key[mine][low[mine] == doc]
+                if len(first):
+                    words = data.split()
+                    found, where = np.unique(win.phrases.view(np.int64), return_index=True)
+                    for k, p in zip(first.tolist(), where[np.minimum(np.searchsorted(found, first), len(found) - 1)].tolist()):
+                        if win.phrases.view(np.int64)[p] == k:  # a repeated id may have it in its other text
+                            told.append((k, doc, b" ".join(words[p : p + win.size]).decode()))
+            keys, wins, ids = (np.concatenate([*x, np.zeros(0, np.int64)]) for x in (keys, wins, ids))
+            n = len(keys)
+            yield pa.RecordBatch.from_arrays([pa.array(keys), pa.array(wins), pa.array(ids), pa.nulls(n, pa.string())], PASSAGE)
+            if told:
+                k, d, p = zip(*told)
+                yield pa.RecordBatch.from_arrays([pa.array(k, pa.int64()), pa.nulls(len(k), pa.int64()), pa.array(d, pa.int64()), pa.array(p, pa.string())], PASSAGE)
 
     return dealt.select("doc", "text", "keys").mapInArrow(run, "key long, win long, doc long, phrase string")
 
 
-def _rows(out: list[tuple]) -> pa.RecordBatch:
-    return pa.RecordBatch.from_arrays([pa.array(c, k) for c, k in zip(zip(*out), (pa.int64(), pa.int64(), pa.int64(), pa.string()))], ["key", "win", "doc", "phrase"])
-
-
 def _automaton(lists: list) -> ahocorasick.Automaton | None:
     """One for the phrases of a shard of documents."""
     automaton = ahocorasick.Automaton()
@@ -152,15 +155,19 @@ def _automaton(lists: list) -> ahocorasick.Automaton | None:
     return automaton
 
 
-def covered(text: str, win: Windows, words: list[str], phrases: list[dict], automaton: ahocorasick.Automaton, window: int) -> np.ndarray:
+def covered(data: bytes, phrases: list[dict], automaton: ahocorasick.Automaton, window: int) -> np.ndarray:
     """Which words lie in a confirmed window around a located phrase."""
-    ends = np.cumsum(np.fromiter(map(len, words), np.int64, len(words)) + 1)
+    win = Windows(data, window)
+    line = f" {b' '.join(data.split()).decode()} "  # bytes.split() cuts at the white space of the contract
+    blanks = np.flatnonzero(code_points(line) == 32)
     known = {p["key"]: p["wins"] for p in phrases}
+    hits = [(end, key) for end, key in automaton.iter(line) if key in known]
     at: dict[int, list[int]] = {}
-    for end, key in automaton.iter(" " + " ".join(words) + " "):
-        if key in known:
-            at.setdefault(key, []).append(int(np.searchsorted(ends, end)) - min(PHRASE, window) + 1)
-    marks = np.zeros(len(words) + 1, np.int64)
+    # A pattern ends with the blank after its last word.
+    for word, (_, key) in zip(np.searchsorted(blanks, np.array([e for e, _ in hits], np.int64)).tolist(), hits):
+        at.setdefault(key, []).append(word - min(PHRASE, window))
+    n = len(win.words)
+    marks = np.zeros(n + 1, np.int64)
     for key, i, j in zip(win.named[win.first].view(np.int64).tolist(), win.first.tolist(), win.last.tolist()):
         # The phrase must have been located inside the run's windows.
         if key not in at or not any(i <= p < j + win.width for p in at[key]):
@@ -168,7 +175,7 @@ def covered(text: str, win: Windows, words: list[str], phrases: list[dict], auto
         wins = known[key]
         hit = np.arange(i, j + 1) if wins is None else i + np.flatnonzero(np.isin(win.hashes[i : j + 1].view(np.int64), np.array(wins, np.int64)))
         np.add.at(marks, hit, 1)
-        np.add.at(marks, np.minimum(hit + window, len(words)), -1)
+        np.add.at(marks, np.minimum(hit + window, n), -1)
     return np.cumsum(marks[:-1]) > 0
 
 
@@ -206,7 +213,7 @@ def dedup_substrings(spark: SparkSession, docs: DataFrame, window: int = WINDOW,
     met = materialize(spark, met, "phrases-met")
     lists = met.groupBy("doc").agg(F.collect_list(F.struct("key", "low", "several")).alias("keys"))
 
-    dealt = _deflated(slim.where("doc is not null and text is not null"), "text").join(lists.hint("shuffle_hash"), "doc")
+    dealt = _compressed(slim.where("doc is not null and text is not null"), "text").join(lists.hint("shuffle_hash"), "doc")
     passages = materialize(spark, _passages(dealt, window), "passages")
     phrases = passages.where("phrase is not null").groupBy("key").agg(F.min("phrase").alias("phrase"))
     phrases = materialize(spark, phrases, "phrases")
@@ -218,27 +225,27 @@ def dedup_substrings(spark: SparkSession, docs: DataFrame, window: int = WINDOW,
     patterns = whole.union(again).join(phrases, "key").groupBy("doc").agg(F.collect_list(F.struct("key", "phrase", "wins")).alias("phrases"))
 
     columns = docs.columns
-    out = _deflated(docs.withColumn("_q_doc", F.col(f"`{doc_id}`").cast("long")), text)
+    out = _compressed(docs.withColumn("_q_doc", F.col(f"`{doc_id}`").cast("long")), text)
     out = out.join(patterns.select(F.col("doc").alias("_q_match"), F.col("phrases").alias("_q_phrases")).hint("shuffle_hash"), F.col("_q_doc") == F.col("_q_match"), "left")
     out = out.select(*[F.col(f"`{c}`") for c in columns], "_q_phrases")
     at = columns.index(text)
 
     def run(batches):
+        inflate = zstandard.ZstdDecompressor().decompress
         for b in batches:
             lists = b.column(len(columns)).to_pylist()
             automaton = _automaton(lists)
             texts, n_words, n_removed = [], [], []
             for z, phrases in zip(b.column(at).to_pylist(), lists):
-                t = None if z is None else zlib.decompress(z).decode()
-                words = _words.findall(t or "")
-                removed = 0
+                data = None if z is None else inflate(z)
+                removed, t = 0, None if data is None else data.decode()
                 if phrases:
-                    gone = covered(t, Windows(t.encode(), window), words, phrases, automaton, window)
+                    gone = covered(data, phrases, automaton, window)
                     removed = int(gone.sum())
                     if removed:
                         t = cut(t, gone)
                 texts.append(t)
-                n_words.append(len(words))
+                n_words.append(count_words(data or b""))
                 n_removed.append(removed)
             kept = [pa.array(texts, pa.string()) if i == at else b.column(i) for i in range(len(columns))]
             yield pa.RecordBatch.from_arrays([*kept, pa.array(n_words, pa.int64()), pa.array(n_removed, pa.int64())], [*columns, "n_words", "n_removed"])
