@@ -95,13 +95,20 @@ def resolve_format(spark: SparkSession, config: dict, writer: str | None) -> str
     return fmt
 
 
+def _entry(spark: SparkSession, name: str):
+    """The session catalog's own record of a table, None if there is none
+    (one look-up, where DESCRIBE would run a query)."""
+    state = spark._jsparkSession.sessionState()
+    ident = state.sqlParser().parseTableIdentifier(name)
+    return state.catalog().getTableMetadata(ident) if state.catalog().tableExists(ident) else None
+
+
 def table_location(spark: SparkSession, name: str) -> str | None:
     """Current location of a catalog table, or None when it does not exist."""
-    if not spark.catalog.tableExists(name):
+    entry = _entry(spark, name)
+    if entry is None or not entry.storage().locationUri().isDefined():
         return None
-    rows = spark.sql(f"DESCRIBE TABLE EXTENDED {name}").filter(F.col("col_name") == "Location")
-    row = rows.select("data_type").first()
-    return row[0] if row else None
+    return spark._jvm.org.apache.hadoop.fs.Path(entry.location()).toString()
 
 
 def _same_location(spark: SparkSession, a: str | None, b: str) -> bool:
@@ -212,8 +219,8 @@ def _create(spark: SparkSession, name: str, fmt: str, path: str, partition_by: l
 def _tracks_partitions(spark: SparkSession, name: str) -> bool:
     """Whether the catalog lists the table's partitions (else Spark lists
     the folder when it reads)."""
-    rows = spark.sql(f"DESCRIBE TABLE EXTENDED {name}").filter("col_name = 'Partition Provider'").select("data_type").take(1)
-    return bool(rows) and rows[0][0].lower() == "catalog"
+    entry = _entry(spark, name)
+    return entry is not None and entry.tracksPartitionsInCatalog()
 
 
 def _declared_columns(fields: list[T.StructField], partition_by: list[str]) -> tuple[str, str]:
@@ -423,9 +430,8 @@ class TableSink:
                 self._save_bucketed_version(stored.unionByName(df, allowMissingColumns=True))
             return
         if mode == "overwrite_partition" and entry and self.partition_by:
-            props = self.spark.sql(f"DESCRIBE TABLE EXTENDED {self.name}").filter(
-                F.col("col_name") == "Storage Properties").select("data_type").first()
-            if not props or "partitionOverwriteMode=dynamic" not in props[0]:
+            options = _entry(self.spark, self.name).storage().properties()
+            if not options.contains("partitionOverwriteMode") or options.apply("partitionOverwriteMode") != "dynamic":
                 raise ValueError(f"{self.name} was not created for partition overwrites; overwrite it once first")
             self._aligned(df, stored).select(*stored.columns).write.insertInto(self.name, overwrite=True)
             return

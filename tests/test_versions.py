@@ -100,7 +100,7 @@ def test_schema_is_kept_without_a_table_name(spark, workdir):
 
 @pytest.mark.parametrize("folder", ["with space", "größe'q", "a%20b", "p=1"])
 def test_overwrite_of_its_own_input(spark, workdir, folder):
-    cfg = {**sink(workdir, "vo" + str(abs(hash(folder)) % 1000), "overwrite"), "path": f"{workdir}/{folder}"}
+    cfg = {**sink(workdir, "vo" + folder.encode().hex(), "overwrite"), "path": f"{workdir}/{folder}"}
     write_output(spark, frame(spark, [(1, "a"), (2, "b")]), cfg)
     name = cfg["table_name"]
     write_output(spark, spark.table(name).filter("k = 1"), cfg)
