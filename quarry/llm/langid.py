@@ -8,7 +8,8 @@ that l's share of set bits lets expect. The most votes decide.
 
 The filter is fitted on a bounded sample of each language's labelled
 documents (MAX_DOCS, by a hash of doc_id) and holds at most MAX_GRAMS
-n-grams a language, the most frequent ones; its size is fixed. Every text
+n-grams a language, the most frequent ones, of equally frequent ones those
+of smallest hash; its size is fixed. Every text
 is scored whole, in Arrow batches, without a shuffle.
 """
 
@@ -97,15 +98,22 @@ def train(
     found = materialize(spark, found.where(F.col("n") >= least), "langid-grams")
     # How many n-grams a language has of each frequency: at most as many
     # numbers as sampled documents. From them the frequency at which the
-    # max_grams most frequent ones end (ties at the end stay out).
+    # max_grams most frequent ones end, and how many of it still fit.
     levels = sorted((r["code"], -r["n"], r["grams"]) for r in found.groupBy("code", "n").agg(F.count("gram").alias("grams")).collect())
-    lowest, held = {}, {}
+    last, part, held = [1] * len(langs), [1.0] * len(langs), [0] * len(langs)
     for code, n, many in levels:
-        held[code] = held.get(code, 0) + many
-        if held[code] <= max_grams:
-            lowest[code] = -n
-    floor = F.element_at(F.lit([lowest.get(i, 1 << 62) for i in range(len(langs))]), F.col("code") + 1)
-    rows = found.where(F.col("n") >= floor).select("code", "gram").toPandas()  # at most max_grams a language
+        room = max_grams - held[code]
+        if 0 < room < many:  # a share of the hash space that holds a little more than fits
+            part[code] = min(1.0, (room + 8 * room**0.5 + 64) / many)
+        if room > 0:
+            last[code] = -n
+        held[code] += many
+    of = lambda values: F.element_at(F.lit(values), F.col("code") + 1)
+    found = found.withColumn("spot", F.xxhash64("gram").bitwiseAND(F.lit((1 << 31) - 1)))
+    near = found.where((F.col("n") > of(last)) | (F.col("n") == of(last)) & (F.col("spot") / float(1 << 31) < of(part)))
+    # Little over max_grams a language; ties at the end go by their hash.
+    rows = near.select("code", "gram", "n", "spot").toPandas()
+    rows = rows.sort_values(["code", "n", "spot", "gram"], ascending=[True, False, True, True]).groupby("code").head(max_grams)
     masks = np.zeros((1 << BITS, (len(langs) + 7) // 8), np.uint8)
     for code, own in rows.groupby("code"):
         for at in places(own["gram"].to_numpy().view(np.uint64)):

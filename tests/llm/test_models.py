@@ -131,6 +131,27 @@ def test_language_edges(spark):
     assert langid.predict(spark, odd.limit(0), model).collect() == []
 
 
+def test_languages_of_one_frequency_keep_as_many_ngrams_as_fit(spark):
+    rng = random.Random(8)
+    text = lambda letters, n: " ".join("".join(rng.choice(letters) for _ in range(6)) for _ in range(n))
+    long, copied = text("abcdefghijklm", 12_000), text("nopqrstuvwxyz", 12_000)
+    rare = [text("àáâãäåæçèéêë", 1_500) for _ in range(6)]  # what is in one text only crosses the bound
+    rows = [(learnt(0), long, "long"), *[(learnt(i), copied, "copied") for i in range(1, 7)], *[(learnt(7 + i), t, "rare") for i, t in enumerate(rare)]]
+    docs = spark.createDataFrame(rows, "doc_id long, text string, lang string")
+    model = langid.train(spark, docs)
+    assert model["langs"] == ["copied", "long", "rare"]
+    some = {"long": [long], "copied": [copied], "rare": rare}
+    for i, name in enumerate(model["langs"]):
+        grams = np.unique(np.concatenate([g for t in some[name] for g in langid.grams(t)]))
+        assert len(grams) > langid.MAX_GRAMS
+        held = np.unpackbits(np.bitwise_and.reduce([model["masks"][p] for p in langid.places(grams)]), axis=1, bitorder="little")[:, i].sum()
+        assert langid.MAX_GRAMS <= held < 1.1 * langid.MAX_GRAMS  # the bound, and a few by chance
+    odd = spark.createDataFrame([(1, long[:700]), (2, copied[:700]), (3, rare[0][:700])], DOC)
+    assert sorted((r.doc_id, r.lang_pred) for r in langid.predict(spark, odd, model).collect()) == [(1, "long"), (2, "copied"), (3, "rare")]
+    again = langid.train(spark, docs.repartition(3))
+    assert (again["masks"] == model["masks"]).all()
+
+
 def test_filters_hold_every_ngram_and_correct_for_chance():
     rng = np.random.Generator(np.random.PCG64(1))
     grams = rng.integers(0, 1 << 63, 20_000, np.uint64)
