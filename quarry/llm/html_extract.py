@@ -4,7 +4,15 @@ The standard library's parser streams its events; each block of text is a
 line with the number of tags that came with it. The ratios of text to tags
 are smoothed with a Gaussian, lines over a threshold (the spread of the
 page's ratios) seed the content, and the regions that hold a seed are kept
-whole, so that a short paragraph between long ones stays.
+whole, so that a short paragraph between long ones stays. All regions take
+part, in articles and outside; the lists and tables of an article belong to
+its section around them.
+
+An article element is a weight, not a verdict. If the articles with a seed
+hold at least as much text as the seeds outside, what lies outside goes and
+a line inside is a seed also if its own ratio, without its neighbours', is
+over 1 / ARTICLE of the threshold; otherwise the ratios alone decide, so a
+story card marked as an article does not replace the page's text.
 
 What the markup itself calls a menu, a notice or the like (by element, role,
 class or id) never counts as content. A class or id is believed only if the
@@ -24,11 +32,14 @@ from pyspark.sql import DataFrame, SparkSession
 from .common import only, small_batches
 
 SIGMA = 1.0  # of the Gaussian, in lines
+ARTICLE = 2.0  # weight of a line's own ratio in an article that is believed
+DOUBTED = 0.2  # weight of a seed outside whose element is named like a notice
 WRAPPER = 0.8  # share of the page's text beyond which a name is not believed
 # Elements by what they mean for the text.
 SKIP = frozenset("script style noscript template title head textarea select option button datalist svg math iframe object canvas audio video".split())
 BOILER = frozenset("nav footer aside form menu dialog".split())
 MAIN = frozenset(("article", "main"))
+SECTION = MAIN | frozenset(("div", "section"))  # regions of their own in an article
 REGION = frozenset("html body div section article main aside nav header footer form menu dialog ul ol dl table tr td th fieldset details blockquote center".split())
 BREAK = REGION | frozenset("p h1 h2 h3 h4 h5 h6 li dt dd pre br hr figure figcaption address caption thead tbody tfoot summary legend option title".split())
 VOID = frozenset("area base br col embed hr img input link meta param source track wbr".split())
@@ -45,12 +56,13 @@ _hidden = re.compile(r"display\s*:\s*none|visibility\s*:\s*hidden")
 
 
 class _Lines(HTMLParser):
-    """Collects (text, tags, region, doubts) per line. ``doubts`` are the
-    labelled ancestors whose class or id speaks against the line."""
+    """Collects (text, tags, region, doubts, article) per line. ``doubts``
+    are the labelled ancestors whose class or id speaks against the line,
+    ``article`` is the region of the outermost article (0 outside)."""
 
     def __init__(self):
         super().__init__(convert_charrefs=True)
-        self.lines: list[tuple[str, int, int, tuple[int, ...]]] = []
+        self.lines: list[tuple[str, int, int, tuple[int, ...], int]] = []
         self.stack: list[tuple[str, bool, int, bool]] = []  # element, out (surely no content), region, doubted
         self.out = 0
         self.inline: list[str] = []
@@ -60,15 +72,16 @@ class _Lines(HTMLParser):
         self.mains: set[int] = set()  # doubted elements with an article inside
         self.inside: set[int] = set()  # doubted elements inside an article
         self.articles: list[int] = []  # regions of open article elements
-        self.article_regions: set[int] = set()
+        self.found = False  # an article
+        self.sections: list[int] = []  # regions of open sections in an article, its own first
 
     def flush(self):
         if self.inline:
             text = " ".join("".join(self.inline).split())
             self.inline.clear()
             if text:
-                region = self.articles[0] if self.articles else self.stack[-1][2] if self.stack else 0
-                self.lines.append((text, self.tags, region, tuple(self.doubts)))
+                region = self.sections[-1] if self.sections else self.stack[-1][2] if self.stack else 0
+                self.lines.append((text, self.tags, region, tuple(self.doubts), self.articles[0] if self.articles else 0))
                 self.tags = 0
 
     def handle_starttag(self, tag, attrs):
@@ -91,7 +104,7 @@ class _Lines(HTMLParser):
         if tag == "body" or tag in MAIN:
             while self.stack and self.stack[-1][0] in ("head", "title"):  # never closed
                 self._pop()
-        if tag in MAIN and not (out or doubt or self.out or self.article_regions):  # comments may be articles too
+        if tag in MAIN and not (out or doubt or self.out or self.found):  # comments may be articles too
             self.mains.update(self.doubts)
         if region or out or doubt:
             if doubt and not region and not out:
@@ -105,7 +118,9 @@ class _Lines(HTMLParser):
                     self.inside.add(self.regions)
             if tag in MAIN and not self.out and not doubt:
                 self.articles.append(self.regions)
-                self.article_regions.add(self.articles[0])
+                self.found = True
+            if self.articles and tag in SECTION:
+                self.sections.append(self.regions)
 
     def _pop(self):
         tag, out, region, doubt = self.stack.pop()
@@ -114,6 +129,8 @@ class _Lines(HTMLParser):
             self.doubts.remove(region)
         if self.articles and self.articles[-1] == region:
             self.articles.pop()
+        if self.sections and self.sections[-1] == region:
+            self.sections.pop()
         return tag
 
     def handle_startendtag(self, tag, attrs):
@@ -164,20 +181,25 @@ def main_text(html: str | None) -> str:
         return ""
     total = sum(len(x[0]) for x in lines)
     held: dict[int, int] = {}
-    for text, _, _, doubts in lines:
+    for text, _, _, doubts, _ in lines:
         for d in doubts:
             held[d] = held.get(d, 0) + len(text)
     wrong = {d for d, n in held.items() if d not in parser.mains and (d in parser.inside or n <= WRAPPER * total)}
     own = [x for x in lines if wrong.isdisjoint(x[3])]
-    if any(x[2] in parser.article_regions for x in own):  # the page says where its article is
-        own = [x for x in own if x[2] in parser.article_regions]
     if not own:
         return ""
-    ratios = smooth([len(x[0]) / max(1, x[1]) for x in own])
+    bare = [len(x[0]) / max(1, x[1]) for x in own]
+    ratios = smooth(bare)
     mean = sum(ratios) / len(ratios)
     spread = math.sqrt(sum((r - mean) ** 2 for r in ratios) / len(ratios))
     threshold = min(spread, max(ratios))
-    content = {x[2] for x, r in zip(own, ratios) if r >= threshold}
+    seeds = [x for x, r in zip(own, ratios) if r >= threshold]
+    articles = {x[4] for x in seeds if x[4]}
+    inside = sum(len(x[0]) for x in own if x[4] in articles)
+    outside = sum(len(x[0]) * (DOUBTED if x[3] else 1.0) for x in seeds if not x[4])
+    if articles and inside >= outside:
+        seeds = [x for x, r, b in zip(own, ratios, bare) if x[4] and (r >= threshold or ARTICLE * b >= threshold)]
+    content = {x[2] for x in seeds}
     return " ".join(x[0] for x in own if x[2] in content)
 
 

@@ -107,6 +107,26 @@ def test_low_ratio_regions_are_left_out():
     assert main_text(links + body + links) == " ".join([LONG.strip()] * 12)
 
 
+def test_ratios_decide_whether_an_article_is_believed():
+    card = "<div class=more><article><h3><a href=x>Another story</a></h3><p>A few words of it.</p></article></div>"
+    story = "<div><h1>T</h1>" + f"<p>{LONG}</p>" * 6 + "</div>"
+    wanted = "T " + " ".join([LONG.strip()] * 6)
+    assert main_text(card + story).endswith(wanted) and main_text(story + card).startswith(wanted)
+    assert main_text("<div class='page with-sidebar'>" + story + "</div>" + card).startswith(wanted)
+    assert main_text(story + "<ul>" + "<li><a href=x><i>link</i></a></li>" * 9 + "</ul>" + card) == wanted
+    article = "<article><h1>T</h1>" + f"<p>{LONG}</p>" * 6 + "</article>"
+    assert main_text(article + f"<div><p>{LONG}</p></div>") == wanted  # the most text, so believed
+
+
+def test_regions_inside_an_article_are_judged():
+    links = "<div>" + "<p><a href=x><i>l</i></a></p>" * 12 + "</div>"
+    text = f"<p>{LONG}</p>" * 6 + "<table><tr><td>1<td>2</table><ul><li>x<li>y</ul>" + f"<p>{LONG}</p>" * 6
+    long = " ".join([LONG.strip()] * 6)
+    body = f"{long} 1 2 x y {long}"
+    assert main_text("<article><section>" + text + "</section><hr>" + links + links + "</article>") in (body, f"{body} l")
+    assert main_text("<article>" + text + "</article>") == body
+
+
 def test_smooth_keeps_constants_and_length():
     assert smooth([3.0] * 5) == pytest.approx([3.0] * 5)
     assert smooth([7.0]) == [7.0] and smooth([]) == []
