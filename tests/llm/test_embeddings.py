@@ -54,6 +54,19 @@ def test_all_links_are_found(spark, monkeypatch):
     assert linked(spark, rows) == brute(rows)
 
 
+def test_recall_among_thousands_of_centres(spark, monkeypatch):
+    monkeypatch.setattr(E, "PER_CELL", 6)  # 2,000 centres
+    rng = np.random.Generator(np.random.PCG64(5))
+    a = E.unit(rng.standard_normal((6000, 64)))
+    w = rng.standard_normal(a.shape)
+    w = E.unit(w - (w * a).sum(axis=1, keepdims=True) * a)
+    rows = np.concatenate([a, 0.901 * a + np.sqrt(1 - 0.901**2) * w]).astype(np.float32)  # 6,000 pairs, no other link
+    df = spark.createDataFrame([(i, v) for i, v in enumerate(rows.tolist())], VEC)
+    found = E.link(spark, df).agg({"n_links": "sum"}).collect()[0][0] / 2
+    print("recall", found / 6000)
+    assert 0.99 * 6000 < found <= 6000
+
+
 def test_edges(spark):
     nan, inf = float("nan"), float("inf")
     rows = [(1, None), (2, []), (3, [0.0, 0.0]), (4, [1.0, nan]), (5, [1.0, inf]), (6, [None, 1.0]), (None, [1.0, 0.0]), (8, [2.0, 0.0]), (9, [2.0, 0.0]),
