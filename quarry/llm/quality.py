@@ -148,7 +148,8 @@ def train(
 
     Rows of ``labels`` with a null id or label are left out; an id labelled
     twice counts with its highest label. Labelled ids without a document
-    teach nothing.
+    teach nothing; of a labelled id with several rows, the text of smallest
+    hash does.
     """
     small_batches(spark)
     known = only(labels, doc_id=doc_id, y=label).where("doc_id is not null and y is not null")
@@ -159,16 +160,26 @@ def train(
     share = min(1.0, 0.95 * max_labelled / total)  # the bound holds with room for chance
     place = F.xxhash64("doc_id", F.lit("quality")).bitwiseAND(F.lit((1 << 31) - 1)) / float(1 << 31)
     sample = known.where(place < share).limit(max_labelled)  # at most max_labelled rows, so it may be broadcast
-    own = only(docs, doc_id=doc_id, text=text).where("text is not null").join(F.broadcast(sample), "doc_id")
+    own = only(docs, doc_id=doc_id, text=text).where("text is not null").withColumn("h", F.xxhash64("text")).join(F.broadcast(sample), "doc_id")
+    one = own.groupBy("doc_id").agg(F.min("h").alias("h"))  # at most max_labelled rows too
+    own = own.join(F.broadcast(one), ["doc_id", "h"])  # copies of that text remain
 
     def run(batches):
+        seen = set()  # a task gives one row of each sampled id
         for b in batches:
+            ids, new = b.column(0).to_pylist(), []
+            for i, d in enumerate(ids):
+                if d not in seen:
+                    seen.add(d)
+                    new.append(i)
+            b = b.take(pa.array(new, pa.int64()))
             got = [features(t) for t in b.column(1).to_pylist()]
             yield pa.RecordBatch.from_arrays(
                 [b.column(0), b.column(2), pa.array([i.tobytes() for i, _ in got], pa.binary()), pa.array([v.tobytes() for _, v in got], pa.binary())], ["doc_id", "y", "i", "v"]
             )
 
-    rows = own.select(F.col("doc_id").cast("long").alias("doc_id"), "text", "y").mapInArrow(run, "doc_id long, y int, i binary, v binary").collect()
+    found = own.select(F.col("doc_id").cast("long").alias("doc_id"), "text", "y").mapInArrow(run, "doc_id long, y int, i binary, v binary")
+    rows = found.groupBy("doc_id").agg(F.min(F.struct("y", "i", "v")).alias("f")).select("doc_id", "f.*").collect()
     rows.sort(key=lambda r: (r.doc_id, bytes(r.i), bytes(r.v)))
     y = np.array([r.y for r in rows], float)
     if len(set(y)) < 2:

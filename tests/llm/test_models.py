@@ -101,6 +101,20 @@ def test_without_labels_the_base_rule_decides(spark):
     assert quality.score(spark, odd.limit(0), None).collect() == []
 
 
+def test_a_repeated_labelled_id_teaches_once(spark, monkeypatch):
+    rng = random.Random(4)
+    text = lambda words: " ".join(rng.choice(words.split()) for _ in range(60))
+    rows = [(i, text("good fine text" if i % 2 else "bad spam junk")) for i in range(20)]
+    labels = spark.createDataFrame([(i, i % 2) for i in range(20)], "doc_id long, quality int")
+    hot = [(1, text("hot group of copies")) for _ in range(150)] + [(2, "the same " * 40)] * 150
+    fits, fit = [], quality._fit
+    monkeypatch.setattr(quality, "_platt", lambda z, y: (fits.append(len(y)), (1.0, 0.0))[1])
+    monkeypatch.setattr(quality, "_fit", lambda at, v, starts, y: (fits.append(len(y)), fit(at, v, starts, y))[1])
+    models = [quality.train(spark, spark.createDataFrame(rows + hot, DOC).repartition(n), labels) for n in (5, 3)]
+    assert fits == [16, 4] * 2  # one row of each id: four fifths, one fifth
+    assert (models[0]["weights"] == models[1]["weights"]).all()
+
+
 def test_language_on_held_out_documents(spark):
     docs = read(spark, SF, "documents")
     model = langid.train(spark, docs)
