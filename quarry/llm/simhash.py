@@ -62,16 +62,20 @@ def fingerprint(text: str | None, shingle: int = 3, seed: int = 42) -> int:
     return int(value[0])
 
 
-def fingerprints(spark: SparkSession, docs: DataFrame, shingle: int = 3, text: str = "text", doc_id: str = "doc_id") -> DataFrame:
-    """(doc_id long, fp long) per row; fp holds the unsigned bits."""
+def fingerprints(spark: SparkSession, docs: DataFrame, shingle: int = 3, text: str = "text", doc_id: str = "doc_id", hashed: bool = False) -> DataFrame:
+    """(doc_id long, fp long) per row; fp holds the unsigned bits. With
+    ``hashed`` also th, a hash of the text as it is."""
     small_batches(spark)
+    more = ["th"] if hashed else []
 
     def run(batches):
         for b in batches:
             fps = [fingerprint(t, shingle) for t in b.column(1).to_pylist()]
-            yield pa.RecordBatch.from_arrays([b.column(0), pa.array(np.array(fps, np.uint64).view(np.int64))], ["doc_id", "fp"])
+            yield pa.RecordBatch.from_arrays([b.column(0), pa.array(np.array(fps, np.uint64).view(np.int64)), *b.columns[2:]], ["doc_id", "fp", *more])
 
-    return only(docs, doc_id=doc_id, text=text).withColumn("doc_id", F.col("doc_id").cast("long")).mapInArrow(run, "doc_id long, fp long")
+    own = only(docs, doc_id=doc_id, text=text).withColumn("doc_id", F.col("doc_id").cast("long"))
+    own = own.withColumn("th", F.xxhash64("text")) if hashed else own
+    return own.mapInArrow(run, "doc_id long, fp long" + (", th long" if hashed else ""))
 
 
 def masks(max_bits: int) -> list[int]:
@@ -122,7 +126,12 @@ def near_duplicates(
     any other. Rows with a null doc_id get the smallest non-null id of their
     component (null if it has none). Repeated rows come back repeated. Other columns are ignored. An empty table gives no rows.
     """
-    rows = materialize(spark, fingerprints(spark, docs, shingle, text, doc_id), "simhash-rows")
+    return _named(spark, fingerprints(spark, docs, shingle, text, doc_id), max_bits).select("doc_id", "fp", "component_id")
+
+
+def _named(spark: SparkSession, prints: DataFrame, max_bits: int) -> DataFrame:
+    """``prints`` with component_id."""
+    rows = materialize(spark, prints, "simhash-rows")
     # Copies share a fingerprint: links are sought between distinct ones.
     classes = materialize(spark, rows.groupBy("fp").agg(F.min("doc_id").alias("low")), "simhash-classes")
     edges = links(spark, classes.select("fp"), max_bits)
@@ -130,18 +139,20 @@ def near_duplicates(
     named = classes.join(roots.withColumnRenamed("node", "fp"), "fp", "left").withColumn("root", F.coalesce("root", "fp"))
     least = materialize(spark, named.groupBy("root").agg(F.min("low").alias("component_id")), "simhash-least")
     lookup = materialize(spark, named.join(least, "root").select("fp", "component_id"), "simhash-components")
-    return rows.join(lookup, "fp").select("doc_id", "fp", "component_id")
+    return rows.join(lookup, "fp")
 
 
 def keep_one(spark: SparkSession, docs: DataFrame, shingle: int = 3, max_bits: int = 2, text: str = "text", doc_id: str = "doc_id") -> DataFrame:
     """``docs`` with one document of each component: the one of smallest id.
 
     Rows that repeat this id are one document; of them the row with the
-    smallest text stays. Rows with a null id cannot be named as a copy and
+    smallest text stays, of those whose own component has this smallest id: a
+    text of the same id that is a copy of another document goes. Rows with a null id cannot be named as a copy and
     all stay. All columns are kept as they are.
     """
-    found = near_duplicates(spark, docs, shingle, max_bits, text, doc_id).where("doc_id = component_id")
-    keep = materialize(spark, found.groupBy("doc_id").agg(F.count("fp").alias("n")), "simhash-keep")
+    found = _named(spark, fingerprints(spark, docs, shingle, text, doc_id, True), max_bits)
+    keep = found.groupBy("doc_id").agg(F.count("fp").alias("n"), F.count_if(F.col("doc_id") == F.col("component_id")).alias("own")).where("own > 0")
+    keep = materialize(spark, keep, "simhash-keep")
     own = F.col(f"`{doc_id}`")
     ids = keep.select(F.col("doc_id").alias("_q_keep"), (F.col("n") > 1).alias("_q_again"))
     # Hashing the ids spares a sort of whole texts.
@@ -150,7 +161,9 @@ def keep_one(spark: SparkSession, docs: DataFrame, shingle: int = 3, max_bits: i
     if keep.where("n > 1").isEmpty():
         return once
     order = Window.partitionBy("_q_keep").orderBy(F.col(f"`{text}`"))
-    again = kept.where("_q_again").withColumn("_q_n", F.row_number().over(order)).where("_q_n = 1")
+    good = found.where("doc_id = component_id").select(F.col("doc_id").alias("_q_id"), F.col("th").alias("_q_th")).distinct()
+    again = kept.where("_q_again").join(good, (F.col("_q_keep") == F.col("_q_id")) & (F.xxhash64(F.col(f"`{text}`")) == F.col("_q_th")), "left_semi")
+    again = again.withColumn("_q_n", F.row_number().over(order)).where("_q_n = 1")
     return once.union(again.drop("_q_keep", "_q_again", "_q_n"))
 
 

@@ -100,6 +100,13 @@ def test_keep_one_edges(spark):
     assert simhash.keep_one(spark, odd).columns == odd.columns
 
 
+def test_a_repeated_id_keeps_no_copy_of_another_document(spark):
+    one, two = "zebra yak xerus wolf vole", "ant bee cat dog eel"
+    rows = [(5, one), (5, two), (2, two), (7, None), (7, two), (8, one), (8, two)]
+    kept = simhash.keep_one(spark, spark.createDataFrame(rows, DOC)).collect()
+    assert sorted(map(tuple, kept), key=repr) == [(2, two), (5, one), (7, None)]
+
+
 def test_components(spark):
     rng = random.Random(8)
     edges = [(rng.randrange(300), rng.randrange(300)) for _ in range(220)] + [(i, i + 1) for i in range(1000, 1200)] + [(5, 5)]
