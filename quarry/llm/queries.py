@@ -12,7 +12,7 @@ from collections.abc import Callable
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from . import byte_bpe, embedding_dedup, html_extract, langid, line_dedup, packing, quality, simhash, substring_dedup, warc
+from . import byte_bpe, embedding_dedup, html_extract, langid, line_dedup, packing, quality, simhash, substring_dedup, vector_codes, warc
 from .common import read
 
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {}
@@ -157,3 +157,60 @@ def op7_substring_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
     # What is kept, its words joined by one space.
     kept = F.btrim(F.regexp_replace(F.coalesce("text", F.lit("")), r"[\x20\x09-\x0D]+", " "), F.lit(" "))
     return out.select("doc_id", "n_words", "n_removed", F.sha2(kept, 256).alias("kept_sha256"))
+
+
+def _codes_sql() -> str:
+    """Op 11 in SQL: each round finds the nearest entry of every part by
+    |x|^2 - 2xe + |e|^2, exact in doubles at these magnitudes."""
+    steps = [
+        """
+        kept AS (
+            SELECT vec_id, label, list_transform(embedding, lambda x: floor(1024 * CAST(x AS DOUBLE))) AS v
+            FROM embeddings WHERE embedding IS NOT NULL AND len(list_filter(embedding, lambda x: x IS NULL OR NOT isfinite(x))) = 0
+        ), parts AS (
+            SELECT vec_id, label, part, v[part * (len(v) // 4) + 1:(part + 1) * (len(v) // 4)] AS x
+            FROM kept, (SELECT unnest(range(4)) AS part)
+        ), book0 AS (
+            SELECT part, row_number() OVER (PARTITION BY part ORDER BY vec_id) - 1 AS entry, x AS e FROM parts
+            QUALIFY row_number() OVER (PARTITION BY part ORDER BY vec_id) <= 256
+        )"""
+    ]
+    for i in range(5):
+        steps.append(f"""
+        near{i} AS (
+            SELECT vec_id, label, p.part, any_value(x) AS x,
+                   min(CAST(list_inner_product(x, x) - 2 * list_inner_product(x, e) + list_inner_product(e, e) AS BIGINT) * 256 + entry) AS best
+            FROM parts p JOIN book{i} b ON p.part = b.part GROUP BY vec_id, label, p.part
+        )""")
+        if i < 4:
+            steps.append(f"""
+        mean{i} AS (
+            SELECT part, entry, list(m ORDER BY pos) AS e FROM (
+                SELECT part, best % 256 AS entry, pos, floor(sum(c) / count(*)) AS m
+                FROM (SELECT part, best, unnest(x) AS c, generate_subscripts(x, 1) AS pos FROM near{i}) GROUP BY ALL
+            ) GROUP BY part, entry
+        ), book{i + 1} AS (
+            SELECT b.part, b.entry, coalesce(m.e, b.e) AS e FROM book{i} b LEFT JOIN mean{i} m ON b.part = m.part AND b.entry = m.entry
+        )""")
+    return (
+        "WITH"
+        + ",".join(steps)
+        + """,
+        codes AS (
+            SELECT vec_id, label, string_agg(printf('%02x', best % 256), '' ORDER BY part) AS code, CAST(sum(best // 256) AS BIGINT) AS error
+            FROM near4 GROUP BY vec_id, label
+        ), labels_error AS (
+            SELECT label, CAST(sum(error) AS BIGINT) AS label_error FROM codes GROUP BY label
+        ), hashed AS (
+            SELECT sha256(string_agg(CAST(CAST(c AS BIGINT) AS VARCHAR), ',' ORDER BY part, entry, pos)) AS codebooks_sha256
+            FROM (SELECT part, entry, unnest(e) AS c, generate_subscripts(e, 1) AS pos FROM book4)
+        )
+        SELECT vec_id, code, error, label_error, codebooks_sha256
+        FROM codes JOIN labels_error ON codes.label IS NOT DISTINCT FROM labels_error.label, hashed"""
+    )
+
+
+@query(_codes_sql())
+def op11_vector_codes(spark: SparkSession, sf_dir: str) -> DataFrame:
+    codes, books = vector_codes.compress(spark, read(spark, sf_dir, "embeddings"))
+    return codes.select("vec_id", "code", "error", "label_error", F.lit(vector_codes.digest(books)).alias("codebooks_sha256"))
