@@ -12,7 +12,7 @@ from collections.abc import Callable
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from . import byte_bpe, embedding_dedup, html_extract, langid, line_dedup, packing, quality, simhash, substring_dedup, vector_codes, warc
+from . import byte_bpe, embedding_dedup, html_extract, langid, line_dedup, packing, prefix_trie, quality, simhash, substring_dedup, vector_codes, warc
 from .common import read
 
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {}
@@ -214,3 +214,52 @@ def _codes_sql() -> str:
 def op11_vector_codes(spark: SparkSession, sf_dir: str) -> DataFrame:
     codes, books = vector_codes.compress(spark, read(spark, sf_dir, "embeddings"))
     return codes.select("vec_id", "code", "error", "label_error", F.lit(vector_codes.digest(books)).alias("codebooks_sha256"))
+
+
+@query(
+    """
+    WITH RECURSIVE ranked AS (
+        SELECT conv_id, row_number() OVER (PARTITION BY conv_id ORDER BY turn NULLS FIRST) AS pos,
+               coalesce(role, '') AS role, coalesce(text, '') AS text
+        FROM conversations WHERE conv_id IS NOT NULL
+    ), convs AS (
+        SELECT conv_id, conv_id - conv_id % 5 AS base,
+               xor(list_reduce(list_prepend(4294967295, list_transform(string_split(CAST(conv_id AS VARCHAR), ''), lambda c: CAST(ascii(c) AS BIGINT))),
+                   lambda crc, b: list_reduce(list_prepend(xor(crc, b), [0::BIGINT, 0, 0, 0, 0, 0, 0, 0]),
+                                              lambda x, k: xor(x >> 1, 3988292384 * (x & 1)))), 4294967295) % 9 AS h
+        FROM (SELECT DISTINCT conv_id FROM ranked)
+    ), taken AS (
+        SELECT c.conv_id, c.h, count(r.pos) AS got FROM convs c LEFT JOIN ranked r ON r.conv_id = c.base AND r.pos <= c.h GROUP BY ALL
+    ), turns AS (
+        SELECT c.conv_id, r.pos, r.role, r.text FROM convs c JOIN ranked r ON r.conv_id = c.base AND r.pos <= c.h
+        UNION ALL
+        SELECT t.conv_id, r.pos - t.h + t.got, r.role, r.text FROM taken t JOIN ranked r ON r.conv_id = t.conv_id AND r.pos > t.h
+    ), chain AS (
+        SELECT conv_id, 0::BIGINT AS depth, sha256('') AS node, NULL::VARCHAR AS parent, 0::BIGINT AS bytes FROM convs
+        UNION ALL
+        SELECT c.conv_id, c.depth + 1, sha256(concat_ws(chr(0), c.node, t.role, t.text)), c.node, CAST(strlen(t.text) AS BIGINT)
+        FROM chain c JOIN turns t ON t.conv_id = c.conv_id AND t.pos = c.depth + 1
+    ), ends AS (
+        SELECT arg_max(node, depth) AS node, conv_id FROM chain GROUP BY conv_id
+    ), nodes AS (
+        SELECT node, any_value(parent) AS parent, any_value(depth) AS depth, min(conv_id) AS conv_id, count(*) AS n_convs, any_value(bytes) AS bytes
+        FROM chain GROUP BY node
+    ), kids AS (
+        SELECT parent AS node, count(*) AS n_children FROM nodes WHERE parent IS NOT NULL GROUP BY parent
+    ), above AS (
+        SELECT node AS top, node FROM nodes
+        UNION ALL
+        SELECT n.parent, a.node FROM above a JOIN nodes n ON n.node = a.top WHERE n.parent IS NOT NULL
+    ), sums AS (
+        SELECT a.top AS node, count(*) FILTER (WHERE k.node IS NULL) AS n_leaves, CAST(sum((n.n_convs - 1) * n.bytes) AS BIGINT) AS saved_tokens
+        FROM above a JOIN nodes n ON n.node = a.node LEFT JOIN kids k ON k.node = a.node GROUP BY a.top
+    ), lists AS (
+        SELECT node, string_agg(CAST(conv_id AS VARCHAR), ',' ORDER BY conv_id) AS ids FROM ends GROUP BY node
+    )
+    SELECT n.conv_id, n.depth, p.conv_id AS parent_conv_id, n.n_convs, coalesce(k.n_children, 0) AS n_children, s.n_leaves, s.saved_tokens,
+           sha256(coalesce(l.ids, '')) AS ends_sha256
+    FROM nodes n LEFT JOIN nodes p ON p.node = n.parent LEFT JOIN kids k ON k.node = n.node JOIN sums s ON s.node = n.node LEFT JOIN lists l ON l.node = n.node
+    """
+)
+def op12_prefix_trie(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return prefix_trie.trie(spark, read(spark, sf_dir, "conversations"))
