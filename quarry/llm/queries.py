@@ -12,7 +12,7 @@ from collections.abc import Callable
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from . import byte_bpe, embedding_dedup, html_extract, langid, line_dedup, packing, prefix_trie, quality, simhash, substring_dedup, vector_codes, warc
+from . import byte_bpe, embedding_dedup, html_extract, langid, line_dedup, packing, pii, prefix_trie, quality, simhash, substring_dedup, vector_codes, warc
 from .common import read
 
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {}
@@ -263,3 +263,10 @@ def op11_vector_codes(spark: SparkSession, sf_dir: str) -> DataFrame:
 )
 def op12_prefix_trie(spark: SparkSession, sf_dir: str) -> DataFrame:
     return prefix_trie.trie(spark, read(spark, sf_dir, "conversations"))
+
+
+@query()
+def op13_pii(spark: SparkSession, sf_dir: str) -> DataFrame:
+    docs = read(spark, sf_dir, "documents")
+    out = pii.find(spark, docs, pii.learn(spark, docs))
+    return out.select("doc_id", "n_email", "n_ip", "n_card", "n_phone", F.sha2("base", 256).alias("base_sha256"), "spans")
