@@ -52,12 +52,12 @@ def _matrix(column: pa.Array, dim: int) -> np.ndarray:
 
 
 def _fitting(x: np.ndarray, codebooks: np.ndarray) -> type:
-    """The narrowest type that holds every distance: int32, int64, or
+    """The narrowest type that holds every value and distance: int32, int64, or
     Python's own integers for components beyond those."""
     if not x.size:
         return object
     low, high = min(int(x.min()), int(codebooks.min())), max(int(x.max()), int(codebooks.max()))
-    most = (high - low) ** 2 * (x.shape[1] // PARTS)
+    most = max((high - low) ** 2 * (x.shape[1] // PARTS), high, -low)
     return np.int32 if most < 1 << 31 else np.int64 if most < SAFE else object
 
 
