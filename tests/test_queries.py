@@ -10,7 +10,7 @@ from quarry.operators.steps import apply_steps
 from quarry.plans.catalogue import ORACLE, QUERIES
 
 SF = "/root/testdata/sf0.001"
-TABLES = ["region", "nation", "customer", "supplier", "part", "orders", "lineitem", "events"]
+TABLES = ["region", "nation", "customer", "supplier", "part", "orders", "lineitem", "events", "documents"]
 
 
 @pytest.fixture(scope="module")
