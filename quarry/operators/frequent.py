@@ -39,18 +39,25 @@ def _is_one_of(column: Column, kind: T.DataType, values: list) -> Column:
     return reduce(Column.__or__, [*tests, column.isNull()])
 
 
-def heavy_hitters(df: DataFrame, columns: list[str], share: float) -> DataFrame:
-    """(column, value as a string, n) for every value of ``columns`` in at
-    least ``share`` of the rows, counted exactly. NULL is a value like any
-    other. An empty table has none. ``df`` is read three times: for the
-    candidates, the number of rows and the counts."""
+def candidate_counts(df: DataFrame, columns: list[str], share: float) -> tuple[DataFrame, int]:
+    """(column, value as a string, n) of all candidates, counted exactly, and
+    the number of rows that makes a share."""
     kinds = {f.name.lower(): f.dataType for f in df.schema.fields}
     found = candidates(df, columns, share)
-    least = math.ceil(Decimal(repr(share)) * df.count())
+    least = max(1, math.ceil(Decimal(repr(share)) * df.count()))
     # A row gives an entry per column whose value is a candidate.
     entries = []
     for c in columns:
         entry = F.struct(F.lit(c).alias("column"), F.col(f"`{c}`").cast("string").alias("value"))
         entries.append(F.when(_is_one_of(F.col(f"`{c}`"), kinds[c.lower()], found[c]), entry))
     counted = df.select(F.explode(F.array_compact(F.array(*entries))).alias("e")).groupBy("e.column", "e.value").agg(F.count(F.lit(1)).alias("n"))
-    return counted.where(F.col("n") >= max(least, 1))
+    return counted, least
+
+
+def heavy_hitters(df: DataFrame, columns: list[str], share: float) -> DataFrame:
+    """(column, value as a string, n) for every value of ``columns`` in at
+    least ``share`` of the rows, counted exactly. NULL is a value like any
+    other. An empty table has none. ``df`` is read three times: for the
+    candidates, the number of rows and the counts."""
+    counted, least = candidate_counts(df, columns, share)
+    return counted.where(F.col("n") >= least)

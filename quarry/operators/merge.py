@@ -23,8 +23,10 @@ duplicate check).
   column-pruned scan.
 * Larger, without repeated keys: one ``FULL OUTER JOIN``, so either side is
   read and shuffled once. Rows with a NULL key match nothing; a salt spreads
-  them, as NULLs would else all hash to one task. The source holds a key
-  once; a hot key could only be many equal keys in the target.
+  them, as NULLs would else all hash to one task. Spark cannot split a full
+  outer join, so a key that many target rows share would be one task: such
+  keys are counted first (``hot_keys``), their target rows are dealt over
+  salts, and their source rows, one a key, are repeated for each salt.
 * Larger, with repeated keys (which then match nothing): the two joins as
   above without the broadcast, which AQE can split.
 
@@ -40,10 +42,15 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
+from quarry.operators.frequent import candidate_counts
 from quarry.operators.sizing import DEFAULT_BROADCAST_BYTES, plan_bytes, row_width
 
 _T, _S, _HIT, _SALT, _OLD = "__t", "__s", "__s_hit", "__salt", "__t_hit"
+_SALTS, _HOT = "__salts", "__s_hot"
 SALTS = 1024
+# A target of fewer bytes is not searched for hot keys: a task can take it.
+SKEW_BYTES = 256 * 1024 * 1024
+MAX_PARTS = 10_000  # a key with this share of the target's rows is hot, at least
 # A source under this share of the target's bytes is worth a second scan of
 # the target's keys rather than a shuffle of the target.
 SMALL_SHARE = 0.25
@@ -124,16 +131,54 @@ def _changed(tracked: list[str], null_safe: bool) -> Column:
     return F.coalesce(reduce(Column.__or__, diffs), F.lit(False)) if diffs else F.lit(False)
 
 
-def _one_pass(target: DataFrame, source: DataFrame, keys: list[str], tracked: list[str], null_safe: bool) -> DataFrame:
-    """Both sides read and shuffled once; see the module's text."""
+def hot_keys(target: DataFrame, keys: list[str], parts: int) -> DataFrame | None:
+    """(keys, __salts): the keys that hold more than a ``parts``-th of the
+    target's rows, and over how many tasks their rows should be dealt; None
+    without any. Counted by hash, exactly, then looked up by value; at most
+    2 x ``parts`` salts in all, so this may be broadcast."""
+    spark = target.sparkSession
+    known = target.select(*[F.col(f"`{k}`") for k in keys], F.xxhash64(*[F.col(f"`{k}`") for k in keys]).alias("h"))
+    known = known.where(reduce(Column.__and__, [F.col(f"`{k}`").isNotNull() for k in keys]))
+    share = 1 / min(max(parts, 2), MAX_PARTS)
+    counted, fair = candidate_counts(known, ["h"], share)
+    hot = [(int(r.value), -(-r.n // fair)) for r in counted.where(F.col("n") > fair).collect()]
+    if not hot:
+        return None
+    salts = spark.createDataFrame(hot, f"h long, {_SALTS} long")
+    return known.join(F.broadcast(salts), "h").select(*[F.col(f"`{k}`") for k in keys], _SALTS).distinct()
+
+
+def _salted(target: DataFrame, source: DataFrame, keys: list[str], hot: DataFrame | None) -> tuple[DataFrame, DataFrame]:
+    """Both sides with the salt they also meet by, and a mark each; source
+    rows of hot keys are there once per salt."""
+    no_match = reduce(Column.__or__, [F.col(f"`{k}`").isNull() for k in keys])
+
+    def spread(df: DataFrame) -> Column:
+        own = F.xxhash64(*[F.col(f"`{f.name}`") for f in df.schema.fields if not isinstance(f.dataType, T.MapType)])
+        return F.pmod(own, F.lit(SALTS))
+
+    t_spread, s_spread = spread(target), spread(source)
+    if hot is not None:
+        target = target.join(F.broadcast(hot), keys, "left").select(*[F.col(f"`{c}`") for c in target.columns], _SALTS)
+        source = source.join(F.broadcast(hot), keys, "left").select(*[F.col(f"`{c}`") for c in source.columns], _SALTS)
+    else:
+        none = F.lit(None).cast("long").alias(_SALTS)
+        target, source = target.select("*", none), source.select("*", none)
+    dealt = F.when(no_match, t_spread).when(F.col(_SALTS).isNotNull(), F.monotonically_increasing_id() % F.col(_SALTS)).otherwise(0)
+    copies = F.when(no_match, F.array(s_spread)).when(F.col(_SALTS).isNotNull(), F.sequence(F.lit(0).cast("long"), F.col(_SALTS) - 1)).otherwise(F.array(F.lit(0).cast("long")))
+    t = target.select("*", dealt.cast("long").alias(_SALT), F.lit(True).alias(_OLD)).drop(_SALTS)
+    s = source.select("*", (F.explode(copies) if hot is not None else F.get(copies, F.lit(0))).alias(_SALT), F.lit(True).alias(_HIT), F.col(_SALTS).isNotNull().alias(_HOT)).drop(_SALTS)
+    return t, s
 
-    def salted(df: DataFrame, hit: str) -> DataFrame:
-        no_match = reduce(Column.__or__, [F.col(f"`{k}`").isNull() for k in keys])
-        spread = F.pmod(F.xxhash64(*[F.col(f"`{f.name}`") for f in df.schema.fields if not isinstance(f.dataType, T.MapType)]), F.lit(SALTS))
-        return df.select("*", F.when(no_match, spread).otherwise(F.lit(0)).alias(_SALT), F.lit(True).alias(hit))
 
-    t, s = salted(target, _OLD).alias(_T), salted(source, _HIT).alias(_S)
-    both = t.join(s, _key_condition([*keys, _SALT], _T, _S), "full")
+def _one_pass(target: DataFrame, source: DataFrame, keys: list[str], tracked: list[str], null_safe: bool, hot: DataFrame | None) -> DataFrame:
+    """Both sides read and shuffled once; see the module's text."""
+    t, s = _salted(target, source, keys, hot)
+    both = t.alias(_T).join(s.alias(_S), _key_condition([*keys, _SALT], _T, _S), "full")
+    if hot is not None:
+        # A hot key is in the target, so a copy of its source row that met
+        # nothing under its own salt is no new row.
+        both = both.where(_q(_T, _OLD).isNotNull() | ~_q(_S, _HOT))
     old, update = _q(_T, _OLD).isNotNull(), _q(_S, _HIT).isNotNull() & _changed(tracked, null_safe)
     out = []
     for f in target.schema.fields:
@@ -151,12 +196,14 @@ def merge_changes(
     null_safe: bool = False,
     broadcast_source: bool = False,
     unique_source: bool = False,
+    hot_parts: int = 0,
 ) -> DataFrame:
     """The merged table (target columns, target order), lazily.
 
     ``broadcast_source`` must only be set when the source size has been
     checked, ``unique_source`` when no non-NULL key repeats in the source
-    (see ``plan_merge``).
+    (see ``plan_merge``). ``hot_parts``: target keys with more than this
+    part of its rows are split (0: none are looked for).
     """
     cols = target.columns
     spelled = {c.lower(): c for c in cols}
@@ -172,7 +219,8 @@ def merge_changes(
         raise ValueError("an upsert needs at least one key column")
 
     if unique_source and not broadcast_source:
-        return _one_pass(target, source, keys, tracked, null_safe)
+        hot = hot_keys(target, keys, hot_parts) if hot_parts else None
+        return _one_pass(target, source, keys, tracked, null_safe, hot)
     src = source.withColumn(_HIT, F.lit(True))
     src_side = F.broadcast(src) if broadcast_source else src
     t, s = target.alias(_T), src_side.alias(_S)
@@ -226,14 +274,26 @@ def plan_merge(
     null_safe: bool = False,
     broadcast_bytes: int = DEFAULT_BROADCAST_BYTES,
     one_pass: bool = True,
+    skew_bytes: int = SKEW_BYTES,
 ) -> DataFrame:
     """Check the source, then return ``merge_changes`` with the join
     strategy the measured source size allows. ``one_pass`` may be withheld
-    for a target that is already dealt by its key (bucketed)."""
+    for a target that is already dealt by its key (bucketed). A target of
+    ``skew_bytes`` or more is searched for hot keys."""
     prof = profile_source(source, keys)
     if prof.max_rows_per_key > 1:
         check_duplicate_matches(target, source, keys, prof.dup_keys, broadcast_bytes)
-    small = prof.est_bytes <= min(broadcast_bytes, SMALL_SHARE * plan_bytes(target))
+    size = plan_bytes(target)
+    small = prof.est_bytes <= min(broadcast_bytes, SMALL_SHARE * size)
+    get = target.sparkSession.conf.get
+    parts = int(get("spark.sql.adaptive.coalescePartitions.initialPartitionNum", None) or get("spark.sql.shuffle.partitions"))
     return merge_changes(
-        target, source, keys, tracked, null_safe, broadcast_source=small, unique_source=one_pass and prof.max_rows_per_key <= 1
+        target,
+        source,
+        keys,
+        tracked,
+        null_safe,
+        broadcast_source=small,
+        unique_source=one_pass and prof.max_rows_per_key <= 1,
+        hot_parts=parts if size >= skew_bytes else 0,
     )

@@ -42,7 +42,7 @@ from pyspark.sql import Column, DataFrame, Observation, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
-from quarry.operators.merge import DEFAULT_BROADCAST_BYTES, plan_merge
+from quarry.operators.merge import DEFAULT_BROADCAST_BYTES, SKEW_BYTES, plan_merge
 from quarry.session import new_work_dir, remove
 from quarry.sinks import versions
 
@@ -456,6 +456,7 @@ class TableSink:
                 bool(self.config.get("null_safe", False)),
                 broadcast_bytes=int(self.config.get("broadcast_bytes", DEFAULT_BROADCAST_BYTES)),
                 one_pass=one_pass,
+                skew_bytes=int(self.config.get("skew_bytes", SKEW_BYTES)),
             ))
         finally:
             self._unpin()
@@ -659,6 +660,7 @@ class TableSink:
             merged = plan_merge(
                 target, source, keys, tracked, null_safe,
                 broadcast_bytes=int(self.config.get("broadcast_bytes", DEFAULT_BROADCAST_BYTES)),
+                skew_bytes=int(self.config.get("skew_bytes", SKEW_BYTES)),
             )
             writer = self._layout(merged).write.format(self.fmt).mode("overwrite")
             writer.option("partitionOverwriteMode", "dynamic").partitionBy(*parts).save(location)

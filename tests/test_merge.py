@@ -3,6 +3,7 @@
 import pytest
 from hypothesis import given, settings
 from hypothesis import strategies as st
+from pyspark.sql import functions as F
 
 from quarry.operators.merge import DuplicateSourceKeyError, merge_changes, plan_merge
 
@@ -97,3 +98,26 @@ def test_duplicate_check_both_strategies(spark, broadcast_bytes):
     with pytest.raises(DuplicateSourceKeyError):
         check_duplicate_matches(hot_target, clash, ["k"], prof.dup_keys, broadcast_bytes)
     check_duplicate_matches(hot_target, apart, ["k"], 1, broadcast_bytes)  # repeated key 3 matches nothing
+
+
+def test_hot_target_key_is_split(spark):
+    """A third of the target on one key: its rows are dealt over salts, and
+    the result is that of the plain joins. Also a source key that shares no
+    row with the target, NULL keys and a hot key the source lacks."""
+    target = spark.range(6000).select(
+        F.when(F.col("id") % 3 == 0, F.lit(7)).when(F.col("id") % 10 == 1, F.lit(8)).when(F.col("id") % 40 == 2, None).otherwise(F.col("id")).alias("k"),
+        (F.col("id") % 5).alias("v"),
+        F.col("id").alias("w"),
+    ).repartition(6)
+    source = spark.createDataFrame([(7, 100), (9, 101), (50000, 1), (None, 5), (None, 5)], "k long, v long").union(spark.range(60000, 63000).select("id", "id"))
+    from quarry.operators import merge
+
+    hot = merge.hot_keys(target, ["k"], 8)
+    assert [tuple(r) for r in hot.collect()] == [(7, 3)]
+    for safe in (False, True):
+        plain = merge.merge_changes(target, source, ["k"], ["v"], safe)
+        split = merge.merge_changes(target, source, ["k"], ["v"], safe, unique_source=True, hot_parts=40)
+        assert sorted(map(tuple, split.collect()), key=repr) == sorted(map(tuple, plain.collect()), key=repr)
+    t, _ = merge._salted(target, source, ["k"], merge.hot_keys(target, ["k"], 40))
+    assert t.where("k is not null").groupBy("k", "__salt").count().agg(F.max("count")).first()[0] <= 200
+    assert merge.hot_keys(target.where("k > 100"), ["k"], 100) is None
