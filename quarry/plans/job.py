@@ -254,8 +254,8 @@ def _set_based(conf: dict) -> bool:
 def run_range(spark: SparkSession, conf: dict) -> dict[str, DataFrame]:
     """A date backfill as one job: sources read once (no run date), the
     transform's range form computes every date in one plan, each output is
-    written once (use ``overwrite_partition`` on ``run_date`` so re-runs
-    replace their dates)."""
+    written once. With ``overwrite_partition`` on ``run_date``, a re-run
+    replaces all dates of the range, those without rows now included."""
     validate_job(conf)
     rm = conf["run_mode"]
     dfs = extract(spark, conf["extract"], None)
@@ -265,6 +265,11 @@ def run_range(spark: SparkSession, conf: dict) -> dict[str, DataFrame]:
     if missing:
         raise ValueError(f"transform produced no output named {missing}")
     for name, sink in conf.get("load", {}).items():
+        column = sink.get("run_date_column", "run_date")
+        if sink.get("mode") == "overwrite_partition" and sink.get("partition_by") == [column] and not sink.get("bucket_by"):
+            # The dates of the range are replaced, also by nothing, as the
+            # loop does date by date.
+            sink = {**sink, "replace_where": {"column": column, "values": [str(d) for d in run_dates(conf)]}}
         if sink.get("partition_by"):
             # One write holds every date of the range: lay it out per
             # partition value even if the per-date loop needs no rebalance.

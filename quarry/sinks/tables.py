@@ -7,8 +7,14 @@ the catalog part is ignored), ``path`` (default
 writer; a writer whose table format is not configured raises unless the
 config asks for another one), ``first`` (register the table at its path
 again; a table with versions stays at its current one), ``merge_schema``
-(an append may bring new columns), ``rebalance``
-(default true: partitioned writes are laid out per partition value, see
+(an append may bring new columns and new fields of structs),
+``widen_types`` (it may also bring wider types, see ``operators/schemas``),
+``batch_id`` (an append that was done under this id is not done again),
+``replace_where`` (a partition overwrite of all partitions that a condition
+covers, those without new rows included), ``upsert_scope`` (``partitions``:
+the touched partitions where the partition columns are keys; ``files``: only
+the files of an unpartitioned table that hold matched keys; ``table``),
+``rebalance`` (default true: partitioned writes are laid out per partition value, see
 ``rebalanced``; set false when every write holds one partition value,
 such as one run date per backfill run), ``bucket_by`` (``{"columns": [...],
 "buckets": n}``: a bucketed table, see ``TableSink`` below), and for upsert
@@ -20,7 +26,9 @@ partition; ``overwrite_partition`` replaces only the partitions present in
 the new data (set per write, never through the session). Appends and
 partition overwrites keep the table's schema: columns the data lacks are
 NULL, new ones need ``merge_schema``, and a column of another type is an
-error before anything is written.
+error before anything is written, unless ``widen_types`` allows it. The table
+is what lies on storage, not what a catalog entry lists: partitions that were
+written but never registered are part of it.
 
 An upsert on a file table writes the merged table to a new version folder,
 names it current on storage in one rename (see ``versions``) and then lets
@@ -34,20 +42,29 @@ tables, when configured, use their own ``writeTo`` / ``MERGE`` support.
 
 from __future__ import annotations
 
+import datetime as dt
 import logging
 import uuid
+from dataclasses import replace
 from functools import reduce
 
 from pyspark.sql import Column, DataFrame, Observation, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
+from quarry.functions.expressions import substitute_run_date
 from quarry.operators.merge import DEFAULT_BROADCAST_BYTES, SKEW_BYTES, plan_merge
+from quarry.operators.schemas import fit, reconcile
 from quarry.session import new_work_dir, remove
 from quarry.sinks import versions
 
 log = logging.getLogger(__name__)
 
+BASE_PROPERTY = "quarry.base"
+# An upsert by files rewrites the whole table beyond these: its share of the
+# files, and the parts and dead files that a table's state may list.
+MAX_TOUCHED_SHARE, MAX_FILE_PARTS, MAX_DEAD = 0.5, 64, 10_000
+
 # Formats with their own transactions. Delta is written by path (then
 # registered, like any file table); Iceberg through its catalog (writeTo).
 # Both upsert with MERGE.
@@ -169,6 +186,7 @@ def register_table(
     """
     if schema is not None and columns is None:
         columns = schema.fieldNames()
+    _drop_view(spark, name)
     if not spark.catalog.tableExists(name):
         _create(spark, name, fmt, path, partition_by, list(schema.fields) if schema is not None else None)
         return
@@ -202,6 +220,74 @@ def register_table(
     spark.catalog.refreshTable(name)
 
 
+def _is_view(spark: SparkSession, name: str) -> bool:
+    entry = _entry(spark, name)
+    return entry is not None and entry.tableType().name() == "VIEW"
+
+
+def _hidden(name: str, part: versions.Part) -> str:
+    """The entry of one part of a table that is made of several."""
+    return name[:-1] + "__part_" + (part.folder.rpartition("/")[2].replace("-", "_") or "base") + "`"
+
+
+def _hidden_entries(spark: SparkSession, name: str) -> list[str]:
+    db, table = ([None] + [p.strip("`") for p in name.split("`.`")])[-2:]
+    found = spark.sql(f"SHOW TABLES{f' IN `{db}`' if db else ''} LIKE '{table}__part_*'").collect()
+    return [qualified(db, r.tableName) for r in found]
+
+
+def _drop_view(spark: SparkSession, name: str) -> None:
+    """Take away the view of a table in parts, once it is in one again."""
+    if _is_view(spark, name):
+        spark.sql(f"DROP VIEW {name}")
+        for hidden in _hidden_entries(spark, name):
+            spark.sql(f"DROP TABLE IF EXISTS {hidden}")
+
+
+def register_parts(spark: SparkSession, name: str, fmt: str, found: versions.State) -> None:
+    """Point the entry ``name`` at a table made of several folders: an
+    external table per folder and a view over those of their files that
+    count. The view takes the entry's place once it is complete."""
+    columns = ", ".join(f"`{f.name}`" for f in found.schema.fields)
+    declared, _ = _declared_columns(list(found.schema.fields), [])
+    selects = []
+    for part, folder in zip(found.parts, found.folders()):
+        hidden = _hidden(name, part)
+        if spark.catalog.tableExists(hidden) and spark.table(hidden).dtypes != spark.createDataFrame([], found.schema).dtypes:
+            spark.sql(f"DROP TABLE {hidden}")
+        spark.sql(f"CREATE TABLE IF NOT EXISTS {hidden}{declared} USING {fmt} LOCATION '{_quoted(folder)}'")
+        dead = ", ".join(f"'{_quoted(n)}'" for n in part.dead)
+        selects.append(f"SELECT {columns} FROM {hidden}" + (f" WHERE _metadata.file_name NOT IN ({dead})" if dead else ""))
+    text = f"TBLPROPERTIES ('{BASE_PROPERTY}' = '{_quoted(found.base)}') AS " + " UNION ALL ".join(selects)
+    if _is_view(spark, name):
+        spark.sql(f"ALTER VIEW {name} AS " + " UNION ALL ".join(selects))
+    else:
+        old = name[:-1] + f"__{uuid.uuid4().hex[:12]}`"
+        had = spark.catalog.tableExists(name)
+        if had:
+            spark.sql(f"ALTER TABLE {name} RENAME TO {old}")
+        try:
+            spark.sql(f"CREATE VIEW {name} {text}")
+        except Exception:
+            if had:
+                spark.sql(f"ALTER TABLE {old} RENAME TO {name}")
+            raise
+        if had:
+            spark.sql(f"DROP TABLE IF EXISTS {old}")
+    used = {_hidden(name, p) for p in found.parts}
+    for hidden in _hidden_entries(spark, name):
+        if hidden not in used:
+            spark.sql(f"DROP TABLE IF EXISTS {hidden}")
+
+
+def view_base(spark: SparkSession, name: str) -> str | None:
+    """The base folder of a table whose entry is a view of its parts."""
+    if not _is_view(spark, name):
+        return None
+    properties = _entry(spark, name).properties()
+    return properties.apply(BASE_PROPERTY) if properties.contains(BASE_PROPERTY) else None
+
+
 def _quoted(path: str) -> str:
     return path.replace("\\", "\\\\").replace("'", "\\'")
 
@@ -284,6 +370,14 @@ def rebalanced(df: DataFrame, partition_by: list[str]) -> DataFrame:
     return df.hint("rebalance", *[f"`{c}`" for c in partition_by]) if partition_by else df
 
 
+def _fields(kind: T.DataType) -> int:
+    """The number of struct fields at any depth."""
+    if isinstance(kind, T.StructType):
+        return sum(1 + _fields(f.dataType) for f in kind.fields)
+    inner = [getattr(kind, a) for a in ("elementType", "keyType", "valueType") if hasattr(kind, a)]
+    return sum(map(_fields, inner))
+
+
 class TableSink:
     """One table target; ``append`` / ``overwrite`` / ``overwrite_partition``
     / ``upsert`` are the modes a job's ``load`` section names.
@@ -325,7 +419,7 @@ class TableSink:
             return self.config["path"].rstrip("/")
         if not self.table:
             raise ValueError("a table sink needs 'table_name' or 'path'")
-        entry = table_location(self.spark, self.name)
+        entry = table_location(self.spark, self.name) or view_base(self.spark, self.name)
         if entry is not None:
             return versions.base_of(entry)
         warehouse = self.spark.conf.get("spark.sql.warehouse.dir").rstrip("/")
@@ -347,21 +441,43 @@ class TableSink:
         return base
 
     def _stored(self, like: T.StructType) -> DataFrame | None:
-        """The table as it is: by its entry if that is where the files are,
-        else read from storage; None if there is none yet. ``like`` gives
-        the types of partition columns, which folder names do not hold."""
+        """The table as it lies on storage, whatever partitions a catalog
+        entry lists; None if there is none yet. Its schema is the one named
+        on storage, else the entry's with what the files have besides;
+        ``like`` gives the types of partition columns, which folder names do
+        not hold. A bucketed table is read through its entry, which alone
+        knows the buckets, once all its partitions are in it."""
+        base = self._base_path()
+        if versions.finish_replacing(self.spark, base) and self.name and self.spark.catalog.tableExists(self.name) and _tracks_partitions(self.spark, self.name):
+            self.spark.sql(f"MSCK REPAIR TABLE {self.name} SYNC PARTITIONS")
         path = self.path()
-        if self.name and _same_location(self.spark, table_location(self.spark, self.name), path):
+        entry = bool(self.name) and _same_location(self.spark, table_location(self.spark, self.name), path)
+        if entry and self._bucket_spec():
+            if self.partition_by and _tracks_partitions(self.spark, self.name):
+                self.spark.sql(f"ALTER TABLE {self.name} RECOVER PARTITIONS")
+            self.spark.catalog.refreshTable(self.name)
             return self.spark.table(self.name)
+        named = versions.state(self.spark, base)
+        if named is not None and named.path != path:
+            named = None
         if not versions.holds_data(self.spark, path):
-            return None
+            return self.spark.table(self.name) if entry else None
         reader = self.spark.read.format(self.fmt)
-        schema = reader.load(path).schema
-        types = {f.name.lower(): f.dataType for f in like.fields}
-        for f in schema.fields:
-            if f.name in self.partition_by:
-                f.dataType = types.get(f.name.lower(), f.dataType)
-        return reader.schema(schema).load(path)
+        if named is not None and named.schema is not None:
+            schema = named.schema
+        else:
+            schema = reader.load(path).schema
+            types = {f.name.lower(): f.dataType for f in like.fields}
+            for f in schema.fields:
+                if f.name in self.partition_by:
+                    f.dataType = types.get(f.name.lower(), f.dataType)
+            if entry:
+                own = self.spark.table(self.name).schema
+                known = {f.name.lower() for f in own.fields}
+                parts = {p.lower() for p in self.partition_by}
+                extra = [f for f in schema.fields if f.name.lower() not in known]
+                schema = T.StructType([f for f in own.fields if f.name.lower() not in parts] + extra + [f for f in own.fields if f.name.lower() in parts])
+        return versions.read(self.spark, named or versions.State(path, (versions.Part(""),)), reader.schema(schema))
 
     def _aligned(self, df: DataFrame, stored: DataFrame | None) -> DataFrame:
         """``df`` with the stored table's columns: see the module's text."""
@@ -372,17 +488,29 @@ class TableSink:
         new = [f.name for k, f in have.items() if k not in known]
         if new and not self.config.get("merge_schema"):
             raise ValueError(f"{self.name or self.path()} has no columns {new} (set merge_schema to add them)")
-        other = [
-            f"{f.name}: {f.dataType.simpleString()} in the table, {have[f.name.lower()].dataType.simpleString()} in the data"
-            for f in stored.schema.fields
-            if f.name.lower() in have and have[f.name.lower()].dataType != f.dataType
-        ]
+        kinds, other = {}, []
+        for f in stored.schema.fields:
+            mine = have.get(f.name.lower())
+            kinds[f.name] = f.dataType
+            if mine is None or mine.dataType == f.dataType:
+                continue
+            nested = bool(self.config.get("merge_schema"))
+            widen = bool(self.config.get("widen_types")) and f.name not in self.partition_by
+            try:
+                if not nested and not widen:
+                    raise ValueError(f"{f.name}: {f.dataType.simpleString()} in the table, {mine.dataType.simpleString()} in the data")
+                kinds[f.name] = reconcile(f.dataType, mine.dataType, widen, f.name)
+                if not nested and _fields(kinds[f.name]) > _fields(f.dataType):
+                    raise ValueError(f"{f.name} has new fields (set merge_schema to add them)")
+            except ValueError as e:
+                other.append(str(e))
         if other:
             raise ValueError(f"column types differ in {self.name or self.path()}: " + "; ".join(other))
-        columns = [
-            F.col(f"`{have[f.name.lower()].name}`").alias(f.name) if f.name.lower() in have else F.lit(None).cast(f.dataType).alias(f.name)
-            for f in stored.schema.fields
-        ]
+        columns = []
+        for f in stored.schema.fields:
+            mine = have.get(f.name.lower())
+            value = F.lit(None).cast(f.dataType) if mine is None else fit(F.col(f"`{mine.name}`"), mine.dataType, kinds[f.name])
+            columns.append(value.alias(f.name))
         return df.select(*columns, *[F.col(f"`{n}`") for n in new])
 
     def _bucket_spec(self) -> tuple[int, list[str]] | None:
@@ -412,7 +540,7 @@ class TableSink:
             # session's setting.
             writer = writer.partitionBy(*self.partition_by).option("partitionOverwriteMode", "dynamic")
         writer.saveAsTable(stage)
-        versions.set_current(self.spark, version)
+        versions.set_current(self.spark, version, df.schema)
         _swap(self.spark, stage, self.name)
         self.spark.catalog.refreshTable(self.name)
         return version
@@ -480,15 +608,35 @@ class TableSink:
             return rebalanced(df, self.partition_by)
         return df
 
-    def _write_files(self, df: DataFrame, mode: str, overwrite_mode: str | None = None) -> str:
+    def _note_schema(self, named: versions.State | None, path: str, schema: T.StructType, replaced: bool) -> None:
+        """Name the table's schema on storage when a write changed it: no
+        file and no other session's catalog holds it otherwise."""
+        if named is None:
+            if self.config.get("merge_schema") or self.config.get("widen_types"):
+                versions.set_state(self.spark, versions.State(path, (versions.Part(""),), schema))
+        elif replaced or named.schema is None or [f.dataType for f in named.schema.fields] != [f.dataType for f in schema.fields] or named.schema.names != schema.names:
+            versions.set_state(self.spark, replace(named, schema=schema))
+
+    def _batch(self) -> str | None:
+        """The id an append is done under once; ``${run_date}`` in it is the
+        run date."""
+        batch = self.config.get("batch_id")
+        return None if batch is None else substitute_run_date(str(batch), self.run_date)
+
+    def _write_files(self, df: DataFrame, mode: str, overwrite_mode: str | None = None, batch: str | None = None) -> str:
         self._ensure_database()
         path = self.path()
         if self.fmt not in V2_FORMATS and overwrite_mode != "static":
             df = self._aligned(df, self._stored(df.schema))
-        if overwrite_mode == "static" and self.fmt not in V2_FORMATS and versions.reads_path(df, path):
+        named = versions.state(self.spark, self._base_path()) if self.fmt not in V2_FORMATS else None
+        replaces = overwrite_mode == "static" or (overwrite_mode == "dynamic" and not self.partition_by)
+        in_parts = named is not None and not named.whole
+        read = any(versions.reads_path(df, p) for p in (named.folders() if in_parts else [path])) if overwrite_mode == "static" else False
+        if self.fmt not in V2_FORMATS and replaces and (read or in_parts):
             # A static overwrite deletes the folder before the job reads
-            # it. Write a new version instead and re-point the table.
-            if not self.name:
+            # it, and a table in parts has others. Write a new version
+            # instead and re-point the table.
+            if not self.name and read:
                 raise ValueError(f"cannot overwrite {path}: the data is read from it (give a table_name)")
             path = versions.new_version(versions.base_of(path))
             mode = "errorifexists"
@@ -512,8 +660,15 @@ class TableSink:
             writer = writer.option("mergeSchema", "true")
         writer.save(path)
         if mode == "errorifexists":
-            versions.set_current(self.spark, path)
-        if self.name:
+            versions.set_current(self.spark, path, df.schema)
+            in_parts = False
+        elif self.fmt not in V2_FORMATS:
+            self._note_schema(named, path, df.schema, replaces)
+        if batch is not None:
+            versions.add_batch(self.spark, self._base_path(), batch)
+        if self.name and in_parts:
+            register_parts(self.spark, self.name, self.fmt, versions.state(self.spark, self._base_path()))
+        elif self.name:
             # A static overwrite of a partitioned table may have removed
             # partitions, and any overwrite may have changed the columns.
             register_table(
@@ -540,12 +695,60 @@ class TableSink:
     def _clear_own_partition(self, path: str) -> None:
         """A re-run that finds no rows for its date takes the rows of the
         earlier run away: a dynamic overwrite alone would leave them."""
+        # The entry first: one to nothing would be read as an error.
+        if self.name and _tracks_partitions(self.spark, self.name):
+            self.spark.sql(f"ALTER TABLE {self.name} DROP IF EXISTS PARTITION (`{self._dated}` = {_spec_literal(self.run_date)})")
+            self.spark.catalog.refreshTable(self.name)
         fs, folder = versions.file_system(self.spark, f"{path}/{self._dated}={self.run_date}")
         if fs.exists(folder):
             fs.delete(folder, True)
+
+    def _replace_where(self, df: DataFrame) -> None:
+        """Replace all partitions that ``replace_where`` covers: those with
+        new rows and those without any, which are cleared. ``{"column": the
+        first partition column, "values": [...]}`` or ``"from"`` / ``"to"``
+        (both included; dates, integers or text). Rows outside the condition
+        are an error, before anything changes.
+
+        The rows are written aside once. Then the list of partitions to put
+        in place and to take away is named on storage in one rename, and
+        carried out; a run that dies is finished by the next write.
+        """
+        where = self.config["replace_where"]
+        column = where["column"]
+        if not self.partition_by or self.partition_by[0].lower() != column.lower():
+            raise ValueError(f"replace_where needs the first partition column, {self.partition_by[:1]}, not {column!r}")
+        if self._bucket_spec():
+            raise ValueError("replace_where is not for bucketed tables")
+        self._ensure_database()
+        df = self._aligned(df, self._stored(df.schema))
+        base, path = self._base_path(), self.path()
+        kind = {f.name.lower(): f.dataType for f in df.schema.fields}[column.lower()]
+        covers = _covering(where, kind)
+        c = F.col(f"`{column}`")
+        if "values" in where:
+            inside = c.cast("string").isin([str(v) for v in where["values"]])
+        else:
+            inside = (c >= F.lit(str(where["from"])).cast(kind)) & (c <= F.lit(str(where["to"])).cast(kind))
+        seen = Observation(f"replaced_{uuid.uuid4().hex[:8]}")
+        watched = df.observe(seen, F.count_if(~F.coalesce(inside, F.lit(False))).alias("outside"), F.count(F.lit(1)).alias("n"))
+        staged = f"{base}/{versions.FOLDER}/.replace-{uuid.uuid4().hex[:12]}"
+        self._layout(watched).write.format(self.fmt).mode("errorifexists").partitionBy(*self.partition_by).save(staged)
+        got = self._metrics(seen)
+        if (got["outside"] if got else df.where(~F.coalesce(inside, F.lit(False))).count()) > 0:
+            versions.file_system(self.spark, staged)[0].delete(versions.file_system(self.spark, staged)[1], True)
+            raise ValueError(f"rows outside of {where} in an overwrite of just that")
+        new = versions.folders_of(self.spark, staged, column)
+        old = {v: f for v, f in versions.folders_of(self.spark, path, column).items() if covers(v)}
+        gone = [f for v, f in old.items() if v not in new]
         if self.name and _tracks_partitions(self.spark, self.name):
-            self.spark.sql(f"ALTER TABLE {self.name} DROP IF EXISTS PARTITION (`{self._dated}` = {_spec_literal(self.run_date)})")
-            self.spark.catalog.refreshTable(self.name)
+            for v in old:
+                if v not in new:
+                    self.spark.sql(f"ALTER TABLE {self.name} DROP IF EXISTS PARTITION (`{column}` = {_spec_literal(v)})")
+        versions.replace_folders(self.spark, base, path, staged, list(new.values()), gone)
+        if self.name:
+            written = [{column: v} for v in new] if len(self.partition_by) == 1 else None
+            register_table(self.spark, self.name, self.fmt, path, self.partition_by, merge_schema=True, written=written, schema=df.schema)
 
     def _metrics(self, seen: Observation) -> dict | None:
         try:
@@ -581,7 +784,15 @@ class TableSink:
         elif self.fmt in CATALOG_WRITE_FORMATS:
             self._v2_writer(df).append()
         else:
-            self._write_files(df, "append")
+            batch = self._batch()
+            if batch is not None and versions.has_batch(self.spark, self._base_path(), batch):
+                # Done already; its registration may have failed.
+                log.info("batch %s is in %s", batch, self.name or self.path())
+                stored = self._stored(df.schema)
+                if self.name and not _is_view(self.spark, self.name):
+                    register_table(self.spark, self.name, self.fmt, self.path(), self.partition_by, merge_schema=True, schema=stored.schema if stored is not None else df.schema)
+                return
+            self._write_files(df, "append", batch=batch)
 
     def overwrite(self, df: DataFrame) -> None:
         if self._bucket_spec() and self.fmt not in V2_FORMATS:
@@ -596,6 +807,8 @@ class TableSink:
             self._bucketed("overwrite_partition", df)
         elif self.fmt in CATALOG_WRITE_FORMATS:
             self._v2_writer(df).overwritePartitions()
+        elif self.config.get("replace_where") and self.fmt not in V2_FORMATS:
+            self._replace_where(df)
         else:
             self._write_files(df, "overwrite", "dynamic")
 
@@ -617,6 +830,8 @@ class TableSink:
         if stored is not None and self.partition_by and set(self.partition_by) <= set(keys) and scope == "partitions":
             self._upsert_partitions(df, stored, keys, tracked, null_safe)
             return
+        if stored is not None and not self.partition_by and scope == "files" and self._upsert_files(df, stored, keys, tracked, null_safe):
+            return
 
         def save(merged: DataFrame) -> None:
             version = versions.new_version(self._base_path())
@@ -624,7 +839,7 @@ class TableSink:
             if self.partition_by:
                 writer = writer.partitionBy(*self.partition_by)
             writer.save(version)
-            versions.set_current(self.spark, version)
+            versions.set_current(self.spark, version, merged.schema)
             register_table(self.spark, self.name, self.fmt, version, self.partition_by, schema=merged.schema)
 
         self._upsert_whole(df, stored, save)
@@ -668,6 +883,63 @@ class TableSink:
         finally:
             self._unpin()
 
+    def _upsert_files(self, df: DataFrame, stored: DataFrame, keys, tracked, null_safe) -> bool:
+        """Upsert that rewrites only the files that hold matched keys; the
+        others stay as they are. False (and nothing done) where that does
+        not pay: too many of the files are touched, or the table's state
+        would list too much, and then a whole rewrite puts it in one part.
+
+        The touched files are found by a scan of the key columns, bounded by
+        the source's smallest and largest key, which Parquet's statistics
+        prune; a source row can match in no other file, so those files and
+        the source are all the merge has to read. The new state, one rename,
+        lists a folder more and the files that no longer count.
+        """
+        named = versions.state(self.spark, self._base_path()) or versions.State(self.path(), (versions.Part(""),))
+        spelled = {c.lower(): c for c in stored.columns}
+        keys = [spelled.get(k.lower(), k) for k in keys]
+        source = self._pinned(df)
+        try:
+            bounds = source.agg(*[f(F.col(f"`{k}`")).alias(f"{n}{i}") for i, k in enumerate(keys) for n, f in (("lo", F.min), ("hi", F.max))]).first()
+            near = stored.select(*[F.col(f"`{k}`") for k in keys], F.col("_metadata.file_name").alias("_file"))
+            for i, k in enumerate(keys):
+                if bounds[f"lo{i}"] is not None:
+                    near = near.where(F.col(f"`{k}`").between(F.lit(bounds[f"lo{i}"]), F.lit(bounds[f"hi{i}"])))
+            sought = source.select(*[F.col(f"`{k}`").alias(f"_s{i}") for i, k in enumerate(keys)]).distinct()
+            same = [F.col(f"`{k}`") == F.col(f"_s{i}") for i, k in enumerate(keys)]
+            touched = [r[0] for r in near.join(sought, same, "left_semi").select("_file").distinct().limit(MAX_DEAD + 1).collect()]
+            dead = sum(len(p.dead) for p in named.parts) + len(touched)
+            total = sum(self._files_in(f) for f in named.folders()) - (dead - len(touched))
+            if len(touched) > MAX_TOUCHED_SHARE * total or dead > MAX_DEAD or len(named.parts) >= MAX_FILE_PARTS:
+                return False
+            target = stored.where(F.col("_metadata.file_name").isin(touched)) if touched else stored.limit(0)
+            merged = plan_merge(
+                target, source, keys, tracked, null_safe,
+                broadcast_bytes=int(self.config.get("broadcast_bytes", DEFAULT_BROADCAST_BYTES)),
+                skew_bytes=int(self.config.get("skew_bytes", SKEW_BYTES)),
+            )
+            version = versions.new_version(named.base)
+            merged.write.format(self.fmt).mode("errorifexists").save(version)
+            parts = []
+            for p, folder in zip(named.parts, named.folders()):
+                own = set(touched) & self._names_in(folder) if touched else set()
+                parts.append(versions.Part(p.folder, tuple(sorted({*p.dead, *own}))))
+            now = versions.State(named.base, (*parts, versions.Part(f"{versions.FOLDER}/{version.rpartition('/')[2]}")), merged.schema)
+            versions.set_state(self.spark, now)
+            register_parts(self.spark, self.name, self.fmt, now)
+            return True
+        finally:
+            self._unpin()
+
+    def _names_in(self, folder: str) -> set[str]:
+        """The data files right in a folder, by name."""
+        fs, p = versions.file_system(self.spark, folder)
+        names = [s.getPath().getName() for s in fs.listStatus(p) if s.isFile()]
+        return {n for n in names if not n.startswith((".", "_"))}
+
+    def _files_in(self, folder: str) -> int:
+        return len(self._names_in(folder))
+
     def _merge_v2(self, df: DataFrame, keys, tracked, null_safe) -> None:
         if self.fmt in CATALOG_WRITE_FORMATS:
             self._v2_writer(df)  # create if missing
@@ -682,6 +954,17 @@ class TableSink:
         merge.whenNotMatched().insertAll().merge()
 
 
+def _covering(where: dict, kind: T.DataType):
+    """Whether ``replace_where`` covers a partition value, given as the text
+    of its folder."""
+    if "values" in where:
+        some = {str(v) for v in where["values"]}
+        return lambda v: v in some
+    read = {T.DateType: dt.date.fromisoformat, T.StringType: str}.get(type(kind), int)
+    low, high = read(str(where["from"])), read(str(where["to"]))
+    return lambda v: v != "__HIVE_DEFAULT_PARTITION__" and low <= read(v) <= high
+
+
 def _one_of(column: str, values: set) -> Column:
     """Whether a partition column has one of a few values (NULL included)."""
     some = [v for v in values if v is not None]
