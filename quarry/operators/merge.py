@@ -43,6 +43,7 @@ from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
 from quarry.operators.frequent import candidate_counts
+from quarry.operators.schemas import fit, reconcile
 from quarry.operators.sizing import DEFAULT_BROADCAST_BYTES, plan_bytes, row_width
 
 _T, _S, _HIT, _SALT, _OLD = "__t", "__s", "__s_hit", "__salt", "__t_hit"
@@ -188,6 +189,14 @@ def _one_pass(target: DataFrame, source: DataFrame, keys: list[str], tracked: li
     return both.select(*out)
 
 
+def _shaped(column: Column, field: T.StructField, want: T.DataType) -> Column:
+    if not isinstance(want, (T.StructType, T.ArrayType, T.MapType)) or field.dataType == want:
+        return column
+    if reconcile(want, field.dataType, True, field.name).simpleString() != want.simpleString():
+        raise ValueError(f"{field.name}: {want.simpleString()} in the target cannot hold {field.dataType.simpleString()}")
+    return fit(column, field.dataType, want)
+
+
 def merge_changes(
     target: DataFrame,
     source: DataFrame,
@@ -217,6 +226,9 @@ def merge_changes(
         raise ValueError(f"source columns not in target: {extra}")
     if not keys:
         raise ValueError("an upsert needs at least one key column")
+    # Structs are matched field by field; every other type is cast below.
+    kinds = {f.name: f.dataType for f in target.schema.fields}
+    source = source.select(*[_shaped(F.col(f"`{f.name}`"), f, kinds[f.name]).alias(f.name) for f in source.schema.fields])
 
     if unique_source and not broadcast_source:
         hot = hot_keys(target, keys, hot_parts) if hot_parts else None

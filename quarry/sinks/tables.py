@@ -256,6 +256,7 @@ def register_parts(spark: SparkSession, name: str, fmt: str, found: versions.Sta
         if spark.catalog.tableExists(hidden) and spark.table(hidden).dtypes != spark.createDataFrame([], found.schema).dtypes:
             spark.sql(f"DROP TABLE {hidden}")
         spark.sql(f"CREATE TABLE IF NOT EXISTS {hidden}{declared} USING {fmt} LOCATION '{_quoted(folder)}'")
+        spark.catalog.refreshTable(hidden)  # an append may have added files
         dead = ", ".join(f"'{_quoted(n)}'" for n in part.dead)
         selects.append(f"SELECT {columns} FROM {hidden}" + (f" WHERE _metadata.file_name NOT IN ({dead})" if dead else ""))
     text = f"TBLPROPERTIES ('{BASE_PROPERTY}' = '{_quoted(found.base)}') AS " + " UNION ALL ".join(selects)
