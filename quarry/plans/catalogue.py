@@ -55,10 +55,10 @@ def register_views(spark: SparkSession, sf_dir: str, names=TABLES) -> None:
         table(spark, sf_dir, name).createOrReplaceTempView(name)
 
 
-def _inputs(spark, sf_dir):
+def _inputs(spark, sf_dir, since=None):
     customers = reports.customers_view(table(spark, sf_dir, "customer"))
-    # The reports on it count completed orders only.
-    orders = reports.silver_orders(table(spark, sf_dir, "orders"), table(spark, sf_dir, "lineitem"), reports.COMPLETED)
+    # The reports on it count completed orders only, of one run date or later.
+    orders = reports.silver_orders(table(spark, sf_dir, "orders"), table(spark, sf_dir, "lineitem"), reports.COMPLETED, since)
     return customers, orders
 
 
@@ -129,14 +129,14 @@ SELECT s.* FROM src s WHERE NOT EXISTS (SELECT 1 FROM tgt t WHERE t.o_orderkey =
 @query("top_user", _TOP)
 def q_top_user(spark, sf_dir):
     """Filter -> count per customer -> top 10 -> broadcast join -> a.*"""
-    customers, orders = _inputs(spark, sf_dir)
+    customers, orders = _inputs(spark, sf_dir, RUN_DATE)
     return reports.top_users(customers, orders, RUN_DATE)
 
 
 @query("bottom_user_sql", _BOTTOM)
 def q_bottom_user_sql(spark, sf_dir):
     """The SQL-file twin (ascending), run as a SQL transform."""
-    customers, orders = _inputs(spark, sf_dir)
+    customers, orders = _inputs(spark, sf_dir, RUN_DATE)
     from quarry.plans.job import sql_transform
 
     return sql_transform(spark, {"customers": customers, "orders": orders}, reports.BOTTOM_USER_SQL, RUN_DATE)["result"]
@@ -153,7 +153,7 @@ def q_multi_output_job(spark, sf_dir):
     """Two sources, a Python transform with two outputs,
     two table loads; both tables read back, tagged."""
     work = new_work_dir(spark, "multi_output")
-    _inputs(spark, sf_dir)[1].createOrReplaceTempView("silver_orders")
+    _inputs(spark, sf_dir, RUN_DATE)[1].createOrReplaceTempView("silver_orders")
     reports.customers_view(table(spark, sf_dir, "customer")).createOrReplaceTempView("gold_customers")
     conf = {
         "run_mode": {"name": "default"},
@@ -196,7 +196,7 @@ by_date AS (
 def q_backfill_date_spine(spark, sf_dir):
     """R2 as one set-based job: per-customer counts for every weekly run
     date of the whole history."""
-    _, orders = _inputs(spark, sf_dir)
+    _, orders = _inputs(spark, sf_dir, BACKFILL_START)
     return reports.order_counts_by_date(orders, BACKFILL_START, BACKFILL_END, BACKFILL_STEP)
 
 
@@ -217,7 +217,7 @@ def q_backfill_intervals(spark, sf_dir):
     """R2 in the interval form: one row per customer and stretch of run
     dates with the same count, so it grows with the changes of the counts
     and not with customers times dates."""
-    _, orders = _inputs(spark, sf_dir)
+    _, orders = _inputs(spark, sf_dir, BACKFILL_START)
     return reports.order_count_intervals(orders, BACKFILL_START, BACKFILL_END, BACKFILL_STEP)
 
 
@@ -234,7 +234,7 @@ SELECT r.run_date, r.rank, c.* FROM ranked r JOIN customers c ON c.id = r.custom
 )
 def q_backfill_top_user(spark, sf_dir):
     """R2 + R7: the top-user report for every weekly date, in one job."""
-    customers, orders = _inputs(spark, sf_dir)
+    customers, orders = _inputs(spark, sf_dir, BACKFILL_START)
     return reports.top_users_by_date(customers, orders, BACKFILL_START, BACKFILL_END, BACKFILL_STEP)
 
 
@@ -256,7 +256,7 @@ def q_backfill_loop(spark, sf_dir):
     """R1-R4 loop form: a back_fill job config, one complete job per date,
     each appending its date's counts to one table."""
     work = new_work_dir(spark, "backfill_loop")
-    _inputs(spark, sf_dir)[1].createOrReplaceTempView("silver_orders")
+    _inputs(spark, sf_dir, LOOP_START)[1].createOrReplaceTempView("silver_orders")
     conf = {
         "run_mode": {"name": "back_fill", "start": LOOP_START, "end": LOOP_END, "step": LOOP_STEP},
         # derived from two tables and independent of the run date: computed
@@ -285,7 +285,7 @@ def q_backfill_set_job(spark, sf_dir):
     ``set_based``; the runner uses the transform's range form, so all the
     dates are one job and one write."""
     work = new_work_dir(spark, "backfill_set")
-    _inputs(spark, sf_dir)[1].createOrReplaceTempView("silver_orders")
+    _inputs(spark, sf_dir, BACKFILL_START)[1].createOrReplaceTempView("silver_orders")
     conf = {
         "run_mode": {"name": "back_fill", "start": BACKFILL_START, "end": BACKFILL_END, "step": BACKFILL_STEP,
                      "set_based": True},
@@ -308,7 +308,7 @@ def q_backfill_set_job(spark, sf_dir):
 def q_default_run_counts(spark, sf_dir):
     """A default run takes yesterday as its run date; ``today`` is given
     here, so the result does not change with the day it is run."""
-    _, orders = _inputs(spark, sf_dir)
+    _, orders = _inputs(spark, sf_dir, LOOP_START)
     today = dt.date.fromisoformat(RUN_DATE) + dt.timedelta(days=1)
     (run_date,) = run_dates({"run_mode": {"name": "default"}}, today=today)
     counts = reports.order_counts(orders, run_date)

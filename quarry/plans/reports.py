@@ -18,6 +18,7 @@ from quarry.functions.rundate import _as_date, _check_step, date_range, run_date
 from quarry.operators.sizing import DEFAULT_BROADCAST_BYTES, row_width
 from quarry.operators.topk import top_k, top_k_per_group
 from quarry.plans.job import PyTransform, sql_transform, transform_function
+from quarry.session import materialize
 
 # Order status codes and the words the silver table uses (fixed values).
 STATUS_WORDS = {"F": "Completed", "O": "Open", "P": "Pending"}
@@ -29,12 +30,18 @@ def customers_view(customer: DataFrame) -> DataFrame:
     return customer.withColumnRenamed("c_custkey", "id")
 
 
-def silver_orders(orders: DataFrame, lineitem: DataFrame, only: str | None = None) -> DataFrame:
+def silver_orders(orders: DataFrame, lineitem: DataFrame, only: str | None = None, since=None) -> DataFrame:
     """Orders with their status word and last ship date; ``only`` those of
     one status, tested on the stored code, so the test reaches the scan.
+    ``since``: for readers that take only orders updated on that date or
+    later. An order has a last ship date from then on exactly if it has a
+    line from then on, so earlier lines are left out in the scan, before they
+    are aggregated and shuffled; orders with no other have no updated_at.
     Line items are reduced to one row per order before the join (partial
     aggregation map-side); the aggregate comes out hash-partitioned on the
     order key, so the join shuffles only ``orders``."""
+    if since is not None:
+        lineitem = lineitem.filter(F.col("l_shipdate") >= run_date_literal(since, lineitem.schema["l_shipdate"].dataType))
     last_ship = lineitem.groupBy("l_orderkey").agg(F.max("l_shipdate").alias("updated_at"))
     if only is not None:
         codes = [code for code, word in STATUS_WORDS.items() if word == only]
@@ -181,10 +188,14 @@ def order_counts_by_date(orders: DataFrame, start, end, step=None) -> DataFrame:
     segments of ``_segments``, expanded to dates after the last shuffle. It
     has a row per customer and date with a count; where intervals will do,
     take ``order_count_intervals``."""
+    return _by_date(_segments(orders, start, end, step), start, step)
+
+
+def _by_date(segments: DataFrame, start, step) -> DataFrame:
     first, step = _as_date(start), _check_step(step)
     # Every +1 has its -1 at most at index n_dates, so a positive segment
     # always has a next change point.
-    return _segments(orders, start, end, step).select(
+    return segments.select(
         F.explode(F.sequence("i", F.col("next_i") - 1)).alias("i"),
         "customer_id",
         F.col("order_count").cast("long").alias("order_count"),
@@ -219,7 +230,9 @@ def top_users_by_date(customers: DataFrame, orders: DataFrame, start, end, step=
     dates rows; it is broadcast to the customer join when that bound fits
     the broadcast limit, else the join is left to the planner.
     """
-    counts = order_counts_by_date(orders, start, end, step)
+    # Written once: the histogram and the ranking both expand the segments.
+    segments = materialize(orders.sparkSession, _segments(orders, start, end, step), "segments")
+    counts = _by_date(segments, start, step)
     n_dates = len(date_range(start, end, step))
     at_least = Window.partitionBy("run_date").orderBy(F.col("order_count").desc()).rowsBetween(
         Window.unboundedPreceding, Window.currentRow

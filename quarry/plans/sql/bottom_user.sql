@@ -6,7 +6,7 @@ FROM customers
 LEFT SEMI JOIN (
     SELECT customer_id
     FROM orders
-    WHERE status = 'Completed' AND created_at < :run_date AND NOT updated_at < :run_date
+    WHERE status = 'Completed' AND created_at < :run_date AND updated_at >= :run_date
     GROUP BY customer_id
     ORDER BY count(*), customer_id
     LIMIT 10

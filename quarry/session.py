@@ -3,6 +3,7 @@
 from __future__ import annotations
 
 import uuid
+import warnings
 
 from pyspark.sql import SparkSession
 
@@ -96,21 +97,29 @@ def scratch_root(spark: SparkSession) -> str:
 
     Read from ``spark.checkpoint.dir`` (the folder the cluster names). Only
     when the session has none is one set, under the warehouse directory,
-    which is shared storage on a cluster.
+    which is shared storage on a cluster. A folder without a scheme is on
+    Spark's default file system. A local folder that the cluster itself
+    names (``file:``, as for a mount that all machines share) is taken, with
+    a warning, as nothing tells a shared mount from a machine's own disk; one
+    that nobody named is refused on a cluster.
     """
     root = spark.conf.get("spark.checkpoint.dir", None)
     if not root:
         root = spark.sparkContext.getCheckpointDir()
+    cluster = not spark.sparkContext.master.startswith("local")
     if not root:
         root = spark.conf.get("spark.sql.warehouse.dir").rstrip("/") + "/_checkpoints"
-        if not spark.sparkContext.master.startswith("local") and not is_shared(root):
+        if cluster and not is_shared(root):
             raise ValueError(
                 f"{root} is a folder of each machine: name a shared one in spark.checkpoint.dir, "
                 "where executors find each other's intermediate tables"
             )
         spark.sparkContext.setCheckpointDir(root)
-    elif not spark.sparkContext.getCheckpointDir():
-        spark.sparkContext.setCheckpointDir(root)
+    else:
+        if cluster and root.startswith("file:"):
+            warnings.warn(f"{root} must be a folder that all machines share, such as a network mount", stacklevel=2)
+        if not spark.sparkContext.getCheckpointDir():
+            spark.sparkContext.setCheckpointDir(root)
     return root.rstrip("/")
 
 

@@ -40,6 +40,22 @@ def test_report_filters_reach_the_order_scan(spark):
     assert any("In(o_orderstatus, [" in x and "o_orderdate" in x for x in pushed)
 
 
+def test_report_date_reaches_the_line_item_scan(spark):
+    """Lines from before the run date are neither aggregated nor shuffled."""
+    for name in ("top_user", "bottom_user_sql"):
+        scans = plan(QUERIES[name](spark, SF)).split("FileScan parquet")[1:]
+        lines = [x for x in scans if "ReadSchema: struct<l_orderkey" in x]
+        assert len(lines) == 1 and "GreaterThanOrEqual(l_shipdate,1998-06-01T00:00)" in lines[0]
+
+
+def test_since_leaves_the_report_as_it_is(spark):
+    orders, lines = table(spark, SF, "orders"), table(spark, SF, "lineitem")
+    for date in ("1995-01-01", "1998-06-01", "2001-08-02"):
+        whole = reports.order_counts(reports.silver_orders(orders, lines), date)
+        some = reports.order_counts(reports.silver_orders(orders, lines, reports.COMPLETED, date), date)
+        assert sorted(map(tuple, whole.collect())) == sorted(map(tuple, some.collect()))
+
+
 def test_per_date_top_k_limits_before_the_shuffle(spark):
     df = QUERIES["backfill_top_user"](spark, SF)
     text = df._jdf.queryExecution().optimizedPlan().toString()

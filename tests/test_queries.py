@@ -44,9 +44,9 @@ def test_every_query_has_an_oracle():
 
 
 def test_entry_without_the_corpus_operators(tmp_path):
-    """They are an optional part: without their folder and the pipeline the
-    entry still imports and has the other queries; an error inside them is
-    not swallowed."""
+    """They are an optional part: without their folder and the pipeline, or
+    without a library they import, the entry still imports and has the other
+    queries. What is missing is said; any other error is not swallowed."""
     import os
     import shutil
     import subprocess
@@ -61,7 +61,10 @@ def test_entry_without_the_corpus_operators(tmp_path):
     (tmp_path / "quarry/llm").mkdir()
     (tmp_path / "quarry/llm/__init__.py").write_text("")
     (tmp_path / "quarry/llm/queries.py").write_text("import no_such_module")
-    assert "no_such_module" in run().stderr
+    missing = run()
+    assert "no_such_module" in missing.stderr and missing.stdout.split() == [str(len(QUERIES)), str(len(ORACLE))]
+    (tmp_path / "quarry/llm/queries.py").write_text("1 / 0")
+    assert "ZeroDivisionError" in run().stderr
 
 
 @pytest.mark.parametrize("name", sorted(ORACLE))
