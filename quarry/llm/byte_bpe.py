@@ -17,6 +17,7 @@ from __future__ import annotations
 import base64
 import heapq
 from array import array
+from sys import getsizeof
 
 import numpy as np
 import pyarrow as pa
@@ -28,26 +29,34 @@ from .common import only, small_batches
 
 LEAF = 24  # bytes merged directly
 NEVER = 1 << 62
-CACHE = 300_000  # pieces or chunks remembered by a worker, twice
+CACHE_BYTES = 48 << 20  # of a memo of a worker, twice
+LONGEST = 48  # characters of a remembered piece or chunk
+ENTRY = 104  # bytes of a dictionary's own per entry
 # White space beside a space: there a match may hold more than one of them.
 _odd = regex.compile(r"\s | \s")
 
 
 class Recent(dict):
-    """A bounded memo of ``make``: when full it becomes the older half, and
-    what is used again is carried over."""
+    """A memo of ``make``, bounded by bytes: when what it holds reaches
+    ``size`` it becomes the older half, and what is used again is carried
+    over. Keys of more than LONGEST characters are made anew each time: they
+    hardly come again, and are most of the bytes of unspaced scripts."""
 
-    def __init__(self, make, size: int):
+    def __init__(self, make, size: int = CACHE_BYTES):
         super().__init__()
-        self.make, self.size, self.older = make, size, {}
+        self.make, self.size, self.held, self.older = make, size, 0, {}
 
     def __missing__(self, key):
+        if len(key) > LONGEST:  # pieces, chunks, or pairs of tokens
+            return self.make(key)
         value = self.older.get(key)
         if value is None:
             value = self.make(key)
-        if len(self) >= self.size:
-            self.older = dict(self)
+        cost = getsizeof(key) + getsizeof(value) + ENTRY
+        if self.held + cost > self.size:
+            self.older, self.held = dict(self), 0
             self.clear()
+        self.held += cost
         self[key] = value
         return value
 
@@ -56,9 +65,9 @@ class ByteBPE:
     def __init__(self, ranks: dict[bytes, int], pattern: str):
         self.ranks, self.pattern = ranks, regex.compile(pattern)
         self.bytes_of = {i: b for b, i in ranks.items()}
-        self.stays = Recent(self._stays, CACHE)
-        self.pieces = Recent(self._piece, CACHE)
-        self.chunks = Recent(self._chunk, CACHE)
+        self.stays = Recent(self._stays)
+        self.pieces = Recent(self._piece)
+        self.chunks = Recent(self._chunk)
 
     @classmethod
     def load(cls, path: str, pattern: str) -> "ByteBPE":

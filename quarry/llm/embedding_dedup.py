@@ -36,7 +36,12 @@ PER_CELL = 100  # vectors a cell should have, up to FINE centres; then the
 FINE = 2048  # number of centres grows as the root of the vectors' number,
 MAX_CENTRES = 16384  # up to this
 SAMPLE_BYTES = 64 << 20  # most of the sample that centres are chosen from
-APART = 0.6  # greatest cosine between two centres
+# Greatest cosine between two centres. Embeddings often share a direction, so
+# that most cosines are high: then the next bound is tried, until there are as
+# many centres as wanted. All lie below what near copies have.
+APART = (0.6, 0.7, 0.8, 0.85)
+PAIRS = 1000  # pairs that the number of visits is measured on
+FOUND_SHARE = 0.998  # of them that must meet
 VISITS = 12  # least number of cells a vector visits beside its home
 BLOCK = 1024
 CONFIDENCE = 5.0  # standard errors of the estimate
@@ -81,8 +86,9 @@ def usable(vec: Column) -> Column:
     return F.coalesce((F.size(vec) > 0) & ~bad & F.exists(vec, lambda x: x != 0), F.lit(False))
 
 
-def _centres(classes: DataFrame, dim: int, n: int) -> np.ndarray:
-    """Sampled unit vectors, each at most APART from those before it."""
+def _centres(classes: DataFrame, dim: int, n: int) -> tuple[np.ndarray, np.ndarray]:
+    """Sampled unit vectors, each at most APART from those before it, and
+    the sample they are from."""
     most = max(1, SAMPLE_BYTES // (8 * dim))
     want = int(min(MAX_CENTRES, most // 2 + 1, max(1, min(FINE, n // PER_CELL), n**0.5)))
     size = min(most, max(8192, 2 * want))
@@ -90,16 +96,17 @@ def _centres(classes: DataFrame, dim: int, n: int) -> np.ndarray:
     sample = classes.where((F.size("embedding") == dim) & (place < 2.0 * size / max(n, 1)))
     got = sample.orderBy(F.xxhash64("embedding"), "node").limit(size).select("embedding").toPandas()["embedding"]
     if not len(got):
-        return np.zeros((0, dim))
+        return np.zeros((0, dim)), np.zeros((0, dim))
     pool = unit(np.stack([np.asarray(v, np.float64) for v in got]))
     chosen, near = [], np.full(len(pool), -2.0)
-    for i in range(len(pool)):
-        if near[i] <= APART:
-            chosen.append(i)
-            near = np.maximum(near, pool @ pool[i])
+    for apart in APART:
+        for i in range(len(pool)):
             if len(chosen) == want:
                 break
-    return pool[chosen]
+            if near[i] <= apart:
+                chosen.append(i)
+                near = np.maximum(near, pool @ pool[i])
+    return pool[chosen], pool
 
 
 def visits_among(centres: int) -> int:
@@ -110,6 +117,32 @@ def visits_among(centres: int) -> int:
     return max(VISITS, int(np.ceil(2 * centres ** (1 / 3))))
 
 
+def visits_measured(centres: np.ndarray, pool: np.ndarray, threshold: float) -> int:
+    """The visits by which pairs at the threshold meet, measured on the data
+    at hand: to vectors of the sample a partner is made at just that cosine,
+    off in the direction of another vector of the sample. Where vectors share
+    a direction, what tells cells apart is less of a vector, and a pair's
+    homes lie further from each other."""
+    a = pool[:PAIRS]
+    if len(a) < 2 or len(centres) < 2:
+        return VISITS
+    w = np.roll(a, 1, axis=0)
+    w = w - (w * a).sum(axis=1, keepdims=True) * a
+    size = np.sqrt((w * w).sum(axis=1, keepdims=True))
+    a, w, size = a[size[:, 0] > 1e-6], w[size[:, 0] > 1e-6], size[size[:, 0] > 1e-6]
+    if not len(a):
+        return VISITS
+    b = threshold * a + np.sqrt(max(0.0, 1 - threshold**2)) * w / size
+    rank = []
+    for at in range(0, len(a), 100):
+        x, y = a[at : at + 100] @ centres.T, b[at : at + 100] @ centres.T
+        rows = np.arange(len(x))
+        there = (x > x[rows, y.argmax(axis=1)][:, None]).sum(axis=1)
+        back = (y > y[rows, x.argmax(axis=1)][:, None]).sum(axis=1)
+        rank.append(np.minimum(there, back))
+    return int(np.quantile(np.concatenate(rank), FOUND_SHARE, method="higher"))
+
+
 def _vectors(column: pa.Array) -> list[np.ndarray]:
     return [np.asarray(v.values) for v in column]
 
@@ -194,7 +227,8 @@ def link(
     different lengths. component_id is the smallest non-null vec_id that
     links reach, the row's own included; rows with a null id count, but are
     never kept. An empty table gives no rows. ``visits`` is the number of
-    cells a vector visits, by default as ``visits_among`` the centres.
+    cells a vector visits, by default as ``visits_among`` the centres and, if
+    that is more, as ``visits_measured`` on the sample.
     """
     rows = only(vectors, vec_id=vec_id, embedding=embedding).withColumn("vec_id", F.col("vec_id").cast("long"))
     width = 4 if "float" in dict(rows.dtypes)["embedding"] else 8
@@ -208,8 +242,9 @@ def link(
     if not sizes:
         return bare
     dim = max(sizes, key=lambda d: (sizes[d], -d))
-    centres = _centres(classes, dim, sizes[dim])
-    visits = visits_among(len(centres)) if visits is None else visits
+    centres, pool = _centres(classes, dim, sizes[dim])
+    if visits is None:
+        visits = max(visits_among(len(centres)), visits_measured(centres, pool, threshold))
 
     def assign(batches):
         for b in batches:

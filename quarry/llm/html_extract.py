@@ -50,25 +50,31 @@ NAMES = frozenset(
     newsletter subscribe subscription signup login search share sharing social related recommended comment comments disqus replies respond
     discussion widget pagination pager copyright disclaimer""".split()
 )
+_cut_off = re.compile(r"<[a-zA-Z/!?]")
 _word = re.compile(r"[a-z]+")
 _camel = re.compile(r"(?<=[a-z])(?=[A-Z])")
 _hidden = re.compile(r"display\s*:\s*none|visibility\s*:\s*hidden")
 
 
 class _Lines(HTMLParser):
-    """Collects (text, tags, region, doubts, article) per line. ``doubts``
-    are the labelled ancestors whose class or id speaks against the line,
-    ``article`` is the region of the outermost article (0 outside)."""
+    """Collects (text, tags, region, doubt, article) per line. ``doubt`` is
+    the innermost ancestor whose class or id speaks against the line (those
+    further out are found from it, so nothing is copied per line),
+    ``article`` is the region of the outermost article (0 outside). The work
+    is linear in the page, however deep it nests: an end tag looks up
+    whether its element is open at all."""
 
     def __init__(self):
         super().__init__(convert_charrefs=True)
-        self.lines: list[tuple[str, int, int, tuple[int, ...], int]] = []
+        self.lines: list[tuple[str, int, int, int, int]] = []
         self.stack: list[tuple[str, bool, int, bool]] = []  # element, out (surely no content), region, doubted
         self.out = 0
         self.inline: list[str] = []
         self.tags = 0
         self.regions = 0
-        self.doubts: list[int] = []
+        self.doubt = 0  # innermost open doubted element; 0 is none
+        self.above: dict[int, int] = {}  # the doubted element around each
+        self.open: dict[str, int] = {}  # elements on the stack, by name
         self.mains: set[int] = set()  # doubted elements with an article inside
         self.inside: set[int] = set()  # doubted elements inside an article
         self.articles: list[int] = []  # regions of open article elements
@@ -81,7 +87,7 @@ class _Lines(HTMLParser):
             self.inline.clear()
             if text:
                 region = self.sections[-1] if self.sections else self.stack[-1][2] if self.stack else 0
-                self.lines.append((text, self.tags, region, tuple(self.doubts), self.articles[0] if self.articles else 0))
+                self.lines.append((text, self.tags, region, self.doubt, self.articles[0] if self.articles else 0))
                 self.tags = 0
 
     def handle_starttag(self, tag, attrs):
@@ -105,15 +111,20 @@ class _Lines(HTMLParser):
             while self.stack and self.stack[-1][0] in ("head", "title"):  # never closed
                 self._pop()
         if tag in MAIN and not (out or doubt or self.out or self.found):  # comments may be articles too
-            self.mains.update(self.doubts)
+            d = self.doubt
+            while d:
+                self.mains.add(d)
+                d = self.above[d]
         if region or out or doubt:
             if doubt and not region and not out:
                 self.flush()
             self.regions += 1
             self.stack.append((tag, out, self.regions, doubt))
+            self.open[tag] = self.open.get(tag, 0) + 1
             self.out += out
             if doubt:
-                self.doubts.append(self.regions)
+                self.above[self.regions] = self.doubt
+                self.doubt = self.regions
                 if self.articles:
                     self.inside.add(self.regions)
             if tag in MAIN and not self.out and not doubt:
@@ -124,9 +135,10 @@ class _Lines(HTMLParser):
 
     def _pop(self):
         tag, out, region, doubt = self.stack.pop()
+        self.open[tag] -= 1
         self.out -= out
         if doubt:
-            self.doubts.remove(region)
+            self.doubt = self.above[region]
         if self.articles and self.articles[-1] == region:
             self.articles.pop()
         if self.sections and self.sections[-1] == region:
@@ -142,10 +154,7 @@ class _Lines(HTMLParser):
         self.tags += 1
         if tag in BREAK:
             self.flush()
-        for s in self.stack:
-            if s[0] == tag:
-                break
-        else:
+        if not self.open.get(tag):
             return
         self.flush()
         while self._pop() != tag:
@@ -168,24 +177,41 @@ def smooth(values: list[float], sigma: float = SIGMA) -> list[float]:
     return out
 
 
+def _complete(html: str) -> str:
+    """The page without a tag that its end cuts off, and with comments that
+    never end as text. The parser would look for the end of each of them
+    again, up to the page's end."""
+    end = html.rfind("-->") + 3 if "-->" in html else 0
+    if html.find("<!--", end) >= 0:
+        html = html[:end] + html[end:].replace("<!--", "&lt;!--")
+    last = html.rfind(">") + 1
+    m = _cut_off.search(html, last)
+    return html[: m.start()] if m else html
+
+
 def main_text(html: str | None) -> str:
     """The page's main text: blocks in page order, joined by one space."""
     if not html:
         return ""
     parser = _Lines()
-    parser.feed(html)
+    parser.feed(_complete(html))
     parser.close()
     parser.flush()
     lines = parser.lines
     if not lines:
         return ""
     total = sum(len(x[0]) for x in lines)
-    held: dict[int, int] = {}
-    for text, _, _, doubts, _ in lines:
-        for d in doubts:
-            held[d] = held.get(d, 0) + len(text)
-    wrong = {d for d, n in held.items() if d not in parser.mains and (d in parser.inside or n <= WRAPPER * total)}
-    own = [x for x in lines if wrong.isdisjoint(x[3])]
+    held = dict.fromkeys(parser.above, 0)
+    for text, _, _, doubt, _ in lines:
+        if doubt:
+            held[doubt] += len(text)
+    for d in sorted(held, reverse=True):  # an inner element has the greater number
+        if parser.above[d]:
+            held[parser.above[d]] += held[d]
+    wrong = {0: False}
+    for d in sorted(held):
+        wrong[d] = wrong[parser.above[d]] or d not in parser.mains and (d in parser.inside or held[d] <= WRAPPER * total)
+    own = [x for x in lines if not wrong[x[3]]]
     if not own:
         return ""
     bare = [len(x[0]) / max(1, x[1]) for x in own]

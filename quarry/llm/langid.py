@@ -7,14 +7,17 @@ is the popcount of bit l over its n-grams, corrected for the false positives
 that l's share of set bits lets expect. The most votes decide.
 
 The filter is fitted on a bounded sample of each language's labelled
-documents (MAX_DOCS, by a hash of doc_id) and holds at most MAX_GRAMS
-n-grams a language, the most frequent ones, of equally frequent ones those
-of smallest hash; its size is fixed. Every text
-is scored whole, in Arrow batches, without a shuffle.
+documents (MAX_DOCS, by a hash of doc_id) and holds every n-gram of theirs.
+Its size follows the language with the most n-grams, so that about FILL of
+its places are set, up to MAX_BYTES; beyond, it only gets fuller, which the
+correction allows for, and still holds all. Every text is scored whole, in
+Arrow batches, without a shuffle.
 """
 
 from __future__ import annotations
 
+import math
+
 import numpy as np
 import pyarrow as pa
 from pyspark.sql import Column, DataFrame, SparkSession
@@ -26,10 +29,11 @@ from .ngrams import char_grams, code_points, has_letter
 
 SIZES = (3, 4)  # n of the n-grams
 PLACES = 3  # K
-BITS = 18  # 2**18 masks
+BITS = 18  # 2**18 masks at least
+FILL = 0.3  # share of a language's bits that should be set
+MAX_BYTES = 64 << 20  # of the filter
 MAX_DOCS = 1000
-MAX_GRAMS = 16000
-MIN_SHARE = 0.01  # of a language's sampled documents that hold the n-gram
+WORD = 32  # languages in one column of masks while they are gathered
 CHUNK = 1 << 19
 UNKNOWN = "und"
 _LETTER = np.ones(128, bool)
@@ -51,13 +55,17 @@ def grams(text: str):
             yield char_grams(part, n)[inner[: max(0, len(part) - n + 1)]]
 
 
-def places(hashes: np.ndarray) -> list[np.ndarray]:
-    """The K places of each n-gram."""
+def places(hashes: np.ndarray, bits: int = BITS) -> list[np.ndarray]:
+    """The K places of each n-gram among 2**bits."""
     h = hashes ^ (hashes >> np.uint64(32))
     h = h * np.uint64(0x9E3779B97F4A7C15)
     h ^= h >> np.uint64(29)
-    mask = np.uint64((1 << BITS) - 1)
-    return [((h >> np.uint64(BITS * i + 5)) & mask).astype(np.int64) for i in range(PLACES)]
+    mask = np.uint64((1 << bits) - 1)
+    if PLACES * bits + 5 <= 64:
+        return [((h >> np.uint64(bits * i + 5)) & mask).astype(np.int64) for i in range(PLACES)]
+    # Two hashes make all places, as one has too few bits.
+    step = (h * np.uint64(0xC2B2AE3D27D4EB4F)) | np.uint64(1)
+    return [(((h + np.uint64(i) * step) >> np.uint64(64 - bits)) & mask).astype(np.int64) for i in range(PLACES)]
 
 
 def held_out(doc_id: str = "doc_id") -> Column:
@@ -67,10 +75,13 @@ def held_out(doc_id: str = "doc_id") -> Column:
 
 
 def train(
-    spark: SparkSession, docs: DataFrame, max_docs: int = MAX_DOCS, max_grams: int = MAX_GRAMS, text: str = "text", lang: str = "lang", doc_id: str = "doc_id"
+    spark: SparkSession, docs: DataFrame, max_docs: int = MAX_DOCS, text: str = "text", lang: str = "lang", doc_id: str = "doc_id"
 ) -> dict | None:
     """The filter, from the rows of ``docs`` with an id, a language and a
-    text that are not held out; None if there are none."""
+    text that are not held out; None if there are none. Repeated rows teach
+    as often as they are there, which changes nothing: an n-gram is held or
+    not. Other columns are ignored. The driver gets one number a language
+    and the filter, at most MAX_BYTES (or 2**BITS masks)."""
     small_batches(spark)
     own = only(docs, doc_id=doc_id, text=text, lang=lang).where(~held_out("doc_id")).where("doc_id is not null and text is not null and lang is not null")
     # One number per language comes to the driver.
@@ -83,44 +94,40 @@ def train(
     code = F.element_at(F.create_map(*[x for i, k in enumerate(langs) for x in (F.lit(k), F.lit(i))]), F.col("lang"))
     sample = own.where(place < share).select("text", code.alias("code"))
 
-    def count(batches):
-        """(language, n-gram, documents) of each batch."""
+    def held(batches):
+        """(language, n-gram) of each batch, once each."""
         for b in batches:
-            held: dict[int, list[np.ndarray]] = {}
+            sets: dict[int, list[np.ndarray]] = {}
             for t, c in zip(b.column(0).to_pylist(), b.column(1).to_pylist()):
-                held.setdefault(c, []).append(np.unique(np.concatenate([*grams(t), np.zeros(0, np.uint64)])))
-            for c, sets in held.items():
-                gram, n = np.unique(np.concatenate(sets), return_counts=True)
-                yield pa.RecordBatch.from_arrays([pa.array(np.full(len(gram), c, np.int32)), pa.array(gram.view(np.int64)), pa.array(n.astype(np.int64))], ["code", "gram", "n"])
-
-    found = sample.mapInArrow(count, "code int, gram long, n long").groupBy("code", "gram").agg(F.sum("n").alias("n"))
-    least = F.element_at(F.lit([max(1.0, MIN_SHARE * min(max_docs, totals[k])) for k in langs]), F.col("code") + 1)
-    found = materialize(spark, found.where(F.col("n") >= least), "langid-grams")
-    # How many n-grams a language has of each frequency: at most as many
-    # numbers as sampled documents. From them the frequency at which the
-    # max_grams most frequent ones end, and how many of it still fit.
-    levels = sorted((r["code"], -r["n"], r["grams"]) for r in found.groupBy("code", "n").agg(F.count("gram").alias("grams")).collect())
-    last, part, held = [1] * len(langs), [1.0] * len(langs), [0] * len(langs)
-    for code, n, many in levels:
-        room = max_grams - held[code]
-        if 0 < room < many:  # a share of the hash space that holds a little more than fits
-            part[code] = min(1.0, (room + 8 * room**0.5 + 64) / many)
-        if room > 0:
-            last[code] = -n
-        held[code] += many
-    of = lambda values: F.element_at(F.lit(values), F.col("code") + 1)
-    found = found.withColumn("spot", F.xxhash64("gram").bitwiseAND(F.lit((1 << 31) - 1)))
-    near = found.where((F.col("n") > of(last)) | (F.col("n") == of(last)) & (F.col("spot") / float(1 << 31) < of(part)))
-    # Little over max_grams a language; ties at the end go by their hash.
-    rows = near.select("code", "gram", "n", "spot").toPandas()
-    rows = rows.sort_values(["code", "n", "spot", "gram"], ascending=[True, False, True, True]).groupby("code").head(max_grams)
-    masks = np.zeros((1 << BITS, (len(langs) + 7) // 8), np.uint8)
-    for code, own in rows.groupby("code"):
-        for at in places(own["gram"].to_numpy().view(np.uint64)):
-            masks[at, code >> 3] |= np.uint8(1 << (code & 7))
+                sets.setdefault(c, []).extend(grams(t))
+            for c, parts in sets.items():
+                gram = np.unique(np.concatenate([*parts, np.zeros(0, np.uint64)]))
+                yield pa.RecordBatch.from_arrays([pa.array(np.full(len(gram), c, np.int32)), pa.array(gram.view(np.int64))], ["code", "gram"])
+
+    found = materialize(spark, sample.mapInArrow(held, "code int, gram long").distinct(), "langid-grams")
+    most = max((r["n"] for r in found.groupBy("code").agg(F.count("gram").alias("n")).collect()), default=1)
+    width = (len(langs) + 7) // 8
+    bits = max(BITS, math.ceil(math.log2(max(1.0, -PLACES * most / math.log(1 - FILL)))))
+    while bits > BITS and (width << bits) > MAX_BYTES:
+        bits -= 1
+
+    def spots(batches):
+        for b in batches:
+            code = b.column(0).to_numpy()
+            at = np.concatenate(places(b.column(1).to_numpy().view(np.uint64), bits))
+            word = np.tile(code // WORD, PLACES)
+            bit = np.left_shift(np.int64(1), np.tile(code % WORD, PLACES).astype(np.int64))
+            yield pa.RecordBatch.from_arrays([pa.array(at), pa.array(word.astype(np.int32)), pa.array(bit)], ["at", "word", "bit"])
+
+    set_ = found.mapInArrow(spots, "at long, word int, bit long").groupBy("at", "word").agg(F.bit_or("bit").alias("mask")).toPandas()
+    masks = np.zeros((1 << bits, width), np.uint8)
+    for word, own in set_.groupby("word"):
+        raw = own["mask"].to_numpy(np.uint32).astype("<u4").view(np.uint8).reshape(-1, WORD // 8)
+        low = word * (WORD // 8)
+        masks[own["at"].to_numpy(), low : low + WORD // 8] = raw[:, : width - low]
     fill = np.unpackbits(masks, axis=1, bitorder="little")[:, : len(langs)].mean(axis=0)
     common = max(langs, key=lambda k: (totals[k], k))
-    return {"langs": langs, "masks": masks, "chance": fill**PLACES, "common": langs.index(common)}
+    return {"langs": langs, "masks": masks, "bits": bits, "chance": fill**PLACES, "common": langs.index(common)}
 
 
 def identify(model: dict | None, text: str | None) -> tuple[str, float]:
@@ -130,7 +137,7 @@ def identify(model: dict | None, text: str | None) -> tuple[str, float]:
     langs, masks = model["langs"], model["masks"]
     n, votes = 0, np.zeros(8 * masks.shape[1])
     for hashes in grams(text):
-        at = places(hashes)
+        at = places(hashes, model["bits"])
         got = masks[at[0]]
         for p in at[1:]:
             got &= masks[p]

@@ -113,7 +113,9 @@ def close(windows, size: int):
             yield out
 
 
-def pack(spark: SparkSession, docs: DataFrame, vocabulary: str, size: int = WINDOW, end: int = END, text: str = "text", doc_id: str = "doc_id") -> DataFrame:
+def pack(
+    spark: SparkSession, docs: DataFrame, vocabulary: str, size: int = WINDOW, end: int = END, text: str = "text", doc_id: str = "doc_id", open_windows: int = OPEN
+) -> DataFrame:
     """One row per piece: doc_id, start (ids of its document before it),
     length, ids (unsigned 32-bit, little-endian), doc_tokens (with the end
     id), sequence_id and offset in it. A sequence is to be padded to
@@ -122,7 +124,8 @@ def pack(spark: SparkSession, docs: DataFrame, vocabulary: str, size: int = WIND
     A null or empty text is the end id alone. Rows are packed one by one, so
     null and repeated ids stay apart by their pieces only. Other columns are
     ignored; an empty table gives no rows. A task holds the ids in at most
-    OPEN windows and one batch of texts.
+    ``open_windows`` windows and one batch of texts; beyond, all that are open
+    are closed by cutting and the rule starts anew.
     """
     small_batches(spark)
     names = [c.split()[0] for c in PIECE.split(", ")]
@@ -165,7 +168,7 @@ def pack(spark: SparkSession, docs: DataFrame, vocabulary: str, size: int = WIND
                     full = packer.place(((name, n, whole, ids[whole:].copy()), whole, n), n - whole)
                     if full:
                         emit(full)
-                    elif packer.total > OPEN:
+                    elif packer.total > open_windows:
                         finish()
                 if len(rows) >= 256:
                     yield batch()

@@ -15,6 +15,7 @@ import pyarrow as pa
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
+from ..session import materialize
 from .common import WHITE, only, small_batches
 from .ngrams import buckets, char_grams, code_points, runs, word_hashes
 
@@ -25,7 +26,9 @@ THRESHOLD = 0.25  # low, so that clean documents stay
 MIN_WORDS = 50
 MAX_REPEAT_PERCENT = 50
 L2 = 1e-4
-STEPS = 40
+MAX_STEPS = 200  # of the fit, which stops where the gradient is
+SLOPE = 0.02  # this part of what it was at first
+MAX_BYTES = 64 << 20  # of the sample's features, on the driver
 CHUNK = 1 << 20  # code points hashed at a time
 SYMBOLS = "#*$%&|<>"  # fixed by the rule
 _SYMBOL = np.zeros(256, bool)
@@ -109,15 +112,21 @@ def _sigmoid(x):
 
 
 def _fit(index, value, start, y) -> tuple[np.ndarray, float]:
-    """Weights and bias, by full-batch Adam on the balanced logistic loss."""
+    """Weights and bias, by full-batch Adam on the balanced logistic loss,
+    until the gradient has fallen to SLOPE of the first one."""
     size = len(KINDS) << BITS
     rows = np.repeat(np.arange(len(y)), np.diff(np.append(start, len(index))))
     weight = np.where(y > 0, 0.5 / max(y.mean(), 1e-9), 0.5 / max(1 - y.mean(), 1e-9)) / len(y)
     w, m, v = np.zeros(size + 1), np.zeros(size + 1), np.zeros(size + 1)
-    for step in range(1, STEPS + 1):
+    steep = None
+    for step in range(1, MAX_STEPS + 1):
         z = np.bincount(rows, w[index] * value, minlength=len(y)) + w[-1]
         r = (_sigmoid(z) - y) * weight
         g = np.append(np.bincount(index, value * r[rows], minlength=size) + L2 / size * w[:-1], r.sum())
+        norm = float(np.sqrt(g @ g))
+        steep = norm if steep is None else steep
+        if norm <= SLOPE * steep:
+            break
         m, v = 0.9 * m + 0.1 * g, 0.99 * v + 0.01 * g * g
         w -= 0.5 * (m / (1 - 0.9**step)) / (np.sqrt(v / (1 - 0.99**step)) + 1e-8)
     return w[:-1], float(w[-1])
@@ -149,7 +158,10 @@ def train(
     Rows of ``labels`` with a null id or label are left out; an id labelled
     twice counts with its highest label. Labelled ids without a document
     teach nothing; of a labelled id with several rows, the text of smallest
-    hash does.
+    hash does. Null texts teach nothing, empty ones that they have no n-gram.
+    The driver holds the features of at most max_labelled texts and
+    MAX_BYTES: texts are taken in the order of a hash of their id, and one
+    that no longer fits is passed over. Other columns are ignored.
     """
     small_batches(spark)
     known = only(labels, doc_id=doc_id, y=label).where("doc_id is not null and y is not null")
@@ -179,7 +191,14 @@ def train(
             )
 
     found = own.select(F.col("doc_id").cast("long").alias("doc_id"), "text", "y").mapInArrow(run, "doc_id long, y int, i binary, v binary")
-    rows = found.groupBy("doc_id").agg(F.min(F.struct("y", "i", "v")).alias("f")).select("doc_id", "f.*").collect()
+    found = materialize(spark, found.groupBy("doc_id").agg(F.min(F.struct("y", "i", "v")).alias("f")).select("doc_id", "f.*"), "quality-features")
+    sizes = found.select("doc_id", (F.length("i") + F.length("v")).alias("n")).orderBy(F.xxhash64("doc_id", F.lit("quality")), "doc_id").collect()
+    room, taken = MAX_BYTES, []
+    for r in sizes:  # at most max_labelled numbers
+        if r.n <= room:
+            room -= r.n
+            taken.append(r.doc_id)
+    rows = found.where(F.col("doc_id").isin(taken)).collect()
     rows.sort(key=lambda r: (r.doc_id, bytes(r.i), bytes(r.v)))
     y = np.array([r.y for r in rows], float)
     if len(set(y)) < 2:
@@ -240,9 +259,19 @@ def score(
     return only(docs, doc_id=doc_id, text=text).withColumn("doc_id", F.col("doc_id").cast("long")).mapInArrow(run, schema)
 
 
-def keep_good(spark: SparkSession, docs: DataFrame, model: dict | None, threshold: float = THRESHOLD, text: str = "text") -> DataFrame:
+def keep_good(
+    spark: SparkSession,
+    docs: DataFrame,
+    model: dict | None,
+    threshold: float = THRESHOLD,
+    min_words: int = MIN_WORDS,
+    max_repeat_percent: int = MAX_REPEAT_PERCENT,
+    text: str = "text",
+) -> DataFrame:
     """The rows of ``docs`` that ``score`` keeps, all columns as they are;
-    the verdict is made from the row itself, so no join is needed."""
+    the verdict is made from the row itself, so no join is needed. Null and
+    empty texts go (they have no words); repeated rows are judged alike, ids
+    are not looked at; an empty table stays empty."""
     small_batches(spark)
     at = [c.lower() for c in docs.columns].index(text.lower())
 
@@ -251,7 +280,7 @@ def keep_good(spark: SparkSession, docs: DataFrame, model: dict | None, threshol
             kept = []
             for t in b.column(at).to_pylist():
                 s = base_stats(t)
-                kept.append(not _base_failed(s) and (model is None or probability(model, t) >= threshold))
+                kept.append(not _base_failed(s, min_words, max_repeat_percent) and (model is None or probability(model, t) >= threshold))
             yield b.filter(pa.array(kept, pa.bool_()))
 
     return docs.mapInArrow(run, docs.schema)

@@ -23,7 +23,7 @@ from math import comb
 
 import numpy as np
 import pyarrow as pa
-from pyspark.sql import DataFrame, SparkSession, Window
+from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 from xxhash import xxh64_intdigest
 
@@ -130,7 +130,8 @@ def near_duplicates(
 
 
 def _named(spark: SparkSession, prints: DataFrame, max_bits: int) -> DataFrame:
-    """``prints`` with component_id."""
+    """``prints`` with component_id and root, a fingerprint that names the
+    component also where no row of it has an id."""
     rows = materialize(spark, prints, "simhash-rows")
     # Copies share a fingerprint: links are sought between distinct ones.
     classes = materialize(spark, rows.groupBy("fp").agg(F.min("doc_id").alias("low")), "simhash-classes")
@@ -138,33 +139,38 @@ def _named(spark: SparkSession, prints: DataFrame, max_bits: int) -> DataFrame:
     roots = connected_components(spark, edges)  # (node, root) of linked fingerprints
     named = classes.join(roots.withColumnRenamed("node", "fp"), "fp", "left").withColumn("root", F.coalesce("root", "fp"))
     least = materialize(spark, named.groupBy("root").agg(F.min("low").alias("component_id")), "simhash-least")
-    lookup = materialize(spark, named.join(least, "root").select("fp", "component_id"), "simhash-components")
+    lookup = materialize(spark, named.join(least, "root").select("fp", "component_id", "root"), "simhash-components")
     return rows.join(lookup, "fp")
 
 
 def keep_one(spark: SparkSession, docs: DataFrame, shingle: int = 3, max_bits: int = 2, text: str = "text", doc_id: str = "doc_id") -> DataFrame:
-    """``docs`` with one document of each component: the one of smallest id.
-
-    Rows that repeat this id are one document; of them the row with the
-    smallest text stays, of those whose own component has this smallest id: a
-    text of the same id that is a copy of another document goes. Rows with a null id cannot be named as a copy and
-    all stay. All columns are kept as they are.
+    """``docs`` with one row of each component: that of the smallest id, of
+    several texts under this id that of smallest hash.
+
+    A row goes only if another row of its own component stays, so unrelated
+    texts under one id all stay, and none of two equal texts both do,
+    whatever their ids. Rows without an id come after all others: they stay
+    where their component has no row with one. Of rows with equal id and text
+    one stays, with the least hash of all its columns. All columns are kept
+    as they are. An empty table gives no rows.
     """
-    found = _named(spark, fingerprints(spark, docs, shingle, text, doc_id, True), max_bits)
-    keep = found.groupBy("doc_id").agg(F.count("fp").alias("n"), F.count_if(F.col("doc_id") == F.col("component_id")).alias("own")).where("own > 0")
-    keep = materialize(spark, keep, "simhash-keep")
-    own = F.col(f"`{doc_id}`")
-    ids = keep.select(F.col("doc_id").alias("_q_keep"), (F.col("n") > 1).alias("_q_again"))
-    # Hashing the ids spares a sort of whole texts.
-    kept = docs.join(ids.hint("shuffle_hash"), own.cast("long") == F.col("_q_keep"))
-    once = kept.where(~F.col("_q_again")).drop("_q_keep", "_q_again").union(docs.where(own.isNull()))
-    if keep.where("n > 1").isEmpty():
+    found = materialize(spark, _named(spark, fingerprints(spark, docs, shingle, text, doc_id, True), max_bits), "simhash-found")
+    first = F.min(F.struct(F.col("doc_id").isNull().alias("without"), "doc_id", "th")).alias("s")
+    stays = found.groupBy("root").agg(first).select("s.doc_id", "s.th")
+    copies = found.groupBy("doc_id", "th").agg(F.count(F.lit(1)).alias("n")).where("n > 1")
+    same = stays.doc_id.eqNullSafe(copies.doc_id) & (stays.th == copies.th)
+    stays = stays.join(copies, same, "left").select(stays.doc_id.alias("_q_id"), stays.th.alias("_q_th"), F.col("n").isNotNull().alias("_q_again"))
+    stays = materialize(spark, stays, "simhash-stays")
+    own = (F.col(f"`{doc_id}`").cast("long").eqNullSafe(F.col("_q_id"))) & (F.xxhash64(F.col(f"`{text}`")) == F.col("_q_th"))
+    kept = docs.join(stays, own)
+    once = kept.where(~F.col("_q_again")).drop("_q_id", "_q_th", "_q_again")
+    if stays.where("_q_again").isEmpty():
         return once
-    order = Window.partitionBy("_q_keep").orderBy(F.col(f"`{text}`"))
-    good = found.where("doc_id = component_id").select(F.col("doc_id").alias("_q_id"), F.col("th").alias("_q_th")).distinct()
-    again = kept.where("_q_again").join(good, (F.col("_q_keep") == F.col("_q_id")) & (F.xxhash64(F.col(f"`{text}`")) == F.col("_q_th")), "left_semi")
-    again = again.withColumn("_q_n", F.row_number().over(order)).where("_q_n = 1")
-    return once.union(again.drop("_q_keep", "_q_again", "_q_n"))
+    again = kept.where("_q_again").withColumn("_q_row", F.xxhash64(*[F.col(f"`{c}`") for c in docs.columns]))
+    again = materialize(spark, again, "simhash-again")
+    least = again.groupBy("_q_id", "_q_th").agg(F.min("_q_row").alias("_q_least")).select(F.col("_q_id").alias("_q_i"), F.col("_q_th").alias("_q_t"), "_q_least")
+    one = again.join(least, again._q_id.eqNullSafe(F.col("_q_i")) & (F.col("_q_th") == F.col("_q_t")) & (F.col("_q_row") == F.col("_q_least")))
+    return once.union(one.select(*[F.col(f"`{c}`") for c in docs.columns]).dropDuplicates())
 
 
 def hex16(fp):

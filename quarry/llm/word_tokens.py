@@ -21,7 +21,6 @@ from .byte_bpe import Recent
 
 # Fixed value: the pattern of the public word vocabulary.
 WORDS = r"'s|'t|'re|'ve|'m|'ll|'d|[\p{L}]+|[\p{N}]|[^\s\p{L}\p{N}]+"
-CACHE = 400_000  # chunks remembered by a worker, twice
 # Python's str.split() also cuts at these four, and the library does not.
 OTHER = "\x1c\x1d\x1e\x1f"
 _plain = "ƀ"  # below: no combining marks, and one-to-one lower case but for one
@@ -41,8 +40,8 @@ class WordTokens:
         # A run of letters is one piece by this pattern, and a character
         # after it another.
         self.one_run = self.pattern is not None and self.pattern.pattern == WORDS and not any(t.isalpha() or t[:-1].isalpha() for t in self.special)
-        self.pieces = Recent(self._piece, CACHE)
-        self.chunks = Recent(self._chunk, CACHE)
+        self.pieces = Recent(self._piece)
+        self.chunks = Recent(self._chunk)
 
     def _whole(self, text: str) -> bytes:
         return array("I", self.tokenizer.encode(text, add_special_tokens=False).ids).tobytes()

@@ -67,6 +67,28 @@ def test_recall_among_thousands_of_centres(spark, monkeypatch):
     assert 0.99 * 6000 < found <= 6000
 
 
+def test_embeddings_that_share_a_direction(spark, monkeypatch):
+    """Median cosine over 0.7, as text embedders give: still hundreds of
+    cells, and the links are found."""
+    monkeypatch.setattr(E, "PER_CELL", 20)
+    rng = np.random.Generator(np.random.PCG64(11))
+    mean = E.unit(rng.standard_normal((1, 64)))
+    a = E.unit(E.unit(rng.standard_normal((4000, 64))) + 1.62 * mean)
+    u = np.roll(a, 7, axis=0)
+    w = E.unit(u - (u * a).sum(axis=1, keepdims=True) * a)
+    rows = np.concatenate([a, 0.901 * a + np.sqrt(1 - 0.901**2) * w]).astype(np.float32)
+    units = E.unit(rows)
+    exact = units @ units.T
+    assert 0.7 < np.median(exact) < 0.8
+    links = int((np.triu(exact, 1) >= 0.9).sum())
+    df = spark.createDataFrame([(i, v) for i, v in enumerate(rows.tolist())], VEC)
+    centres, pool = E._centres(df.withColumnRenamed("vec_id", "node"), 64, len(rows))
+    assert len(centres) >= 300
+    found = E.link(spark, df).agg({"n_links": "sum"}).collect()[0][0] / 2
+    print("centres", len(centres), "visits", E.visits_measured(centres, pool, 0.9), "recall", found / links)
+    assert 0.98 * links < found <= links
+
+
 def test_edges(spark):
     nan, inf = float("nan"), float("inf")
     rows = [(1, None), (2, []), (3, [0.0, 0.0]), (4, [1.0, nan]), (5, [1.0, inf]), (6, [None, 1.0]), (None, [1.0, 0.0]), (8, [2.0, 0.0]), (9, [2.0, 0.0]),

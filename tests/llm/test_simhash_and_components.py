@@ -91,8 +91,12 @@ def test_keep_one_edges(spark):
     rows = [(3, "b", 1), (3, "a", 2), (5, "a", 3), (None, "a", 4), (None, "zz", 5), (9, "q r s t", 6)]
     df = spark.createDataFrame(rows, "doc_id long, text string, n int")
     kept = sorted(map(tuple, simhash.keep_one(spark, df).collect()), key=repr)
-    # 3 is one document (its smallest text stays); null ids cannot be named
-    assert kept == sorted([(3, "a", 2), (9, "q r s t", 6), (None, "a", 4), (None, "zz", 5)], key=repr)
+    # "a" of id 3 is the one of its component; "b" of id 3 is no copy of anything.
+    assert kept == sorted([(3, "a", 2), (3, "b", 1), (9, "q r s t", 6), (None, "zz", 5)], key=repr)
+    # Copies under no id, and rows that repeat id and text.
+    more = spark.createDataFrame([(None, "x y", 1), (None, "x y", 2), (4, "k l", 3), (4, "k l", 4), (4, "k l", 4)], "doc_id long, text string, n int")
+    kept = [tuple(r) for r in simhash.keep_one(spark, more).collect()]
+    assert sorted(r[:2] for r in kept if r[0]) == [(4, "k l")] and [r[1] for r in kept if not r[0]] == ["x y"] and len(kept) == 2
     assert simhash.keep_one(spark, df.limit(0)).collect() == []
     assert simhash.near_duplicates(spark, df.limit(0)).collect() == []
     odd = spark.createDataFrame([(1, "x", 1, 2)], "doc_id long, text string, fp int, component_id int")

@@ -47,10 +47,29 @@ def test_joins_are_associative_and_right(both):
 
 
 def test_caches_stay_bounded():
-    memo = byte_bpe.Recent(lambda k: k * 2, 10)
-    for i in range(1000):
-        assert memo[i % 37] == i % 37 * 2
-        assert len(memo) <= 10 and len(memo.older) <= 10
+    from sys import getsizeof
+
+    made = []
+    for size in (20_000, 400_000):
+        made.clear()
+        memo = byte_bpe.Recent(lambda k: made.append(k) or k.encode() * 20, size)
+        for i in range(3000):
+            key = f"{i % 37}-{'x' * (i % 11)}"
+            assert memo[key] == key.encode() * 20
+            for half in (memo, memo.older):
+                assert sum(getsizeof(k) + getsizeof(v) + byte_bpe.ENTRY for k, v in half.items()) <= size
+    assert len(made) == 37 * 11  # with room it remembers
+    long = "y" * 1000
+    assert memo[long] == long.encode() * 20 and long not in memo and long not in memo.older
+
+
+def test_unspaced_texts_fill_no_cache():
+    """Chinese, Thai or base64 come as one long piece a text."""
+    bpe = byte_bpe.ByteBPE.load(RANKS, P.PATTERN)
+    for i in range(200):
+        text = "".join(chr(0x4E00 + (i * 7919 + j * 104729) % 20000) for j in range(300))
+        assert bpe.decode(bpe.encode(text).tolist()) == text.encode()
+    assert not bpe.pieces and not bpe.chunks
 
 
 def test_round_trip_and_decode(spark):
@@ -149,7 +168,21 @@ def test_packing(spark):
     assert packing.pack(spark, spark.createDataFrame([], DOC), WORDS).collect() == []
 
 
-def test_a_task_keeps_few_windows_open(spark, monkeypatch):
+def test_beyond_the_open_windows_all_are_closed_by_cutting(spark):
+    words = WordTokens(WORDS)
+    rows = [(i, " ".join(["cat"] * 40)) for i in range(300)]  # no two fit one window of 64
+    df = spark.createDataFrame(rows, DOC).coalesce(1)
+    got = packing.pack(spark, df, WORDS, size=64, open_windows=20).collect()
+    check_pieces(got, [(d, [*words.ids(t).tolist(), 1]) for d, t in rows], 64)
+    cuts = lambda r: len(r) - 300
+    plain = packing.pack(spark, df, WORDS, size=64).collect()
+    # Closed 14 times instead of once: full sequences all the same, but for
+    # the last of each time, which are powers of two.
+    assert 14 <= len({x.sequence_id for x in got}) - len({x.sequence_id for x in plain}) + 14 <= 14 * 7
+    assert cuts(got) <= cuts(plain) + 14 * 7
+
+
+def test_a_task_keeps_few_windows_open(spark):
     words = WordTokens(WORDS)
     rows = [(i, " ".join(["cat"] * 40)) for i in range(300)]  # no two fit one window of 64
     plain = packing.pack(spark, spark.createDataFrame(rows, DOC).coalesce(1), WORDS, size=64).collect()

@@ -154,3 +154,20 @@ def test_extract_edges(spark):
     df = spark.createDataFrame([(None, None, None, 1), (1, "u", "<p>a", 2), (1, "u", "<p>a", 3)], PAGE + ", text int")
     assert sorted(map(tuple, extract(spark, df).collect()), key=repr) == sorted([(None, None, "", 0), (1, "u", "a", 1), (1, "u", "a", 1)], key=repr)
     assert extract(spark, df.where(F.lit(False))).collect() == []
+
+
+@pytest.mark.parametrize(
+    "page",
+    ["<div class=ad>x" * 70_000, "<div>" * 60_000 + "</p>" * 60_000, "<article><p>t" * 50_000, "<a " * 300_000, "<!-- x >" * 100_000, "</" * 300_000, "<div class=nav>" * 50_000 + "text " * 50_000 + "</div>" * 50_000],
+)
+def test_a_megabyte_of_nested_or_broken_markup_takes_seconds(page):
+    import time
+
+    start = time.time()
+    main_text(page)
+    assert time.time() - start < 10
+
+
+def test_what_a_page_cuts_off():
+    assert main_text("<p>some text</p><!-- never ends") == "some text <!-- never ends"
+    assert main_text("<p>some text</p><div class='x") == "some text"
