@@ -17,7 +17,6 @@ from __future__ import annotations
 import base64
 import heapq
 from array import array
-from sys import getsizeof
 
 import numpy as np
 import pyarrow as pa
@@ -29,9 +28,11 @@ from .common import only, small_batches
 
 LEAF = 24  # bytes merged directly
 NEVER = 1 << 62
-CACHE_BYTES = 48 << 20  # of a memo of a worker, twice
+CACHE_BYTES = 128 << 20  # of a memo of a worker, twice; most words take half of it
 LONGEST = 48  # characters of a remembered piece or chunk
-ENTRY = 104  # bytes of a dictionary's own per entry
+# The most an entry takes: a dictionary's 104 bytes, a string's 76 and four a
+# character, a byte string's 33 and four for each of its UTF-8 bytes.
+ENTRY, PER_CHARACTER = 213, 20
 # White space beside a space: there a match may hold more than one of them.
 _odd = regex.compile(r"\s | \s")
 
@@ -52,7 +53,7 @@ class Recent(dict):
         value = self.older.get(key)
         if value is None:
             value = self.make(key)
-        cost = getsizeof(key) + getsizeof(value) + ENTRY
+        cost = ENTRY + PER_CHARACTER * len(key)
         if self.held + cost > self.size:
             self.older, self.held = dict(self), 0
             self.clear()
