@@ -3,15 +3,16 @@
 ``write`` stores one record per page, each a gzip member of its own, and
 says which records revisit an earlier equal payload. ``build_index`` sorts
 the captures by reversed-host URL key into compressed blocks and keeps a
-sparse directory with the first key and the byte range of each block.
-``lookup`` binary-searches the directory, reads only the block's byte range
-and finds the capture in it; ``fetch`` then reads only the byte range of the
-record in its archive.
-
-Tasks write archives and index blocks straight to the shared folder, under
-names no other attempt uses, and return what they wrote as rows; Spark
-commits these rows as a table. So files of a failed or doubled attempt are
-never referred to, and a lost executor costs a re-run of its tasks only.
+sparse directory with the first key of each block. ``lookup`` binary-searches
+the directory and opens only the blocks that may hold a key; ``fetch`` then
+cuts each record out of its archive by its byte range.
+
+Everything is written and read by Spark: an archive is a row per chunk of
+about CHUNK_BYTES, whose bytes in turn are a valid ``.warc.gz`` file, with
+the byte ranges of its records beside it, and the index is a row per block.
+So any store that Spark can write to will do, and Spark's commit protocol
+holds: what a failed or doubled attempt wrote is never seen, and a lost
+executor costs a re-run of its tasks only.
 """
 
 from __future__ import annotations
@@ -25,8 +26,6 @@ import zlib
 from urllib.parse import urlsplit
 
 import pyarrow as pa
-import pyarrow.parquet as pq
-from pyarrow import fs as pafs
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
@@ -34,24 +33,20 @@ from ..session import materialize, new_work_dir
 from .common import only, small_batches
 
 BLOCK = 1024  # captures in one compressed index block
-PART_BYTES = 256 << 20  # an archive file is closed beyond this size
-TASK_BYTES = 128 << 20  # archive bytes one task reads back
-CAPTURE = "key string, page string, file string, offset long, length long"
-DIRECTORY = "part int, first string, file string, offset long, length long, n long"
+CHUNK_BYTES = 1 << 20  # a chunk of an archive is closed at this size
+CAPTURE = "key string, page string, file string, chunk int, offset long, length long"
+ARCHIVE = "file string, chunk int, data binary, captures array<struct<key:string,page:string,offset:bigint,length:bigint>>"
+INDEX = "part int, block int, first string, n long, data binary"
+DIRECTORY = "part int, block int, first string, n long"
+NEEDED = "key string, part int, block int"
 RECORD = "page_id long, url string, payload_bytes long, payload_digest string, record_type string, refers_to long"
+_CAPTURES = pa.list_(pa.struct([("key", pa.string()), ("page", pa.string()), ("offset", pa.int64()), ("length", pa.int64())]))
 # Fixed values of the format.
 VERSION = b"WARC/1.1"
 DATE = "2000-01-01T00:00:00Z"
 PROFILE = "http://netpreserve.org/warc/1.1/revisit/identical-payload-digest"
 
 
-def _open(root: str):
-    """A file system and a path for the shared folder's address."""
-    if re.match(r"file:/(?!/)", root):
-        root = "file://" + root[5:]
-    return pafs.FileSystem.from_uri(root) if "://" in root else (pafs.LocalFileSystem(), root)
-
-
 def url_key(url: str | None) -> str:
     """The URL with its host reversed, so that a domain's captures sort
     together: http://a.b.org/x?y becomes org,b,a)/x?y. A null URL has an
@@ -129,16 +124,26 @@ def _gzip(data: bytes) -> bytes:
     return z.compress(data) + z.flush()
 
 
+def _kinds(ddl: str) -> pa.Schema:
+    kinds = {"long": pa.int64(), "int": pa.int32(), "string": pa.string(), "binary": pa.binary()}
+    return pa.schema([(n, kinds[k]) for n, k in (f.split() for f in ddl.split(", "))])
+
+
+def _batch(rows: list[tuple], ddl: str) -> pa.RecordBatch:
+    schema = _kinds(ddl)
+    return pa.RecordBatch.from_arrays([pa.array(c, f.type) for c, f in zip(zip(*rows), schema)], schema=schema)
+
+
 def write(spark: SparkSession, pages: DataFrame, root: str, min_bytes: int = 100, page_id: str = "page_id", url: str = "url", html: str = "html") -> DataFrame:
     """Write one record per row of ``pages`` under ``root``; returns the
-    captures (key, page, file, offset, length), as a written table.
+    captures (key, page, file, chunk, offset, length).
 
     A null html is an empty payload, a null url has no target line. Of the
     records with equal payloads of at least ``min_bytes``, those of the
     smallest page_id are responses and the others revisit it; rows that
     repeat that page_id are responses too. Rows with a null page_id take
     part: they are revisits where a page with an id has their payload, else
-    responses. No pages, no files.
+    responses. No pages, no archives. Other columns are ignored.
     """
     small_batches(spark)
     rows = only(pages, page_id=page_id, url=url, html=html).select(F.col("page_id").cast("long").alias("page_id"), "url", F.coalesce(F.col("html"), F.lit("")).alias("html"))
@@ -149,71 +154,76 @@ def write(spark: SparkSession, pages: DataFrame, root: str, min_bytes: int = 100
     equal = materialize(spark, equal.select("digest", "refers_to"), "warc-equal")
     again = slim.join(equal, "digest").where(~F.col("page_id").eqNullSafe(F.col("refers_to"))).distinct()
     again = again.select(F.col("page_id").alias("p"), F.col("digest").alias("d"), "refers_to")
+    # Hashing the few revisits spares a sort of whole pages.
     dealt = rows.join(again.hint("shuffle_hash"), rows.page_id.eqNullSafe(F.col("p")) & (rows.digest == F.col("d")), "left")
-    files = f"{root}/archive"
 
     def run(batches):
-        fs, top = _open(files)
-        out = name = None
+        name, chunk, held, size, seen = f"part-{uuid.uuid4().hex}.warc.gz", 0, [], 0, []
+
+        def row():
+            nonlocal chunk, size
+            captures = pa.array([[dict(zip(("key", "page", "offset", "length"), c)) for c in seen]], _CAPTURES)
+            got = pa.RecordBatch.from_arrays([pa.array([name]), pa.array([chunk], pa.int32()), pa.array([b"".join(held)], pa.binary()), captures], ["file", "chunk", "data", "captures"])
+            chunk, size = chunk + 1, 0
+            held.clear()
+            seen.clear()
+            return got
+
         for b in batches:
-            got = []
             for page, link, text, digest, refers in zip(*[c.to_pylist() for c in b.columns]):
-                if out is None:
-                    name = f"part-{uuid.uuid4().hex}.warc.gz"
-                    fs.create_dir(top, recursive=True)
-                    out, at = fs.open_output_stream(f"{top}/{name}", compression=None), 0
                 own = "" if page is None else str(page)
                 member = _gzip(record(own, link, text.encode(), digest, None if refers is None else str(refers)))
-                out.write(member)
-                got.append((capture_key(link, own), own, name, at, len(member)))
-                at += len(member)
-                if at > PART_BYTES:
-                    out.close()
-                    out = None
-            if got:
-                yield pa.RecordBatch.from_arrays([pa.array(c, t) for c, t in zip(zip(*got), (pa.string(), pa.string(), pa.string(), pa.int64(), pa.int64()))], ["key", "page", "file", "offset", "length"])
-        if out is not None:
-            out.close()
+                held.append(member)
+                seen.append((capture_key(link, own), own, size, len(member)))
+                size += len(member)
+                if size >= CHUNK_BYTES:
+                    yield row()
+        if held:
+            yield row()
+
+    made = dealt.select("page_id", "url", "html", "digest", "refers_to").mapInArrow(run, ARCHIVE)
+    made.write.option("compression", "uncompressed").parquet(f"{root}/archive")  # its members are compressed
+    return captures(spark, root)
+
 
-    return materialize(spark, dealt.select("page_id", "url", "html", "digest", "refers_to").mapInArrow(run, CAPTURE), "warc-captures")
+def read_archive(spark: SparkSession, root: str) -> DataFrame:
+    """(file, chunk, data, captures): a file's chunks in turn are its bytes."""
+    return spark.read.schema(ARCHIVE).parquet(f"{root}/archive")
+
+
+def captures(spark: SparkSession, root: str) -> DataFrame:
+    """(key, page, file, chunk, offset, length) of every record; only these
+    columns are read."""
+    return read_archive(spark, root).select("file", "chunk", F.explode("captures").alias("c")).select("c.key", "c.page", "file", "chunk", "c.offset", "c.length")
 
 
 def build_index(spark: SparkSession, captures: DataFrame, root: str) -> DataFrame:
     """Sort the captures into compressed blocks under ``root``; returns the
-    sparse directory (part, first, file, offset, length, n), one row per
-    block, as a written table. Captures without rows give no blocks."""
-    files = f"{root}/index"
-    ordered = captures.repartitionByRange("key", "file", "offset").sortWithinPartitions("key", "file", "offset")
+    sparse directory (part, block, first, n), one row per block. Captures
+    without rows give no blocks."""
+    ordered = captures.repartitionByRange("key", "file", "chunk", "offset").sortWithinPartitions("key", "file", "chunk", "offset")
 
     def run(batches):
         from pyspark import TaskContext
 
-        fs, top = _open(files)
-        part, name, out, at, held = TaskContext.get().partitionId(), f"cdx-{uuid.uuid4().hex}.gz", None, 0, []
+        part, block, held = TaskContext.get().partitionId(), 0, []
 
-        def block(rows):
-            nonlocal out, at
-            if out is None:
-                fs.create_dir(top, recursive=True)
-                out = fs.open_output_stream(f"{top}/{name}", compression=None)
+        def row(rows):
+            nonlocal block
             data = _gzip("".join(json.dumps(r, separators=(",", ":")) + "\n" for r in rows).encode())
-            out.write(data)
-            at += len(data)
-            return pa.RecordBatch.from_pylist([{"part": part, "first": rows[0][0], "file": name, "offset": at - len(data), "length": len(data), "n": len(rows)}], schema)
+            block += 1
+            return _batch([(part, block - 1, rows[0][0], len(rows), data)], INDEX)
 
-        schema = pa.schema([("part", pa.int32()), ("first", pa.string()), ("file", pa.string()), ("offset", pa.int64()), ("length", pa.int64()), ("n", pa.int64())])
         for b in batches:
             held += zip(*[c.to_pylist() for c in b.columns])
             while len(held) >= BLOCK:
-                yield block(held[:BLOCK])
+                yield row(held[:BLOCK])
                 held = held[BLOCK:]
         if held:
-            yield block(held)
-        if out is not None:
-            out.close()
+            yield row(held)
 
-    table = ordered.select("key", "page", "file", "offset", "length").mapInArrow(run, DIRECTORY)
-    table.write.partitionBy("part").parquet(f"{root}/directory")
+    ordered.select("key", "page", "file", "chunk", "offset", "length").mapInArrow(run, INDEX).write.parquet(f"{root}/index")
+    spark.read.schema(INDEX).parquet(f"{root}/index").select("part", "block", "first", "n").write.parquet(f"{root}/directory")
     return read_directory(spark, root)
 
 
@@ -221,106 +231,72 @@ def read_directory(spark: SparkSession, root: str) -> DataFrame:
     return spark.read.schema(DIRECTORY).parquet(f"{root}/directory")
 
 
-def _range(fs, path: str, offset: int, length: int) -> bytes:
-    with fs.open_input_file(path) as f:
-        return f.read_at(length, offset)
+def _blocks(spark: SparkSession, wanted: DataFrame, root: str) -> DataFrame:
+    """(key, part, block): for every wanted key the blocks that may hold it,
+    by a binary search of the parts on the driver's list of their first keys
+    and then of the part's own directory."""
+    parts = read_directory(spark, root).groupBy("part").agg(F.min("first").alias("first"))
+    starts = sorted((r["first"].encode(), r["part"]) for r in parts.collect())  # one key per part, as many as shuffle partitions
+    firsts, numbers = [s for s, _ in starts], [p for _, p in starts]
+
+    def deal(batches):
+        # Equal keys may begin at the end of the last part that starts
+        # before them, and run on through parts that start with them.
+        for b in batches:
+            rows = []
+            for key in b.column(0).to_pylist():
+                k = key.encode()
+                rows += [(key, numbers[i]) for i in range(max(bisect.bisect_left(firsts, k) - 1, 0), bisect.bisect_right(firsts, k))]
+            if rows:
+                yield _batch(rows, "key string, part int")
+
+    def search(keys: pa.Table, directory: pa.Table) -> pa.Table:
+        entries = sorted((f.encode(), b) for f, b in zip(directory["first"].to_pylist(), directory["block"].to_pylist()))
+        first, rows = [f for f, _ in entries], []
+        part = directory["part"][0].as_py() if directory.num_rows else 0
+        for key in keys["key"].to_pylist():
+            k = key.encode()
+            rows += [(key, part, entries[i][1]) for i in range(max(bisect.bisect_left(first, k) - 1, 0), bisect.bisect_right(first, k))]
+        return pa.Table.from_batches([_batch(rows, NEEDED)] if rows else [], _kinds(NEEDED))
+
+    dealt = wanted.select("key").where("key is not null").distinct().mapInArrow(deal, "key string, part int")
+    return dealt.groupBy("part").cogroup(read_directory(spark, root).groupBy("part")).applyInArrow(search, NEEDED)
 
 
 def lookup(spark: SparkSession, wanted: DataFrame, root: str) -> DataFrame:
     """The captures of the keys in ``wanted`` (column key, see capture_key).
 
-    The driver holds one key per index part (as many as shuffle partitions,
-    whatever the input) and deals the wanted keys to the parts; a task
-    loads its parts' directory only, binary-searches it and reads single
-    blocks. A key that is not in the index gives no row; a null key neither.
+    The blocks that may hold them are found by binary search; only those
+    are read and opened. A key that is not in the index gives no row, and
+    neither does a null key; a key asked for twice is found once.
     """
-    parts = read_directory(spark, root).groupBy("part").agg(F.min("first").alias("first"))
-    starts = sorted((r["first"], r["part"]) for r in parts.collect())
-    if not starts:
-        return spark.createDataFrame([], CAPTURE)
-    folder, files = f"{root}/directory", f"{root}/index"
-    keys = [s for s, _ in starts]
-
-    def rank(batches):
-        # The last part that starts before the key. Equal keys may begin
-        # there, at its end, and run on into the next.
-        for b in batches:
-            at = [max(bisect.bisect_left(keys, k) - 1, 0) for k in b.column(0).to_pylist()]
-            yield pa.RecordBatch.from_arrays([b.column(0), pa.array(at, pa.int32())], ["key", "rank"])
+    needed = materialize(spark, _blocks(spark, wanted, root), "warc-needed")
+    index = spark.read.schema(INDEX).parquet(f"{root}/index").select("part", "block", "data")
 
-    dealt = wanted.select("key").where(F.col("key").isNotNull()).distinct().mapInArrow(rank, "key string, rank int")
-    dealt = dealt.repartition("rank").sortWithinPartitions("rank", "key")
-    order = [p for _, p in starts]
+    def opened(batches):
+        for b in batches:
+            for data in b.column(0).to_pylist():
+                yield _batch([tuple(json.loads(x)) for x in zlib.decompress(data, 31).splitlines()], CAPTURE)
 
-    def run(batches):
-        fs, top = _open(files)
-        dfs, dtop = _open(folder)
-        rank, entries, firsts, held = None, [], [], (None, None, None)
+    held = index.join(needed.select("part", "block").distinct(), ["part", "block"], "left_semi")
+    found = held.select("data").mapInArrow(opened, CAPTURE)
+    return found.join(needed.select("key").distinct(), "key", "left_semi")
 
-        def load(r):
-            got = pq.read_table(f"{dtop}/part={order[r]}", filesystem=dfs, partitioning=None, columns=["first", "file", "offset", "length"]).to_pylist()
-            return sorted(((e["first"].encode(), e["file"], e["offset"], e["length"]) for e in got))
 
-        for b in batches:
-            found = []
-            for key, r in zip(b.column(0).to_pylist(), b.column(1).to_pylist()):
-                if r != rank:
-                    rank, entries = r, load(r)
-                    firsts = [e[0] for e in entries]
-                key = key.encode()
-                at, now, table, names = max(bisect.bisect_left(firsts, key) - 1, 0), rank, entries, firsts
-                while True:  # a key's captures may run over several blocks and parts
-                    if at == len(table):
-                        now += 1
-                        if now == len(order):
-                            break
-                        table, at = load(now), 0
-                        names = [e[0] for e in table]
-                        continue
-                    if names[at] > key:
-                        break
-                    if held[0] != (now, at):
-                        rows = [json.loads(x) for x in zlib.decompress(_range(fs, f"{top}/{table[at][1]}", *table[at][2:]), 31).splitlines()]
-                        held = ((now, at), rows, [x[0].encode() for x in rows])
-                    lo = bisect.bisect_left(held[2], key)
-                    hi = bisect.bisect_right(held[2], key)
-                    found += held[1][lo:hi]
-                    if hi < len(held[2]):
-                        break
-                    at += 1
-            if found:
-                yield pa.RecordBatch.from_arrays([pa.array(c, t) for c, t in zip(zip(*found), (pa.string(), pa.string(), pa.string(), pa.int64(), pa.int64()))], ["key", "page", "file", "offset", "length"])
-
-    return dealt.mapInArrow(run, CAPTURE)
-
-
-def fetch(spark: SparkSession, captures: DataFrame, root: str, tasks: int) -> DataFrame:
-    """The records of ``captures``, each by a read of its own byte range, in
-    the order of the archives, by ``tasks`` tasks. A record that is no WARC record, of another
-    page or with a payload unlike its digest raises."""
-    files = f"{root}/archive"
+def fetch(spark: SparkSession, captures: DataFrame, root: str) -> DataFrame:
+    """The records of ``captures``, each cut out of its chunk by its own byte
+    range; chunks without one are not read on. A record that is no WARC
+    record, of another page or with a payload unlike its digest raises."""
+    # A chunk holds a bounded number of records, whatever it is asked for.
+    ranges = captures.groupBy("file", "chunk").agg(F.collect_list(F.struct("page", "offset", "length")).alias("ranges"))
+    near = read_archive(spark, root).select("file", "chunk", "data").join(ranges, ["file", "chunk"])
 
     def run(batches):
-        fs, top = _open(files)
-        name = handle = None
         for b in batches:
-            rows = []
-            for page, file, offset, length in zip(*[c.to_pylist() for c in b.columns]):
-                if file != name:
-                    if handle is not None:
-                        handle.close()
-                    name, handle = file, fs.open_input_file(f"{top}/{file}")
-                rows.append(_read(page, zlib.decompress(handle.read_at(length, offset), 31)))
-            if rows:
-                kinds = (pa.int64(), pa.string(), pa.int64(), pa.string(), pa.string(), pa.int64())
-                yield pa.RecordBatch.from_arrays([pa.array(c, t) for c, t in zip(zip(*rows), kinds)], ["page_id", "url", "payload_bytes", "payload_digest", "record_type", "refers_to"])
-        if handle is not None:
-            handle.close()
+            for data, wanted in zip(b.column(0).to_pylist(), b.column(1).to_pylist()):
+                yield _batch([_read(r["page"], zlib.decompress(data[r["offset"] : r["offset"] + r["length"]], 31)) for r in wanted], RECORD)
 
-    # The captures are few bytes and the records many, so Spark cannot size
-    # the tasks by what it shuffles.
-    near = captures.repartitionByRange(tasks, "file", "offset").sortWithinPartitions("file", "offset")
-    return near.select("page", "file", "offset", "length").mapInArrow(run, RECORD)
+    return near.select("data", "ranges").mapInArrow(run, RECORD)
 
 
 def archive(spark: SparkSession, pages: DataFrame, min_bytes: int = 100, page_id: str = "page_id", url: str = "url", html: str = "html") -> DataFrame:
@@ -328,10 +304,7 @@ def archive(spark: SparkSession, pages: DataFrame, min_bytes: int = 100, page_id
     the index and read its record back: (page_id, url, payload_bytes,
     payload_digest, record_type, refers_to), one row per row of ``pages``."""
     root = new_work_dir(spark, "warc")
-    captures = write(spark, pages, root, min_bytes, page_id, url, html)
-    build_index(spark, captures, root)
-    size = captures.agg(F.sum("length")).first()[0] or 0
-    tasks = max(spark.sparkContext.defaultParallelism, size // TASK_BYTES)
+    build_index(spark, write(spark, pages, root, min_bytes, page_id, url, html), root)
 
     def keys(batches):
         for b in batches:
@@ -339,4 +312,4 @@ def archive(spark: SparkSession, pages: DataFrame, min_bytes: int = 100, page_id
             yield pa.RecordBatch.from_arrays([pa.array([capture_key(u, p) for u, p in zip(b.column(1).to_pylist(), page)], pa.string())], ["key"])
 
     named = only(pages, page_id=page_id, url=url).withColumn("page_id", F.col("page_id").cast("long"))
-    return fetch(spark, lookup(spark, named.mapInArrow(keys, "key string"), root), root, tasks)
+    return fetch(spark, lookup(spark, named.mapInArrow(keys, "key string"), root), root)

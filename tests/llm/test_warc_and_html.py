@@ -2,7 +2,6 @@
 
 import gzip
 import hashlib
-import os
 
 import pytest
 from pyspark.sql import functions as F
@@ -49,19 +48,64 @@ def test_one_url_over_many_blocks(spark, monkeypatch):
     assert archived(spark, rows) == expected(rows)
 
 
+def stored(spark, root):
+    """The archives as files: their chunks in turn."""
+    files = {}
+    for r in warc.read_archive(spark, root).orderBy("file", "chunk").collect():
+        files[r.file] = files.get(r.file, b"") + bytes(r.data)
+    return files
+
+
 def test_archives_are_plain_warc(spark):
     root = new_work_dir(spark, "warc-test")
     pages = spark.createDataFrame([(1, "http://a.org/x", "z" * 200), (2, "http://b.org/", "z" * 200)], PAGE)
     captures = warc.write(spark, pages, root)
     warc.build_index(spark, captures, root)
-    folder = root.removeprefix("file:") + "/archive"
-    data = b"".join(gzip.open(f"{folder}/{f}").read() for f in sorted(os.listdir(folder)))
+    data = b"".join(gzip.decompress(f) for f in stored(spark, root).values())
     assert data.count(b"WARC/1.1\r\n") == 2 and data.count(b"WARC-Type: revisit") == 1 and b"WARC-Refers-To: <urn:page:1>" in data
     wanted = spark.createDataFrame([(warc.capture_key("http://b.org/", "2"),), ("org,none)/ 9",), (None,)], "key string")
     found = warc.lookup(spark, wanted, root).collect()
     assert [r.page for r in found] == ["2"]
 
 
+def test_many_chunks_of_one_archive(spark, monkeypatch):
+    monkeypatch.setattr(warc, "CHUNK_BYTES", 300)
+    root = new_work_dir(spark, "warc-test")
+    rows = [(i, f"http://h.org/{i}", f"page {i} " * 40) for i in range(60)]
+    captures = warc.write(spark, spark.createDataFrame(rows, PAGE).coalesce(2), root)
+    assert captures.agg(F.max("chunk")).first()[0] > 5
+    assert sum(gzip.decompress(f).count(b"WARC-Type: response") for f in stored(spark, root).values()) == 60
+    assert archived(spark, rows) == expected(rows)
+
+
+def test_a_folder_that_only_spark_can_open(spark):
+    """Archives, index and directory go through Hadoop's file system, here a
+    mount table that no other library knows; and a folder without a scheme is
+    on Spark's default file system."""
+    conf = spark._jsc.hadoopConfiguration()
+    real = new_work_dir(spark, "warc-mounted")
+    spark.range(1).write.parquet(f"{real}/made")
+    plain = real if real.startswith("file:") else f"file://{real}"
+    conf.set("fs.viewfs.mounttable.warctest.link./in", plain)
+    rows = [(i, f"http://h{i % 4}.org/{i}", f"page {i} " * 40) for i in range(80)]
+    for root in ("viewfs://warctest/in/a", real.removeprefix("file://").removeprefix("file:") + "/b"):
+        warc.build_index(spark, warc.write(spark, spark.createDataFrame(rows, PAGE), root), root)
+        wanted = spark.createDataFrame([(warc.capture_key(u, str(p)),) for p, u, _ in rows[::3]] + [("zzz",), ("",)], "key string")
+        found = warc.fetch(spark, warc.lookup(spark, wanted, root), root)
+        assert sorted(r.page_id for r in found.collect()) == [p for p, _, _ in rows[::3]]
+
+
+def test_keys_that_repeat_over_blocks_and_parts(spark, monkeypatch):
+    monkeypatch.setattr(warc, "BLOCK", 4)
+    rows = [(7, "http://hot.org/", "same")] * 60 + [(i, f"http://{'ab'[i % 2]}.org/{i}", "x") for i in range(40)]
+    assert archived(spark, rows) == expected(rows)
+
+
+def test_other_columns_do_not_clash(spark):
+    df = spark.createDataFrame([(1, "http://a.org/", "p" * 150, 3, "x", b"y")], PAGE + ", digest int, refers_to string, data binary")
+    assert [r.page_id for r in warc.archive(spark, df).collect()] == [1]
+
+
 def test_a_record_unlike_its_digest_raises(spark):
     raw = warc.record("1", "u", b"payload", hashlib.sha256(b"other").hexdigest(), None)
     with pytest.raises(ValueError, match="digest"):
