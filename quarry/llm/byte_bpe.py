@@ -17,6 +17,7 @@ from __future__ import annotations
 import base64
 import heapq
 from array import array
+from sys import getsizeof
 
 import numpy as np
 import pyarrow as pa
@@ -28,11 +29,9 @@ from .common import only, small_batches
 
 LEAF = 24  # bytes merged directly
 NEVER = 1 << 62
-CACHE_BYTES = 128 << 20  # of a memo of a worker, twice; most words take half of it
+CACHE_BYTES = 96 << 20  # of a memo of a worker, twice
 LONGEST = 48  # characters of a remembered piece or chunk
-# The most an entry takes: a dictionary's 104 bytes, a string's 76 and four a
-# character, a byte string's 33 and four for each of its UTF-8 bytes.
-ENTRY, PER_CHARACTER = 213, 20
+ENTRY = 128  # bytes of a dictionary's own per entry, and what malloc rounds up
 # White space beside a space: there a match may hold more than one of them.
 _odd = regex.compile(r"\s | \s")
 
@@ -53,7 +52,7 @@ class Recent(dict):
         value = self.older.get(key)
         if value is None:
             value = self.make(key)
-        cost = ENTRY + PER_CHARACTER * len(key)
+        cost = ENTRY + getsizeof(key) + getsizeof(value)
         if self.held + cost > self.size:
             self.older, self.held = dict(self), 0
             self.clear()
@@ -151,9 +150,10 @@ class ByteBPE:
         return array("i", [whole] if whole is not None else self.reduce(data)).tobytes()
 
     def _chunk(self, chunk: str) -> bytes:
-        piece = self.pieces.__getitem__
         found = self.pattern.findall(chunk)
-        return piece(found[0]) if len(found) == 1 else b"".join(map(piece, found))
+        if len(found) == 1:  # remembered as a chunk, so not as a piece too
+            return self.pieces.get(found[0]) or self._piece(found[0])
+        return b"".join(map(self.pieces.__getitem__, found))
 
     def encode(self, text: str | None) -> np.ndarray:
         """The ids of a whole text. A space between two other characters

@@ -17,7 +17,7 @@ from array import array
 import numpy as np
 import regex
 
-from .byte_bpe import Recent
+from .byte_bpe import CACHE_BYTES, Recent
 
 # Fixed value: the pattern of the public word vocabulary.
 WORDS = r"'s|'t|'re|'ve|'m|'ll|'d|[\p{L}]+|[\p{N}]|[^\s\p{L}\p{N}]+"
@@ -41,7 +41,7 @@ class WordTokens:
         # after it another.
         self.one_run = self.pattern is not None and self.pattern.pattern == WORDS and not any(t.isalpha() or t[:-1].isalpha() for t in self.special)
         self.pieces = Recent(self._piece)
-        self.chunks = Recent(self._chunk)
+        self.chunks = Recent(self._chunk, 2 * CACHE_BYTES)  # words in lower case too, as most pieces are
 
     def _whole(self, text: str) -> bytes:
         return array("I", self.tokenizer.encode(text, add_special_tokens=False).ids).tobytes()
@@ -58,9 +58,9 @@ class WordTokens:
         if self.one_run:  # most chunks are a word, or a word and a mark
             if chunk.isalpha():
                 if (low := chunk.lower()).isalpha():  # one capital becomes two characters
-                    return self.pieces[low]
+                    return self._piece(low) if low == chunk else self.chunks[low]
             elif (low := chunk[:-1].lower()).isalpha():
-                return self.pieces[low] + self.pieces[chunk[-1]]
+                return self.chunks[low] + self.pieces[chunk[-1]]
         if any(s in chunk for s in self.special):
             return self._whole(chunk)
         return b"".join(map(self.pieces.__getitem__, self.pattern.findall(chunk.lower())))
