@@ -1,8 +1,11 @@
-"""Quality verdicts and main texts against plain loops over the same rules."""
+"""Quality verdicts and main texts against plain loops over the same rules;
+the registered queries without SQL over the whole tables of sf0.001."""
 
+import html
 import math
 import random
 import re
+import zlib
 from functools import cache
 
 import numpy as np
@@ -11,6 +14,8 @@ import pytest
 from quarry.llm import ngrams, quality, queries
 from quarry.llm.common import read
 from quarry.llm.html_extract import SIGMA, WRAPPER, main_text
+from test_embeddings import brute as brute_links
+from test_simhash_and_components import brute_fingerprint, closure
 
 SF = "/root/testdata/sf0.001"
 
@@ -125,3 +130,37 @@ def test_main_text_equals_plain_ratios(seed):
         assert texts[-1] == plain_main_text(tree), tree.html()
         whole += texts[-1] == ""
     assert whole < 75 and len(set(texts)) > 50
+
+
+def test_query_op3_gives_every_page_s_article(spark):
+    pages = {r.page_id: r for r in read(spark, SF, "pages").collect()}
+    got = queries.op3_html_extract(spark, SF).collect()
+    assert sorted(r.page_id for r in got) == sorted(pages)
+    for r in got:
+        inside = re.search(r"<article>(.*)</article>", pages[r.page_id].html, re.S)[1]
+        blocks = [" ".join(html.unescape(re.sub(r"<[^>]+>", "", b)).split()) for b in re.split(r"</?(?:p|h1|br)>", inside)]
+        assert (r.url, r.text, r.n_chars) == (pages[r.page_id].url, " ".join(b for b in blocks if b), len(r.text))
+
+
+def test_query_op4_links_every_vector(spark):
+    rows = [(r.vec_id, r.embedding) for r in read(spark, SF, "embeddings").collect()]
+    got = queries.op4_embedding_dedup(spark, SF).select("vec_id", "n_links", "component_id", "kept").collect()
+    assert sorted(map(tuple, got), key=repr) == brute_links(rows)
+
+
+def test_query_op8_predicts_every_document(spark):
+    docs = {r.doc_id: r for r in read(spark, SF, "documents").collect()}
+    got = queries.op8_language_id(spark, SF).collect()
+    assert sorted(r.doc_id for r in got) == sorted(docs)
+    for r in got:
+        assert r.held_out == (zlib.crc32(str(r.doc_id).encode()) % 3 == 1) and 0 <= r.score <= 1
+        assert (r.lang_pred == "und") == (not any(c.isalpha() for c in docs[r.doc_id].text or ""))
+    known = [r for r in got if r.held_out and docs[r.doc_id].lang and r.lang_pred != "und"]
+    assert len(known) > 30 and np.mean([r.lang_pred == docs[r.doc_id].lang for r in known]) > 0.95
+
+
+def test_query_op9_links_every_document(spark):
+    prints = {r.doc_id: brute_fingerprint(r.text) for r in read(spark, SF, "documents").collect()}
+    roots = closure(prints, [(a, b) for a in prints for b in prints if a < b and bin(prints[a] ^ prints[b]).count("1") <= 2])
+    got = queries.op9_simhash(spark, SF).collect()
+    assert sorted((r.doc_id, r.fingerprint, r.component_id) for r in got) == sorted((d, f"{p:016x}", roots[d]) for d, p in prints.items())
